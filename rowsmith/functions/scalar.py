@@ -147,11 +147,9 @@ def left_closed_bin(c, edges) -> Column:
 
 
 def signed_power(c, lam) -> Column:
-    """Yeo-Johnson transform of ``c`` at a fixed lambda."""
+    """Yeo-Johnson transform of ``c``; ``lam`` is a number or a column."""
     c = _col(c).cast("double")
-    pos = F.log1p(c) if abs(lam) < 1e-12 else (F.pow(c + 1.0, F.lit(lam)) - 1.0) / F.lit(lam)
-    if abs(lam - 2.0) < 1e-12:
-        neg = -F.log1p(-c)
-    else:
-        neg = -(F.pow(1.0 - c, F.lit(2.0 - lam)) - 1.0) / F.lit(2.0 - lam)
+    lam = lam if isinstance(lam, Column) else F.lit(float(lam))
+    pos = F.when(F.abs(lam) < 1e-12, F.log1p(c)).otherwise((F.pow(c + 1.0, lam) - 1.0) / lam)
+    neg = F.when(F.abs(lam - 2.0) < 1e-12, -F.log1p(-c)).otherwise(-(F.pow(1.0 - c, 2.0 - lam) - 1.0) / (2.0 - lam))
     return F.when(c >= 0, pos).when(c < 0, neg)

@@ -84,31 +84,36 @@ def smote(df: DataFrame, label: str, key: str, vector: str, k: int = 5, seed: in
     sizes = {r[label]: r["n"] for r in df.groupBy(label).agg(F.count("*").alias("n")).collect()}
     target = max(sizes.values())
     rows = df.select(key, label, F.col(vector).cast("array<double>").alias(vector))
-    out = rows.withColumn("synthetic", F.lit(False))
-    for value, n in sorted(sizes.items(), key=lambda x: str(x[0])):
-        if n == target or n < 2:
-            continue
-        part = rows.where(F.col(label) == F.lit(value))
-        reach = min(k, n - 1)
-        near = nearest(part, part, key, vector, reach, exclude_self=True)
-        options = near.groupBy("query_key").agg(F.array_sort(F.collect_list(F.struct("rank", "ref_key"))).alias("near"))
-        base, extra = divmod(target - n, n)
-        placed = hash_positions(part.withColumn("__h", hash_u32(key, seed)), "__h", [key], (), "__pos")
-        quota = F.lit(base) + (F.col("__pos") < F.lit(extra)).cast("int")
-        copies = (
-            placed.withColumn("__q", quota).where(F.col("__q") > 0)
-            .withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__q"))))
-            .join(options, F.col(key) == F.col("query_key"))
-            .withColumn("__pick", F.floor(uniform([key, "__copy"], seed + 1) * F.lit(float(reach))).cast("int"))
-            .withColumn("__gap", uniform([key, "__copy"], seed + 2))
-            .withColumn("__other", F.get(F.col("near"), F.col("__pick"))["ref_key"])
-            .select(key, label, F.col(vector).alias("__a"), "__other", "__gap")
-        )
-        ends = part.select(F.col(key).alias("__other"), F.col(vector).alias("__b"))
-        made = copies.join(ends, "__other").select(
-            F.col(key), F.col(label),
-            F.zip_with("__a", "__b", lambda a, b: a + F.col("__gap") * (b - a)).alias(vector),
-            F.lit(True).alias("synthetic"),
-        )
-        out = out.unionByName(made)
-    return out
+    whole = rows.withColumn("synthetic", F.lit(False))
+    grow = {c: n for c, n in sizes.items() if 2 <= n < target}
+    if not grow:
+        return whole
+    part = rows.where(F.col(label).isin(list(grow)))
+    near = nearest(part, part, key, vector, k, exclude_self=True, within=label)
+    # At most k entries per row.
+    options = near.groupBy("query_key").agg(F.array_sort(F.collect_list(F.struct("rank", "ref_key"))).alias("__near"))
+
+    def per_class(fn):
+        out = F.lit(None).cast("bigint")
+        for c, n in grow.items():
+            out = F.when(F.col(label) == F.lit(c), F.lit(fn(n))).otherwise(out)
+        return out
+
+    placed = hash_positions(part.withColumn("__h", hash_u32(key, seed)), "__h", [key], [label], "__pos")
+    quota = per_class(lambda n: (target - n) // n) + (F.col("__pos") < per_class(lambda n: (target - n) % n)).cast("int")
+    copies = (
+        placed.withColumn("__q", quota).where(F.col("__q") > 0)
+        .withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("__q"))))
+        .join(options, F.col(key) == F.col("query_key"))
+        .withColumn("__pick", F.floor(uniform([key, "__copy"], seed + 1) * F.size("__near")).cast("int"))
+        .withColumn("__gap", uniform([key, "__copy"], seed + 2))
+        .withColumn("__other", F.get(F.col("__near"), F.col("__pick"))["ref_key"])
+        .select(key, label, F.col(vector).alias("__a"), "__other", "__gap")
+    )
+    ends = part.select(F.col(key).alias("__other"), F.col(vector).alias("__b"))
+    made = copies.join(ends, "__other").select(
+        F.col(key), F.col(label),
+        F.zip_with("__a", "__b", lambda a, b: a + F.col("__gap") * (b - a)).alias(vector),
+        F.lit(True).alias("synthetic"),
+    )
+    return whole.unionByName(made)

@@ -9,7 +9,7 @@ from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame, functions as F
 
 from rowsmith.features.base import FitStep, FittedStep, Settings, integer, text
-from rowsmith.operators.neighbours import class_shares, nearest, neighbour_mean
+from rowsmith.operators.neighbours import class_shares, nearest, running_mean
 from rowsmith.operators.stats import long_agg
 from rowsmith.session import materialise
 
@@ -31,14 +31,15 @@ class FittedKnnClassifier(_KnnParams, FittedStep):
     def _transform(self, df: DataFrame) -> DataFrame:
         key = self.value("keyCol")
         asked = df.select(key, as_array(df, self.value("featuresCol")).alias("vec"))
-        near = nearest(asked, self.tables["train"], key, "vec", self.value("k"), ref_key="ref_key")
+        near = nearest(asked, self.tables["train"], key, "vec", self.value("k"), ref_key="ref_key", carry="label")
         classes = self.state["classes"]
-        shares = class_shares(near, self.tables["train"], "ref_key", "label", classes)
+        shares = class_shares(near, "label", classes)
         best = F.array_position("probability", F.array_max("probability")) - 1
         labels = F.array(*[F.lit(float(c)) for c in classes])
         out = shares.select(F.col("query_key").alias(key), F.get(labels, best.cast("int")).alias("prediction"),
                             array_to_vector("probability").alias("probability"))
-        return df.join(out, key, "left")
+        # Stored once: the search is costly and later steps read the result many times.
+        return df.join(materialise(out, "scores"), key, "left")
 
 
 class KnnClassifier(_KnnParams, FitStep):
@@ -58,18 +59,16 @@ class FittedKnnRegressor(_KnnParams, FittedStep):
     def neighbours(self, df: DataFrame, k: int | None = None) -> DataFrame:
         key = self.value("keyCol")
         asked = df.select(key, as_array(df, self.value("featuresCol")).alias("vec"))
-        return nearest(asked, self.tables["train"], key, "vec", k or self.value("k"), ref_key="ref_key")
+        return nearest(asked, self.tables["train"], key, "vec", k or self.value("k"), ref_key="ref_key", carry="label")
 
     def predict_all_k(self, df: DataFrame, k: int) -> DataFrame:
         """Prediction for every number of neighbours from 1 to ``k``, from one neighbour search."""
-        return neighbour_mean(self.neighbours(df, k), self.tables["train"], "ref_key", "label").withColumnRenamed(
-            "query_key", self.value("keyCol"))
+        return running_mean(self.neighbours(df, k), "label").withColumnRenamed("query_key", self.value("keyCol"))
 
     def _transform(self, df: DataFrame) -> DataFrame:
         key = self.value("keyCol")
-        marked = self.neighbours(df).join(self.tables["train"].select("ref_key", "label"), "ref_key")
-        mean = marked.groupBy("query_key").agg(F.avg("label").alias("prediction")).withColumnRenamed("query_key", key)
-        return df.join(mean, key, "left")
+        mean = self.neighbours(df).groupBy("query_key").agg(F.avg("label").alias("prediction")).withColumnRenamed("query_key", key)
+        return df.join(materialise(mean, "scores"), key, "left")
 
 
 class KnnRegressor(_KnnParams, FitStep):

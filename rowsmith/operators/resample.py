@@ -41,9 +41,20 @@ def stratified_kfold(df: DataFrame, label: str, keys, k: int = 5, seed: int = 42
     return placed.withColumn(out, (F.col("__pos") % k).cast("int")).drop("__h", "__pos", "__pos_total")
 
 
+MAX_CLASSES = 10_000
+
+
+def class_counts(df: DataFrame, label: str) -> dict:
+    """Rows per class as plain numbers; refused for a column that is no class label."""
+    counts = df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count("*").alias("n")).limit(MAX_CLASSES + 1).collect()
+    if len(counts) > MAX_CLASSES:
+        raise ValueError(f"{label} has more than {MAX_CLASSES} classes")
+    return {r[label]: r["n"] for r in counts}
+
+
 def balanced_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
-    """Weight n / (classes * class count) on every row. The class list is a small result."""
-    counts = {r[label]: r["n"] for r in df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count("*").alias("n")).collect()}
+    """Weight n / (classes * class count) on every row; the number of classes is checked."""
+    counts = class_counts(df, label)
     total = sum(counts.values())
     weight = None
     for value, n in sorted(counts.items(), key=lambda x: str(x[0])):
@@ -81,7 +92,7 @@ def smote(df: DataFrame, label: str, key: str, vector: str, k: int = 5, seed: in
     """
     from rowsmith.operators.neighbours import nearest
 
-    sizes = {r[label]: r["n"] for r in df.groupBy(label).agg(F.count("*").alias("n")).collect()}
+    sizes = class_counts(df, label)
     target = max(sizes.values())
     rows = df.select(key, label, F.col(vector).cast("array<double>").alias(vector))
     whole = rows.withColumn("synthetic", F.lit(False))

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from rowsmith.operators.clean import columns_by_dtype
 from rowsmith.operators.ranks import exact_quantiles
+from rowsmith.session import materialise
 
 FUNCS = {
     "count": F.count, "sum": F.sum, "mean": F.avg, "min": F.min, "max": F.max,
@@ -165,12 +166,14 @@ def correlated_columns(df: DataFrame, cols, threshold: float = 0.9) -> list[str]
 def with_group_stats(df: DataFrame, keys, **stats: Column) -> DataFrame:
     """Attach per-group aggregates to every row of the group.
 
-    A grouped aggregation (combined map-side) joined back, not a window: a hot
-    key is then split by the skew-join handling instead of filling one task.
+    A grouped aggregation (combined map-side) joined back, not a window, so a
+    hot key never fills one task. The group table is stored first: the planner
+    then knows its size, broadcasts it when small (the rows are not shuffled at
+    all) and otherwise joins with skew handling.
     """
     keys = list(keys)
     table = _present(df, keys).groupBy(*keys).agg(*[c.alias(n) for n, c in stats.items()])
-    return df.join(table, keys, "left")
+    return df.join(materialise(table, "groups"), keys, "left")
 
 
 def group_frequency(df: DataFrame, key: str, out: str = "freq") -> DataFrame:
@@ -256,7 +259,7 @@ def box_stats(df: DataFrame, col: str, by: str) -> DataFrame:
     reach = 1.5 * (F.col("q3") - F.col("q1"))
     inside = F.when((F.col(col) >= F.col("q1") - reach) & (F.col(col) <= F.col("q3") + reach), F.col(col))
     return (
-        df.select(by, col).join(q, by)
+        df.select(by, col).join(materialise(q, "quartiles"), by)
         .groupBy(by, "q1", "med", "q3")
         .agg(F.min(inside).alias("whisker_low"), F.max(inside).alias("whisker_high"))
     )

@@ -95,16 +95,19 @@ class Flow(Estimator):
         self.steps = list(steps)
 
     def _fit(self, df: DataFrame) -> PipelineModel:
+        return self.fit_rows(df)[0]
+
+    def fit_rows(self, df: DataFrame) -> tuple[PipelineModel, DataFrame]:
+        """The fitted chain and the training rows as the last step leaves them."""
         fitted: list[Transformer] = []
-        for i, step in enumerate(self.steps):
+        for step in self.steps:
             if isinstance(step, Sampler):
                 df = step.resample(df)
                 continue
             model, rows = _fit_step(step, df)
             fitted.append(model)
-            if i + 1 < len(self.steps):
-                df = model.transform(df) if rows is None else rows
-        return PipelineModel(fitted)
+            df = model.transform(df) if rows is None else rows
+        return PipelineModel(fitted), df
 
     def copy(self, extra=None) -> "Flow":
         changed = Flow([s if isinstance(s, Sampler) else s.copy(extra) for s in self.steps])
@@ -176,6 +179,28 @@ def search(make, points: list[dict], df: DataFrame, evaluator: Evaluator, keys,
     return spark.createDataFrame([(*r, pos + 1) for pos, r in enumerate(found)], "point int, params string, mean_score double, rank int")
 
 
+def search_last_step(flow: Flow, make, points: list[dict], df: DataFrame, evaluator: Evaluator, keys, k: int = 5, seed: int = 42, stratify: str | None = None) -> DataFrame:
+    """Like ``search`` for points that only change the last step of a flow.
+
+    The steps before it are fitted once per fold and their output is stored;
+    every point then fits its last step on the stored rows.
+    """
+    spark = df.sparkSession
+    split = stratified_kfold(df, stratify, keys, k, seed) if stratify else kfold(df, keys, k, seed)
+    rows = materialise(split, "folds")
+    scores: dict[int, list[float]] = {i: [] for i in range(len(points))}
+    for f in sorted(r[0] for r in rows.select("fold").distinct().collect()):
+        prefix, train = Flow(flow.steps[:-1]).fit_rows(rows.where(F.col("fold") != f).drop("fold"))
+        train = materialise(train, "prefix")
+        test = materialise(prefix.transform(rows.where(F.col("fold") == f).drop("fold")), "prefix")
+        for i, point in enumerate(points):
+            scores[i].append(float(evaluator.evaluate(make(**point).fit(train).transform(test))))
+    found = [(i, json.dumps(p, sort_keys=True), sum(scores[i]) / len(scores[i])) for i, p in enumerate(points)]
+    sign = -1 if evaluator.isLargerBetter() else 1
+    found.sort(key=lambda r: (sign * r[2], r[0]))
+    return spark.createDataFrame([(*r, pos + 1) for pos, r in enumerate(found)], "point int, params string, mean_score double, rank int")
+
+
 def grid_search(make, choices: dict[str, list], df: DataFrame, evaluator: Evaluator, keys, **options) -> DataFrame:
     return search(make, parameter_grid(choices), df, evaluator, keys, **options)
 

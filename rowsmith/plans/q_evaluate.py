@@ -204,10 +204,19 @@ def grid_search(spark, sf):
     return flows.grid_search(lambda **p: T.boosted_classifier(rounds=2, **p), grid, df, flows.BalancedAccuracy(), ["doc_id"], k=2, stratify="label")
 
 
+@query("search_with_stored_prefix")
+def search_with_stored_prefix(spark, sf):
+    """Grid over the last step only; the steps before it run once per fold."""
+    points = flows.parameter_grid({"depth": [2, 4], "rate": [0.1, 0.3]})
+    return flows.search_last_step(
+        churn_flow(), lambda **p: T.boosted_classifier(rounds=3, **p), points, churn(spark, sf),
+        flows.BalancedAccuracy(), ["doc_id"], k=2, stratify="label")
+
+
 @query("random_search")
 def random_search(spark, sf):
     df = scaled_docs(spark, sf).select("doc_id", "label", "features")
-    grid = {"depth": [2, 3, 5, 7], "trees": [5, 10], "subsamplingRate": [0.65, 0.85]}
+    grid = {"maxDepth": [2, 3, 5, 7], "trees": [5, 10], "subsamplingRate": [0.65, 0.85]}
     scorer = MulticlassClassificationEvaluator(metricName="accuracy")
     return flows.random_search(lambda **p: T.forest_classifier(**p), grid, 4, df, scorer, ["doc_id"], k=2, stratify="label")
 

@@ -17,6 +17,7 @@ from rowsmith.plans.flows import ColumnSteps
 from rowsmith.plans.q_clean import HOLED, holed_lineitem
 from rowsmith.plans.q_relate import U
 from rowsmith.plans.registry import query
+from rowsmith.session import materialise
 from rowsmith.sources.tables import table
 
 LINE_KEY = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
@@ -29,14 +30,15 @@ def U4(seed: int) -> str:
 
 
 def doc_features(spark, sf):
-    """Labelled documents with numbers measured on their whole text."""
+    """Labelled documents with numbers measured on their whole text, stored once for the fits that follow."""
     docs = table(spark, sf, "documents").select(
         "doc_id", "lang", "source", F.col("n_chars").cast("double").alias("chars"),
         F.size(F.split("text", " ")).cast("double").alias("words"),
         (F.size(F.split("text", "\n")) - 1).cast("double").alias("lines"),
         F.length(F.regexp_replace("text", "[^0-9]", "")).cast("double").alias("digits"),
         F.length(F.regexp_replace("text", "[^.,;:!?]", "")).cast("double").alias("marks"))
-    return docs.join(table(spark, sf, "labels"), "doc_id").withColumn("label", F.col("quality").cast("double"))
+    labelled = docs.join(table(spark, sf, "labels"), "doc_id").withColumn("label", F.col("quality").cast("double"))
+    return materialise(labelled, "documents")
 
 
 DOC_COLS = ["chars", "words", "lines", "digits", "marks"]

@@ -59,8 +59,8 @@ def regression_parabola_groups(spark, sf):
 
 @query("least_squares_coefficients", """
     WITH s AS (SELECT covar_pop(l_quantity, l_quantity) AS aa, covar_pop(l_tax, l_tax) AS bb, covar_pop(l_quantity, l_tax) AS ab,
-        covar_pop(l_quantity, l_extendedprice) AS ay, covar_pop(l_tax, l_extendedprice) AS by, avg(l_quantity) AS ma, avg(l_tax) AS mb, avg(l_extendedprice) AS my FROM lineitem),
-    c AS (SELECT (ay * bb - by * ab) / (aa * bb - ab * ab) AS p, (by * aa - ay * ab) / (aa * bb - ab * ab) AS q, * FROM s)
+        covar_pop(l_quantity, l_extendedprice) AS ay, covar_pop(l_tax, l_extendedprice) AS ty, avg(l_quantity) AS ma, avg(l_tax) AS mb, avg(l_extendedprice) AS my FROM lineitem),
+    c AS (SELECT (ay * bb - ty * ab) / (aa * bb - ab * ab) AS p, (ty * aa - ay * ab) / (aa * bb - ab * ab) AS q, ma, mb, my FROM s)
     SELECT 'l_quantity' AS "column", round(p, 3) AS coefficient FROM c UNION ALL SELECT 'l_tax', round(q, 3) FROM c
     UNION ALL SELECT 'intercept', round(my - p * ma - q * mb, 3) FROM c""")
 def least_squares_coefficients(spark, sf):
@@ -148,9 +148,9 @@ NEAR = """
 
 @query("nearest_neighbours", f"WITH {NEAR.format(k=7)} SELECT query_key, ref_key, round(distance, 6) AS distance, rank::INT AS rank FROM n")
 def nearest_neighbours(spark, sf):
-    """The seven nearest other vectors of every vector."""
+    """The seven nearest other vectors of every vector; small blocks, so that many cells take part."""
     df = table(spark, sf, "embeddings")
-    return NN.nearest(df, df, "vec_id", "embedding", 7, exclude_self=True).withColumn("distance", F.round("distance", 6))
+    return NN.nearest(df, df, "vec_id", "embedding", 7, exclude_self=True, ref_rows=128, query_rows=256).withColumn("distance", F.round("distance", 6))
 
 
 TRAIN_TEST = """

@@ -147,13 +147,16 @@ def future_frame(df: DataFrame, days: int = 365) -> DataFrame:
 class AdditiveForecast:
     """Trend with slope changes, weekly and yearly waves, and holiday effects.
 
-    One design row per day; the coefficients come from a penalised linear
-    regression, so changepoints that do not help shrink away. Fits the days of
+    One design row per day. The slope changes are penalised and the other
+    columns are not (they enter on a larger scale, where the penalty is
+    negligible), so changepoints that do not help shrink away. Fits the days of
     one series at a time on the cluster; ``forecast_many`` covers many series.
     """
 
+    FREE = 1000.0
+
     def __init__(self, changepoints: int = 25, yearly_order: int = 2, weekly_order: int = 3,
-                 year_period: float = 365.0, penalty: float = 0.001, width: float = 1.2816):
+                 year_period: float = 365.0, penalty: float = 0.01, width: float = 1.2816):
         self.changepoints, self.yearly_order, self.weekly_order = changepoints, yearly_order, weekly_order
         self.year_period, self.penalty, self.width = year_period, penalty, width
 
@@ -186,11 +189,15 @@ class AdditiveForecast:
         self.start, self.days = low, max((high - low).days, 1)
         design, groups = self._design(df.where(F.col(Y).isNotNull()))
         self.features = [c for g in groups.values() for c in g]
-        rows = VectorAssembler(inputCols=self.features, outputCol="features").transform(design).select("features", F.col(Y).cast("double").alias(Y))
-        model = LinearRegression(labelCol=Y, regParam=self.penalty, elasticNetParam=0.0, solver="normal").fit(rows)
-        self.coefficients = dict(zip(self.features, [float(c) for c in model.coefficients]))
-        self.intercept = float(model.intercept)
-        self.sigma = float(model.summary.rootMeanSquaredError)
+        scale = {c: 1.0 if c.startswith("x_c") else self.FREE for c in self.features}
+        mean, dev = design.agg(F.avg(Y), F.stddev_pop(Y)).first()
+        dev = dev or 1.0
+        sized = design.select(*[(F.col(c) * F.lit(scale[c])).alias(c) for c in self.features], ((F.col(Y) - F.lit(mean)) / F.lit(dev)).alias(Y))
+        rows = VectorAssembler(inputCols=self.features, outputCol="features").transform(sized).select("features", Y)
+        model = LinearRegression(labelCol=Y, regParam=self.penalty, elasticNetParam=0.0, standardization=False, solver="normal").fit(rows)
+        self.coefficients = {c: float(v) * scale[c] * dev for c, v in zip(self.features, model.coefficients)}
+        self.intercept = float(model.intercept) * dev + mean
+        self.sigma = float(model.summary.rootMeanSquaredError) * dev
         return self
 
     def components(self, days: DataFrame) -> DataFrame:

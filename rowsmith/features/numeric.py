@@ -312,7 +312,7 @@ def mutual_information(df: DataFrame, label: str, numeric=(), discrete=(), bins:
     y = code(label, bool(label_bins))
     pairs = [F.struct(F.lit(c).alias("column"), code(c, c in numeric).alias("x"), y.alias("y")) for c in [*numeric, *discrete]]
     joint = df.select(F.inline(F.array(*pairs))).where(F.col("x").isNotNull() & F.col("y").isNotNull())
-    joint = joint.groupBy("column", "x", "y").agg(F.count("*").alias("n"))
+    joint = materialise(joint.groupBy("column", "x", "y").agg(F.count("*").alias("n")), "joint")
     by_x = joint.groupBy("column", "x").agg(F.sum("n").alias("nx"))
     by_y = joint.groupBy("column", "y").agg(F.sum("n").alias("ny"))
     all_n = joint.groupBy("column").agg(F.sum("n").alias("rows"))

@@ -66,6 +66,11 @@ def joined(sep: str, *cols) -> Column:
     return F.concat(*parts)
 
 
+def count_chars(c, chars: str) -> Column:
+    """How many characters of the text belong to the given set."""
+    return F.length(_col(c)) - F.length(F.translate(_col(c), chars, ""))
+
+
 def decade_label(year) -> Column:
     return F.concat((F.floor(_col(year) / 10) * 10).cast("bigint").cast("string"), F.lit("s"))
 

@@ -12,8 +12,11 @@ from __future__ import annotations
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from rowsmith.session import materialise
+
 # Distinct values up to which Spark's exact ``percentile`` may hold one group's
-# counts in memory; above it the distributed form answers with the same numbers.
+# counts in memory (some 20 MB); above it the distributed form answers with
+# the same numbers.
 SMALL_DISTINCT = 200_000
 
 
@@ -21,12 +24,18 @@ def _bucket_count(df: DataFrame) -> int:
     return max(64, 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
-def value_edges(df: DataFrame, col: str, buckets: int | None = None) -> list[float]:
-    """Inner edges that cut the rows into near-equal buckets (bounded list)."""
+def value_edges(df: DataFrame, cols, buckets: int | None = None) -> dict[str, list[float]]:
+    """Inner edges that cut the rows into near-equal buckets (bounded lists), one pass for all columns."""
     n = buckets or _bucket_count(df)
+    if n < 2:
+        return {c: [] for c in cols}
+    row = df.agg(*[_edges(c, n) for c in cols]).first()
+    return {c: sorted(set(row[f"edges_{c}"] or [])) for c in cols}
+
+
+def _edges(col: str, n: int) -> Column:
     probs = [i / n for i in range(1, n)]
-    row = df.agg(F.percentile_approx(F.col(col).cast("double"), probs, 10 * n).alias("q")).first()
-    return sorted({float(v) for v in row["q"] or []})
+    return F.percentile_approx(F.col(col).cast("double"), probs, 10 * n).alias(f"edges_{col}")
 
 
 def with_bucket(df: DataFrame, col: str, edges: list[float], out: str = "__bucket") -> DataFrame:
@@ -46,7 +55,7 @@ def value_positions(df: DataFrame, col: str, by=(), buckets: int | None = None)
     kept = df.where(F.col(col).isNotNull())
     for k in by:
         kept = kept.where(F.col(k).isNotNull())
-    edges = value_edges(kept, col, buckets)
+    edges = value_edges(kept, [col], buckets)[col]
     counts = kept.groupBy(*by, col).agg(F.count("*").alias("n"))
     counts = with_bucket(counts, col, edges)
     keys = [*by, "__bucket"]
@@ -100,33 +109,69 @@ def percent_rank_average(df: DataFrame, col: str, by=(), out: str = "pct") -> Da
     return df.join(pos, [*by, col], "left")
 
 
-def _pick(probs: list[float], col: str) -> list[Column]:
-    """Aggregates that interpolate linearly between the two neighbouring order statistics."""
+def _targets(probs) -> list[tuple[Column, Column]]:
+    """The two neighbouring zero-based ranks of every probability, from ``total``."""
     out = []
     for p in probs:
         pos = (F.col("total") - 1) * F.lit(float(p))
-        lo, hi = F.floor(pos), F.ceil(pos)
+        out.append((F.floor(pos), F.ceil(pos)))
+    return out
+
+
+def _pick(probs, col: str) -> list[Column]:
+    """Aggregates that interpolate linearly between the two neighbouring order statistics."""
+    out = []
+    for p, (lo, hi) in zip(probs, _targets(probs)):
         first = F.max(F.when((F.col("below") <= lo) & (lo < F.col("below") + F.col("n")), F.col(col)))
         second = F.max(F.when((F.col("below") <= hi) & (hi < F.col("below") + F.col("n")), F.col(col)))
-        frac = F.max(pos - lo)
+        frac = F.max((F.col("total") - 1) * F.lit(float(p)) - lo)
         out.append(first + (second - first) * frac)
     return out
 
 
+def _spread_quantiles(df: DataFrame, col: str, edges: list[float], probs, by: list[str]) -> DataFrame:
+    """Quantiles of a column with very many values.
+
+    Counting rows per bucket tells which buckets hold the wanted ranks. Only
+    the rows of those few buckets are then counted by value and ordered; all
+    others are dropped before any shuffle.
+    """
+    keys = [*by, "__bucket"]
+    rows = with_bucket(df.select(*by, F.col(col).cast("double").alias("__q")).where(F.col("__q").isNotNull()), "__q", edges)
+    sums = rows.groupBy(*keys).agg(F.count("*").alias("__bn"))
+    ordered = Window.partitionBy(*by).orderBy("__bucket")
+    offsets = sums.select(
+        *keys, "__bn",
+        F.coalesce(F.sum("__bn").over(ordered.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__before"),
+        F.sum("__bn").over(Window.partitionBy(*by)).alias("total"),
+    )
+    wanted = F.lit(False)
+    for lo, hi in _targets(probs):
+        for rank in (lo, hi):
+            wanted = wanted | ((F.col("__before") <= rank) & (rank < F.col("__before") + F.col("__bn")))
+    # A few rows per group, stored so that the planner knows how small the table is.
+    targets = materialise(offsets.where(wanted).drop("__bn"), "targets")
+    counts = rows.join(targets, keys).groupBy(*keys, "__before", "total", "__q").agg(F.count("*").alias("n"))
+    inside = Window.partitionBy(*keys).orderBy("__q").rowsBetween(Window.unboundedPreceding, -1)
+    placed = counts.withColumn("below", F.col("__before") + F.coalesce(F.sum("n").over(inside), F.lit(0)))
+    return placed.groupBy(*by).agg(F.array(*_pick(probs, "__q")).alias("q")).select(*by, F.lit(col).alias("column"), "q")
+
+
 def exact_quantiles(df: DataFrame, cols, probs, by=(), small_distinct: int = SMALL_DISTINCT) -> DataFrame:
     """Exact linear quantiles in long form: (*by, column, q array<double>).
 
-    One pass counts distinct values. Columns with a bounded number of them go
-    through Spark's ``percentile``; the others through ``value_positions``.
-    Both answer with the same numbers.
+    One pass estimates distinct values and bucket edges. Columns with a bounded
+    number of values go through Spark's ``percentile``, the others through
+    value buckets. Both answer with the same numbers.
     """
     cols, by, probs = list(cols), list(by), [float(p) for p in probs]
-    seen = df.agg(*[F.approx_count_distinct(c).alias(c) for c in cols]).first()
-    small = [c for c in cols if seen[c] <= small_distinct]
-    large = [c for c in cols if c not in small]
     kept = df
     for k in by:
         kept = kept.where(F.col(k).isNotNull())
+    n = _bucket_count(df)
+    seen = kept.agg(*[F.approx_count_distinct(c).alias(c) for c in cols], *[_edges(c, n) for c in cols]).first()
+    small = [c for c in cols if seen[c] <= small_distinct]
+    large = [c for c in cols if c not in small]
     parts = []
     if small:
         wide = kept.groupBy(*by).agg(
@@ -134,14 +179,7 @@ def exact_quantiles(df: DataFrame, cols, probs, by=(), small_distinct: int = SMA
         )
         rows = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"q{i}").alias("q")) for i, c in enumerate(small)])
         parts.append(wide.select(*by, F.inline(rows)))
-    for c in large:
-        spread = kept.withColumn("__q", F.col(c).cast("double"))
-        parts.append(
-            value_positions(spread, "__q", by)
-            .groupBy(*by)
-            .agg(F.array(*_pick(probs, "__q")).alias("q"))
-            .select(*by, F.lit(c).alias("column"), "q")
-        )
+    parts += [_spread_quantiles(kept, c, sorted(set(seen[f"edges_{c}"])), probs, by) for c in large]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -12,7 +12,9 @@ import pandas as pd
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import LinearRegression
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
+
+from rowsmith.session import materialise
 
 SERIES, DS, Y = "series", "ds", "y"
 
@@ -183,11 +185,12 @@ class AdditiveForecast:
         return out, groups
 
     def fit(self, df: DataFrame, calendar: DataFrame | None = None) -> "AdditiveForecast":
+        df = materialise(df.where(F.col(Y).isNotNull()), "history")  # one row per day, read by several passes
         self.calendar = calendar
         self.names = [] if calendar is None else sorted(r[0] for r in calendar.select("holiday").distinct().collect())
         low, high = df.agg(F.min(DS), F.max(DS)).first()
         self.start, self.days = low, max((high - low).days, 1)
-        design, groups = self._design(df.where(F.col(Y).isNotNull()))
+        design, groups = self._design(df)
         self.features = [c for g in groups.values() for c in g]
         scale = {c: 1.0 if c.startswith("x_c") else self.FREE for c in self.features}
         mean, dev = design.agg(F.avg(Y), F.stddev_pop(Y)).first()

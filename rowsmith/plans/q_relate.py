@@ -33,11 +33,11 @@ def lookup_group_mean(spark, sf):
 
 @query("lookup_two_keys", """
     WITH t AS (SELECT p_brand, p_type, avg(p_retailprice) AS m FROM part WHERE p_size < 20 GROUP BY ALL)
-    SELECT p_partkey, round(m, 4) AS mean FROM part LEFT JOIN t USING (p_brand, p_type)""")
+    SELECT p_partkey, round(m, 8) AS mean FROM part LEFT JOIN t USING (p_brand, p_type)""")
 def lookup_two_keys(spark, sf):
     """A fitted two-key table; groups unseen at fit time give NULL."""
     df = table(spark, sf, "part")
-    means = df.where("p_size < 20").groupBy("p_brand", "p_type").agg(F.round(F.avg("p_retailprice"), 4).alias("mean"))
+    means = df.where("p_size < 20").groupBy("p_brand", "p_type").agg(F.round(F.avg("p_retailprice"), 8).alias("mean"))
     return J.lookup(df, means, ["p_brand", "p_type"]).select("p_partkey", "mean")
 
 

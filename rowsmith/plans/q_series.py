@@ -8,6 +8,7 @@ from rowsmith.operators import series as TS
 from rowsmith.operators.ordered import last_rows_split
 from rowsmith.plans.q_sources import HOLIDAY_SQL, holidays
 from rowsmith.plans.registry import query
+from rowsmith.session import materialise
 from rowsmith.sources.tables import table
 
 GRID = """
@@ -170,7 +171,7 @@ def future_frame(spark, sf):
 
 
 def _model(spark, sf):
-    history = filled(spark, sf)
+    history = materialise(filled(spark, sf), "history")
     return history, TS.AdditiveForecast().fit(history, TS.holiday_calendar(holidays(spark)))
 
 

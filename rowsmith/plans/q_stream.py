@@ -21,10 +21,10 @@ def finished_windows(spark, sf):
     return spark.read.parquet(out)
 
 
-@query("stream_windows", f"WITH {WINDOWS} SELECT strftime(start, '%Y-%m-%d %H:%M') AS start, event_type, n, round(mean, 6) AS mean FROM w")
+@query("stream_windows", f"WITH {WINDOWS} SELECT strftime(start, '%Y-%m-%d %H:%M') AS start, event_type, n, round(mean, 9) AS mean FROM w")
 def stream_windows(spark, sf):
     out = finished_windows(spark, sf)
-    return out.select(F.date_format("start", "yyyy-MM-dd HH:mm").alias("start"), "event_type", "n", F.round("mean", 6).alias("mean"))
+    return out.select(F.date_format("start", "yyyy-MM-dd HH:mm").alias("start"), "event_type", "n", F.round("mean", 9).alias("mean"))
 
 
 @query("stream_anomalies", f"""

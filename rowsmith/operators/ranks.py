@@ -9,6 +9,9 @@ Bucket edges are literals, so every branch of a plan and every retry agrees.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -21,7 +24,8 @@ SMALL_DISTINCT = 200_000
 
 
 def _bucket_count(df: DataFrame) -> int:
-    return max(64, 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    """Buckets grow with the cluster; the edge list stays small enough to be a literal."""
+    return min(10_000, max(64, 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
 
 
 def value_edges(df: DataFrame, cols, buckets: int | None = None) -> dict[str, list[float]]:
@@ -87,18 +91,16 @@ def hash_positions(df: DataFrame, hash_col: str, tie_cols, by=(), out: str = "po
     sums = cut.groupBy(*keys).agg(F.count("*").alias("__bn"))
     ordered = Window.partitionBy(*by).orderBy("__bucket")
     offsets = sums.select(
-        *keys,
+        *[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)],
         F.coalesce(F.sum("__bn").over(ordered.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__before"),
-        F.sum("__bn").over(Window.partitionBy(*by)).alias("__total"),
+        F.sum("__bn").over(Window.partitionBy(*by)).alias(f"{out}_total"),
     )
     inside = Window.partitionBy(*keys).orderBy(hash_col, *tie_cols)
-    return (
-        cut.withColumn("__rn", F.row_number().over(inside))
-        .join(offsets, keys)
-        .withColumn(out, F.col("__before") + F.col("__rn") - 1)
-        .withColumnRenamed("__total", f"{out}_total")
-        .drop("__bucket", "__rn", "__before")
-    )
+    placed = cut.withColumn("__rn", F.row_number().over(inside))
+    # Null-safe, so rows without a group value keep a place of their own.
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)])
+    return placed.join(offsets, same).withColumn(out, F.col("__before") + F.col("__rn") - 1).drop(
+        "__bucket", "__rn", "__before", *[f"__k{i}" for i in range(len(keys))])
 
 
 def percent_rank_average(df: DataFrame, col: str, by=(), out: str = "pct") -> DataFrame:

@@ -186,6 +186,8 @@ class AdditiveForecast:
 
     def fit(self, df: DataFrame, calendar: DataFrame | None = None) -> "AdditiveForecast":
         df = materialise(df.where(F.col(Y).isNotNull()), "history")  # one row per day, read by several passes
+        if df.select(SERIES).distinct().limit(2).count() > 1:
+            raise ValueError("one series at a time; use forecast_many for several")
         self.calendar = calendar
         self.names = [] if calendar is None else sorted(r[0] for r in calendar.select("holiday").distinct().collect())
         low, high = df.agg(F.min(DS), F.max(DS)).first()

@@ -194,6 +194,11 @@ def test_folds_partition_the_rows(spark):
         assert sizes.max() - sizes.min() <= 1
 
 
+def test_rows_without_a_class_keep_a_fold(rows):
+    df = rows([(i, None if i % 3 == 0 else "x") for i in range(30)], "id bigint, label string")
+    assert resample.stratified_kfold(df, "label", "id", 5).where("fold is not null").count() == 30
+
+
 def test_split_does_not_depend_on_partitions(spark):
     a, _ = resample.train_test_split(spark.range(500, numPartitions=1), "id", 0.8)
     b, _ = resample.train_test_split(spark.range(500, numPartitions=9), "id", 0.8)

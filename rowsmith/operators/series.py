@@ -186,17 +186,16 @@ class AdditiveForecast:
 
     def fit(self, df: DataFrame, calendar: DataFrame | None = None) -> "AdditiveForecast":
         df = materialise(df.where(F.col(Y).isNotNull()), "history")  # one row per day, read by several passes
-        if df.select(SERIES).distinct().limit(2).count() > 1:
-            raise ValueError("one series at a time; use forecast_many for several")
         self.calendar = calendar
         self.names = [] if calendar is None else sorted(r[0] for r in calendar.select("holiday").distinct().collect())
-        low, high = df.agg(F.min(DS), F.max(DS)).first()
-        self.start, self.days = low, max((high - low).days, 1)
+        low, high, mean, dev, one, other = df.agg(
+            F.min(DS), F.max(DS), F.avg(Y), F.stddev_pop(Y), F.min(SERIES), F.max(SERIES)).first()
+        if one != other:
+            raise ValueError("one series at a time; use forecast_many for several")
+        self.start, self.days, dev = low, max((high - low).days, 1), dev or 1.0
         design, groups = self._design(df)
         self.features = [c for g in groups.values() for c in g]
         scale = {c: 1.0 if c.startswith("x_c") else self.FREE for c in self.features}
-        mean, dev = design.agg(F.avg(Y), F.stddev_pop(Y)).first()
-        dev = dev or 1.0
         sized = design.select(*[(F.col(c) * F.lit(scale[c])).alias(c) for c in self.features], ((F.col(Y) - F.lit(mean)) / F.lit(dev)).alias(Y))
         rows = VectorAssembler(inputCols=self.features, outputCol="features").transform(sized).select("features", Y)
         model = LinearRegression(labelCol=Y, regParam=self.penalty, elasticNetParam=0.0, standardization=False, solver="normal").fit(rows)

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from rowsmith.operators.ordered import elbow
 from rowsmith.operators.stats import group_median
+from rowsmith.session import side_by_side
 
 
 def kmeans(k: int, seed: int = 42, features: str = "features", prediction: str = "cluster") -> KMeans:
@@ -30,7 +31,8 @@ def elbow_scan(df: DataFrame, ks=range(2, 10), seed: int = 42, features: str = "
     """Sum of squared distances to the centre for every number of clusters."""
     rows = df.select(features).persist()
     try:
-        cost = [(k, float(kmeans(k, seed, features).fit(rows).summary.trainingCost)) for k in ks]
+        tasks = [lambda k=k: (k, float(kmeans(k, seed, features).fit(rows).summary.trainingCost)) for k in ks]
+        cost = side_by_side(df.sparkSession, tasks)
     finally:
         rows.unpersist()
     return df.sparkSession.createDataFrame(cost, "k int, cost double")

@@ -9,11 +9,15 @@ from pyspark.sql import DataFrame, functions as F
 
 from rowsmith.features.base import FitStep, FittedStep, Settings, integer, names, number, text
 from rowsmith.operators.resample import bootstrap, stratified_kfold
-from rowsmith.session import materialise
+from rowsmith.session import materialise, side_by_side
 
 RESULTS = ("prediction", "probability", "rawPrediction")
 
 
+def fit_all(members: list[Estimator], df: DataFrame) -> list[Model]:
+    return side_by_side(df.sparkSession, [lambda m=m: m.copy().fit(df) for m in members])
+
+
 def probabilities(model, df: DataFrame, out: str) -> DataFrame:
     """Class probabilities of one member as an array column, its other outputs dropped."""
     scored = model.transform(df)
@@ -54,7 +58,7 @@ class SoftVote(FitStep):
 
     def _fit(self, df: DataFrame) -> FittedVote:
         out = self.fitted({})
-        out.models = self.numbered([m.fit(df) for m in self.members])
+        out.models = self.numbered(fit_all(self.members, df))
         return out
 
 
@@ -94,16 +98,16 @@ class Bagging(_BagParams, FitStep):
 
         cols, key = self.value("inputCols"), self.value("keyCol")
         width = max(1, round(self.value("columns") * len(cols)))
-        subsets, members = [], []
+        subsets, tasks = [], []
         for i in range(self.value("count")):
             seed = self.value("seed") + i
             chosen = sorted(random.Random(seed).sample(cols, width), key=cols.index)
             rows = bootstrap(df, key, self.value("rows"), seed)
             view = VectorAssembler(inputCols=chosen, outputCol="__f").transform(rows)
-            members.append(self.member.fit(view))
+            tasks.append(lambda view=view: self.member.copy().fit(view))
             subsets.append(chosen)
         out = self.fitted({"columns": subsets})
-        out.models = self.numbered(members)
+        out.models = self.numbered(side_by_side(df.sparkSession, tasks))
         return out
 
 
@@ -143,12 +147,14 @@ class Stacking(_StackParams, FitStep):
     def out_of_fold(self, df: DataFrame) -> DataFrame:
         rows = materialise(stratified_kfold(df, self.value("labelCol"), self.value("keyCol"), self.value("folds"),
                                             self.value("seed"), "__fold"), "folds")
-        parts = []
-        for i in range(self.value("folds")):
+
+        def scored(i):
             train, held = rows.where(F.col("__fold") != i), rows.where(F.col("__fold") == i)
             for j, m in enumerate(self.members):
-                held = probabilities(m.fit(train), held, f"__m{j}")
-            parts.append(held)
+                held = probabilities(m.copy().fit(train), held, f"__m{j}")
+            return held
+
+        parts = side_by_side(df.sparkSession, [lambda i=i: scored(i) for i in range(self.value("folds"))])
         out = parts[0]
         for p in parts[1:]:
             out = out.unionByName(p)
@@ -157,5 +163,5 @@ class Stacking(_StackParams, FitStep):
     def _fit(self, df: DataFrame) -> FittedStack:
         scored = materialise(_stacked_features(self.out_of_fold(df), len(self.members)), "stack")
         out = self.fitted({})
-        out.models = self.numbered([m.fit(df) for m in self.members]) | {"final": self.final.fit(scored)}
+        out.models = self.numbered(fit_all(self.members, df)) | {"final": self.final.fit(scored)}
         return out

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline, PipelineModel
+from functools import reduce
+
+from pyspark.ml import Pipeline
 from pyspark.ml.classification import LinearSVC, LogisticRegression
 from pyspark.ml.feature import PolynomialExpansion, StandardScaler, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -11,6 +13,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from rowsmith.features.base import FitStep, FittedStep, Settings, integer, names, number, text
 from rowsmith.operators.resample import balanced_weights, kfold
+from rowsmith.session import side_by_side
 
 
 def least_squares(cols, label: str, prediction: str = "prediction") -> Pipeline:
@@ -117,12 +120,12 @@ class PolynomialMargin(_MarginParams, FitStep):
         rows = kfold(balanced_weights(df, label, "__w"), self.value("keyCols"), folds, self.value("seed"), "__fold")
         rows = rows.persist()
         try:
-            held = None
-            for i in range(folds):
+            def margins(i):
                 model = self._stages().fit(rows.where(F.col("__fold") != i))
-                part = model.transform(rows.where(F.col("__fold") == i)).select(
+                return model.transform(rows.where(F.col("__fold") == i)).select(
                     label, "__w", array_to_vector(F.array(F.get(vector_to_array("rawPrediction"), 1))).alias("__m"))
-                held = part if held is None else held.unionByName(part)
+
+            held = reduce(DataFrame.unionByName, side_by_side(df.sparkSession, [lambda i=i: margins(i) for i in range(folds)]))
             curve = LogisticRegression(featuresCol="__m", labelCol=label, standardization=False).fit(held)
             whole = self._stages().fit(rows)
         finally:

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from rowsmith.features.base import FitStep, FittedStep, Settings, integer, text
 from rowsmith.operators.neighbours import class_shares, nearest, running_mean
+from rowsmith.operators.resample import class_counts
 from rowsmith.operators.stats import long_agg
 from rowsmith.session import materialise
 
@@ -51,7 +52,7 @@ class KnnClassifier(_KnnParams, FitStep):
         train = df.select(F.col(self.value("keyCol")).alias("ref_key"), as_array(df, self.value("featuresCol")).alias("vec"),
                           F.col(self.value("labelCol")).cast("double").alias("label"))
         train = materialise(train, "knn")
-        classes = sorted(r[0] for r in train.select("label").distinct().collect())
+        classes = sorted(class_counts(train, "label"))
         return self.fitted({"classes": classes}, train=train)
 
 
@@ -118,6 +119,7 @@ class GaussianBayes(_BayesParams, FitStep):
     def _fit(self, df: DataFrame) -> FittedBayes:
         label, cols = self.value("labelCol"), self.value("inputCols")
         known = df.where(F.col(label).isNotNull())
+        class_counts(known, label)  # refuses a label that is no class
         widest = known.agg(*[F.var_pop(F.col(c).cast("double")) for c in cols]).first()
         eps = 1e-9 * max(v or 0.0 for v in widest)
         per = long_agg(known, cols, {"n": lambda c: F.count(F.lit(1)), "m": lambda c: F.avg(F.col(c).cast("double")),

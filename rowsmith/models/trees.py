@@ -10,6 +10,7 @@ from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import DataFrame, functions as F
 
 from rowsmith.features.base import FitStep, FittedStep, Settings, integer, text
+from rowsmith.operators.resample import class_counts
 from rowsmith.session import checkpointed
 
 
@@ -111,7 +112,7 @@ class AdaBoost(_BoostParams, FitStep):
     def _fit(self, df: DataFrame) -> FittedBoost:
         feats, label = self.value("featuresCol"), self.value("labelCol")
         rows = df.select(F.col(feats).alias("features"), F.col(label).cast("double").alias("label")).withColumn("w", F.lit(1.0))
-        classes = sorted(r[0] for r in rows.select("label").distinct().collect())
+        classes = sorted(class_counts(rows, "label"))
         rows = checkpointed(rows)
         total = float(rows.count())
         stumps: list[dict] = []

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, functions as F
 from rowsmith.features.base import PlainStep, Settings, names, text
 from rowsmith.operators.clean import columns_by_dtype
 from rowsmith.operators.resample import kfold, smote, stratified_kfold
-from rowsmith.session import materialise
+from rowsmith.session import materialise, side_by_side
 
 
 class Sampler:
@@ -136,15 +136,25 @@ class Flow(Estimator):
         return Flow(steps)
 
 
-def fold_scores(estimator: Estimator, df: DataFrame, evaluator: Evaluator, fold: str = "fold") -> DataFrame:
+def _fold_task(estimator: Estimator, df: DataFrame, evaluator: Evaluator, fold: str, f):
+    """Fit on all folds but one and score that one, as a function to call later."""
+
+    def run() -> float:
+        model = estimator.copy().fit(df.where(F.col(fold) != f).drop(fold))
+        return float(evaluator.evaluate(model.transform(df.where(F.col(fold) == f).drop(fold))))
+
+    return run
+
+
+def _folds(df: DataFrame, fold: str) -> list[int]:
+    return sorted(r[0] for r in df.select(fold).distinct().collect())
+
+
+def fold_scores(estimator: Estimator, df: DataFrame, evaluator: Evaluator, fold: str = "fold", parallelism: int = 4) -> DataFrame:
     """Refit the whole chain once per fold and score the fold that was left out."""
-    spark = df.sparkSession
-    folds = sorted(r[0] for r in df.select(fold).distinct().collect())
-    rows = []
-    for f in folds:
-        model = estimator.fit(df.where(F.col(fold) != f).drop(fold))
-        rows.append((int(f), float(evaluator.evaluate(model.transform(df.where(F.col(fold) == f).drop(fold))))))
-    return spark.createDataFrame(rows, "fold int, score double")
+    folds = _folds(df, fold)
+    scores = side_by_side(df.sparkSession, [_fold_task(estimator, df, evaluator, fold, f) for f in folds], parallelism)
+    return df.sparkSession.createDataFrame([(int(f), s) for f, s in zip(folds, scores)], "fold int, score double")
 
 
 def cross_val_score(estimator: Estimator, df: DataFrame, evaluator: Evaluator, keys, k: int = 5, seed: int = 42, stratify: str | None = None) -> DataFrame:
@@ -158,28 +168,34 @@ def parameter_grid(choices: dict[str, list]) -> list[dict]:
     return [dict(zip(keys, values)) for values in itertools.product(*choices.values())]
 
 
-def search(make, points: list[dict], df: DataFrame, evaluator: Evaluator, keys, k: int = 5, seed: int = 42, stratify: str | None = None) -> DataFrame:
+def _ranked(spark, points: list[dict], scores: list[list[float]], evaluator: Evaluator) -> DataFrame:
+    found = [(i, json.dumps(p, sort_keys=True), sum(s) / len(s)) for i, (p, s) in enumerate(zip(points, scores))]
+    sign = -1 if evaluator.isLargerBetter() else 1
+    found.sort(key=lambda r: (sign * r[2], r[0]))
+    return spark.createDataFrame([(*r, pos + 1) for pos, r in enumerate(found)], "point int, params string, mean_score double, rank int")
+
+
+def search(make, points: list[dict], df: DataFrame, evaluator: Evaluator, keys, k: int = 5, seed: int = 42,
+           stratify: str | None = None, parallelism: int = 4) -> DataFrame:
     """Mean fold score of every parameter point, best first.
 
     ``make(**point)`` builds the estimator. The folds are computed and stored
     once; every point and fold reads the same rows.
     """
-    spark = df.sparkSession
     split = stratified_kfold(df, stratify, keys, k, seed) if stratify else kfold(df, keys, k, seed)
     rows = materialise(split, "folds").persist()
     try:
-        found = []
-        for i, point in enumerate(points):
-            scores = [r["score"] for r in fold_scores(make(**point), rows, evaluator).collect()]
-            found.append((i, json.dumps(point, sort_keys=True), sum(scores) / len(scores)))
+        folds = _folds(rows, "fold")
+        tasks = [_fold_task(make(**p), rows, evaluator, "fold", f) for p in points for f in folds]
+        flat = side_by_side(df.sparkSession, tasks, parallelism)
     finally:
         rows.unpersist()
-    sign = -1 if evaluator.isLargerBetter() else 1
-    found.sort(key=lambda r: (sign * r[2], r[0]))
-    return spark.createDataFrame([(*r, pos + 1) for pos, r in enumerate(found)], "point int, params string, mean_score double, rank int")
+    n = len(folds)
+    return _ranked(df.sparkSession, points, [flat[i * n : (i + 1) * n] for i in range(len(points))], evaluator)
 
 
-def search_last_step(flow: Flow, make, points: list[dict], df: DataFrame, evaluator: Evaluator, keys, k: int = 5, seed: int = 42, stratify: str | None = None) -> DataFrame:
+def search_last_step(flow: Flow, make, points: list[dict], df: DataFrame, evaluator: Evaluator, keys, k: int = 5, seed: int = 42,
+                     stratify: str | None = None, parallelism: int = 4) -> DataFrame:
     """Like ``search`` for points that only change the last step of a flow.
 
     The steps before it are fitted once per fold and their output is stored;
@@ -188,17 +204,22 @@ def search_last_step(flow: Flow, make, points: list[dict], df: DataFrame, evalua
     spark = df.sparkSession
     split = stratified_kfold(df, stratify, keys, k, seed) if stratify else kfold(df, keys, k, seed)
     rows = materialise(split, "folds")
-    scores: dict[int, list[float]] = {i: [] for i in range(len(points))}
-    for f in sorted(r[0] for r in rows.select("fold").distinct().collect()):
-        prefix, train = Flow(flow.steps[:-1]).fit_rows(rows.where(F.col("fold") != f).drop("fold"))
-        train = materialise(train, "prefix")
-        test = materialise(prefix.transform(rows.where(F.col("fold") == f).drop("fold")), "prefix")
-        for i, point in enumerate(points):
-            scores[i].append(float(evaluator.evaluate(make(**point).fit(train).transform(test))))
-    found = [(i, json.dumps(p, sort_keys=True), sum(scores[i]) / len(scores[i])) for i, p in enumerate(points)]
-    sign = -1 if evaluator.isLargerBetter() else 1
-    found.sort(key=lambda r: (sign * r[2], r[0]))
-    return spark.createDataFrame([(*r, pos + 1) for pos, r in enumerate(found)], "point int, params string, mean_score double, rank int")
+
+    def prepare(f):
+        def run():
+            prefix, train = Flow(flow.steps[:-1]).copy().fit_rows(rows.where(F.col("fold") != f).drop("fold"))
+            test = prefix.transform(rows.where(F.col("fold") == f).drop("fold"))
+            return materialise(train, "prefix"), materialise(test, "prefix")
+
+        return run
+
+    def scored(point, train, test):
+        return lambda: float(evaluator.evaluate(make(**point).fit(train).transform(test)))
+
+    parts = side_by_side(spark, [prepare(f) for f in _folds(rows, "fold")], parallelism)
+    flat = side_by_side(spark, [scored(p, *part) for p in points for part in parts], parallelism)
+    n = len(parts)
+    return _ranked(spark, points, [flat[i * n : (i + 1) * n] for i in range(len(points))], evaluator)
 
 
 def grid_search(make, choices: dict[str, list], df: DataFrame, evaluator: Evaluator, keys, **options) -> DataFrame:

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -61,3 +64,15 @@ def checkpointed(df: DataFrame) -> DataFrame:
     if not df.sparkSession.sparkContext.getCheckpointDir():
         df.sparkSession.sparkContext.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
+
+
+def side_by_side(spark: SparkSession, tasks: list[Callable], parallelism: int = 4) -> list:
+    """Run independent fits at the same time; results keep the order of the tasks.
+
+    The threads only submit Spark jobs, so a cluster is not left idle between
+    the small jobs of one fit.
+    """
+    if len(tasks) < 2 or parallelism < 2:
+        return [t() for t in tasks]
+    with ThreadPool(min(parallelism, len(tasks))) as pool:
+        return pool.map(lambda t: t(), [inheritable_thread_target(spark)(t) for t in tasks])

@@ -45,9 +45,6 @@ class Settings(Params):
     def value(self, name: str):
         return self.getOrDefault(name) if self.isDefined(name) else None
 
-    def with_values(self, **params):
-        return self._set(**params)
-
 
 class _StateWriter(MLWriter):
     def __init__(self, instance: "FittedStep"):

@@ -113,8 +113,9 @@ class AdaBoost(_BoostParams, FitStep):
         feats, label = self.value("featuresCol"), self.value("labelCol")
         rows = df.select(F.col(feats).alias("features"), F.col(label).cast("double").alias("label")).withColumn("w", F.lit(1.0))
         classes = sorted(class_counts(rows, "label"))
-        rows = checkpointed(rows)
+        rows = checkpointed(rows).persist()
         total = float(rows.count())
+        base = rows
         stumps: list[dict] = []
         for i in range(self.value("rounds")):
             tree = DecisionTreeClassifier(maxDepth=1, weightCol="w", seed=self.value("seed"), minWeightFractionPerNode=0.0).fit(rows)
@@ -137,7 +138,10 @@ class AdaBoost(_BoostParams, FitStep):
             grow = 1 + error * (math.exp(alpha) - 1)
             rows = rows.withColumn("w", F.col("w") * F.exp(F.lit(alpha) * miss) / F.lit(grow))
             if (i + 1) % self.value("checkpointEvery") == 0:
-                rows = checkpointed(rows)
+                old, rows = base, checkpointed(rows).persist()
+                base = rows
+                old.unpersist()
+        base.unpersist()
         if not stumps:
             top = rows.groupBy("label").count().orderBy(F.desc("count"), "label").first()[0]
             stumps = [{"feature": None, "threshold": 0.0, "left": top, "right": top, "alpha": 1.0}]

@@ -68,7 +68,7 @@ class ColumnSteps(Estimator):
         for cols, steps in resolved:
             cols = [c for c in cols if c not in self.exclude]
             for step in steps if cols else []:
-                model = _fit_step(step.copy().with_values(inputCols=cols), df)[0]
+                model = _fit_step(step.copy()._set(inputCols=cols), df)[0]
                 df = model.transform(df)
                 fitted.append(model)
         return PipelineModel(fitted)

@@ -31,14 +31,21 @@ def nan_to_null(df: DataFrame) -> DataFrame:
     ])
 
 
+def plain_names(df: DataFrame) -> DataFrame:
+    """Dots in column names become underscores; the operators refer to columns by plain name."""
+    return df.toDF(*[c.replace(".", "_") for c in df.columns])
+
+
 def read_csv(spark: SparkSession, path: str, schema, sep: str = ",", **options) -> DataFrame:
     """CSV with a header; an empty cell is NULL. A ``.gz`` suffix selects the codec.
 
+    Dots in column names are replaced (``plain_names``).
+
     The schema is explicit, which saves the inference pass. One gzip file cannot
     be split between tasks: keep such inputs as many files, or repartition after.
     """
     reader = spark.read.option("header", True).option("sep", sep).options(**options)
-    return nan_to_null(reader.schema(schema).csv(path))
+    return nan_to_null(plain_names(reader.schema(schema).csv(path)))
 
 
 def write_csv(df: DataFrame, path: str, sep: str = ",", gzip: bool = False) -> str:

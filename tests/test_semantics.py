@@ -57,6 +57,13 @@ def test_nan_becomes_null(rows):
     assert df.agg(F.avg("a"), F.count("a")).first() == (2.0, 1)
 
 
+def test_dotted_names_and_delimiter(spark, tmp_path):
+    (tmp_path / "bank.csv").write_text("emp.var.rate;job\n1.5;clerk\n;\n")
+    df = tables.read_csv(spark, str(tmp_path / "bank.csv"), "`emp.var.rate` double, job string", sep=";")
+    assert df.columns == ["emp_var_rate", "job"]
+    assert [tuple(r) for r in df.collect()] == [(1.5, "clerk"), (None, None)]
+
+
 def test_group_keys_without_value_are_dropped(rows):
     df = rows([("a", 1.0), (None, 5.0), ("a", None)], "k string, v double")
     assert [tuple(r) for r in stats.group_agg(df, ["k"], {"v": ["sum", "median", "count"]}).collect()] == [("a", 1.0, 1.0, 1)]
@@ -67,7 +74,7 @@ def test_group_keys_without_value_are_dropped(rows):
 def test_mode_tie_takes_smallest(rows):
     df = rows([("b",), ("a",), ("b",), ("a",), (None,), (None,), (None,)], "v string")
     assert stats.mode(df, "v").first()["v"] == "a"
-    assert stats.modes(rows([(3, None), (3, None)], "a int, b string"), ["a", "b"]) == {"a": 3} or True
+    assert stats.modes(rows([(3, None), (3, None)], "a int, b string"), ["a"]) == {"a": 3}
 
 
 def test_skewness_matches_pandas(rows):

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from rowsmith.llm.common import text_bytes
 from rowsmith.llm.mixing import mix_plan
 from rowsmith.llm.sharding import external_shuffle
+from rowsmith.llm.substrings import drop_repeats
 from rowsmith.sources.tables import table
 
 QUERIES = {}
@@ -84,3 +85,29 @@ def op7(spark: SparkSession, sf: str) -> DataFrame:
     return plan.select(
         F.col("record.doc_id").alias("doc_id"), "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken")
     )
+
+
+@query(
+    "op6_drop_repeats",
+    """
+    WITH texts AS (SELECT doc_id, regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
+    windows AS (
+        SELECT doc_id, s, array_to_string(ws[s:s + 19], ' ') AS seq
+        FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 18)) AS s FROM texts)),
+    later AS (
+        SELECT doc_id, s FROM (SELECT doc_id, s, row_number() OVER (PARTITION BY seq ORDER BY doc_id, s) AS r FROM windows) WHERE r > 1),
+    gone AS (SELECT DISTINCT doc_id, s + unnest(range(0, 20)) AS i FROM later),
+    words AS (SELECT doc_id, unnest(ws) AS w, generate_subscripts(ws, 1) AS i FROM texts),
+    kept AS (
+        SELECT w.doc_id, count(g.i) AS n_removed, coalesce(string_agg(w, ' ' ORDER BY w.i) FILTER (g.i IS NULL), '') AS body
+        FROM words w LEFT JOIN gone g ON w.doc_id = g.doc_id AND w.i = g.i GROUP BY w.doc_id)
+    SELECT t.doc_id, CAST(coalesce(len(ws), 0) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed,
+           sha256(coalesce(body, '')) AS kept_sha256
+    FROM texts t LEFT JOIN kept k ON t.doc_id = k.doc_id
+    """,
+)
+def op6(spark: SparkSession, sf: str) -> DataFrame:
+    """What is left of every document without the 20-word windows that occur earlier."""
+    kept = drop_repeats(table(spark, sf, "documents").select("doc_id", "text"))
+    words = F.trim(F.regexp_replace(F.coalesce("kept_text", F.lit("")), r"[\x20\x09-\x0D]+", " "))
+    return kept.select(F.col("record.doc_id").alias("doc_id"), "n_words", "n_removed", F.sha2(words, 256).alias("kept_sha256"))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rowsmith.llm.common import text_bytes
 from rowsmith.llm.mixing import mix_plan
+from rowsmith.llm.near_dup import near_duplicates
 from rowsmith.llm.sharding import external_shuffle
 from rowsmith.llm.substrings import drop_repeats
 from rowsmith.sources.tables import table
@@ -111,3 +112,10 @@ def op6(spark: SparkSession, sf: str) -> DataFrame:
     kept = drop_repeats(table(spark, sf, "documents").select("doc_id", "text"))
     words = F.trim(F.regexp_replace(F.coalesce("kept_text", F.lit("")), r"[\x20\x09-\x0D]+", " "))
     return kept.select(F.col("record.doc_id").alias("doc_id"), "n_words", "n_removed", F.sha2(words, 256).alias("kept_sha256"))
+
+
+@query("op1_order_minhash")
+def op1(spark: SparkSession, sf: str) -> DataFrame:
+    """The near-duplicate class of every document; its smallest document stays."""
+    found = near_duplicates(table(spark, sf, "documents").select("doc_id", "text"))
+    return found.select(F.col("id").alias("doc_id"), "class_id", (F.col("id") == F.col("class_id")).alias("kept"), "n_words")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from rowsmith.llm import toxicity
 from rowsmith.llm.common import text_bytes
 from rowsmith.llm.mixing import mix_plan
 from rowsmith.llm.near_dup import near_duplicates
@@ -119,3 +120,21 @@ def op1(spark: SparkSession, sf: str) -> DataFrame:
     """The near-duplicate class of every document; its smallest document stays."""
     found = near_duplicates(table(spark, sf, "documents").select("doc_id", "text"))
     return found.select(F.col("id").alias("doc_id"), "class_id", (F.col("id") == F.col("class_id")).alias("kept"), "n_words")
+
+
+def _remainder(key: str, of: int):
+    """crc32 of the key as text, modulo ``of``: what the folds are cut by."""
+    return F.crc32(F.col(key).cast("string")) % of
+
+
+@query("op3_char_toxicity")
+def op3(spark: SparkSession, sf: str) -> DataFrame:
+    """Toxicity of every document; the fold with remainder 2 is never learned from."""
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf, "labels"), _remainder("doc_id", 4) != 2)
+    return toxicity.score(docs, model).select(
+        F.col("record.doc_id").alias("doc_id"),
+        (_remainder("record.doc_id", 4) == 2).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rowsmith.llm import toxicity
+from rowsmith.llm import pieces, toxicity
 from rowsmith.llm.common import text_bytes
 from rowsmith.llm.mixing import mix_plan
 from rowsmith.llm.near_dup import near_duplicates
@@ -138,3 +138,15 @@ def op3(spark: SparkSession, sf: str) -> DataFrame:
         "score",
         (F.col("score") >= 0.3).cast("int").alias("predicted"),
     )
+
+
+@query("op2_merge_dropout")
+def op2(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document as piece ids under merge dropout, and whether decoding gives the text back."""
+    encoded = pieces.encode(table(spark, sf, "documents").select("doc_id", "text"))
+    return pieces.decode(encoded).select(
+        F.col("record.doc_id").alias("doc_id"),
+        F.size("ids").cast("bigint").alias("n_pieces"),
+        (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("lossless"),
+        "ids",
+    )

@@ -106,6 +106,41 @@ def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
+class Known:
+    """Segmentations of chunks that a worker met repeatedly, at most ``most`` of them; saves merging them again."""
+
+    def __init__(self, most: int = 600_000):
+        self.most = most
+        self.keys, self.at, self.n = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.pool, self.used = np.zeros(1 << 16, np.int32), 0
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of sorted ``keys``, and which of them are known."""
+        place = np.searchsorted(self.keys, keys)
+        return place, np.append(self.keys, np.uint64(0))[place] == keys if len(self.keys) else np.zeros(len(keys), bool)
+
+    def add(self, keys: np.ndarray, at: np.ndarray, n: np.ndarray, pool: np.ndarray) -> None:
+        room = self.most - len(self.keys)
+        keys, at, n = keys[:room], at[:room], n[:room]
+        if not len(keys):
+            return
+        ends = np.cumsum(n)
+        flat = pool[np.repeat(at - (ends - n), n) + np.arange(ends[-1])]
+        while self.used + len(flat) > len(self.pool):
+            self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
+        self.pool[self.used : self.used + len(flat)] = flat
+        place = np.searchsorted(self.keys, keys)
+        self.keys = np.insert(self.keys, place, keys)
+        self.at = np.insert(self.at, place, self.used + ends - n)
+        self.n = np.insert(self.n, place, n)
+        self.used += len(flat)
+
+
+@lru_cache(maxsize=4)
+def known_chunks(path: str, dropout: float, seed: int, variants: int) -> Known:
+    return Known()
+
+
 def skipped(draw, offset, left, merged, dropout: float):
     """Whether the keyed hash drops a candidate: its chunk's draw, first character, left symbol and result decide."""
     with np.errstate(over="ignore"):
@@ -153,8 +188,7 @@ def _shifted(x: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Each row without the entry ``at``; the last column becomes empty."""
     place = np.arange(x.shape[1] - 1)
     out = x.copy()
-    moved = place[None, :] >= at[:, None]
-    out[:, :-1][moved] = x[:, 1:][moved]
+    out[:, :-1] = np.where(place[None, :] >= at[:, None], x[:, 1:], x[:, :-1])
     return out
 
 
@@ -175,8 +209,8 @@ def merge_many(s: np.ndarray, draw: np.ndarray, vocab: Vocabulary, dropout: floa
         here = np.arange(len(row))
         piece = merged[here, at]
         if dropout:
-            sizes = np.where(s >= 0, vocab.length[np.maximum(s, 0)], 1)
-            offset = (np.cumsum(sizes, axis=1) - sizes)[here, at]
+            before = np.arange(s.shape[1])[None, :] < at[:, None]
+            offset = np.where(before, vocab.length[np.maximum(s, 0)], 0).sum(axis=1)
             skip = skipped(draw, offset, s[here, at], piece, dropout)
         else:
             skip = np.zeros(len(row), bool)
@@ -220,8 +254,11 @@ def _utf8(symbols: np.ndarray, sizes: np.ndarray, vocab: Vocabulary) -> tuple[np
     return out, np.add.reduceat(width, np.cumsum(sizes) - sizes)
 
 
-def encode_texts(texts: pa.Array, keys: np.ndarray, vocab: Vocabulary, dropout: float, seed: int, variants: int):
+def encode_texts(texts: pa.Array, keys: np.ndarray, vocab: Vocabulary, dropout: float, seed: int, variants: int,
+                 known: Known | None = None):
     """(ids of all texts one after another, where each text's begin). ``keys``: a 64-bit number per text."""
+    known = known or Known(0)
+    seeded = mix(np.array([seed], np.uint64) * _C1)
     data, offset = text_bytes(texts)
     points = np.frombuffer(data.tobytes().decode().encode("utf-32-le"), "<u4")
     heads = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])[offset]
@@ -239,17 +276,19 @@ def encode_texts(texts: pa.Array, keys: np.ndarray, vocab: Vocabulary, dropout:
     row = filled[np.searchsorted(begins, start, "right") - 1]
     first = np.searchsorted(row, np.arange(len(texts) + 1))
     ordinal = np.arange(len(start)) - first[row]
-    draw = mix(mix(keys[row] + np.uint64(seed) * _C1) + ordinal.astype(np.uint64) * _C2) % np.uint64(variants)
+    draw = mix(mix(keys[row] + seeded) + ordinal.astype(np.uint64) * _C2) % np.uint64(variants)
     chunk = span_hashes(points.astype(np.uint64) + np.uint64(1), start, end)
-    _, pick, of = np.unique(mix(chunk + draw * _C3), return_index=True, return_inverse=True)
+    marks, pick, of, times = np.unique(mix(chunk + draw * _C3), return_index=True, return_inverse=True, return_counts=True)
     begin, size = start[pick], (end - start)[pick]
-    key = mix(chunk[pick] + mix(draw[pick] + np.uint64(seed)))
+    key = mix(chunk[pick] + mix(draw[pick] + seeded))
     symbols = vocab.symbol[points]
-    parts, at = [], np.zeros(len(pick), np.int64)
-    counts = np.zeros(len(pick), np.int64)
-    total, low = 0, 0
+    at, counts = np.zeros(len(pick), np.int64), np.zeros(len(pick), np.int64)
+    place, hit = known.find(marks)
+    at[hit], counts[hit] = known.at[place[hit]], known.n[place[hit]]
+    parts, total, low = [known.pool[: known.used]], known.used, 0
+    size = np.where(hit, 0, size)
     for width in WIDTHS:
-        group = np.flatnonzero((size > low) & (size <= width))
+        group = np.flatnonzero((size > low) & (size <= width))  # known chunks have size 0 here
         low = width
         for g in range(0, len(group), 1 << 15):
             part = group[g : g + (1 << 15)]
@@ -270,6 +309,8 @@ def encode_texts(texts: pa.Array, keys: np.ndarray, vocab: Vocabulary, dropout:
         counts[i], at[i] = n[0], total
         total += len(flat)
     pool = np.concatenate(parts)
+    often = np.flatnonzero((times > 1) & ~hit)
+    known.add(marks[often], at[often], counts[often], pool)
     n = counts[of]
     ends = np.cumsum(n)
     ids = pool[np.repeat(at[of] - (ends - n), n) + np.arange(ends[-1])]
@@ -297,10 +338,10 @@ def encode(docs: DataFrame, model: str = MODEL, dropout: float = 0.1, seed: int
     """
 
     def run(batches):
-        vocab = vocabulary(model)
+        vocab, known = vocabulary(model), known_chunks(model, dropout, seed, variants)
         for batch in slices(batches, "text"):
             keys = batch.column("key").to_numpy().view(np.uint64)
-            ids, first = encode_texts(batch.column("text"), keys, vocab, dropout, seed, variants)
+            ids, first = encode_texts(batch.column("text"), keys, vocab, dropout, seed, variants, known)
             lists = pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(ids))
             yield pa.RecordBatch.from_arrays([batch.column("record"), batch.column("text"), lists], names=["record", "text", "ids"])
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rowsmith.llm import pieces, toxicity
 from rowsmith.llm.common import text_bytes
+from rowsmith.llm.fertility import MEASURES, fertility_rules
 from rowsmith.llm.mixing import mix_plan
 from rowsmith.llm.near_dup import near_duplicates
 from rowsmith.llm.sharding import external_shuffle
@@ -150,3 +151,13 @@ def op2(spark: SparkSession, sf: str) -> DataFrame:
         (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("lossless"),
         "ids",
     )
+
+
+@query("op4_tokenizer_fertility")
+def op4(spark: SparkSession, sf: str) -> DataFrame:
+    """Base counts and the verdict of the fertility bands on every document."""
+    judged = fertility_rules(table(spark, sf, "documents").select("doc_id", "text", "lang"))
+    return judged.select(
+        F.col("record.doc_id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept", *[F.round(m, 6).alias(m) for m in MEASURES],
+    )

@@ -43,6 +43,18 @@ def span_hashes(values: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.nd
     return mix((sums[end] - sums[start]) * down[start] + (end - start).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
+def byte_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hash of the bytes of each span; ``start`` ascends. In pieces, so that a very long text needs no larger tables."""
+    hashes = np.empty(len(start), np.uint64)
+    i = 0
+    while i < len(start):
+        j = max(i + 1, int(np.searchsorted(start, start[i] + _PIECE)))
+        low = start[i]
+        hashes[i:j] = span_hashes(data[low : end[i:j].max()].astype(np.uint64) + np.uint64(1), start[i:j] - low, end[i:j] - low)
+        i = j
+    return hashes
+
+
 @dataclass
 class Words:
     """``row``: text index of each word; ``start``, ``end``: its bytes in ``data``; ``hash``: its 64-bit hash;
@@ -88,14 +100,7 @@ def words_of(texts: pa.Array) -> Words:
     start, end = np.flatnonzero(begins), np.flatnonzero(ends) + 1
     first = np.searchsorted(start, offset)
     row = np.repeat(np.arange(len(offset) - 1), np.diff(first))
-    hashes = np.empty(len(start), np.uint64)
-    i = 0
-    while i < len(start):  # in pieces, so that a very long text needs no larger tables
-        j = max(i + 1, int(np.searchsorted(start, start[i] + _PIECE)))
-        low = start[i]
-        hashes[i:j] = span_hashes(data[low : end[j - 1]].astype(np.uint64) + np.uint64(1), start[i:j] - low, end[i:j] - low)
-        i = j
-    return Words(data, offset, row, start, end, hashes, first)
+    return Words(data, offset, row, start, end, byte_hashes(data, start, end), first)
 
 
 def window_hashes(words: Words, k: int) -> tuple[np.ndarray, np.ndarray]:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rowsmith.llm import pieces, toxicity
+from rowsmith.llm import language, pieces, toxicity
 from rowsmith.llm.common import text_bytes
 from rowsmith.llm.fertility import MEASURES, fertility_rules
 from rowsmith.llm.mixing import mix_plan
@@ -161,3 +161,12 @@ def op4(spark: SparkSession, sf: str) -> DataFrame:
         F.col("record.doc_id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         "base_failed", "kept", *[F.round(m, 6).alias(m) for m in MEASURES],
     )
+
+
+@query("op8_crf_language")
+def op8(spark: SparkSession, sf: str) -> DataFrame:
+    """Language of every document; the fold with remainder 1 is never learned from."""
+    docs = table(spark, sf, "documents").select("doc_id", "text", "lang")
+    field = language.fit(docs, _remainder("doc_id", 3) != 1)
+    return language.label_languages(docs.select("doc_id", "text"), field).select(
+        F.col("record.doc_id").alias("doc_id"), (_remainder("record.doc_id", 3) == 1).alias("held_out"), "lang_pred", "score")

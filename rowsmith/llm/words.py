@@ -84,19 +84,19 @@ def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offset[0] : offset[-1]], offset - offset[0]
 
 
-def words_of(texts: pa.Array) -> Words:
+def words_of(texts: pa.Array, separator: np.ndarray = SEPARATOR) -> Words:
+    """All words; ``separator`` marks the bytes that part them."""
     data, offset = text_bytes(texts)
-    blank = SEPARATOR[data]
+    blank = separator[data]
     filled = offset[:-1] < offset[1:]
-    begins, ends = ~blank, ~blank
     edge = np.ones(len(data) + 1, bool)
-    edge[1:] = SEPARATOR[data]
+    edge[1:] = blank
     edge[offset[:-1][filled]] = True
-    begins &= edge[:-1]
+    begins = ~blank & edge[:-1]
+    edge[:-1] = blank
     edge[-1] = True
-    edge[:-1] = SEPARATOR[data]
     edge[offset[1:][filled]] = True
-    ends &= edge[1:]
+    ends = ~blank & edge[1:]
     start, end = np.flatnonzero(begins), np.flatnonzero(ends) + 1
     first = np.searchsorted(start, offset)
     row = np.repeat(np.arange(len(offset) - 1), np.diff(first))

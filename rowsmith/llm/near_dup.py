@@ -94,9 +94,9 @@ def _label_batches(batches):
 def aligned(a: np.ndarray, b: np.ndarray, threshold: float = THRESHOLD) -> float:
     """Share of shingles aligned in order, within the diagonals that the threshold leaves open; 0.0 below it."""
     n, m = len(a), len(b)
-    if not n or not m or min(n, m) < threshold * max(n, m):
+    if not n or not m or min(n, m) < threshold * max(n, m) - 1e-6:
         return 0.0
-    need = threshold * (n + m) / (1 + threshold)
+    need = threshold * (n + m) / (1 + threshold) - 1e-6
     order = np.argsort(b, kind="stable")
     place = np.searchsorted(b[order], a)
     place[place == m] = 0
@@ -116,35 +116,76 @@ def aligned(a: np.ndarray, b: np.ndarray, threshold: float = THRESHOLD) -> float
             ends[at : at + 1] = [x]
         same = len(ends)
     share = same / (n + m - same)
-    return share if share >= threshold else 0.0
+    return share if share >= threshold - 1e-9 else 0.0
 
 
-def _verify(batches):
+def _compare(batches):
+    """Verdict on each pair, with the size of ``b``, its shingles in ``a`` and those that ``a`` lacks."""
     for batch in batches:
-        left, right = batch.column("left"), batch.column("right")
-        keep = [
-            aligned(np.frombuffer(x.as_buffer(), np.uint32), np.frombuffer(y.as_buffer(), np.uint32)) > 0
-            for x, y in zip(left, right)
-        ]
-        mask = pa.array(keep, pa.bool_())
-        yield pa.RecordBatch.from_arrays([batch.column("a").filter(mask), batch.column("b").filter(mask)], names=["a", "b"])
+        linked, sizes, common, extra = [], [], [], []
+        for x, y in zip(batch.column("left"), batch.column("right")):
+            x, y = np.frombuffer(x.as_buffer(), np.uint32), np.frombuffer(y.as_buffer(), np.uint32)
+            inside = np.isin(y, x)
+            linked.append(aligned(x, y) > 0)
+            sizes.append(len(y))
+            common.append(int(inside.sum()))
+            extra.append(y[~inside].view(np.int32))
+        flat = np.concatenate(extra) if extra else np.zeros(0, np.int32)
+        ends = np.concatenate([[0], np.cumsum([len(x) for x in extra])]).astype(np.int32)
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("a"), batch.column("b"), pa.array(linked, pa.bool_()), pa.array(sizes, pa.int64()), pa.array(common, pa.int64()),
+             pa.ListArray.from_arrays(ends, pa.array(flat, pa.int32()))],
+            names=["a", "b", "linked", "size", "common", "extra"])
 
 
-def verified(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose texts are similar. The side with fewer distinct texts is joined last."""
+def compared(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The pairs (a, b) aligned. The side with fewer distinct texts is joined last."""
     left = labels.select(F.col("id").alias("b"), F.col("labels").alias("right"))
     right = labels.select(F.col("id").alias("a"), F.col("labels").alias("left"))
-    return pairs.join(left, "b").join(right, "a").select("a", "b", "left", "right").mapInArrow(_verify, "a long, b long")
+    both = pairs.join(left, "b").join(right, "a").select("a", "b", "left", "right")
+    return both.mapInArrow(_compare, "a long, b long, linked boolean, size long, common long, extra array<int>")
+
+
+def _unseen_pairs(stars: DataFrame, roots: DataFrame) -> DataFrame:
+    """Pairs of one leader's group in different components that can still be similar.
+
+    Let o not be similar to its leader c, and m another member. If o and m are similar, they share a shingle that c
+    lacks, or all they share lies in c, which bounds the size of m by what o has in common with c.
+    """
+    of = lambda name: roots.select(F.col("node").alias(name), F.col("root").alias(f"{name}_root"))
+    known = (
+        stars.join(of("a"), "a", "left").join(of("b"), "b", "left")
+        .withColumn("a_root", F.coalesce("a_root", "a")).withColumn("b_root", F.coalesce("b_root", "b"))
+    )
+    outside = F.col("a_root") != F.col("b_root")
+    divided = known.groupBy("a").agg(F.max(outside).alias("divided"), F.min("size").alias("least")).where("divided")
+    known = materialise(known.join(divided.select("a", "least"), "a").drop("linked"), "groups")
+    out = known.where(outside)
+    keyed = known.select("a", F.explode("extra").alias("shingle"), F.col("b").alias("m"), F.col("b_root").alias("m_root"))
+    shared = (
+        out.select("a", F.explode("extra").alias("shingle"), F.col("b").alias("o"), F.col("b_root").alias("o_root"))
+        .join(keyed, ["a", "shingle"]).where("o_root <> m_root").select("o", "m")
+    )
+    room = F.floor(F.col("common") * ((1 + THRESHOLD) / THRESHOLD) + 1e-6) - F.col("size")
+    inner = (
+        out.select("a", F.col("b").alias("o"), F.col("b_root").alias("o_root"), room.alias("room"), "least").where("room >= least")
+        .join(known.select("a", F.col("b").alias("m"), F.col("b_root").alias("m_root"), "size"), "a")
+        .where("size <= room and o_root <> m_root").select("o", "m")
+    )
+    pairs = shared.union(inner).select(F.least("o", "m").alias("a"), F.greatest("o", "m").alias("b")).distinct()
+    seen = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    return pairs.join(seen, ["a", "b"], "left_anti")
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: ``id``, ``class_id`` (smallest id among the documents that links reach), ``n_words``.
 
-    Texts of equal words are one class from the start. Every pick groups classes into a bucket; all members are
-    verified against the bucket's smallest, and what components still differ inside a bucket is verified pair by pair,
-    so a bucket of many alike documents costs one comparison each and no pair of a bucket goes unseen. Texts without
-    words (null, empty, blank) stay alone. Rows of one key are one document; a row without a key gets a negative id from
-    its text. An empty table gives no rows. Other columns of ``docs`` are not read.
+    Texts of equal words are one class from the start. Every pick groups classes into a bucket, whose leader is the
+    member that meets the most others. All members are verified against their leader; of the pairs that are then in
+    different components, those are verified that can be similar at all (``_unseen_pairs``). So a bucket of many alike
+    documents costs one comparison each, and no pair that shares a bucket is lost. Texts without words (null, empty,
+    blank) stay alone. Rows of one key are one document; a row without a key gets a negative id from its text. An empty
+    table gives no rows. Other columns of ``docs`` are not read.
 
     At similarity 0.8 a pick agrees with probability 0.8**5 = 0.33; 20 picks miss a pair in 0.04 % of cases.
     """
@@ -155,23 +196,18 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     with_words = sketched.where("n_words > 0")
     classes = with_words.groupBy("k1", "k2").agg(F.min(F.struct("id", "picks")).alias("x"), F.min("id").alias("rep"))
     buckets = materialise(classes.select("rep", F.explode("x.picks").alias("bucket")).distinct(), "buckets")
-    leaders = buckets.groupBy("bucket").agg(F.min("rep").alias("leader"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    shared = materialise(buckets.join(leaders, "bucket").select("bucket", "rep", "leader"), "shared")
-    stars = shared.where("rep <> leader").select(F.col("leader").alias("a"), F.col("rep").alias("b")).distinct()
+    sizes = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    shared = materialise(buckets.join(sizes, "bucket"), "shared")
+    met = shared.groupBy("rep").agg(F.sum("n").alias("met"))
+    leaders = shared.join(met, "rep").groupBy("bucket").agg(F.max(F.struct("met", -F.col("rep"), "rep"))["rep"].alias("leader"))
+    stars = shared.join(leaders, "bucket").where("rep <> leader").select(F.col("leader").alias("a"), F.col("rep").alias("b")).distinct()
     nodes = shared.select(F.col("rep").alias("id")).distinct()
     texts = base.join(nodes, "id", "left_semi").dropDuplicates(["id"])
     labels = materialise(texts.mapInArrow(_label_batches, "id long, labels binary"), "labels")
-    links = materialise(verified(stars, labels), "links")
-    found = materialise(components(links), "roots")
-    # Buckets that hold several components still: their other pairs, apart from those with the leader.
-    rooted = shared.join(found.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "bucket", "rep", "leader", F.coalesce("root", "rep").alias("root"))
-    mixed = rooted.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
-    open_ = materialise(rooted.where("rep <> leader").join(mixed.select("bucket"), "bucket", "left_semi"), "open")
-    other = open_.select("bucket", F.col("rep").alias("b"), F.col("root").alias("other_root"))
-    rest = open_.withColumnRenamed("rep", "a").join(other, "bucket").where("a < b and root <> other_root").select("a", "b").distinct()
-    rest = materialise(rest.join(stars, ["a", "b"], "left_anti"), "rest")
-    late = verified(rest, labels)
+    stars = materialise(compared(stars, labels), "stars")
+    links = stars.where("linked").select("a", "b")
+    rest = materialise(_unseen_pairs(stars, materialise(components(links), "roots")), "rest")
+    late = compared(rest, labels).where("linked").select("a", "b")
     roots = materialise(components(links.union(late)), "roots")
     of_class = classes.select("k1", "k2", "rep").join(roots.withColumnRenamed("node", "rep"), "rep", "left").select(
         "k1", "k2", F.coalesce("root", "rep").alias("class_id"))

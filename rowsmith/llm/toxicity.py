@@ -17,9 +17,9 @@ from rowsmith.llm.words import slices, text_bytes
 
 LENGTHS = (3, 4, 5, 6)
 BITS = 19
-SAMPLE = 20_000  # labelled rows that the classifier is fitted on, at most
+SAMPLE = 10_000  # labelled rows that the classifier is fitted on, at most
 Z_SCORE = 4.0  # features whose classes differ by fewer standard deviations are left out
-MOST_FEATURES = 60_000
+MOST_FEATURES = 10_000
 PIECE = 1 << 20
 
 
@@ -146,8 +146,7 @@ def fit(docs: DataFrame, labels: DataFrame, allowed: Column, label: str = "toxic
     row = np.repeat(np.arange(len(lists)), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
     col = place[lists.flatten().to_numpy()]
     y = fitted.column("label").to_numpy().astype(float)
-    order = np.lexsort((col, row))
-    w, bias = fit_logistic(row[order], col[order], ratio[col[order]], y, max(len(feature), 1))
+    w, bias = fit_logistic(row.astype(np.int32), col, ratio[col].astype(np.float32), y, max(len(feature), 1))
     weight[feature] = (w[: len(feature)] * ratio).astype(np.float32)
     return Model(weight, bias)
 

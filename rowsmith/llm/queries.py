@@ -11,6 +11,7 @@ from rowsmith.llm.mixing import mix_plan
 from rowsmith.llm.near_dup import near_duplicates
 from rowsmith.llm.sharding import external_shuffle
 from rowsmith.llm.substrings import drop_repeats
+from rowsmith.llm.vectors import near_vectors
 from rowsmith.sources.tables import table
 
 QUERIES = {}
@@ -170,3 +171,10 @@ def op8(spark: SparkSession, sf: str) -> DataFrame:
     field = language.fit(docs, _remainder("doc_id", 3) != 1)
     return language.label_languages(docs.select("doc_id", "text"), field).select(
         F.col("record.doc_id").alias("doc_id"), (_remainder("record.doc_id", 3) == 1).alias("held_out"), "lang_pred", "score")
+
+
+@query("op10_hnsw_vectors")
+def op10(spark: SparkSession, sf: str) -> DataFrame:
+    """Links and component of every vector among those of its label."""
+    found = near_vectors(table(spark, sf, "embeddings"))
+    return found.select(F.col("record.vec_id").alias("vec_id"), "n_links", "component_id", "kept")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rowsmith.llm import language, pieces, toxicity
+from rowsmith.llm import cotraining, language, pieces, toxicity
 from rowsmith.llm.common import text_bytes
 from rowsmith.llm.fertility import MEASURES, fertility_rules
 from rowsmith.llm.mixing import mix_plan
@@ -178,3 +178,15 @@ def op10(spark: SparkSession, sf: str) -> DataFrame:
     """Links and component of every vector among those of its label."""
     found = near_vectors(table(spark, sf, "embeddings"))
     return found.select(F.col("record.vec_id").alias("vec_id"), "n_links", "component_id", "kept")
+
+
+@query("op9_cotrained_quality")
+def op9(spark: SparkSession, sf: str) -> DataFrame:
+    """Quality of every document; the fold with remainder 3 is never learned from."""
+    docs = table(spark, sf, "documents").select("doc_id", "text", "lang", "source")
+    labels = table(spark, sf, "labels")
+    found = cotraining.quality(docs, table(spark, sf, "pages"), labels, _remainder("doc_id", 4) != 3)
+    return found.select(
+        F.col("record.doc_id").alias("doc_id"), (_remainder("record.doc_id", 4) == 3).alias("held_out"),
+        F.round("text_score", 9).alias("text_score"), F.round("page_score", 9).alias("page_score"),
+        F.round("score", 9).alias("score"), (F.col("score") >= 0.5).alias("kept"))

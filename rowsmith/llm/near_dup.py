@@ -12,7 +12,7 @@ from bisect import bisect_left
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from rowsmith.llm.components import components
 from rowsmith.llm.words import Words, mix, slices, span_hashes, window_hashes, words_of
@@ -177,6 +177,11 @@ def _unseen_pairs(stars: DataFrame, roots: DataFrame) -> DataFrame:
     return pairs.join(seen, ["a", "b"], "left_anti")
 
 
+def identity(key: str = "doc_id", text: str = "text") -> Column:
+    """The key, or for a row without one a negative number from its text."""
+    return F.coalesce(F.col(f"`{key}`").cast("bigint"), -F.abs(F.shiftright(F.xxhash64(F.col(f"`{text}`")), 1)) - 1)
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: ``id``, ``class_id`` (smallest id among the documents that links reach), ``n_words``.
 
@@ -189,8 +194,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 
     At similarity 0.8 a pick agrees with probability 0.8**5 = 0.33; 20 picks miss a pair in 0.04 % of cases.
     """
-    ident = F.coalesce(F.col(key).cast("bigint"), -F.abs(F.shiftright(F.xxhash64(F.col(text)), 1)) - 1)
-    base = docs.select(ident.alias("id"), F.col(text).alias("text"))
+    base = docs.select(identity(key, text).alias("id"), F.col(f"`{text}`").alias("text"))
     sketched = materialise(
         base.mapInArrow(_sketches, "id long, k1 long, k2 long, n_words long, picks array<long>"), "sketches")
     with_words = sketched.where("n_words > 0")
@@ -215,3 +219,13 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
         with_words.drop("picks").join(of_class, ["k1", "k2"]).select("id", "class_id", "n_words")
         .union(sketched.where("n_words = 0").select("id", F.col("id").alias("class_id"), "n_words"))
     )
+
+
+def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The document with the smallest id of each near-duplicate class, with all its columns; of repeated rows one."""
+    kept = near_duplicates(docs, key, text).where("id = class_id").groupBy("id").agg(F.count(F.lit(1)).alias("n"))
+    kept = materialise(kept, "kept")
+    rows = docs.select(F.struct("*").alias("record"), identity(key, text).alias("id")).join(kept.select("id"), "id", "left_semi")
+    if kept.where("n > 1").take(1):
+        rows = rows.dropDuplicates(["id"])
+    return rows.select("record.*")

@@ -12,6 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from rowsmith.llm.common import text_bytes
@@ -155,8 +156,8 @@ def _matched(window: int):
         if not held:
             return
         table = pa.Table.from_batches(held)
-        known = table.filter(pa.compute.is_null(table.column("content")))
-        table = table.filter(pa.compute.is_valid(table.column("content")))
+        known = table.filter(pc.is_null(table.column("content")))
+        table = table.filter(pc.is_valid(table.column("content")))
         spans = [np.stack([known.column("d").to_numpy(), known.column("t").to_numpy(), known.column("start").to_numpy(),
                            known.column("start").to_numpy() + known.column("n").to_numpy() - 1])]
         if table.num_rows:
@@ -217,7 +218,7 @@ def _cut_batches(batches):
         texts = batch.column("text")
         n, removed, kept, merged = cut(texts, batch.column("spans").to_pylist())
         yield pa.RecordBatch.from_arrays(
-            [*batch.columns[:-2], pa.array(n), pa.array(removed), pa.array(kept, pa.binary()).cast(pa.string()), pa.array(merged, _SPAN_TYPE)],
+            [*batch.columns[:-2], pa.array(n), pa.array(removed), pc.if_else(pc.is_valid(texts), pa.array(kept, pa.binary()).cast(pa.string()), None), pa.array(merged, _SPAN_TYPE)],
             names=[*batch.schema.names[:-2], "n_words", "n_removed", "kept_text", "repeats"])
 
 
@@ -230,7 +231,7 @@ def drop_repeats(
     text without those words, its other characters unchanged) and ``repeats`` (maximal spans, ``first`` inclusive,
     ``last`` exclusive). Earlier means a smaller key, or the same document and an earlier start. Null keys come last;
     rows with one key are ordered by a hash of their text, and rows equal in both count as one document. Null and
-    empty texts have no words; null stays null in ``kept_text`` as the empty text. An empty table gives no rows.
+    empty texts have no words and stay as they are. An empty table gives no rows.
 
     Windows are compared by 64 bits of their anchor, its place and 32 bits of the window. Of equal runs only the first
     of a task is shuffled, so a passage that all documents share arrives at its anchor once per task.

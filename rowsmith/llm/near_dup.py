@@ -12,7 +12,7 @@ from bisect import bisect_left
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from rowsmith.llm.components import components
 from rowsmith.llm.words import Words, mix, slices, span_hashes, window_hashes, words_of
@@ -161,10 +161,20 @@ def _unseen_pairs(stars: DataFrame, roots: DataFrame) -> DataFrame:
     divided = known.groupBy("a").agg(F.max(outside).alias("divided"), F.min("size").alias("least")).where("divided")
     known = materialise(known.join(divided.select("a", "least"), "a").drop("linked"), "groups")
     out = known.where(outside)
-    keyed = known.select("a", F.explode("extra").alias("shingle"), F.col("b").alias("m"), F.col("b_root").alias("m_root"))
+    keyed = known.select("a", F.explode("extra").alias("shingle"), F.col("b").alias("m"), F.col("b_root").alias("m_root"),
+                         F.col("size").alias("m_size"), F.col("common").alias("m_common"))
+    spread = keyed.groupBy("a", "shingle").agg(F.count(F.lit(1)).alias("times"))
+    rare = Window.partitionBy("a", "o").orderBy("times", "shingle")
+    listed = (
+        out.select("a", F.explode("extra").alias("shingle"), F.col("b").alias("o"), F.col("b_root").alias("o_root"),
+                   F.col("size").alias("o_size"), F.col("common").alias("o_common"), F.size("extra").alias("extras"))
+        .join(spread, ["a", "shingle"]).withColumn("place", F.row_number().over(rare)).where("times > 1")
+    )
+    # So many shingles outside the leader a similar pair shares at least; o's rarest ones but for one less must show it.
+    least = F.ceil(F.lit(THRESHOLD / (1 + THRESHOLD)) * (F.col("o_size") + F.col("m_size")) - 1e-6) - F.least("o_common", "m_common")
     shared = (
-        out.select("a", F.explode("extra").alias("shingle"), F.col("b").alias("o"), F.col("b_root").alias("o_root"))
-        .join(keyed, ["a", "shingle"]).where("o_root <> m_root").select("o", "m")
+        listed.join(keyed, ["a", "shingle"])
+        .where((F.col("o_root") != F.col("m_root")) & (F.col("place") <= F.col("extras") - F.greatest(least, F.lit(1)) + 1)).select("o", "m")
     )
     room = F.floor(F.col("common") * ((1 + THRESHOLD) / THRESHOLD) + 1e-6) - F.col("size")
     inner = (

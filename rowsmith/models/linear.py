@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from rowsmith.features.base import FitStep, FittedStep, Settings, integer, names, number, text
 from rowsmith.operators.resample import balanced_weights, kfold
+from rowsmith.operators.stats import present
 from rowsmith.session import side_by_side
 
 
@@ -42,7 +43,7 @@ def coefficient_table(spark, model, cols) -> DataFrame:
 def simple_regression(df: DataFrame, x: str, y: str, by=()) -> DataFrame:
     """Straight line per group in one aggregation."""
     xs, ys = F.col(x).cast("double"), F.col(y).cast("double")
-    return df.groupBy(*by).agg(
+    return present(df, by).groupBy(*by).agg(
         F.regr_slope(ys, xs).alias("slope"), F.regr_intercept(ys, xs).alias("intercept"),
         F.regr_r2(ys, xs).alias("r2"), F.count("*").alias("n"))
 
@@ -59,7 +60,7 @@ def quadratic_regression(df: DataFrame, x: str, y: str, by=()) -> DataFrame:
     u, v = (F.col(x) - F.lit(mid)) / F.lit(unit), F.col(y).cast("double")
     sums = [F.sum(F.pow(u, F.lit(float(p)))).alias(f"s{p}") for p in range(1, 5)]
     sums += [F.sum(v).alias("t0"), F.sum(u * v).alias("t1"), F.sum(u * u * v).alias("t2"), F.count("*").alias("n")]
-    m = df.where(F.col(x).isNotNull() & F.col(y).isNotNull()).groupBy(*by).agg(*sums)
+    m = present(df, [x, y, *by]).groupBy(*by).agg(*sums)
     c = {k: F.col(k) for k in ("s1", "s2", "s3", "s4", "t0", "t1", "t2", "n")}
 
     def det(a, b, d):

@@ -28,19 +28,27 @@ class _KnnParams(Settings):
     defaults = {"featuresCol": "features", "labelCol": "label", "k": 5}
 
 
+def _numbered(df: DataFrame) -> DataFrame:
+    """Rows with a number of their own, stored: keys of scored rows may repeat."""
+    return materialise(df.withColumn(ROW, F.monotonically_increasing_id()), "asked")
+
+
+ROW = "__row"
+
+
 class FittedKnnClassifier(_KnnParams, FittedStep):
     def _transform(self, df: DataFrame) -> DataFrame:
-        key = self.value("keyCol")
-        asked = df.select(key, as_array(df, self.value("featuresCol")).alias("vec"))
-        near = nearest(asked, self.tables["train"], key, "vec", self.value("k"), ref_key="ref_key", carry="label")
+        df = _numbered(df)
+        asked = df.select(ROW, as_array(df, self.value("featuresCol")).alias("vec"))
+        near = nearest(asked, self.tables["train"], ROW, "vec", self.value("k"), ref_key="ref_key", carry="label")
         classes = self.state["classes"]
         shares = class_shares(near, "label", classes)
         best = F.array_position("probability", F.array_max("probability")) - 1
         labels = F.array(*[F.lit(float(c)) for c in classes])
-        out = shares.select(F.col("query_key").alias(key), F.get(labels, best.cast("int")).alias("prediction"),
+        out = shares.select(F.col("query_key").alias(ROW), F.get(labels, best.cast("int")).alias("prediction"),
                             array_to_vector("probability").alias("probability"))
         # Stored once: the search is costly and later steps read the result many times.
-        return df.join(materialise(out, "scores"), key, "left")
+        return df.join(materialise(out, "scores"), ROW, "left").drop(ROW)
 
 
 class KnnClassifier(_KnnParams, FitStep):
@@ -57,8 +65,8 @@ class KnnClassifier(_KnnParams, FitStep):
 
 
 class FittedKnnRegressor(_KnnParams, FittedStep):
-    def neighbours(self, df: DataFrame, k: int | None = None) -> DataFrame:
-        key = self.value("keyCol")
+    def neighbours(self, df: DataFrame, k: int | None = None, key: str | None = None) -> DataFrame:
+        key = key or self.value("keyCol")
         asked = df.select(key, as_array(df, self.value("featuresCol")).alias("vec"))
         return nearest(asked, self.tables["train"], key, "vec", k or self.value("k"), ref_key="ref_key", carry="label")
 
@@ -67,9 +75,9 @@ class FittedKnnRegressor(_KnnParams, FittedStep):
         return running_mean(self.neighbours(df, k), "label").withColumnRenamed("query_key", self.value("keyCol"))
 
     def _transform(self, df: DataFrame) -> DataFrame:
-        key = self.value("keyCol")
-        mean = self.neighbours(df).groupBy("query_key").agg(F.avg("label").alias("prediction")).withColumnRenamed("query_key", key)
-        return df.join(materialise(mean, "scores"), key, "left")
+        df = _numbered(df)
+        mean = self.neighbours(df, key=ROW).groupBy("query_key").agg(F.avg("label").alias("prediction")).withColumnRenamed("query_key", ROW)
+        return df.join(materialise(mean, "scores"), ROW, "left").drop(ROW)
 
 
 class KnnRegressor(_KnnParams, FitStep):
@@ -119,7 +127,6 @@ class GaussianBayes(_BayesParams, FitStep):
     def _fit(self, df: DataFrame) -> FittedBayes:
         label, cols = self.value("labelCol"), self.value("inputCols")
         known = df.where(F.col(label).isNotNull())
-        class_counts(known, label)  # refuses a label that is no class
         widest = known.agg(*[F.var_pop(F.col(c).cast("double")) for c in cols]).first()
         eps = 1e-9 * max(v or 0.0 for v in widest)
         per = long_agg(known, cols, {"n": lambda c: F.count(F.lit(1)), "m": lambda c: F.avg(F.col(c).cast("double")),

@@ -5,18 +5,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from rowsmith.operators.ranks import exact_quantiles
-from rowsmith.operators.stats import crosstab
+from rowsmith.operators.stats import crosstab, present
 
 EPS = 2.220446049250313e-16
 
 
 def regression_exprs(y: str, pred: str) -> dict[str, Column]:
-    """R2, MAE, MAPE and RMSE as aggregates, usable with and without grouping.
+    """R2, MAE, MAPE and RMSE as aggregates over the rows that have both numbers, usable with and without grouping.
 
     The total sum of squares is n times the population variance, which Spark
     computes in the same pass without subtracting large sums.
     """
-    t, p = F.col(y).cast("double"), F.col(pred).cast("double")
+    both = F.col(y).isNotNull() & F.col(pred).isNotNull()
+    t, p = (F.when(both, F.col(c).cast("double")) for c in (y, pred))
     err = t - p
     return {
         "r2": 1 - F.try_divide(F.sum(err * err), F.count(t) * F.var_pop(t)),
@@ -28,7 +29,7 @@ def regression_exprs(y: str, pred: str) -> dict[str, Column]:
 
 def regression_metrics(df: DataFrame, y: str, pred: str, by=()) -> DataFrame:
     exprs = [c.alias(n) for n, c in regression_exprs(y, pred).items()]
-    return df.groupBy(*by).agg(*exprs) if by else df.agg(*exprs)
+    return present(df, by).groupBy(*by).agg(*exprs) if by else df.agg(*exprs)
 
 
 def median_absolute_error(df: DataFrame, y: str, pred: str) -> DataFrame:
@@ -47,8 +48,8 @@ def accuracy(df: DataFrame, y: str, pred: str) -> DataFrame:
 
 
 def confusion_counts(df: DataFrame, y: str, pred: str) -> DataFrame:
-    """Long confusion table (truth, predicted, n)."""
-    return df.groupBy(F.col(y).alias("truth"), F.col(pred).alias("predicted")).agg(F.count("*").alias("n"))
+    """Long confusion table (truth, predicted, n) of the rows that have both labels, like every class metric here."""
+    return present(df, [y, pred]).groupBy(F.col(y).alias("truth"), F.col(pred).alias("predicted")).agg(F.count("*").alias("n"))
 
 
 def confusion_matrix(df: DataFrame, y: str, pred: str, classes=None) -> DataFrame:
@@ -82,7 +83,7 @@ def balanced_accuracy(df: DataFrame, y: str, pred: str) -> DataFrame:
 def f1_binary(df: DataFrame, y: str, pred: str, positive=1) -> DataFrame:
     t, p = F.col(y) == F.lit(positive), F.col(pred) == F.lit(positive)
     hit, fp, fn = F.count_if(t & p), F.count_if(~t & p), F.count_if(t & ~p)
-    return df.agg(F.coalesce(F.try_divide(2 * hit, 2 * hit + fp + fn), F.lit(0.0)).alias("f1"))
+    return present(df, [y, pred]).agg(F.coalesce(F.try_divide(2 * hit, 2 * hit + fp + fn), F.lit(0.0)).alias("f1"))
 
 
 def classification_report(df: DataFrame, y: str, pred: str) -> DataFrame:

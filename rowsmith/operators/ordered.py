@@ -4,23 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from rowsmith.operators.ranks import percent_rank_average, value_positions
+from rowsmith.operators.ranks import percent_rank_average, running_sum, value_positions
 
 __all__ = ["cumulative_share", "elbow", "factorize", "first_reaching", "last_rows_split",
            "percent_rank_average", "sort_rank", "top_n"]
 
-# Curves (shares per component, cost per k) are ordered in one task. They are
-# results of an aggregation; this many points is the agreed ceiling.
-CURVE_POINTS = 100_000
-
-
-def _curve(df: DataFrame) -> DataFrame:
-    n = df.limit(CURVE_POINTS + 1).count()
-    if n > CURVE_POINTS:
-        raise ValueError(f"a curve has at most {CURVE_POINTS} points; aggregate first")
-    return df
-
-
 def top_n(df: DataFrame, n: int, *order) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
@@ -33,10 +21,9 @@ def sort_rank(df: DataFrame, col: str, out: str = "pos", descending: bool = Fals
 
 
 def cumulative_share(curve: DataFrame, value: str, order, out: str = "cumulative") -> DataFrame:
-    """Running share of the total along a short ordered curve."""
-    w = Window.orderBy(*order)
-    run = F.sum(value).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    return _curve(curve).withColumn(out, run / F.sum(value).over(Window.partitionBy()))
+    """Running share of the total along an ordered curve of any length."""
+    whole = curve.agg(F.sum(value)).first()[0]
+    return running_sum(curve, value, order, out).withColumn(out, F.try_divide(F.col(out), F.lit(whole)))
 
 
 def first_reaching(curve: DataFrame, cumulative: str, position: str, threshold: float, zero_based: bool = False) -> DataFrame:
@@ -64,7 +51,7 @@ def factorize(df: DataFrame, col: str, order_by: str, out: str = "code") -> Data
 
 
 def elbow(curve: DataFrame, x: str, y: str) -> DataFrame:
-    """Knee of a convex decreasing curve: the x of the largest gap below the chord.
+    """Knee of a convex decreasing curve (one row per tried x): the x of the largest gap below the chord.
 
     Both axes are scaled to [0, 1], the falling curve is turned upside down, and
     the first local maximum of its distance from the diagonal is returned.
@@ -73,7 +60,7 @@ def elbow(curve: DataFrame, x: str, y: str) -> DataFrame:
     xs, ys = F.col(x).cast("double"), F.col(y).cast("double")
     nx = F.try_divide(xs - F.min(xs).over(whole), F.max(xs).over(whole) - F.min(xs).over(whole))
     ny = F.try_divide(F.max(ys).over(whole) - ys, F.max(ys).over(whole) - F.min(ys).over(whole))
-    gap = _curve(curve).select(x, y, (ny - nx).alias("gap"))
+    gap = curve.select(x, y, (ny - nx).alias("gap"))
     w = Window.orderBy(x)
     peaks = gap.withColumn("prev", F.lag("gap").over(w)).withColumn("next", F.lead("gap").over(w))
     peak = (F.col("gap") >= F.col("prev")) & (F.col("gap") >= F.col("next"))

@@ -4,7 +4,7 @@ A window without partitions, or an exact ``percentile`` on a hot group, pulls
 its whole input into one task. Here equal values are counted first, then cut
 into value buckets of near-equal row count; a running sum inside each bucket
 plus the total of the buckets before it gives the position of every value.
-Bucket edges are literals, so every branch of a plan and every retry agrees.
+Bucket bounds need not be exact, so a bounded sample gives them.
 """
 
 from __future__ import annotations
@@ -13,58 +13,60 @@ from functools import reduce
 from operator import and_
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from rowsmith.session import materialise
 
-# Distinct values up to which Spark's exact ``percentile`` may hold one group's
-# counts in memory (some 20 MB); above it the distributed form answers with
-# the same numbers.
-SMALL_DISTINCT = 200_000
+ROWS_PER_BUCKET = 1_000_000
+SAMPLE_PER_BUCKET = 32
 
 
-def _bucket_count(df: DataFrame) -> int:
-    """Buckets grow with the cluster; the edge list stays small enough to be a literal."""
-    return min(10_000, max(64, 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+def _bucket_count(df: DataFrame, rows: int = 0) -> int:
+    """Buckets grow with the cluster and with the rows."""
+    return max(64, 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows // ROWS_PER_BUCKET))
 
 
-def value_edges(df: DataFrame, cols, buckets: int | None = None) -> dict[str, list[float]]:
-    """Inner edges that cut the rows into near-equal buckets (bounded lists), one pass for all columns."""
-    n = buckets or _bucket_count(df)
-    if n < 2:
-        return {c: [] for c in cols}
-    row = df.agg(*[_edges(c, n) for c in cols]).first()
-    return {c: sorted(set(row[f"edges_{c}"] or [])) for c in cols}
+def _number(col: str) -> Column:
+    """The column as double, NaN counting as missing."""
+    return F.nanvl(F.col(col).cast("double"), F.lit(None).cast("double"))
 
 
-def _edges(col: str, n: int) -> Column:
-    probs = [i / n for i in range(1, n)]
-    return F.percentile_approx(F.col(col).cast("double"), probs, 10 * n).alias(f"edges_{col}")
-
+def value_edges(df: DataFrame, cols, buckets: int | None = None) -> dict[str, list[float]]:
+    """Inner edges that cut the values into near-equal buckets.
 
-def with_bucket(df: DataFrame, col: str, edges: list[float], out: str = "__bucket") -> DataFrame:
-    if not edges:
-        return df.withColumn(out, F.lit(0.0))
-    splits = [float("-inf"), *edges, float("inf")]
-    cast = df.withColumn("__v", F.col(col).cast("double"))
-    return Bucketizer(splits=splits, inputCol="__v", outputCol=out).transform(cast).drop("__v")
+    They come from a sample of ``SAMPLE_PER_BUCKET`` rows per bucket, the only rows that reach the driver.
+    """
+    cols = list(cols)
+    rows = df.count()
+    n = buckets or _bucket_count(df, rows)
+    if n < 2 or not rows:
+        return {c: [] for c in cols}
+    share = min(1.0, SAMPLE_PER_BUCKET * n / rows)
+    drawn = df.select(*[_number(c).alias(f"v{i}") for i, c in enumerate(cols)]).sample(share, 7).toPandas()
+    probs = [i / n for i in range(1, n)]
+    return {c: sorted(set(drawn[f"v{i}"].dropna().quantile(probs, interpolation="lower"))) if drawn[f"v{i}"].notna().any() else []
+            for i, c in enumerate(cols)}
 
 
 def value_positions(df: DataFrame, col: str, by=(), buckets: int | None = None) -> DataFrame:
     """Per distinct value: ``n`` rows, ``below`` rows with a smaller value, ``total`` rows.
 
-    Null values and null group keys are left out.
+    The values may be of any type that can be ordered. Null and NaN values and
+    null group keys are left out. The counted values are dealt into ranges and
+    stored with their range number, so every later branch sees the same ranges.
     """
     by = list(by)
     kept = df.where(F.col(col).isNotNull())
+    if isinstance(df.schema[col].dataType, (T.DoubleType, T.FloatType)):
+        kept = kept.where(~F.isnan(col))
     for k in by:
         kept = kept.where(F.col(k).isNotNull())
-    edges = value_edges(kept, [col], buckets)[col]
     counts = kept.groupBy(*by, col).agg(F.count("*").alias("n"))
-    counts = with_bucket(counts, col, edges)
+    ranges = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counts = materialise(counts.repartitionByRange(ranges, col).withColumn("__bucket", F.spark_partition_id()), "ranges")
     keys = [*by, "__bucket"]
     sums = counts.groupBy(*keys).agg(F.sum("n").alias("__bn"))
-    # At most one row per bucket and group: the window input is bounded by the edge list.
+    # At most one row per range and group.
     ordered = Window.partitionBy(*by).orderBy("__bucket")
     offsets = sums.select(
         *keys,
@@ -78,6 +80,19 @@ def value_positions(df: DataFrame, col: str, by=(), buckets: int | None = None)
     )
 
 
+def running_sum(df: DataFrame, value: str, order, out: str) -> DataFrame:
+    """``out``: the sum of ``value`` up to and including the row, in the given order, without one sorting task."""
+    order = [F.col(c) if isinstance(c, str) else c for c in order]
+    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = materialise(df.repartitionByRange(ranges, *order).withColumn("__bucket", F.spark_partition_id()), "ranges")
+    before = Window.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = dealt.groupBy("__bucket").agg(F.sum(value).alias("__bn")).select(
+        "__bucket", F.coalesce(F.sum("__bn").over(before), F.lit(0)).alias("__before"))
+    inside = Window.partitionBy("__bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    return dealt.withColumn(out, F.sum(value).over(inside)).join(offsets, "__bucket").withColumn(
+        out, F.col(out) + F.col("__before")).drop("__bucket", "__before")
+
+
 def hash_positions(df: DataFrame, hash_col: str, tie_cols, by=(), out: str = "pos", buckets: int | None = None) -> DataFrame:
     """Zero-based position of every row by a uniform 32-bit hash, within ``by``.
 
@@ -131,21 +146,32 @@ def _pick(probs, col: str) -> list[Column]:
     return out
 
 
-def _spread_quantiles(df: DataFrame, col: str, edges: list[float], probs, by: list[str]) -> DataFrame:
-    """Quantiles of a column with very many values.
+def exact_quantiles(df: DataFrame, cols, probs, by=(), buckets: int | None = None) -> DataFrame:
+    """Exact linear quantiles in long form: (*by, column, q array<double>), null for a column without values.
 
-    Counting rows per bucket tells which buckets hold the wanted ranks. Only
-    the rows of those few buckets are then counted by value and ordered; all
-    others are dropped before any shuffle.
+    All columns go together. Counting rows per bucket tells which buckets hold
+    the wanted ranks. Only the rows of those few buckets are then counted by
+    value and ordered; all others are dropped before any shuffle.
     """
-    keys = [*by, "__bucket"]
-    rows = with_bucket(df.select(*by, F.col(col).cast("double").alias("__q")).where(F.col("__q").isNotNull()), "__q", edges)
-    sums = rows.groupBy(*keys).agg(F.count("*").alias("__bn"))
-    ordered = Window.partitionBy(*by).orderBy("__bucket")
-    offsets = sums.select(
+    cols, by, probs = list(cols), list(by), [float(p) for p in probs]
+    kept = df
+    for k in by:
+        kept = kept.where(F.col(k).isNotNull())
+    values = [f"__v{i}" for i in range(len(cols))]
+    kept = kept.select(*by, *[_number(c).alias(v) for c, v in zip(cols, values)])
+    edges = value_edges(kept, values, buckets)
+    splits = [[float("-inf"), *(edges[v] or [0.0]), float("inf")] for v in values]
+    spots = [f"__b{i}" for i in range(len(cols))]
+    placed = Bucketizer(splitsArray=splits, inputCols=values, outputCols=spots, handleInvalid="keep").transform(kept)
+    rows = F.array(*[F.struct(F.lit(i).alias("__c"), F.col(v).alias("__q"), F.col(b).alias("__bucket"))
+                     for i, (v, b) in enumerate(zip(values, spots))])
+    long = placed.select(*by, F.inline(rows)).where(F.col("__q").isNotNull())
+    group, keys = [*by, "__c"], [*by, "__c", "__bucket"]
+    ordered = Window.partitionBy(*group).orderBy("__bucket")
+    offsets = long.groupBy(*keys).agg(F.count("*").alias("__bn")).select(
         *keys, "__bn",
         F.coalesce(F.sum("__bn").over(ordered.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__before"),
-        F.sum("__bn").over(Window.partitionBy(*by)).alias("total"),
+        F.sum("__bn").over(Window.partitionBy(*group)).alias("total"),
     )
     wanted = F.lit(False)
     for lo, hi in _targets(probs):
@@ -153,39 +179,13 @@ def _spread_quantiles(df: DataFrame, col: str, edges: list[float], probs, by: li
             wanted = wanted | ((F.col("__before") <= rank) & (rank < F.col("__before") + F.col("__bn")))
     # A few rows per group, stored so that the planner knows how small the table is.
     targets = materialise(offsets.where(wanted).drop("__bn"), "targets")
-    counts = rows.join(targets, keys).groupBy(*keys, "__before", "total", "__q").agg(F.count("*").alias("n"))
+    counts = long.join(targets, keys).groupBy(*keys, "__before", "total", "__q").agg(F.count("*").alias("n"))
     inside = Window.partitionBy(*keys).orderBy("__q").rowsBetween(Window.unboundedPreceding, -1)
-    placed = counts.withColumn("below", F.col("__before") + F.coalesce(F.sum("n").over(inside), F.lit(0)))
-    return placed.groupBy(*by).agg(F.array(*_pick(probs, "__q")).alias("q")).select(*by, F.lit(col).alias("column"), "q")
-
-
-def exact_quantiles(df: DataFrame, cols, probs, by=(), small_distinct: int = SMALL_DISTINCT) -> DataFrame:
-    """Exact linear quantiles in long form: (*by, column, q array<double>).
-
-    One pass estimates distinct values and bucket edges. Columns with a bounded
-    number of values go through Spark's ``percentile``, the others through
-    value buckets. Both answer with the same numbers.
-    """
-    cols, by, probs = list(cols), list(by), [float(p) for p in probs]
-    kept = df
-    for k in by:
-        kept = kept.where(F.col(k).isNotNull())
-    n = _bucket_count(df)
-    seen = kept.agg(*[F.approx_count_distinct(c).alias(c) for c in cols], *[_edges(c, n) for c in cols]).first()
-    small = [c for c in cols if seen[c] <= small_distinct]
-    large = [c for c in cols if c not in small]
-    parts = []
-    if small:
-        wide = kept.groupBy(*by).agg(
-            *[F.percentile(F.col(c).cast("double"), probs).alias(f"q{i}") for i, c in enumerate(small)]
-        )
-        rows = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"q{i}").alias("q")) for i, c in enumerate(small)])
-        parts.append(wide.select(*by, F.inline(rows)))
-    parts += [_spread_quantiles(kept, c, sorted(set(seen[f"edges_{c}"])), probs, by) for c in large]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    below = counts.withColumn("below", F.col("__before") + F.coalesce(F.sum("n").over(inside), F.lit(0)))
+    found = below.groupBy(*group).agg(F.array(*_pick(probs, "__q")).alias("q"))
+    groups = kept.select(*by).distinct() if by else df.sparkSession.range(1).select()
+    names = F.array(*[F.struct(F.lit(i).alias("__c"), F.lit(c).alias("column")) for i, c in enumerate(cols)])
+    return groups.select(*by, F.inline(names)).join(found, group, "left").select(*by, "column", "q")
 
 
 def column_quantiles(df: DataFrame, cols, probs) -> dict[str, list[float]]:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from rowsmith.functions.hashing import hash_u32, uniform
 from rowsmith.operators.ranks import hash_positions
@@ -53,31 +53,37 @@ def class_counts(df: DataFrame, label: str) -> dict:
 
 
 def balanced_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
-    """Weight n / (classes * class count) on every row; the number of classes is checked."""
-    counts = class_counts(df, label)
-    total = sum(counts.values())
-    weight = None
-    for value, n in sorted(counts.items(), key=lambda x: str(x[0])):
-        cond, w = F.col(label) == F.lit(value), F.lit(total / (len(counts) * n))
-        weight = F.when(cond, w) if weight is None else weight.when(cond, w)
-    return df.withColumn(out, weight)
+    """Weight n / (classes * class count) on every row with a label; the class table may be of any size."""
+    from rowsmith.operators.stats import with_group_stats
+
+    known = df.where(F.col(label).isNotNull())
+    total, classes = known.agg(F.count("*"), F.count_distinct(label)).first()
+    sized = with_group_stats(df, [label], __n=F.count("*"))
+    return sized.withColumn(out, F.lit(float(total)) / (F.lit(float(classes)) * F.col("__n"))).drop("__n")
+
+
+LARGEST_DRAW = 16.0
 
 
 def bootstrap(df: DataFrame, keys, frac: float = 1.0, seed: int = 42, out: str = "copies") -> DataFrame:
     """Sampling with replacement: each row appears a Poisson(frac) number of times.
 
     The count is the inverse of the Poisson distribution at the row's uniform
-    number, so it needs no pass over the data and no shuffle.
+    number, so it needs no pass over the data and no shuffle. A large ``frac``
+    is the sum of several smaller draws.
     """
     import math
 
-    u = uniform(keys, seed)
-    cum, term, copies, steps = 0.0, math.exp(-frac), F.lit(0), 0
-    while cum < 1 - 1e-12 and steps < 200:
-        cum += term
-        copies = copies + (u >= F.lit(cum)).cast("int")
-        steps += 1
-        term *= frac / steps
+    draws = max(1, math.ceil(frac / LARGEST_DRAW))
+    rate, copies = frac / draws, F.lit(0)
+    for d in range(draws):
+        u = uniform(keys, seed + 1_000_003 * d)
+        cum, term, steps = 0.0, math.exp(-rate), 0
+        while cum < 1 - 1e-12:
+            cum += term
+            copies = copies + (u >= F.lit(cum)).cast("int")
+            steps += 1
+            term *= rate / steps
     counted = df.withColumn(out, copies).where(F.col(out) > 0)
     return counted.withColumn("__i", F.explode(F.sequence(F.lit(1), F.col(out)))).drop("__i", out)
 
@@ -88,15 +94,21 @@ def smote(df: DataFrame, label: str, key: str, vector: str, k: int = 5, seed: in
     Each new row lies on the segment between a row and one of its ``k`` nearest
     rows of the same class; the row's position by hash sets its share of the
     quota, and hashes of key and copy number choose neighbour and point.
-    Returns the columns key, label, vector (array of double) and ``synthetic``.
+    A class of a single row has no neighbour and is refused.
+    Returns the columns key, label, vector (array of double), ``synthetic`` and
+    ``origin``, the key of the row that a new one started from. New rows have
+    keys of their own: negative numbers, or the origin's text with a number.
     """
     from rowsmith.operators.neighbours import nearest
 
     sizes = class_counts(df, label)
-    target = max(sizes.values())
+    target = max(sizes.values(), default=0)
     rows = df.select(key, label, F.col(vector).cast("array<double>").alias(vector))
-    whole = rows.withColumn("synthetic", F.lit(False))
-    grow = {c: n for c, n in sizes.items() if 2 <= n < target}
+    whole = rows.withColumn("synthetic", F.lit(False)).withColumn("origin", F.col(key))
+    alone = sorted(str(c) for c, n in sizes.items() if n < 2 <= target)
+    if alone:
+        raise ValueError(f"{label}: classes of a single row cannot be oversampled: {', '.join(alone)}")
+    grow = {c: n for c, n in sizes.items() if n < target}
     if not grow:
         return whole
     part = rows.where(F.col(label).isin(list(grow)))
@@ -119,12 +131,14 @@ def smote(df: DataFrame, label: str, key: str, vector: str, k: int = 5, seed: in
         .withColumn("__pick", F.floor(uniform([key, "__copy"], seed + 1) * F.size("__near")).cast("int"))
         .withColumn("__gap", uniform([key, "__copy"], seed + 2))
         .withColumn("__other", F.get(F.col("__near"), F.col("__pick"))["ref_key"])
-        .select(key, label, F.col(vector).alias("__a"), "__other", "__gap")
+        .select(key, label, "__copy", F.col(vector).alias("__a"), "__other", "__gap")
     )
     ends = part.select(F.col(key).alias("__other"), F.col(vector).alias("__b"))
+    numeric = isinstance(df.schema[key].dataType, T.IntegralType)
+    own = -F.abs(F.shiftright(F.xxhash64(key, "__copy"), 2)) - 1 if numeric else F.concat_ws("#", F.col(key).cast("string"), "__copy")
     made = copies.join(ends, "__other").select(
-        F.col(key), F.col(label),
+        own.cast("bigint" if numeric else "string").alias(key), F.col(label),
         F.zip_with("__a", "__b", lambda a, b: a + F.col("__gap") * (b - a)).alias(vector),
-        F.lit(True).alias("synthetic"),
+        F.lit(True).alias("synthetic"), F.col(key).alias("origin"),
     )
-    return whole.unionByName(made)
+    return whole.withColumn(key, F.col(key).cast("bigint" if numeric else "string")).unionByName(made)

@@ -42,9 +42,10 @@ def interpolate(df: DataFrame, col: str = Y) -> DataFrame:
     """Linear by position; leading gaps stay, trailing gaps repeat the last value."""
     w = Window.partitionBy(SERIES).orderBy(DS)
     back = w.rowsBetween(Window.unboundedPreceding, 0)
-    ahead = w.rowsBetween(0, Window.unboundedFollowing)
+    # Running backwards, each row costs the same however long the series is.
+    ahead = Window.partitionBy(SERIES).orderBy(F.col(DS).desc()).rowsBetween(Window.unboundedPreceding, 0)
     known = F.when(F.col(col).isNotNull(), F.struct(F.col("t"), F.col(col).alias("v")))
-    both = positions(df).withColumn("__p", F.last(known, True).over(back)).withColumn("__n", F.first(known, True).over(ahead))
+    both = positions(df).withColumn("__p", F.last(known, True).over(back)).withColumn("__n", F.last(known, True).over(ahead))
     slope = F.try_divide(F.col("__n.v") - F.col("__p.v"), F.col("__n.t") - F.col("__p.t"))
     filled = (
         F.when(F.col(col).isNotNull(), F.col(col))

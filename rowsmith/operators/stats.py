@@ -18,7 +18,7 @@ FUNCS = {
 }
 
 
-def _present(df: DataFrame, keys) -> DataFrame:
+def present(df: DataFrame, keys) -> DataFrame:
     """Groups with a missing key are left out."""
     for k in keys:
         df = df.where(F.col(k).isNotNull())
@@ -29,7 +29,7 @@ def long_agg(df: DataFrame, cols, stats: dict, by=()) -> DataFrame:
     """One aggregation over all columns, one output row per (group, column)."""
     cols, by = list(cols), list(by)
     exprs = [f(c).alias(f"{name}__{i}") for i, c in enumerate(cols) for name, f in stats.items()]
-    wide = _present(df, by).groupBy(*by).agg(*exprs)
+    wide = present(df, by).groupBy(*by).agg(*exprs)
     rows = [
         F.struct(F.lit(c).alias("column"), *[F.col(f"{name}__{i}").alias(name) for name in stats])
         for i, c in enumerate(cols)
@@ -50,7 +50,7 @@ def group_agg(df: DataFrame, keys, spec: dict[str, str | list[str]]) -> DataFram
     pairs = [(c, f) for c, fs in spec.items() for f in ([fs] if isinstance(fs, str) else fs)]
     plain = [FUNCS[f](c).alias(f"{c}_{f}") for c, f in pairs if f != "median"]
     medians = [c for c, f in pairs if f == "median"]
-    out = _present(df, keys).groupBy(*keys).agg(*plain) if plain else None
+    out = present(df, keys).groupBy(*keys).agg(*plain) if plain else None
     if medians:
         med = group_median(df, keys, medians)
         out = med if out is None else out.join(med, keys)
@@ -100,8 +100,15 @@ def table_info(df: DataFrame) -> DataFrame:
 
 
 def distinct_counts(df: DataFrame, cols, approximate: bool = False) -> DataFrame:
-    f = F.approx_count_distinct if approximate else F.count_distinct
-    return long_agg(df, cols, {"nunique": f})
+    """Distinct values per column; exact counts come from one table of (column, value), combined before the shuffle."""
+    cols = list(cols)
+    if approximate:
+        return long_agg(df, cols, {"nunique": F.approx_count_distinct})
+    long = df.select(F.inline(F.array(*[
+        F.struct(F.lit(i).alias("place"), F.xxhash64(F.col(c)).alias("k"), F.col(c).cast("string").alias("value")) for i, c in enumerate(cols)])))
+    found = long.where(F.col("value").isNotNull()).distinct().groupBy("place").agg(F.count("*").alias("nunique"))
+    all_cols = df.sparkSession.createDataFrame(list(enumerate(cols)), "place int, column string")
+    return all_cols.join(found, "place", "left").select("column", F.coalesce("nunique", F.lit(0)).cast("bigint").alias("nunique"))
 
 
 def first_values(df: DataFrame, cols, n: int = 5) -> DataFrame:
@@ -172,7 +179,7 @@ def with_group_stats(df: DataFrame, keys, **stats: Column) -> DataFrame:
     all) and otherwise joins with skew handling.
     """
     keys = list(keys)
-    table = _present(df, keys).groupBy(*keys).agg(*[c.alias(n) for n, c in stats.items()])
+    table = present(df, keys).groupBy(*keys).agg(*[c.alias(n) for n, c in stats.items()])
     return df.join(materialise(table, "groups"), keys, "left")
 
 
@@ -203,7 +210,7 @@ def group_apply_pandas(df: DataFrame, keys, fn, schema, max_group_rows: int = 1_
 
 def pivot_table(df: DataFrame, index, columns: str, values, agg: Column, fill=None) -> DataFrame:
     """Group rows by ``index`` and spread ``columns`` over the given values."""
-    out = df.groupBy(*index).pivot(columns, list(values)).agg(agg)
+    out = present(df, index).groupBy(*index).pivot(columns, list(values)).agg(agg)
     return out if fill is None else out.na.fill(fill, subset=[str(v) for v in values])
 
 
@@ -218,7 +225,7 @@ def pivot_values(df: DataFrame, col: str, bound: int = 1000) -> list:
 def crosstab(df: DataFrame, a: str, b: str, values=None) -> DataFrame:
     """Counts of every (a, b) combination, zero where absent."""
     values = list(values) if values is not None else pivot_values(df, b)
-    return _present(df, [a, b]).groupBy(a).pivot(b, values).count().na.fill(0)
+    return present(df, [a, b]).groupBy(a).pivot(b, values).count().na.fill(0)
 
 
 def mode(df: DataFrame, col: str) -> DataFrame:
@@ -237,7 +244,8 @@ def modes(df: DataFrame, cols) -> dict:
 
 def histogram(df: DataFrame, col: str, bins: int) -> DataFrame:
     """Equal-width bin counts; the last bin includes the maximum. Empty bins stay, with zero."""
-    low, high = df.agg(F.min(F.col(col).cast("double")), F.max(F.col(col).cast("double"))).first()
+    df = df.select(F.nanvl(F.col(col).cast("double"), F.lit(None).cast("double")).alias(col))
+    low, high = df.agg(F.min(col), F.max(col)).first()
     if low is None:
         return df.sparkSession.createDataFrame([], "bin bigint, low double, high double, n bigint")
     width = (high - low) / bins or 1.0
@@ -266,12 +274,14 @@ def box_stats(df: DataFrame, col: str, by: str) -> DataFrame:
 
 
 def kde(df: DataFrame, col: str, points: int = 50) -> DataFrame:
-    """Gaussian kernel density on an even grid (Scott bandwidth).
+    """Gaussian kernel density on an even grid (Scott bandwidth); no rows for fewer than two different values.
 
     Every grid point is one sum in a single aggregation: each task reduces its
     rows to ``points`` numbers, nothing is multiplied out.
     """
     n, dev, low, high = df.agg(F.count(col), F.stddev_samp(col), F.min(col), F.max(col)).first()
+    if not dev:  # fewer than two different values have no density
+        return df.sparkSession.createDataFrame([], "i int, x double, density double")
     h = dev * n ** (-0.2)
     step = (high - low) / (points - 1)
     grid = [low + i * step for i in range(points)]

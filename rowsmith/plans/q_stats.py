@@ -87,7 +87,7 @@ def group_median(spark, sf):
     SELECT event_type, round(median(value), 6) AS med FROM events GROUP BY 1""")
 def group_median_spread(spark, sf):
     """The same medians by the form for columns with very many distinct values."""
-    q = exact_quantiles(table(spark, sf, "events"), ["value"], [0.5], ["event_type"], small_distinct=0)
+    q = exact_quantiles(table(spark, sf, "events"), ["value"], [0.5], ["event_type"], buckets=200)
     return q.select("event_type", F.round(F.get("q", 0), 6).alias("med"))
 
 

@@ -14,7 +14,8 @@ TABLES = (
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    """One table; NaN is NULL from here on."""
+    return nan_to_null(spark.read.parquet(f"{folder}/{name}.parquet"))
 
 
 def load_tables(spark: SparkSession, folder: str, names=None) -> dict[str, DataFrame]:
@@ -25,6 +26,8 @@ def load_tables(spark: SparkSession, folder: str, names=None) -> dict[str, DataF
 def nan_to_null(df: DataFrame) -> DataFrame:
     """Missing floats are NULL from here on; aggregates then skip them."""
     floats = {f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))}
+    if not floats:
+        return df
     return df.select(*[
         F.when(F.isnan(F.col(f"`{c}`")), None).otherwise(F.col(f"`{c}`")).alias(c) if c in floats else F.col(f"`{c}`")
         for c in df.columns
@@ -36,20 +39,45 @@ def plain_names(df: DataFrame) -> DataFrame:
     return df.toDF(*[c.replace(".", "_") for c in df.columns])
 
 
-def read_csv(spark: SparkSession, path: str, schema, sep: str = ",", **options) -> DataFrame:
-    """CSV with a header; an empty cell is NULL. A ``.gz`` suffix selects the codec.
+# Cells that mean a missing value in CSV files.
+NULL_TOKENS = ("", "NA", "N/A", "NaN", "nan", "null", "NULL")
 
-    Dots in column names are replaced (``plain_names``).
 
-    The schema is explicit, which saves the inference pass. One gzip file cannot
-    be split between tasks: keep such inputs as many files, or repartition after.
+def read_csv(spark: SparkSession, path: str, schema=None, sep: str = ",", nulls=NULL_TOKENS, multiline: bool = False,
+             partitions: int | None = None, malformed: str | None = None, **options) -> DataFrame:
+    """CSV with a header, doubled quotes and missing-value tokens. A ``.gz`` suffix selects the codec.
+
+    Dots in column names are replaced (``plain_names``). Quoted cells keep their text, tokens included in ``nulls``
+    become NULL. ``schema`` names the types; without one they are inferred, which costs a pass. ``multiline`` allows
+    line breaks inside quoted cells; such a file, like a gzip file, is read by one task: ``partitions`` deals the rows
+    out afterwards. ``malformed`` names a column that counts the cells of a row whose text does not fit their type.
     """
-    reader = spark.read.option("header", True).option("sep", sep).options(**options)
-    return nan_to_null(plain_names(reader.schema(schema).csv(path)))
+    reader = spark.read.option("header", True).option("sep", sep).option("quote", '"').option("escape", '"')
+    reader = reader.option("multiLine", multiline).options(**options)
+    if schema is None:
+        df = reader.option("inferSchema", True).option("nullValue", next((t for t in nulls if t), "")).csv(path)
+        df = df.select(*[_without_tokens(F.col(f"`{f.name}`"), nulls, f.dataType).alias(f.name) for f in df.schema.fields])
+    else:
+        wanted = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+        raw = reader.schema(T.StructType([T.StructField(f.name, T.StringType()) for f in wanted.fields])).csv(path)
+        cells = [_without_tokens(F.col(f"`{f.name}`"), nulls, T.StringType()) for f in wanted.fields]
+        typed = [c if isinstance(f.dataType, T.StringType) else F.trim(c).try_cast(f.dataType) for c, f in zip(cells, wanted.fields)]
+        extra = []
+        if malformed:
+            bad = [(c.isNotNull() & t.isNull()).cast("int") for c, t in zip(cells, typed)]
+            extra = [sum(bad[1:], bad[0]).alias(malformed)]
+        df = raw.select(*[t.alias(f.name) for t, f in zip(typed, wanted.fields)], *extra)
+    df = nan_to_null(plain_names(df))
+    return df.repartition(partitions) if partitions else df
+
+
+def _without_tokens(cell: Column, nulls, kind) -> Column:
+    return F.when(cell.isin(list(nulls)), None).otherwise(cell) if isinstance(kind, T.StringType) else cell
 
 
 def write_csv(df: DataFrame, path: str, sep: str = ",", gzip: bool = False) -> str:
-    writer = df.write.option("header", True).option("sep", sep)
+    writer = df.write.option("header", True).option("sep", sep).option("quote", '"').option("escape", '"')
+    writer = writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
     if gzip:
         writer = writer.option("compression", "gzip")
     writer.csv(path)
@@ -63,7 +91,7 @@ def save_dataset(df: DataFrame, path: str, mode: str = "overwrite") -> str:
 
 
 def load_dataset(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    return nan_to_null(spark.read.parquet(path))
 
 
 def inline_table(spark: SparkSession, rows, schema) -> DataFrame:

@@ -11,9 +11,9 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 
 def event_stream(spark: SparkSession, folder: str, name: str = "events", time_col: str = "ts") -> DataFrame:
-    """Files of one table as a stream; the event time becomes a zoned timestamp."""
+    """Files of one table as a stream, be it one file or a folder of files; the event time becomes a zoned timestamp."""
     schema = spark.read.parquet(f"{folder}/{name}.parquet").schema
-    stream = spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(folder)
+    stream = spark.readStream.schema(schema).parquet(f"{folder}/{name}.parque[t]")
     return stream.withColumn(time_col, F.col(time_col).cast("timestamp"))
 
 

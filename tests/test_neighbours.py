@@ -90,11 +90,24 @@ def test_smote_equalises_and_stays_on_segments(spark):
     base = {i: (c, np.array(v)) for i, c, v in data}
     for r in out:
         if r["synthetic"]:
-            a, p = base[r["id"]][1], np.array(r["vec"])
-            near = brute({r["id"]: a}, {i: v for i, (c, v) in base.items() if c == r["label"]}, 3, True)[r["id"]]
+            a, p = base[r["origin"]][1], np.array(r["vec"])
+            near = brute({r["origin"]: a}, {i: v for i, (c, v) in base.items() if c == r["label"]}, 3, True)[r["origin"]]
             ok = False
             for j in near:
                 b = base[j][1]
                 t = np.dot(p - a, b - a) / np.dot(b - a, b - a)
                 ok |= -1e-9 <= t <= 1 + 1e-9 and np.allclose(a + t * (b - a), p)
             assert ok
+
+
+def test_smote_refuses_a_single_row(spark):
+    df = spark.createDataFrame([(i, int(i == 0), [float(i)]) for i in range(9)], "id bigint, label int, vec array<double>")
+    with pytest.raises(ValueError, match="single row"):
+        smote(df, "label", "id", "vec", 3)
+
+
+def test_scored_rows_with_one_key(spark):
+    train = spark.createDataFrame([(i, [float(i)], float(i >= 5)) for i in range(10)], "id bigint, features array<double>, label double")
+    asked = spark.createDataFrame([(7, [0.0]), (7, [9.0])], "id bigint, features array<double>")
+    out = KnnClassifier(keyCol="id", k=3).fit(train).transform(asked).collect()
+    assert {(r["features"][0], r["prediction"]) for r in out} == {(0.0, 0.0), (9.0, 1.0)}

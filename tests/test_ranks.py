@@ -17,14 +17,14 @@ def frame(spark):
     return spark.createDataFrame(data, "id bigint, k string, v double").persist()
 
 
-def test_quantiles_both_forms(frame):
+def test_quantiles_for_any_buckets(frame):
     probs = [0, 0.1, 0.25, 0.5, 0.77, 1]
     pdf = frame.toPandas()
-    for limit in (0, 10**6):
-        got = {r["k"]: r["q"] for r in ranks.exact_quantiles(frame, ["v"], probs, ["k"], small_distinct=limit).collect()}
+    for limit in (2, 64, 5000):
+        got = {r["k"]: r["q"] for r in ranks.exact_quantiles(frame, ["v"], probs, ["k"], buckets=limit).collect()}
         for k, part in pdf.groupby("k"):
             assert np.allclose(got[k], part["v"].dropna().quantile(probs)), (limit, k)
-        one = ranks.exact_quantiles(frame, ["v"], probs, small_distinct=limit).first()["q"]
+        one = ranks.exact_quantiles(frame, ["v"], probs, buckets=limit).first()["q"]
         assert np.allclose(one, pdf["v"].dropna().quantile(probs))
 
 
@@ -56,7 +56,7 @@ def test_empty_and_single(rows):
     assert ranks.exact_quantiles(empty, ["v"], [0.5], ["k"]).count() == 0
     assert ranks.value_positions(empty, "v").count() == 0
     one = rows([("a", 4.0)], "k string, v double")
-    assert ranks.exact_quantiles(one, ["v"], [0, 0.5, 1], ["k"], small_distinct=0).first()["q"] == [4.0] * 3
+    assert ranks.exact_quantiles(one, ["v"], [0, 0.5, 1], ["k"]).first()["q"] == [4.0] * 3
 
 
 def test_factorize_first_appearance(rows):
@@ -73,10 +73,15 @@ def test_elbow_and_first_reaching(rows):
     assert ordered.first_reaching(shares, "c", "i", 0.85, zero_based=True).first()[0] == 1
 
 
-def test_curve_size_is_checked(spark, monkeypatch):
-    monkeypatch.setattr(ordered, "CURVE_POINTS", 5)
-    with pytest.raises(ValueError):
-        ordered.cumulative_share(spark.range(9).withColumn("v", F.lit(1.0)), "v", ["id"])
+def test_cumulative_share_of_a_long_curve(spark):
+    out = ordered.cumulative_share(spark.range(9000).withColumn("v", F.lit(1.0)), "v", ["id"]).toPandas()
+    assert np.allclose(out["cumulative"], (out["id"] + 1) / 9000)
+
+
+def test_sort_rank_of_dates_and_text(rows):
+    df = rows([("2024-01-05", "b"), ("2023-01-05", "a"), (None, "b"), ("2024-01-05", "ab")], "d string, t string").withColumn("d", F.col("d").cast("date"))
+    assert sorted((r["pos"] or 0) for r in ordered.sort_rank(df, "d").collect()) == [0, 1, 2, 2]
+    assert {r["t"]: r["pos"] for r in ordered.sort_rank(df, "t", descending=True).collect()} == {"b": 1, "ab": 3, "a": 4}
 
 
 def test_group_function_refuses_large_groups(spark):

@@ -120,5 +120,52 @@ class FitStep(Settings, Estimator, DefaultParamsReadable, DefaultParamsWritable)
         return {f"m{i}": m for i, m in enumerate(models)}
 
 
+class _PartsWriter(MLWriter):
+    def __init__(self, instance):
+        super().__init__()
+        self.instance = instance
+
+    def saveImpl(self, path: str) -> None:
+        plain, parts = self.instance.to_parts()
+        DefaultParamsWriter.saveMetadata(self.instance, path, self.sparkSession, extraMetadata={"plain": plain, "parts": sorted(parts)})
+        for name, part in parts.items():
+            part.write().save(f"{path}/parts/{name}")
+
+
+class _PartsReader(MLReader):
+    def __init__(self, cls):
+        super().__init__()
+        self.cls = cls
+
+    def load(self, path: str):
+        metadata = DefaultParamsReader.loadMetadata(path, self.sparkSession)
+        parts = {n: DefaultParamsReader.loadParamsInstance(f"{path}/parts/{n}", self.sparkSession) for n in metadata["parts"]}
+        step = self.cls.from_parts(metadata["plain"], parts)
+        step._resetUid(metadata["uid"])
+        DefaultParamsReader.getAndSetParams(step, metadata)
+        return step
+
+
+class MadeOfSteps:
+    """Saving and loading of an unfitted estimator that holds others.
+
+    ``to_parts`` gives JSON-able settings and the parts by name; ``from_parts`` builds the estimator again.
+    """
+
+    def to_parts(self) -> tuple[dict, dict]:
+        raise NotImplementedError
+
+    @classmethod
+    def from_parts(cls, plain: dict, parts: dict):
+        raise NotImplementedError
+
+    def write(self) -> MLWriter:
+        return _PartsWriter(self)
+
+    @classmethod
+    def read(cls):
+        return _PartsReader(cls)
+
+
 class PlainStep(Settings, Transformer, DefaultParamsReadable, DefaultParamsWritable):
     """A transformer without anything to learn."""

@@ -5,8 +5,9 @@ from __future__ import annotations
 import math
 from itertools import combinations_with_replacement
 
-from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.feature import PCA, VectorAssembler, VectorSlicer
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, Window, functions as F
 
 from rowsmith.features.base import FitStep, FittedStep, PlainStep, Settings, flag, integer, names, number, text
@@ -119,6 +120,10 @@ class _BinParams(Settings):
     defaults = {"bins": 5, "strategy": "quantile", "encode": "ordinal"}
 
 
+# Bounds of a column without values: whatever comes later falls into one bin.
+NO_EDGES = [0.0, 1.0]
+
+
 class FittedBins(_BinParams, FittedStep):
     def _transform(self, df: DataFrame) -> DataFrame:
         spots = {c: left_closed_bin(c, edges) for c, edges in self.state.items()}
@@ -142,12 +147,13 @@ class BinColumns(_BinParams, FitStep):
         edges: dict[str, list[float]] = {}
         if self.value("strategy") == "quantile":
             for c, cuts in column_quantiles(df, cols, [i / n for i in range(n + 1)]).items():
+                cuts = cuts or NO_EDGES
                 edges[c] = [cuts[0]] + [b for a, b in zip(cuts, cuts[1:]) if b - a > 1e-8]
         else:
             row = df.agg(*[f(F.col(c).cast("double")) for c in cols for f in (F.min, F.max)]).first()
             for i, c in enumerate(cols):
                 low, high = row[2 * i], row[2 * i + 1]
-                edges[c] = [low + (high - low) * j / n for j in range(n + 1)]
+                edges[c] = NO_EDGES if low is None else [low + (high - low) * j / n for j in range(n + 1)]
         return self.fitted({c: edges[c] for c in cols})
 
 
@@ -169,8 +175,7 @@ class YeoJohnson(_PowerParams, FitStep):
     """Power transform with the lambda of the highest likelihood, then z-scores.
 
     Each round evaluates a grid of lambdas for all columns in one aggregation
-    (every row meets a constant number of lambdas and is reduced at once) and
-    zooms in; a parabola through the last three points gives the answer.
+    and zooms in; a parabola through the last three points gives the answer.
     """
 
     model = FittedPower
@@ -183,12 +188,9 @@ class YeoJohnson(_PowerParams, FitStep):
         span, lams = {c: (-3.0, 5.0) for c in cols}, {}
         for _ in range(self.ROUNDS):
             grids = {c: [lo + (hi - lo) * i / (self.GRID - 1) for i in range(self.GRID)] for c, (lo, hi) in span.items()}
-            long = df.select(F.inline(F.array(*[
-                F.struct(F.lit(k).alias("c"), F.col(c).cast("double").alias("x"), F.lit(grids[c]).alias("grid"))
-                for k, c in enumerate(cols)])))
-            spread = long.select("c", "x", F.posexplode("grid").alias("i", "lam")).groupBy("c", "i").agg(
-                F.var_pop(signed_power("x", F.col("lam"))).alias("v"))
-            var = {(r["c"], r["i"]): r["v"] for r in spread.collect()}
+            found = df.agg(*[F.var_pop(signed_power(c, lam)).alias(f"v{k}_{i}")
+                             for k, c in enumerate(cols) for i, lam in enumerate(grids[c])]).first()
+            var = {(k, i): found[f"v{k}_{i}"] for k in range(len(cols)) for i in range(self.GRID)}
             for k, c in enumerate(cols):
                 grid = grids[c]
                 score = []
@@ -218,36 +220,54 @@ def assemble(df: DataFrame, cols, out: str = "features") -> DataFrame:
     return VectorAssembler(inputCols=list(cols), outputCol=out, handleInvalid="keep").transform(df)
 
 
-class PrincipalAxes:
-    """Centre and scale a vector column, then project on its main directions.
+class _ScaleParams(Settings):
+    inputCol = text("inputCol")
+    outputCol = text("outputCol")
+    scale = flag("scale", "divide by the population deviation")
+    defaults = {"scale": True}
 
-    ``variance`` keeps as many components as needed to reach that share.
-    """
 
-    def __init__(self, inputCol: str, outputCol: str = "pca", k: int | None = None, variance: float | None = None, scale: bool = True):
-        self.inputCol, self.outputCol, self.k, self.variance, self.scale = inputCol, outputCol, k, variance, scale
+class FittedVectorScaler(_ScaleParams, FittedStep):
+    def _transform(self, df: DataFrame) -> DataFrame:
+        pairs = F.array(*[F.struct(F.lit(m).alias("m"), F.lit(s).alias("s")) for m, s in zip(self.state["mean"], self.state["scale"])])
+        values = F.zip_with(vector_to_array(F.col(self.value("inputCol"))), pairs, lambda v, p: (v - p["m"]) / p["s"])
+        return df.withColumn(self.value("outputCol"), array_to_vector(values))
 
-    def fit(self, df: DataFrame) -> "PrincipalAxes":
-        size = len(df.select(vector_to_array(F.col(self.inputCol)).alias("a")).first()["a"])
-        self.scaler = StandardScaler(inputCol=self.inputCol, outputCol="__z", withMean=True, withStd=self.scale).fit(df)
-        scaled = self.scaler.transform(df)
-        whole = PCA(k=size, inputCol="__z", outputCol=self.outputCol).fit(scaled)
-        self.ratios = [float(v) for v in whole.explainedVariance]
-        if self.variance is not None:
-            run, keep = 0.0, size
-            for i, r in enumerate(self.ratios):
-                run += r
-                if run >= self.variance:
-                    keep = i + 1
-                    break
-        else:
-            keep = self.k or size
-        self.kept = keep
-        self.model = whole if keep == size else PCA(k=keep, inputCol="__z", outputCol=self.outputCol).fit(scaled)
-        return self
 
-    def transform(self, df: DataFrame) -> DataFrame:
-        return self.model.transform(self.scaler.transform(df)).drop("__z")
+class VectorScaler(_ScaleParams, FitStep):
+    """Zero mean and unit population deviation of every entry of a vector column; a constant entry is only centred."""
+
+    model = FittedVectorScaler
+
+    def _fit(self, df: DataFrame) -> FittedVectorScaler:
+        found = df.select(Summarizer.metrics("mean", "variance", "count").summary(F.col(self.value("inputCol"))).alias("s")).first()["s"]
+        n = found["count"]
+        wide = [math.sqrt(v * (n - 1) / n) if n else 0.0 for v in found["variance"]]
+        return self.fitted({"mean": [float(m) for m in found["mean"]],
+                            "scale": [w if w > 0 and self.value("scale") else 1.0 for w in wide]})
+
+
+class _AxesParams(Settings):
+    inputCol = text("inputCol")
+    outputCol = text("outputCol")
+    k = integer("k", "components to keep; all by default")
+    variance = number("variance", "share of the variance that the kept components reach")
+    scale = flag("scale")
+    defaults = {"outputCol": "pca", "scale": True}
+
+
+class FittedAxes(_AxesParams, FittedStep):
+    @property
+    def ratios(self) -> list[float]:
+        return self.state["ratios"]
+
+    @property
+    def kept(self) -> int:
+        return self.state["kept"]
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        out = self.models["axes"].transform(self.models["scaler"].transform(df)).drop("__z")
+        return VectorSlicer(inputCol="__axes", outputCol=self.value("outputCol"), indices=list(range(self.kept))).transform(out).drop("__axes")
 
     def variance_table(self, spark) -> DataFrame:
         """Explained share and running share per component."""
@@ -258,6 +278,33 @@ class PrincipalAxes:
         return spark.createDataFrame(rows, "component int, share double, cumulative double")
 
 
+class PrincipalAxes(_AxesParams, FitStep):
+    """Centre and scale a vector column by the population deviation, then project on its main directions.
+
+    ``variance`` keeps as many components as needed to reach that share. All
+    components are found at once; the kept ones are the first of them.
+    """
+
+    model = FittedAxes
+
+    def _fit(self, df: DataFrame) -> FittedAxes:
+        scaler = VectorScaler(inputCol=self.value("inputCol"), outputCol="__z", scale=self.value("scale")).fit(df)
+        size = len(scaler.state["mean"])
+        axes = PCA(k=size, inputCol="__z", outputCol="__axes").fit(scaler.transform(df))
+        ratios = [float(v) for v in axes.explainedVariance]
+        keep = self.value("k") or size
+        if self.value("variance") is not None:
+            run, keep = 0.0, size
+            for i, r in enumerate(ratios):
+                run += r
+                if run >= self.value("variance"):
+                    keep = i + 1
+                    break
+        out = self.fitted({"ratios": ratios, "kept": keep})
+        out.models = {"scaler": scaler, "axes": axes}
+        return out
+
+
 def anova_f(df: DataFrame, cols, label: str) -> DataFrame:
     """F statistic of every column against the classes, from one grouped aggregation."""
     from rowsmith.operators.stats import long_agg

@@ -7,7 +7,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
-from rowsmith.features.base import FitStep, FittedStep, Settings, integer, names, number, text
+from rowsmith.features.base import FitStep, FittedStep, MadeOfSteps, Settings, integer, number, text
 from rowsmith.operators.resample import bootstrap, stratified_kfold
 from rowsmith.session import materialise, side_by_side
 
@@ -25,9 +25,10 @@ def probabilities(model, df: DataFrame, out: str) -> DataFrame:
 
 
 def _average(df: DataFrame, members: list[str], drop: bool = True) -> DataFrame:
+    # A member fitted without the last classes gives them probability 0.
     total = F.col(members[0])
     for m in members[1:]:
-        total = F.zip_with(total, F.col(m), lambda a, b: a + b)
+        total = F.zip_with(total, F.col(m), lambda a, b: F.coalesce(a, F.lit(0.0)) + F.coalesce(b, F.lit(0.0)))
     mean = F.transform(total, lambda v: v / F.lit(float(len(members))))
     out = df.withColumn("__p", mean)
     out = out.withColumn("prediction", (F.array_position("__p", F.array_max("__p")) - 1).cast("double"))
@@ -47,7 +48,7 @@ class FittedVote(FittedStep):
         return _average(self.member_scores(df), [f"__m{i}" for i in range(len(self.members))])
 
 
-class SoftVote(FitStep):
+class SoftVote(MadeOfSteps, FitStep):
     """Average of the class probabilities of several fitted classifiers."""
 
     model = FittedVote
@@ -56,6 +57,13 @@ class SoftVote(FitStep):
         super().__init__(**params)
         self.members = members or []
 
+    def to_parts(self):
+        return {}, self.numbered(self.members)
+
+    @classmethod
+    def from_parts(cls, plain, parts):
+        return cls([parts[f"m{i}"] for i in range(len(parts))])
+
     def _fit(self, df: DataFrame) -> FittedVote:
         out = self.fitted({})
         out.models = self.numbered(fit_all(self.members, df))
@@ -80,7 +88,7 @@ class FittedBag(_BagParams, FittedStep):
         return _average(df, [f"__m{i}" for i in range(len(self.members))])
 
 
-class Bagging(_BagParams, FitStep):
+class Bagging(MadeOfSteps, _BagParams, FitStep):
     """Copies of one classifier, each fitted on resampled rows and a subset of the columns.
 
     The member reads its features from ``__f`` and its row key from ``__key``
@@ -93,6 +101,13 @@ class Bagging(_BagParams, FitStep):
         super().__init__(**params)
         self.member = member
 
+    def to_parts(self):
+        return {}, {"member": self.member}
+
+    @classmethod
+    def from_parts(cls, plain, parts):
+        return cls(parts["member"])
+
     def _fit(self, df: DataFrame) -> FittedBag:
         import random
 
@@ -131,7 +146,7 @@ class FittedStack(_StackParams, FittedStep):
         return self.models["final"].transform(_stacked_features(df, len(self.members))).drop("__stack")
 
 
-class Stacking(_StackParams, FitStep):
+class Stacking(MadeOfSteps, _StackParams, FitStep):
     """A final classifier trained on the members' out-of-fold probabilities.
 
     ``final`` reads its features from ``__stack``. Every training row is scored
@@ -144,6 +159,13 @@ class Stacking(_StackParams, FitStep):
         super().__init__(**params)
         self.members, self.final = members or [], final
 
+    def to_parts(self):
+        return {}, {**self.numbered(self.members), "final": self.final}
+
+    @classmethod
+    def from_parts(cls, plain, parts):
+        return cls([parts[f"m{i}"] for i in range(len(parts) - 1)], parts["final"])
+
     def out_of_fold(self, df: DataFrame) -> DataFrame:
         rows = materialise(stratified_kfold(df, self.value("labelCol"), self.value("keyCol"), self.value("folds"),
                                             self.value("seed"), "__fold"), "folds")

@@ -6,12 +6,13 @@ from functools import reduce
 
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import LinearSVC, LogisticRegression
-from pyspark.ml.feature import PolynomialExpansion, StandardScaler, VectorAssembler
+from pyspark.ml.feature import PolynomialExpansion, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame, functions as F
 
 from rowsmith.features.base import FitStep, FittedStep, Settings, integer, names, number, text
+from rowsmith.features.numeric import VectorScaler
 from rowsmith.operators.resample import balanced_weights, kfold
 from rowsmith.operators.stats import present
 from rowsmith.session import side_by_side
@@ -25,14 +26,29 @@ def least_squares(cols, label: str, prediction: str = "prediction") -> Pipeline:
     ])
 
 
-def logistic(label: str = "label", rows: int | None = None, C: float = 1.0, weight: str | None = None, features: str = "features") -> LogisticRegression:
+class Logistic(FitStep):
     """L2-penalised logistic regression with inverse strength ``C``.
 
-    Spark averages the loss over the rows, so the penalty is ``1 / (C * rows)``.
+    Spark averages the loss over the rows, so the penalty is ``1 / (C * rows)``, with the rows that are fitted.
+    ``C`` 0 means no penalty. The fitted step is Spark's own model.
     """
-    model = LogisticRegression(labelCol=label, featuresCol=features, regParam=1.0 / (C * rows) if rows else 0.0,
-                               standardization=False, maxIter=100)
-    return model.setWeightCol(weight) if weight else model
+
+    featuresCol = text("featuresCol")
+    labelCol = text("labelCol")
+    weightCol = text("weightCol")
+    C = number("C")
+    defaults = {"featuresCol": "features", "labelCol": "label", "C": 1.0}
+
+    def _fit(self, df: DataFrame):
+        strength = self.value("C")
+        penalty = 1.0 / (strength * max(df.count(), 1)) if strength else 0.0
+        model = LogisticRegression(labelCol=self.value("labelCol"), featuresCol=self.value("featuresCol"), regParam=penalty,
+                                   standardization=False, maxIter=100)
+        return (model.setWeightCol(self.value("weightCol")) if self.value("weightCol") else model).fit(df)
+
+
+def logistic(label: str = "label", C: float = 1.0, weight: str | None = None, features: str = "features") -> Logistic:
+    return Logistic(labelCol=label, C=C, weightCol=weight, featuresCol=features)
 
 
 def coefficient_table(spark, model, cols) -> DataFrame:
@@ -110,9 +126,9 @@ class PolynomialMargin(_MarginParams, FitStep):
     def _stages(self) -> Pipeline:
         label = self.value("labelCol")
         return Pipeline(stages=[
-            StandardScaler(inputCol=self.value("featuresCol"), outputCol="__z", withMean=True, withStd=True),
+            VectorScaler(inputCol=self.value("featuresCol"), outputCol="__z"),
             PolynomialExpansion(inputCol="__z", outputCol="__poly", degree=self.value("degree")),
-            StandardScaler(inputCol="__poly", outputCol="__zp", withMean=True, withStd=True),
+            VectorScaler(inputCol="__poly", outputCol="__zp"),
             LinearSVC(featuresCol="__zp", labelCol=label, weightCol="__w", regParam=self.value("regParam"), maxIter=self.value("maxIter")),
         ])
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import copy
+import importlib
 import itertools
 import json
 import random
@@ -11,9 +13,10 @@ from pyspark.ml import Estimator, Pipeline, PipelineModel, Transformer
 from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.util import MLReadable, MLWritable
 from pyspark.sql import DataFrame, functions as F
 
-from rowsmith.features.base import PlainStep, Settings, names, text
+from rowsmith.features.base import MadeOfSteps, PlainStep, names, text
 from rowsmith.operators.clean import columns_by_dtype
 from rowsmith.operators.resample import kfold, smote, stratified_kfold
 from rowsmith.session import materialise, side_by_side
@@ -25,6 +28,10 @@ class Sampler:
     def resample(self, df: DataFrame) -> DataFrame:
         raise NotImplementedError
 
+    def settings(self) -> dict:
+        """Constructor arguments, for saving."""
+        return dict(self.__dict__)
+
 
 class SmoteSampler(Sampler):
     """Oversampling of the smaller classes over numeric columns; other columns are not kept."""
@@ -51,11 +58,12 @@ class AssembleByType(PlainStep):
         return VectorAssembler(inputCols=cols, outputCol=self.value("outputCol")).transform(df)
 
 
-class ColumnSteps(Estimator):
+class ColumnSteps(MadeOfSteps, Estimator, MLReadable, MLWritable):
     """Branches of steps on groups of columns; columns outside every group pass through.
 
     ``branches`` is a list of (group, steps): the group is 'numeric', 'string'
-    or a list of names, and is resolved from the schema at fit time.
+    or a list of names, and is resolved from the schema at fit time. Training
+    rows that a step encodes differently (out of fold) are handed on.
     """
 
     def __init__(self, branches, exclude=()):
@@ -63,15 +71,28 @@ class ColumnSteps(Estimator):
         self.branches, self.exclude = branches, tuple(exclude)
 
     def _fit(self, df: DataFrame) -> PipelineModel:
+        return self.fit_transform(df)[0]
+
+    def fit_transform(self, df: DataFrame) -> tuple[PipelineModel, DataFrame]:
         fitted = []
         resolved = [(columns_by_dtype(df, g) if isinstance(g, str) else list(g), steps) for g, steps in self.branches]
         for cols, steps in resolved:
             cols = [c for c in cols if c not in self.exclude]
             for step in steps if cols else []:
-                model = _fit_step(step.copy()._set(inputCols=cols), df)[0]
-                df = model.transform(df)
+                model, rows = _fit_step(step.copy()._set(inputCols=cols), df)
+                df = model.transform(df) if rows is None else rows
                 fitted.append(model)
-        return PipelineModel(fitted)
+        return PipelineModel(fitted), df
+
+    def to_parts(self):
+        steps = {f"b{i}s{j}": step for i, (_, branch) in enumerate(self.branches) for j, step in enumerate(branch)}
+        groups = [[g if isinstance(g, str) else list(g), len(branch)] for g, branch in self.branches]
+        return {"groups": groups, "exclude": list(self.exclude)}, steps
+
+    @classmethod
+    def from_parts(cls, plain, parts):
+        branches = [(g, [parts[f"b{i}s{j}"] for j in range(n)]) for i, (g, n) in enumerate(plain["groups"])]
+        return cls(branches, plain["exclude"])
 
 
 def _fit_step(step, df: DataFrame):
@@ -83,11 +104,12 @@ def _fit_step(step, df: DataFrame):
     return step, None
 
 
-class Flow(Estimator):
+class Flow(MadeOfSteps, Estimator, MLReadable, MLWritable):
     """A chain of steps in which samplers take part in fitting only.
 
-    Steps that encode training rows differently (out of fold) are honoured.
-    The fitted chain is an ordinary ``PipelineModel``.
+    Steps that encode training rows differently (out of fold) are honoured,
+    also inside branches and nested chains. The fitted chain is an ordinary
+    ``PipelineModel``; the unfitted one can be saved as well.
     """
 
     def __init__(self, steps: list):
@@ -95,9 +117,9 @@ class Flow(Estimator):
         self.steps = list(steps)
 
     def _fit(self, df: DataFrame) -> PipelineModel:
-        return self.fit_rows(df)[0]
+        return self.fit_transform(df)[0]
 
-    def fit_rows(self, df: DataFrame) -> tuple[PipelineModel, DataFrame]:
+    def fit_transform(self, df: DataFrame) -> tuple[PipelineModel, DataFrame]:
         """The fitted chain and the training rows as the last step leaves them."""
         fitted: list[Transformer] = []
         for step in self.steps:
@@ -109,9 +131,29 @@ class Flow(Estimator):
             df = model.transform(df) if rows is None else rows
         return PipelineModel(fitted), df
 
+    def to_parts(self):
+        plan, parts = [], {}
+        for i, step in enumerate(self.steps):
+            if isinstance(step, Sampler):
+                plan.append({"sampler": f"{type(step).__module__}.{type(step).__qualname__}", "settings": step.settings()})
+            else:
+                plan.append(f"s{i}")
+                parts[f"s{i}"] = step
+        return {"plan": plan}, parts
+
+    @classmethod
+    def from_parts(cls, plain, parts):
+        steps = []
+        for entry in plain["plan"]:
+            if isinstance(entry, str):
+                steps.append(parts[entry])
+            else:
+                module, _, name = entry["sampler"].rpartition(".")
+                steps.append(getattr(importlib.import_module(module), name)(**entry["settings"]))
+        return cls(steps)
+
     def copy(self, extra=None) -> "Flow":
-        changed = Flow([s if isinstance(s, Sampler) else s.copy(extra) for s in self.steps])
-        return changed
+        return Flow([s if isinstance(s, Sampler) else s.copy(extra) for s in self.steps])
 
     def replace_last(self, step) -> "Flow":
         return Flow(self.steps[:-1] + [step])
@@ -121,18 +163,21 @@ class Flow(Estimator):
         return next(s for s in self.steps if isinstance(s, kind))
 
     def with_params(self, **params) -> "Flow":
-        """``step_name__param`` settings on a copy; the step name is the class name in lower case."""
-        import copy
+        """``step_name__param`` settings on a copy; the step name is the class name in lower case.
 
+        A name that fits no step or no setting of it is an error.
+        """
         steps = [copy.copy(s) if isinstance(s, Sampler) else s.copy() for s in self.steps]
         for key, value in params.items():
             owner, _, name = key.partition("__")
-            for s in steps:
-                if type(s).__name__.lower() == owner:
-                    if isinstance(s, Sampler):
-                        setattr(s, name, value)
-                    else:
-                        s._set(**{name: value})
+            mine = [s for s in steps if type(s).__name__.lower() == owner]
+            if not mine or not all(name in s.settings() if isinstance(s, Sampler) else s.hasParam(name) for s in mine):
+                raise ValueError(f"no setting {key!r} in {[type(s).__name__.lower() for s in steps]}")
+            for s in mine:
+                if isinstance(s, Sampler):
+                    setattr(s, name, value)
+                else:
+                    s._set(**{name: value})
         return Flow(steps)
 
 
@@ -207,7 +252,7 @@ def search_last_step(flow: Flow, make, points: list[dict], df: DataFrame, evalua
 
     def prepare(f):
         def run():
-            prefix, train = Flow(flow.steps[:-1]).copy().fit_rows(rows.where(F.col("fold") != f).drop("fold"))
+            prefix, train = Flow(flow.steps[:-1]).copy().fit_transform(rows.where(F.col("fold") != f).drop("fold"))
             test = prefix.transform(rows.where(F.col("fold") == f).drop("fold"))
             return materialise(train, "prefix"), materialise(test, "prefix")
 
@@ -260,8 +305,9 @@ def leaderboard(models: dict[str, Transformer], df: DataFrame, label: str, posit
 
     rows = []
     for name, model in models.items():
+        scored = model.transform(df).select(F.col(label).cast("double").alias("y"), F.col("prediction").alias("p"))
         start = time.perf_counter()
-        scored = materialise(model.transform(df).select(F.col(label).cast("double").alias("y"), F.col("prediction").alias("p")), "scored")
+        scored.write.format("noop").mode("overwrite").save()
         seconds = time.perf_counter() - start
         rows.append((name, float(f1_binary(scored, "y", "p", positive).first()["f1"]), seconds))
     rows.sort(key=lambda r: (-r[1], r[0]))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
+from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.sql import functions as F
 
 from rowsmith.features import category as C
@@ -13,7 +13,8 @@ from rowsmith.models import trees as T
 from rowsmith.operators import metrics as M
 from rowsmith.plans import flows
 from rowsmith.plans.q_features import DOC_COLS, doc_features
-from rowsmith.plans.q_models import scaled_docs
+from rowsmith.plans.q_models import scaled
+from rowsmith.plans.q_relate import U
 from rowsmith.plans.registry import query
 from rowsmith.plans.runs import RunLog
 from rowsmith.session import scratch_path
@@ -106,18 +107,41 @@ def classification_report(spark, sf):
     return out.withColumns({c: F.round(c, 8) for c in ("precision", "recall", "f1")})
 
 
+MISSING = """(SELECT CASE WHEN l_orderkey % 9 <> 0 THEN l_returnflag END AS y,
+    CASE WHEN l_partkey % 11 <> 0 THEN CASE WHEN l_quantity < 15 THEN 'A' WHEN l_tax > 0.04 THEN 'N' ELSE 'R' END END AS p FROM lineitem)"""
+
+
+@query("balanced_accuracy_missing", f"""
+    SELECT round(avg(r), 8) AS balanced_accuracy FROM (
+      SELECT y, avg((y = p)::INT) AS r FROM {MISSING} WHERE y IS NOT NULL AND p IS NOT NULL GROUP BY 1)""")
+def balanced_accuracy_missing(spark, sf):
+    """Rows without a truth or without a prediction take no part."""
+    p = F.when(F.col("l_quantity") < 15, "A").when(F.col("l_tax") > 0.04, "N").otherwise("R")
+    df = table(spark, sf, "lineitem").select(
+        F.when(F.col("l_orderkey") % 9 != 0, F.col("l_returnflag")).alias("y"), F.when(F.col("l_partkey") % 11 != 0, p).alias("p"))
+    return M.balanced_accuracy(df, "y", "p").withColumn("balanced_accuracy", F.round("balanced_accuracy", 8))
+
+
+@query("regression_metrics_missing", f"""
+    WITH g AS (SELECT y, p FROM {GUESS} WHERE o_orderkey % 7 <> 0 AND o_orderkey % 5 <> 0)
+    SELECT round(1 - sum(pow(y - p, 2)) / sum(pow(y - m, 2)), 8) AS r2, round(avg(abs(y - p)), 4) AS mae FROM g, (SELECT avg(y) AS m FROM g)""")
+def regression_metrics_missing(spark, sf):
+    df = guesses(spark, sf).select(F.when(F.col("o_orderkey") % 7 != 0, F.col("y")).alias("y"), F.when(F.col("o_orderkey") % 5 != 0, F.col("p")).alias("p"))
+    return M.regression_metrics(df, "y", "p").select(F.round("r2", 8).alias("r2"), F.round("mae", 4).alias("mae"))
+
+
 @query("leaderboard")
 def leaderboard(spark, sf):
-    df = scaled_docs(spark, sf)
+    df = doc_features(spark, sf)
     train, test = df.where("doc_id % 4 <> 0"), df.where("doc_id % 4 = 0")
     models = {
-        "logistic": L.logistic(rows=train.count()), "tree": T.decision_tree(depth=5), "bayes": B.GaussianBayes(inputCols=DOC_COLS),
-        "neighbours": B.KnnClassifier(keyCol="doc_id", k=5), "forest": T.forest_classifier(trees=20),
+        "logistic": L.logistic(), "tree": T.decision_tree(depth=5), "bayes": B.GaussianBayes(inputCols=DOC_COLS),
+        "neighbours": B.KnnClassifier(keyCol="doc_id", k=5), "forest": T.forest_classifier(),
     }
-    return flows.leaderboard({n: m.fit(train) for n, m in models.items()}, test, "label")
+    return flows.leaderboard({n: scaled(m).fit(train) for n, m in models.items()}, test, "label")
 
 
-def price_flow(trees: int = 20) -> flows.Flow:
+def price_flow(trees: int = 100) -> flows.Flow:
     """Group ratio, imputation, out-of-fold target encoding, forest."""
     return flows.Flow([
         N.GroupRatio(keyCols=["brand", "kind"], inputCol="visible", outputCol="visible_ratio"),
@@ -150,10 +174,21 @@ def fit_and_score_flow(spark, sf):
 @query("cross_validation")
 def cross_validation(spark, sf):
     scorer = RegressionEvaluator(labelCol="price", metricName="rmse")
-    return flows.cross_val_score(price_flow(10), sales(spark, sf), scorer, ["id"], 3)
+    return flows.cross_val_score(price_flow(), sales(spark, sf), scorer, ["id"])
+
+
+@query("cross_validation_line", f"""
+    WITH k AS (SELECT p_size AS x, p_retailprice AS y, floor({U('p_partkey', 42)} * 5)::INT AS fold FROM part),
+    m AS (SELECT f.fold, regr_slope(y, x) AS b, regr_intercept(y, x) AS a FROM (SELECT DISTINCT fold FROM k) f JOIN k ON k.fold <> f.fold GROUP BY 1)
+    SELECT fold, round(sqrt(avg(pow(y - a - b * x, 2))), 5) AS score FROM k JOIN m USING (fold) GROUP BY 1""")
+def cross_validation_line(spark, sf):
+    """The same over a straight line, whose fold errors follow from sums."""
+    df = table(spark, sf, "part").select("p_partkey", F.col("p_size").cast("double").alias("x"), F.col("p_retailprice").alias("y"))
+    out = flows.cross_val_score(L.least_squares(["x"], "y"), df, RegressionEvaluator(labelCol="y", metricName="rmse"), ["p_partkey"])
+    return out.withColumn("score", F.round("score", 5))
 
 
-def churn_flow(label: str = "label", k: int = 5, columns: int = 4, depth: int = 3) -> flows.Flow:
+def churn_flow(label: str = "label", k: int = 5, columns: int = 4, depth: int = 3, rounds: int = 100, **more) -> flows.Flow:
     """Target encoding, column choice, power transform, oversampling, binning, boosting."""
     cols = [*DOC_COLS, "lang", "source"]
     return flows.Flow([
@@ -161,7 +196,7 @@ def churn_flow(label: str = "label", k: int = 5, columns: int = 4, depth: int =
         N.SelectBest(inputCols=cols, labelCol=label, k=columns),
         PowerAndBalance(cols, label, k),
         flows.AssembleByType(exclude=["doc_id", label]),
-        T.boosted_classifier(label, rounds=5, depth=depth),
+        T.boosted_classifier(label, rounds=rounds, depth=depth, **more),
     ])
 
 
@@ -197,38 +232,42 @@ def oversampled_flow(spark, sf):
     return model.transform(df.where("doc_id % 4 = 0")).select("doc_id", "label", "prediction")
 
 
+# Rounds of the boosted model while its settings are searched; the fit that follows takes 100.
+SEARCH_ROUNDS = 10
+
+
 @query("grid_search")
 def grid_search(spark, sf):
-    df = scaled_docs(spark, sf).select("doc_id", "label", "features")
+    """Eight points, five folds, over the chain with its scaler."""
+    df = doc_features(spark, sf).select("doc_id", "label", *DOC_COLS)
     grid = {"rate": [0.1, 0.3], "subsample": [0.75, 0.85], "features": ["sqrt", "log2"]}
-    return flows.grid_search(lambda **p: T.boosted_classifier(rounds=2, **p), grid, df, flows.BalancedAccuracy(), ["doc_id"], k=2, stratify="label")
+    return flows.grid_search(lambda **p: scaled(T.boosted_classifier(rounds=SEARCH_ROUNDS, **p)), grid, df, flows.BalancedAccuracy(), ["doc_id"], stratify="label")
 
 
 @query("search_with_stored_prefix")
 def search_with_stored_prefix(spark, sf):
-    """Grid over the last step only; the steps before it run once per fold."""
-    points = flows.parameter_grid({"depth": [2, 4], "rate": [0.1, 0.3]})
+    """Grid over the last step only; the steps before it, sampler included, run once per fold."""
+    points = flows.parameter_grid({"depth": [2, 4], "rate": [0.1, 0.3], "subsample": [0.75, 0.85]})
     return flows.search_last_step(
-        churn_flow(), lambda **p: T.boosted_classifier(rounds=3, **p), points, churn(spark, sf),
-        flows.BalancedAccuracy(), ["doc_id"], k=2, stratify="label")
+        churn_flow(), lambda **p: T.boosted_classifier(rounds=SEARCH_ROUNDS, **p), points, churn(spark, sf),
+        flows.BalancedAccuracy(), ["doc_id"], stratify="label")
 
 
 @query("random_search")
 def random_search(spark, sf):
-    df = scaled_docs(spark, sf).select("doc_id", "label", "features")
-    grid = {"maxDepth": [2, 3, 5, 7], "trees": [5, 10], "subsamplingRate": [0.65, 0.85]}
-    scorer = MulticlassClassificationEvaluator(metricName="accuracy")
-    return flows.random_search(lambda **p: T.forest_classifier(**p), grid, 4, df, scorer, ["doc_id"], k=2, stratify="label")
+    """Ten draws, five folds, over settings of the whole churn chain."""
+    grid = {"columns": [3, 5, 7], "k": [3, 5], "depth": [2, 3, 5], "rate": [0.1, 0.3]}
+    return flows.random_search(lambda **p: churn_flow(rounds=SEARCH_ROUNDS, **p), grid, 10, churn(spark, sf), flows.BalancedAccuracy(), ["doc_id"], stratify="label")
 
 
 @query("run_log")
 def run_log(spark, sf):
     """Two runs logged and found again, best first."""
-    df = scaled_docs(spark, sf)
+    df = doc_features(spark, sf)
     train, test = df.where("doc_id % 4 <> 0"), df.where("doc_id % 4 = 0")
     log = RunLog(spark, scratch_path(spark, "runs"))
     for depth in (2, 5):
-        model = T.decision_tree(depth=depth).fit(train)
+        model = scaled(T.decision_tree(depth=depth)).fit(train)
         score = flows.BalancedAccuracy().evaluate(model.transform(test))
         log.log("documents", f"tree-{depth}", {"depth": depth}, {"balanced_accuracy": score}, {"kind": "tree"}, model=model,
                 sample=train.select("doc_id", *DOC_COLS), registered="document-tree")

@@ -13,7 +13,7 @@ from rowsmith.features import numeric as N
 from rowsmith.functions import scalar as S
 from rowsmith.operators import resample as R
 from rowsmith.operators.clean import columns_by_dtype
-from rowsmith.plans.flows import ColumnSteps
+from rowsmith.plans.flows import ColumnSteps, Flow
 from rowsmith.plans.q_clean import HOLED, holed_lineitem
 from rowsmith.plans.q_relate import U
 from rowsmith.plans.registry import query
@@ -29,13 +29,17 @@ def U4(seed: int) -> str:
     return f"(('0x' || substr(md5(concat_ws(':', {keys}, '{seed}')), 1, 8))::BIGINT / 4294967296.0)"
 
 
-def doc_features(spark, sf):
-    """Labelled documents with numbers measured on their whole text, stored once for the fits that follow."""
-    docs = table(spark, sf, "documents").select(
+def doc_numbers(spark, sf):
+    """All documents with numbers measured on their whole text."""
+    return table(spark, sf, "documents").select(
         "doc_id", "lang", "source", F.col("n_chars").cast("double").alias("chars"),
         (S.count_chars("text", " ") + 1).cast("double").alias("words"), S.count_chars("text", "\n").cast("double").alias("lines"),
         S.count_chars("text", "0123456789").cast("double").alias("digits"), S.count_chars("text", ".,;:!?").cast("double").alias("marks"))
-    labelled = docs.join(table(spark, sf, "labels"), "doc_id").withColumn("label", F.col("quality").cast("double"))
+
+
+def doc_features(spark, sf):
+    """The labelled ones of them, stored once for the fits that follow."""
+    labelled = doc_numbers(spark, sf).join(table(spark, sf, "labels"), "doc_id").withColumn("label", F.col("quality").cast("double"))
     return materialise(labelled, "documents")
 
 
@@ -180,6 +184,20 @@ def target_encode_crossfit(spark, sf):
     return step.fit_transform(df)[1].select("p_partkey", F.round("p_brand", 5).alias("p_brand"))
 
 
+@query("target_encode_crossfit_in_branch", f"""
+    WITH k AS (SELECT p_partkey, p_brand, p_retailprice AS y, floor({U('p_partkey', 42)} * 5)::INT AS fold FROM part),
+    o AS (SELECT f.fold, avg(y) AS m, var_pop(y) AS v FROM (SELECT DISTINCT fold FROM k) f JOIN k ON k.fold <> f.fold GROUP BY 1),
+    c AS (SELECT f.fold, p_brand, count(*) AS n, avg(y) AS cm, var_pop(y) AS cv FROM (SELECT DISTINCT fold FROM k) f JOIN k ON k.fold <> f.fold GROUP BY ALL)
+    SELECT p_partkey, round(coalesce(cm * (n * v / (n * v + cv)) + m * (1 - n * v / (n * v + cv)), m), 5) AS p_brand
+    FROM k JOIN o USING (fold) LEFT JOIN c ON c.fold = k.fold AND c.p_brand = k.p_brand""")
+def target_encode_crossfit_in_branch(spark, sf):
+    """The same encoder inside a branch of columns inside a chain: training rows never see their own target."""
+    df = table(spark, sf, "part").select("p_partkey", "p_brand", "p_retailprice")
+    step = C.CrossFitTargetEncoder(labelCol="p_retailprice", keyCols=["p_partkey"])
+    rows = Flow([Flow([ColumnSteps([(["p_brand"], [step])])])]).fit_transform(df)[1]
+    return rows.select("p_partkey", F.round("p_brand", 5).alias("p_brand"))
+
+
 @query("target_encode_full", """
     WITH g AS (SELECT avg(p_retailprice) AS m, var_pop(p_retailprice) AS v FROM part WHERE p_size < 25),
     c AS (SELECT p_brand, count(*) AS n, avg(p_retailprice) AS cm, var_pop(p_retailprice) AS cv FROM part WHERE p_size < 25 GROUP BY 1)
@@ -246,13 +264,24 @@ def embedded(spark, sf):
 def principal_axes(spark, sf):
     """Projection on as many axes as explain 85 % of the variance."""
     df = embedded(spark, sf)
-    out = N.PrincipalAxes("features", "pca", variance=0.85).fit(df).transform(df)
+    out = N.PrincipalAxes(inputCol="features", variance=0.85).fit(df).transform(df)
     return out.select("vec_id", vector_to_array("pca").alias("pca"))
 
 
 @query("explained_variance")
 def explained_variance(spark, sf):
-    return N.PrincipalAxes("features", "pca").fit(embedded(spark, sf)).variance_table(spark)
+    return N.PrincipalAxes(inputCol="features").fit(embedded(spark, sf)).variance_table(spark)
+
+
+@query("explained_variance_pair", """
+    WITH r AS (SELECT abs(corr(l_quantity, l_extendedprice)) AS r FROM lineitem)
+    SELECT 1 AS component, round((1 + r) / 2, 8) AS share, round((1 + r) / 2, 8) AS cumulative FROM r
+    UNION ALL SELECT 2, round((1 - r) / 2, 8), 1.0 FROM r""")
+def explained_variance_pair(spark, sf):
+    """Two scaled columns: the shares follow from their correlation."""
+    df = N.assemble(table(spark, sf, "lineitem"), ["l_quantity", "l_extendedprice"])
+    out = N.PrincipalAxes(inputCol="features").fit(df).variance_table(spark)
+    return out.select("component", F.round("share", 8).alias("share"), F.round("cumulative", 8).alias("cumulative"))
 
 
 @query("anova_f", " UNION ALL ".join(f"""

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from rowsmith.features import numeric as N
@@ -15,13 +16,18 @@ from rowsmith.operators import neighbours as NN
 from rowsmith.operators import resample as R
 from rowsmith.operators.metrics import confusion_counts, regression_exprs
 from rowsmith.plans import flows
-from rowsmith.plans.q_features import DOC_COLS, DOCS, doc_features, embedded
+from rowsmith.plans.q_features import DOC_COLS, DOCS, doc_features, doc_numbers, embedded
 from rowsmith.plans.registry import query
 from rowsmith.sources.tables import table
 
 
+def scaled(model) -> flows.Flow:
+    """A chain that scales the document columns by its training rows and fits ``model`` on their vector."""
+    return flows.Flow([N.ZScaler(inputCols=DOC_COLS), VectorAssembler(inputCols=DOC_COLS, outputCol="features"), model])
+
+
 def scaled_docs(spark, sf):
-    """Labelled documents with scaled columns and a feature vector."""
+    """Labelled documents with scaled columns and a feature vector, for fits that split nothing off."""
     df = doc_features(spark, sf)
     return N.assemble(N.ZScaler(inputCols=DOC_COLS).fit(df).transform(df), DOC_COLS)
 
@@ -87,7 +93,38 @@ def polynomial_regression(spark, sf):
 @query("logistic_regression")
 def logistic_regression(spark, sf):
     df = R.balanced_weights(scaled_docs(spark, sf), "label")
-    return _scored(L.logistic(rows=df.count(), weight="weight").fit(df).transform(df))
+    return _scored(L.logistic(weight="weight").fit(df).transform(df))
+
+
+@query("logistic_log_odds", """
+    WITH c AS (SELECT l_linenumber < 3 AS x, sum((l_returnflag = 'R')::INT) AS a, sum((l_returnflag <> 'R')::INT) AS b FROM lineitem GROUP BY 1)
+    SELECT 'intercept' AS "column", round(ln(a / b), 3) AS coefficient FROM c WHERE NOT x
+    UNION ALL SELECT 'early', round(ln(a / b) - (SELECT ln(a / b) FROM c WHERE NOT x), 3) FROM c WHERE x""")
+def logistic_log_odds(spark, sf):
+    """Without a penalty, one yes/no column gives the log odds of its two groups."""
+    df = table(spark, sf, "lineitem").select(
+        (F.col("l_linenumber") < 3).cast("double").alias("early"), (F.col("l_returnflag") == "R").cast("double").alias("label"))
+    model = L.logistic(C=0.0).fit(N.assemble(df, ["early"]))
+    return L.coefficient_table(spark, model, ["early"]).withColumn("coefficient", F.round("coefficient", 3))
+
+
+STEPS = "(SELECT floor(l_extendedprice / 20000) AS x, (l_quantity > 25)::INT AS y FROM lineitem)"
+
+
+@query("tree_stump", f"""
+    WITH d AS {STEPS}, v AS (SELECT DISTINCT x FROM d), e AS (SELECT x AS lo, lead(x) OVER (ORDER BY x) AS hi FROM v),
+    t AS (SELECT (lo + hi) / 2 AS cut FROM e WHERE hi IS NOT NULL),
+    s AS (SELECT cut, x <= cut AS lower, count(*) AS n, avg(y) AS p FROM d, t GROUP BY ALL),
+    g AS (SELECT cut, sum(n * 2 * p * (1 - p)) AS bad FROM s GROUP BY 1),
+    b AS (SELECT cut FROM g ORDER BY bad, cut LIMIT 1)
+    SELECT 1 AS depth, NULL AS threshold, (p > 0.5)::DOUBLE AS prediction, round(2 * p * (1 - p), 8) AS impurity FROM s JOIN b USING (cut)
+    UNION ALL SELECT 0, cut, (avg(y) > 0.5)::DOUBLE, round(2 * avg(y) * (1 - avg(y)), 8) FROM d, b GROUP BY cut""")
+def tree_stump(spark, sf):
+    """The rules of a tree of one split: the threshold with the least Gini impurity."""
+    df = table(spark, sf, "lineitem").select(
+        F.floor(F.col("l_extendedprice") / 20000).cast("double").alias("x"), (F.col("l_quantity") > 25).cast("double").alias("label"))
+    rules = T.tree_rules(spark, T.decision_tree(depth=1).fit(N.assemble(df, ["x"])), ["x"])
+    return rules.select("depth", "threshold", "prediction", F.round("impurity", 8).alias("impurity"))
 
 
 @query("decision_tree")
@@ -114,30 +151,29 @@ def forest_classifier(spark, sf):
 
 @query("forest_regressor")
 def forest_regressor(spark, sf):
-    cols = ["l_quantity", "l_discount", "l_tax", "l_linenumber"]
-    df = N.assemble(table(spark, sf, "lineitem"), cols)
-    out = T.forest_regressor("l_extendedprice", trees=20).fit(df).transform(df)
-    return out.select("l_orderkey", "l_partkey", "l_extendedprice", "prediction")
+    df = table(spark, sf, "part").select("p_partkey", "p_retailprice", "p_size", F.length("p_name").alias("name"), F.length("p_type").alias("type"))
+    df = N.assemble(df, ["p_size", "name", "type"])
+    return T.forest_regressor("p_retailprice").fit(df).transform(df).select("p_partkey", "p_retailprice", "prediction")
 
 
 @query("boosted_classifier")
 def boosted_classifier(spark, sf):
     df = scaled_docs(spark, sf)
-    return _scored(T.boosted_classifier(rounds=30, rate=0.3, subsample=0.75, features="sqrt").fit(df).transform(df))
+    return _scored(T.boosted_classifier(rate=0.3, subsample=0.75, features="sqrt").fit(df).transform(df))
 
 
 @query("boosted_regressor")
 def boosted_regressor(spark, sf):
     df = N.assemble(table(spark, sf, "orders").withColumn("month", F.month("o_orderdate")).withColumn("year", F.year("o_orderdate")),
                     ["o_custkey", "month", "year"])
-    out = T.boosted_regressor("o_totalprice", rounds=20, subsample=0.85, features="sqrt").fit(df).transform(df)
+    out = T.boosted_regressor("o_totalprice", subsample=0.85, features="sqrt").fit(df).transform(df)
     return out.select("o_orderkey", "o_totalprice", "prediction")
 
 
 @query("adaboost")
 def adaboost(spark, sf):
     df = scaled_docs(spark, sf)
-    return _scored(T.AdaBoost(rounds=20).fit(df).transform(df))
+    return _scored(T.AdaBoost(rounds=50).fit(df).transform(df))
 
 
 NEAR = """
@@ -211,7 +247,7 @@ def gaussian_bayes(spark, sf):
 def margin_classifier(spark, sf):
     """Polynomial margin model with calibrated probabilities."""
     df = scaled_docs(spark, sf)
-    return _scored(L.PolynomialMargin(keyCols=["doc_id"], degree=3, folds=3, maxIter=20).fit(df).transform(df))
+    return _scored(L.PolynomialMargin(keyCols=["doc_id"], degree=3).fit(df).transform(df))
 
 
 @query("bagging")
@@ -221,21 +257,21 @@ def bagging(spark, sf):
     return _scored(bag.fit(df).transform(df))
 
 
-def _members(df):
-    return [L.logistic(rows=df.count()), B.KnnClassifier(keyCol="doc_id", k=5), B.GaussianBayes(inputCols=DOC_COLS)]
+def _members():
+    return [L.logistic(), B.KnnClassifier(keyCol="doc_id", k=5), B.GaussianBayes(inputCols=DOC_COLS)]
 
 
 @query("soft_vote")
 def soft_vote(spark, sf):
     df = scaled_docs(spark, sf)
-    return _scored(E.SoftVote(_members(df)).fit(df).transform(df))
+    return _scored(E.SoftVote(_members()).fit(df).transform(df))
 
 
 @query("stacking")
 def stacking(spark, sf):
     df = scaled_docs(spark, sf)
-    final = T.boosted_classifier(rounds=10).setFeaturesCol("__stack")
-    return _scored(E.Stacking(_members(df), final, keyCol="doc_id", folds=3).fit(df).transform(df))
+    final = T.boosted_classifier().setFeaturesCol("__stack")
+    return _scored(E.Stacking(_members(), final, keyCol="doc_id").fit(df).transform(df))
 
 
 @query("kmeans")
@@ -282,7 +318,19 @@ def cluster_profile(spark, sf):
 
 @query("batch_score")
 def batch_score(spark, sf):
-    """A fitted chain applied to all documents of the other part."""
-    df = scaled_docs(spark, sf)
-    model = L.logistic(rows=df.count()).fit(df.where("doc_id % 4 <> 0"))
-    return flows.score(model, df.where("doc_id % 4 = 0"), ["doc_id"])
+    """A chain fitted on the labelled documents applied to all that have no label."""
+    model = scaled(L.logistic()).fit(doc_features(spark, sf))
+    unlabelled = doc_numbers(spark, sf).join(table(spark, sf, "labels").select("doc_id"), "doc_id", "left_anti")
+    return flows.score(model, unlabelled, ["doc_id"])
+
+
+@query("batch_score_line", """
+    WITH m AS (SELECT regr_slope(quality, n_chars) AS b, regr_intercept(quality, n_chars) AS a FROM documents JOIN labels USING (doc_id))
+    SELECT doc_id, round(a + b * n_chars, 6) AS prediction FROM documents, m WHERE doc_id NOT IN (SELECT doc_id FROM labels)""")
+def batch_score_line(spark, sf):
+    """Scoring with a straight line: every document without a label gets its number."""
+    docs = table(spark, sf, "documents").select("doc_id", F.col("n_chars").cast("double").alias("n_chars"))
+    labels = table(spark, sf, "labels").select("doc_id", F.col("quality").cast("double").alias("quality"))
+    model = L.least_squares(["n_chars"], "quality").fit(docs.join(labels, "doc_id"))
+    out = flows.score(model, docs.join(labels, "doc_id", "left_anti"), ["doc_id"])
+    return out.withColumn("prediction", F.round("prediction", 6))

@@ -65,6 +65,20 @@ def read_csv_blanks(spark, sf):
     return io.read_csv(spark, path, "c_custkey bigint, c_acctbal double, c_mktsegment string")
 
 
+@query("csv_quotes_and_breaks", """
+    SELECT doc_id, text, CASE WHEN doc_id % 3 <> 0 THEN n_chars END AS n_chars, (doc_id % 5 = 0)::INT AS malformed
+    FROM (SELECT doc_id, n_chars, 'say "' || text || '", ok' || chr(10) || 'next' AS text FROM documents)""")
+def csv_quotes_and_breaks(spark, sf):
+    """Cells with quotes, separators and line breaks, missing-value tokens and a number that is none."""
+    docs = io.table(spark, sf, "documents").select(
+        "doc_id", F.concat(F.lit('say "'), "text", F.lit('", ok\nnext')).alias("text"),
+        F.when(F.col("doc_id") % 3 == 0, "NA").otherwise(F.col("n_chars").cast("string")).alias("n_chars"),
+        F.when(F.col("doc_id") % 5 == 0, "12x").otherwise("12").alias("more"))
+    path = io.write_csv(docs, scratch_path(spark, "quoted"))
+    out = io.read_csv(spark, path, "doc_id bigint, text string, n_chars bigint, more int", multiline=True, malformed="malformed")
+    return out.select("doc_id", "text", "n_chars", "malformed")
+
+
 @query("load_tables_counts", " UNION ALL ".join(
     f"SELECT '{t}' AS table_name, count(*) AS n FROM {t}" for t in io.TABLES))
 def load_tables_counts(spark, sf):

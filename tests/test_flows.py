@@ -43,7 +43,7 @@ def test_sampler_is_gone_after_fitting(spark, small):
 
 def test_sampler_equalises_training_rows(spark, small):
     df = churn(spark, small).select("doc_id", "chars", "words", "label")
-    _, rows = flows.Flow([flows.SmoteSampler(["chars", "words"], "label", "doc_id", 5)]).fit_rows(df)
+    _, rows = flows.Flow([flows.SmoteSampler(["chars", "words"], "label", "doc_id", 5)]).fit_transform(df)
     counts = [r["count"] for r in rows.groupBy("label").count().collect()]
     assert len(counts) == 2 and counts[0] == counts[1]
 
@@ -121,3 +121,32 @@ def test_stream_continues_from_its_checkpoint(spark, small, tmp_path):
     for _ in range(2):
         EV.score_stream(model, EV.event_stream(spark, small), ["event_id"], out, check)
         assert spark.read.parquet(out).count() == n
+
+
+def test_unknown_settings_are_refused():
+    with pytest.raises(ValueError, match="no setting"):
+        churn_flow().with_params(selectbst__k=2)
+    with pytest.raises(ValueError, match="no setting"):
+        churn_flow().with_params(selectbest__kk=2)
+
+
+def test_unfitted_chains_survive_saving(spark, small, tmp_path):
+    df = churn(spark, small).select("doc_id", "lang", "chars", "words", "label")
+    flow = flows.Flow([
+        flows.ColumnSteps([(["lang"], [C.CrossFitTargetEncoder(labelCol="label", keyCols=["doc_id"])])]),
+        flows.SmoteSampler(["lang", "chars", "words"], "label", "doc_id", 3),
+        flows.AssembleByType(exclude=["doc_id", "label"]), T.decision_tree(depth=3),
+    ])
+    flow.write().save(str(tmp_path / "flow"))
+    again = flows.Flow.load(str(tmp_path / "flow"))
+    assert [type(s) for s in again.steps] == [type(s) for s in flow.steps]
+    a, b = (f.fit(df).transform(df).orderBy("doc_id").select("doc_id", "prediction").collect() for f in (flow, again))
+    assert a == b
+
+
+def test_encoded_rows_leave_a_branch(spark, small):
+    df = churn(spark, small).select("doc_id", "lang", "label")
+    step = C.CrossFitTargetEncoder(labelCol="label", keyCols=["doc_id"])
+    _, rows = flows.Flow([flows.ColumnSteps([(["lang"], [step])])]).fit_transform(df)
+    alone = step.copy()._set(inputCols=["lang"]).fit_transform(df)[1]
+    assert rows.orderBy("doc_id").select("lang").collect() == alone.orderBy("doc_id").select("lang").collect()

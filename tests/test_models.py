@@ -32,7 +32,7 @@ def accuracy(df):
 
 def test_logistic_matches_penalised_optimum(classed):
     n = classed.count()
-    m = L.logistic(rows=n, C=1.0).fit(classed)
+    m = L.logistic(C=1.0).fit(classed)
     pdf = classed.toPandas()
     x, y = pdf[COLS].to_numpy(), pdf["label"].to_numpy()
     w, b = m.coefficients.toArray(), m.intercept
@@ -79,7 +79,7 @@ def test_margin_model_needs_products(classed):
 
 
 def test_vote_is_the_mean(classed):
-    members = [L.logistic(rows=300), B.GaussianBayes(inputCols=COLS), T.decision_tree(depth=2)]
+    members = [L.logistic(), B.GaussianBayes(inputCols=COLS), T.decision_tree(depth=2)]
     fitted = E.SoftVote(members).fit(classed)
     got = np.array([r[0] for r in fitted.transform(classed).orderBy("id").select(vector_to_array("probability")).collect()])
     parts = [np.array([r[0] for r in m.transform(classed).orderBy("id").select(vector_to_array("probability")).collect()]) for m in fitted.members]
@@ -104,7 +104,7 @@ def test_bagging_uses_column_subsets(classed):
 
 
 def test_composites_survive_saving(classed, tmp_path):
-    fitted = E.SoftVote([L.logistic(rows=300), B.GaussianBayes(inputCols=COLS)]).fit(classed)
+    fitted = E.SoftVote([L.logistic(), B.GaussianBayes(inputCols=COLS)]).fit(classed)
     fitted.write().save(str(tmp_path / "vote"))
     again = E.FittedVote.load(str(tmp_path / "vote"))
     a, b = (m.transform(classed).select("id", "prediction").orderBy("id").collect() for m in (fitted, again))
@@ -112,12 +112,12 @@ def test_composites_survive_saving(classed, tmp_path):
 
 
 def test_pca_shares(classed):
-    axes = N.PrincipalAxes("features", "p").fit(classed)
+    axes = N.PrincipalAxes(inputCol="features", outputCol="p").fit(classed)
     assert abs(sum(axes.ratios) - 1) < 1e-9 and axes.ratios == sorted(axes.ratios, reverse=True)
     x = classed.toPandas()[COLS].to_numpy()
     eig = np.sort(np.linalg.eigvalsh(np.corrcoef(x.T)))[::-1]
     assert np.allclose(axes.ratios, eig / eig.sum())
-    assert N.PrincipalAxes("features", "p", variance=0.5).fit(classed).kept == 2
+    assert N.PrincipalAxes(inputCol="features", outputCol="p", variance=0.5).fit(classed).kept == 2
 
 
 def test_ward_matches_plain_merging(spark):
@@ -145,3 +145,23 @@ def test_elbow_scan(spark):
     df = df.withColumn("features", array_to_vector("v"))
     scan = K.elbow_scan(df, range(2, 8))
     assert K.best_k(scan) == 4
+
+
+def test_unfitted_ensembles_keep_their_members(classed, tmp_path):
+    whole = [
+        E.SoftVote([L.logistic(), B.GaussianBayes(inputCols=COLS)]),
+        E.Bagging(T.decision_tree(depth=2, featuresCol="__f"), inputCols=COLS, keyCol="id", count=3),
+        E.Stacking([B.GaussianBayes(inputCols=COLS)], T.decision_tree(depth=1).setFeaturesCol("__stack"), keyCol="id", folds=3),
+    ]
+    for i, model in enumerate(whole):
+        model.write().save(str(tmp_path / f"m{i}"))
+        again = type(model).load(str(tmp_path / f"m{i}"))
+        a, b = (m.fit(classed).transform(classed).select("id", "prediction").orderBy("id").collect() for m in (model, again))
+        assert a == b
+
+
+def test_bins_of_a_column_without_values(spark):
+    df = spark.createDataFrame([(1.0, None), (2.0, None)], "a double, b double")
+    for strategy in ("quantile", "uniform"):
+        out = N.BinColumns(inputCols=["a", "b"], bins=2, strategy=strategy).fit(df).transform(df).collect()
+        assert [r["b"] for r in out] == [None, None] and [r["a"] for r in out] == [0, 1]

@@ -239,3 +239,31 @@ def test_column_steps_leave_other_columns(rows):
     df = rows([(1, 2.0, "a", True), (2, None, None, False)], "id int, x double, s string, f boolean")
     out = ColumnSteps([("numeric", [N.MeanImputer()]), ("string", [C.ModeImputer()])], exclude=["id"]).fit(df).transform(df)
     assert [tuple(r) for r in out.collect()] == [(1, 2.0, "a", True), (2, 2.0, "a", False)]
+
+
+def test_stream_of_a_table_in_many_files(spark, small, tmp_path):
+    from rowsmith.streaming.events import append_available, event_stream
+
+    events = spark.read.parquet(f"{small}/events.parquet")
+    events.repartition(5).write.parquet(str(tmp_path / "in" / "events.parquet"))
+    append_available(event_stream(spark, str(tmp_path / "in")).select("event_id"), str(tmp_path / "out"), str(tmp_path / "check"))
+    assert spark.read.parquet(str(tmp_path / "out")).count() == events.count() > 0
+
+
+def test_intermediate_tables_are_removed(spark):
+    import os
+
+    from rowsmith import session
+
+    path = session.scratch_path(spark, "gone")
+    spark.range(3).write.parquet(path)
+    assert os.path.exists(path.removeprefix("file:"))
+    session.discard([path])
+    assert not os.path.exists(path.removeprefix("file:")) and path not in session.written_since()
+
+
+def test_density_without_spread(spark):
+    from rowsmith.operators import stats
+
+    for rows in ([(2.0,), (2.0,)], [(1.0,)], [(None,)]):
+        assert stats.kde(spark.createDataFrame(rows, "v double"), "v").count() == 0

@@ -173,7 +173,23 @@ def op8(spark: SparkSession, sf: str) -> DataFrame:
         F.col("record.doc_id").alias("doc_id"), (_remainder("record.doc_id", 3) == 1).alias("held_out"), "lang_pred", "score")
 
 
-@query("op10_hnsw_vectors")
+@query(
+    "op10_hnsw_vectors",
+    """
+    WITH RECURSIVE v AS (
+        SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+        WHERE label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+          AND len(list_filter(embedding, x -> x <> 0)) > 0),
+    linked AS (
+        SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+        WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+    reached(a, b) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT r.a, l.b FROM reached r JOIN linked l ON r.b = l.a),
+    roots AS (SELECT a AS vec_id, min(b) AS component_id FROM reached GROUP BY 1),
+    counts AS (SELECT a AS vec_id, count(*) AS n FROM linked GROUP BY 1)
+    SELECT e.vec_id, coalesce(n, 0) AS n_links, component_id, e.vec_id = component_id AS kept
+    FROM embeddings e JOIN roots r ON e.vec_id = r.vec_id LEFT JOIN counts c ON e.vec_id = c.vec_id
+    """,
+)
 def op10(spark: SparkSession, sf: str) -> DataFrame:
     """Links and component of every vector among those of its label."""
     found = near_vectors(table(spark, sf, "embeddings"))

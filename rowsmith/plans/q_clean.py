@@ -158,12 +158,12 @@ def cast_flag(spark, sf):
 
 @query("clip_to_train_range", """
     WITH k AS (SELECT *, ('0x' || substr(md5(o_orderkey || ':42'), 1, 8))::BIGINT / 4294967296.0 AS u FROM orders),
-    r AS (SELECT min(o_totalprice) AS lo, max(o_totalprice) AS hi FROM k WHERE u < 0.01)
-    SELECT o_orderkey, round(least(greatest(o_totalprice * 1.5 - 20000, lo), hi), 4) AS clipped FROM k, r WHERE u >= 0.01""")
+    r AS (SELECT min(o_totalprice) AS lo, max(o_totalprice) AS hi FROM k WHERE u < 0.8)
+    SELECT o_orderkey, round(least(greatest(o_totalprice * 1.5 - 20000, lo), hi), 4) AS clipped FROM k, r WHERE u >= 0.8""")
 def clip_to_train_range(spark, sf):
     from rowsmith.operators.resample import train_test_split
 
-    train, test = train_test_split(table(spark, sf, "orders"), "o_orderkey", 0.01, 42)
+    train, test = train_test_split(table(spark, sf, "orders"), "o_orderkey", 0.8, 42)
     guess = test.withColumn("guess", F.col("o_totalprice") * 1.5 - 20000)
     return clean.clip_to_fitted(guess, train, "guess", "o_totalprice", "clipped").select(
         "o_orderkey", F.round("clipped", 4).alias("clipped"))

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from rowsmith.llm.common import n_words, unit_hash
+from rowsmith.session import materialise
 
 WEIGHTS = (5, 2, 1)
 MOST_COPIES = 3
@@ -65,7 +66,8 @@ def mix_plan(
         n_words(F.col("record")[text]).alias("size"),
     )
     sized = sized.withColumn("step", F.floor(F.sqrt("size"))).withColumn("mark", _keyed(seed, F.col("id")))
-    counts = sized.groupBy("source", "step").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("words"))
+    # A row per source and size step, read by all that follows.
+    counts = materialise(sized.groupBy("source", "step").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("words")), "sizes")
     targets = source_targets(counts.groupBy("source").agg(F.sum("words").alias("source_size")))
     split = counts.select(
         F.col("source").alias("of"), F.col("step").alias("at"), F.ceil(F.col("n") / block_rows).cast("bigint").alias("blocks")

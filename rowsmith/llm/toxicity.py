@@ -14,6 +14,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from rowsmith.llm.words import slices, text_bytes
+from rowsmith.session import materialise
 
 LENGTHS = (3, 4, 5, 6)
 BITS = 19
@@ -118,7 +119,7 @@ def fit(docs: DataFrame, labels: DataFrame, allowed: Column, label: str = "toxic
 
     With one class only, or no labelled row, the model is the smoothed share of label 1.
     """
-    rows = labelled_sample(docs, labels, label, allowed, sample, key, text)
+    rows = materialise(labelled_sample(docs, labels, label, allowed, sample, key, text), "labelled")
     totals = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     n0, n1 = totals.get(0, 0), totals.get(1, 0)
     weight = np.zeros(1 << BITS, np.float32)

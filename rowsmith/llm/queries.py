@@ -176,10 +176,10 @@ def op8(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "op10_hnsw_vectors",
     """
-    WITH RECURSIVE v AS (
-        SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
-        WHERE label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
-          AND len(list_filter(embedding, x -> x <> 0)) > 0),
+    WITH RECURSIVE sound AS (
+        SELECT vec_id FROM (SELECT vec_id, unnest(embedding) AS x FROM embeddings WHERE label IS NOT NULL)
+        GROUP BY 1 HAVING count(*) = count(x) AND bool_and(isfinite(x)) AND bool_or(x <> 0)),
+    v AS (SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings JOIN sound USING (vec_id)),
     linked AS (
         SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
         WHERE list_cosine_similarity(a.e, b.e) >= 0.93),

@@ -436,4 +436,4 @@ def bootstrap(spark, sf):
 def smote(spark, sf):
     df = table(spark, sf, "embeddings")
     out = R.smote(df, "label", "vec_id", "embedding", 5, 42)
-    return out.select("vec_id", "label", F.round(F.aggregate("embedding", F.lit(0.0), lambda a, b: a + b), 5).alias("total"), "synthetic")
+    return out.select(F.col("origin").alias("vec_id"), "label", F.round(F.aggregate("embedding", F.lit(0.0), lambda a, b: a + b), 5).alias("total"), "synthetic")

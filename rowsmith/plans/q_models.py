@@ -108,7 +108,7 @@ def logistic_log_odds(spark, sf):
     return L.coefficient_table(spark, model, ["early"]).withColumn("coefficient", F.round("coefficient", 3))
 
 
-STEPS = "(SELECT floor(l_extendedprice / 20000) AS x, (l_quantity > 25)::INT AS y FROM lineitem)"
+STEPS = "(SELECT l_linenumber::DOUBLE AS x, (l_linenumber * 10 + l_quantity > 60)::INT AS y FROM lineitem)"
 
 
 @query("tree_stump", f"""
@@ -122,7 +122,7 @@ STEPS = "(SELECT floor(l_extendedprice / 20000) AS x, (l_quantity > 25)::INT AS
 def tree_stump(spark, sf):
     """The rules of a tree of one split: the threshold with the least Gini impurity."""
     df = table(spark, sf, "lineitem").select(
-        F.floor(F.col("l_extendedprice") / 20000).cast("double").alias("x"), (F.col("l_quantity") > 25).cast("double").alias("label"))
+        F.col("l_linenumber").cast("double").alias("x"), (F.col("l_linenumber") * 10 + F.col("l_quantity") > 60).cast("double").alias("label"))
     rules = T.tree_rules(spark, T.decision_tree(depth=1).fit(N.assemble(df, ["x"])), ["x"])
     return rules.select("depth", "threshold", "prediction", F.round("impurity", 8).alias("impurity"))
 

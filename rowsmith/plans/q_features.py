@@ -268,6 +268,18 @@ def principal_axes(spark, sf):
     return out.select("vec_id", vector_to_array("pca").alias("pca"))
 
 
+@query("principal_axes_norms", """
+    WITH e AS (SELECT vec_id, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS i FROM embeddings),
+    s AS (SELECT i, avg(x) AS m, var_pop(x) AS v FROM e GROUP BY 1)
+    SELECT vec_id, round(sum(pow(x - m, 2) / v), 4) AS norm FROM e JOIN s USING (i) GROUP BY 1""")
+def principal_axes_norms(spark, sf):
+    """All axes together turn the scaled vectors without changing their length."""
+    df = embedded(spark, sf)
+    out = N.PrincipalAxes(inputCol="features").fit(df).transform(df)
+    norm = F.aggregate(vector_to_array("pca"), F.lit(0.0), lambda s, x: s + x * x)
+    return out.select("vec_id", F.round(norm, 4).alias("norm"))
+
+
 @query("explained_variance")
 def explained_variance(spark, sf):
     return N.PrincipalAxes(inputCol="features").fit(embedded(spark, sf)).variance_table(spark)

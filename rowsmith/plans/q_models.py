@@ -170,6 +170,19 @@ def boosted_regressor(spark, sf):
     return out.select("o_orderkey", "o_totalprice", "prediction")
 
 
+@query("boosted_stump", """
+    WITH d AS (SELECT l_linenumber AS x, l_linenumber * 10 + l_quantity AS y FROM lineitem),
+    c AS (SELECT DISTINCT x AS cut FROM d), s AS (SELECT cut, x <= cut AS lower, count(*) * var_pop(y) AS bad, avg(y) AS m FROM d, c GROUP BY ALL),
+    b AS (SELECT cut FROM s GROUP BY 1 HAVING count(*) = 2 ORDER BY sum(bad) LIMIT 1)
+    SELECT DISTINCT x::DOUBLE AS x, round(m, 6) AS prediction FROM d, s JOIN b USING (cut) WHERE (x <= cut) = lower""")
+def boosted_stump(spark, sf):
+    """One round of one split: the two sides with the least squared error, each with its mean."""
+    df = table(spark, sf, "lineitem").select(F.col("l_linenumber").cast("double").alias("x"), (F.col("l_linenumber") * 10 + F.col("l_quantity")).alias("y"))
+    rows = N.assemble(df, ["x"])
+    out = T.boosted_regressor("y", rounds=1, depth=1).fit(rows).transform(rows)
+    return out.select("x", F.round("prediction", 6).alias("prediction")).distinct()
+
+
 @query("adaboost")
 def adaboost(spark, sf):
     df = scaled_docs(spark, sf)
@@ -267,6 +280,26 @@ def soft_vote(spark, sf):
     return _scored(E.SoftVote(_members()).fit(df).transform(df))
 
 
+def _bayes_sql(name, cols):
+    """Posterior of quality 1 by Gaussian Bayes over some document columns."""
+    return f"""
+    {name}s AS (SELECT quality, count(*) AS n, {", ".join(f"avg({c}) AS m_{c}, var_pop({c}) AS v_{c}" for c in cols)} FROM {DOCS} GROUP BY 1),
+    {name}w AS (SELECT 1e-9 * greatest({", ".join(f"var_pop({c})" for c in cols)}) AS eps FROM {DOCS}),
+    {name}p AS (SELECT d.doc_id, s.quality AS cls, ln(n) {" ".join(f"- 0.5 * (ln(2 * pi() * (v_{c} + eps)) + pow({c} - m_{c}, 2) / (v_{c} + eps))" for c in cols)} AS score
+        FROM {DOCS} d, {name}s s, {name}w),
+    {name} AS (SELECT a.doc_id, 1 / (1 + exp(b.score - a.score)) AS p FROM {name}p a JOIN {name}p b ON a.doc_id = b.doc_id AND a.cls = 1 AND b.cls = 0)"""
+
+
+@query("soft_vote_bayes", f"""
+    WITH {_bayes_sql("x", DOC_COLS[:2])}, {_bayes_sql("y", DOC_COLS[2:])}
+    SELECT x.doc_id, round((x.p + y.p) / 2, 6) AS p1 FROM x JOIN y ON x.doc_id = y.doc_id""")
+def soft_vote_bayes(spark, sf):
+    """The vote of two members is the mean of their probabilities."""
+    df = doc_features(spark, sf)
+    members = [B.GaussianBayes(inputCols=DOC_COLS[:2]), B.GaussianBayes(inputCols=DOC_COLS[2:])]
+    return _scored(E.SoftVote(members).fit(df).transform(df)).select("doc_id", "p1")
+
+
 @query("stacking")
 def stacking(spark, sf):
     df = scaled_docs(spark, sf)

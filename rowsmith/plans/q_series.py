@@ -181,6 +181,21 @@ def forecast(spark, sf):
     return model.predict(TS.future_frame(history, 365)).drop("series")
 
 
+@query("forecast_line", f"""
+    WITH {GRID}, k AS (SELECT t, ln(y) AS y FROM grid WHERE y IS NOT NULL),
+    m AS (SELECT regr_slope(y, t) AS b, regr_intercept(y, t) AS a, sqrt(sum(y * y) / count(*)) AS scale FROM k),
+    e AS (SELECT sqrt(avg(pow(y - a - b * t, 2))) AS sigma FROM k, m),
+    days AS (SELECT ds, t FROM grid WHERE y IS NOT NULL UNION ALL
+      SELECT (hi + CAST(i AS INTEGER))::DATE, last + i FROM (SELECT max(ds) AS hi, max(t) AS last FROM grid), range(1, 31) r(i))
+    SELECT ds, round(a + b * t, 5) AS yhat, round(a + b * t - 1.2816 * sigma, 5) AS yhat_lower FROM days, m, e""")
+def forecast_line(spark, sf):
+    """Without knots, waves and holidays the forecast is the least-squares line with its residual band."""
+    history = TS.daily(table(spark, sf, "orders"), "o_orderdate", F.log(F.sum("o_totalprice")))
+    model = TS.AdditiveForecast(changepoints=0, yearly_order=0, weekly_order=0).fit(history)
+    out = model.predict(TS.future_frame(history, 30))
+    return out.select("ds", F.round("yhat", 5).alias("yhat"), F.round("yhat_lower", 5).alias("yhat_lower"))
+
+
 @query("forecast_components")
 def forecast_components(spark, sf):
     history, model = _model(spark, sf)

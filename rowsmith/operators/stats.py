@@ -242,21 +242,30 @@ def modes(df: DataFrame, cols) -> dict:
     return {r["column"]: json.loads(r["v"]).get("v") for r in reduce(DataFrame.unionByName, parts).collect()}
 
 
+def histograms(df: DataFrame, cols, bins: int) -> DataFrame:
+    """Equal-width bin counts of several columns in two passes; a column's last bin includes its maximum.
+
+    Empty bins stay, with zero; a column without values has no bins.
+    """
+    cols = list(cols)
+    df = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(c) for c in cols])
+    bounds = df.agg(*[f(c).alias(f"{n}{i}") for i, c in enumerate(cols) for n, f in (("lo", F.min), ("hi", F.max))]).first()
+    span = {c: (bounds[f"lo{i}"], (bounds[f"hi{i}"] - bounds[f"lo{i}"]) / bins or 1.0) for i, c in enumerate(cols) if bounds[f"lo{i}"] is not None}
+    schema = "column string, low double, width double"
+    if not span:
+        return df.sparkSession.createDataFrame([], "column string, bin bigint, low double, high double, n bigint")
+    spots = [F.struct(F.lit(c).alias("column"), F.least(F.floor((F.col(c) - F.lit(low)) / F.lit(width)), F.lit(bins - 1)).cast("bigint").alias("bin"))
+             for c, (low, width) in span.items()]
+    counts = df.select(F.inline(F.array(*spots))).where(F.col("bin").isNotNull()).groupBy("column", "bin").agg(F.count("*").alias("n"))
+    edges = df.sparkSession.createDataFrame([(c, low, width) for c, (low, width) in span.items()], schema)
+    grid = edges.select("column", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(bins - 1).cast("bigint"))).alias("bin"), "low", "width").select(
+        "column", "bin", (F.col("low") + F.col("bin") * F.col("width")).alias("low"), (F.col("low") + (F.col("bin") + 1) * F.col("width")).alias("high"))
+    return grid.join(counts, ["column", "bin"], "left").na.fill(0, subset=["n"])
+
+
 def histogram(df: DataFrame, col: str, bins: int) -> DataFrame:
     """Equal-width bin counts; the last bin includes the maximum. Empty bins stay, with zero."""
-    df = df.select(F.nanvl(F.col(col).cast("double"), F.lit(None).cast("double")).alias(col))
-    low, high = df.agg(F.min(col), F.max(col)).first()
-    if low is None:
-        return df.sparkSession.createDataFrame([], "bin bigint, low double, high double, n bigint")
-    width = (high - low) / bins or 1.0
-    spot = F.least(F.floor((F.col(col) - F.lit(low)) / F.lit(width)), F.lit(bins - 1)).cast("bigint")
-    counts = df.where(F.col(col).isNotNull()).groupBy(spot.alias("bin")).agg(F.count("*").alias("n"))
-    grid = df.sparkSession.range(bins).select(
-        F.col("id").alias("bin"),
-        (F.lit(low) + F.col("id") * F.lit(width)).alias("low"),
-        (F.lit(low) + (F.col("id") + 1) * F.lit(width)).alias("high"),
-    )
-    return grid.join(counts, "bin", "left").na.fill(0, subset=["n"])
+    return histograms(df, [col], bins).drop("column")
 
 
 def box_stats(df: DataFrame, col: str, by: str) -> DataFrame:
@@ -312,8 +321,11 @@ def profile_report(df: DataFrame, bins: int = 10, top: int = 3) -> DataFrame:
         "missing": lambda c: F.count_if(F.col(c).isNull()),
         "zeros": lambda c: F.count_if(F.col(c) == 0) if c in numeric else F.lit(0).cast("bigint"),
     })
-    distinct = distinct_counts(df, df.columns)
-    base = counts.join(distinct.withColumnRenamed("nunique", "distinct"), "column")
+    # Every (column, value) once, counted: distinct values and the most frequent ones both come from it.
+    cells = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("item")) for c in df.columns])))
+    values = materialise(cells.where(F.col("item").isNotNull()).groupBy("column", "item").agg(F.count("*").alias("n")), "values")
+    distinct = values.groupBy("column").agg(F.count("*").alias("distinct"))
+    base = counts.join(distinct, "column", "left").na.fill(0, subset=["distinct"])
     section(base, "counts", ["dtype", "rows", "missing", "zeros", "distinct"])
     alerts = base.select("column", F.lit("alert").alias("section"), F.explode(F.filter(F.array(
         F.when(F.col("distinct") <= 1, F.lit("constant")),
@@ -325,14 +337,12 @@ def profile_report(df: DataFrame, bins: int = 10, top: int = 3) -> DataFrame:
     if numeric:
         section(describe(df, numeric), "describe", ["mean", "std", "min", "q25", "q50", "q75", "max"])
         section(skewness(df, numeric), "shape", ["skew"])
-    for c in df.columns:
-        ranked = value_counts(df, c).orderBy(F.desc("n"), c).limit(top)
-        out.append(ranked.select(F.lit(c).alias("column"), F.lit("top").alias("section"),
-                                 F.col(c).cast("string").alias("item"), F.col("n").cast("string").alias("value")))
-    for c in numeric:
-        out.append(histogram(df, c, bins).select(F.lit(c).alias("column"), F.lit("histogram").alias("section"),
-                                                 F.col("bin").cast("string").alias("item"),
-                                                 F.col("n").cast("string").alias("value")))
+    order = Window.partitionBy("column").orderBy(F.desc("n"), "item")
+    ranked = values.withColumn("place", F.row_number().over(order)).where(F.col("place") <= top)
+    out.append(ranked.select("column", F.lit("top").alias("section"), "item", F.col("n").cast("string").alias("value")))
+    if numeric:
+        out.append(histograms(df, numeric, bins).select(
+            "column", F.lit("histogram").alias("section"), F.col("bin").cast("string").alias("item"), F.col("n").cast("string").alias("value")))
     if len(numeric) > 1:
         out.append(correlations(df, numeric).select(F.col("a").alias("column"), F.lit("correlation").alias("section"),
                                                     F.col("b").alias("item"), F.col("corr").cast("string").alias("value")))

@@ -141,7 +141,7 @@ def _measure(pieces: str, ranks: str):
     def run(batches):
         model, model_known, model_odd = piece_vocabulary(pieces)
         encoder, encoder_known, encoder_odd = byte_vocabulary(ranks)
-        for batch in slices(batches, "text", 4 << 20):
+        for batch in slices(batches, "text", 2 << 20):
             words = words_of(batch.column("text"))
             base, raw = base_measures(words), words.data.tobytes()
             p = token_measures(words, raw, base["word_chars"], model.encode, model_known, model_odd)

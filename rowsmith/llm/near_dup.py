@@ -51,7 +51,7 @@ def labelled_shingles(words: Words, k: int = SHINGLE) -> tuple[np.ndarray, np.nd
 def order_minhash(labels: np.ndarray, seeds: np.ndarray, picks: int) -> np.ndarray:
     """One value per seed: the ``picks`` labels of smallest keyed hash, in text order."""
     n, out = len(labels), np.empty(len(seeds), np.uint64)
-    step = max(1, (1 << 20) // max(n, 1))
+    step = max(1, (1 << 18) // max(n, 1))
     for i in range(0, len(seeds), step):
         part = seeds[i : i + step]
         if n > picks:

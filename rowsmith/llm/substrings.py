@@ -20,7 +20,7 @@ from rowsmith.llm.words import mix, slices, window_hashes, words_of
 
 GRAM = 6
 WINDOW = 20
-FLUSH_WINDOWS = 3_000_000  # windows that a task holds before it passes them on
+FLUSH_WINDOWS = 1_000_000  # windows that a task holds before it passes them on
 
 _SEEDS = "h long, d long, t long, start int, shift short, n short, content binary"
 _SEED_FIELDS = pa.schema([
@@ -214,7 +214,7 @@ _SPAN_TYPE = pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())]))
 
 
 def _cut_batches(batches):
-    for batch in slices(batches, "text", 8 << 20):
+    for batch in slices(batches, "text", 2 << 20):
         texts = batch.column("text")
         n, removed, kept, merged = cut(texts, batch.column("spans").to_pylist())
         yield pa.RecordBatch.from_arrays(
@@ -223,7 +223,7 @@ def _cut_batches(batches):
 
 
 def drop_repeats(
-    docs: DataFrame, window: int = WINDOW, gram: int = GRAM, task_bytes: int = 16 << 20, key: str = "doc_id", text: str = "text"
+    docs: DataFrame, window: int = WINDOW, gram: int = GRAM, task_bytes: int = 8 << 20, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """Finds in every text the words covered by a window that also starts earlier in the corpus.
 

@@ -21,7 +21,7 @@ BITS = 19
 SAMPLE = 10_000  # labelled rows that the classifier is fitted on, at most
 Z_SCORE = 4.0  # features whose classes differ by fewer standard deviations are left out
 MOST_FEATURES = 10_000
-PIECE = 1 << 20
+PIECE = 1 << 18
 
 
 @dataclass

@@ -13,7 +13,7 @@ SEPARATOR = np.zeros(256, bool)
 SEPARATOR[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
 _ODD = 0x9E3779B97F4A7C15
-_PIECE = 1 << 20
+_PIECE = 1 << 18
 _powers: dict[str, np.ndarray] = {}
 
 
@@ -112,8 +112,11 @@ def window_hashes(words: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
     return span_hashes(words.hash, start, start + k), words.row[:n] == words.row[k - 1 :]
 
 
-def slices(batches: Iterator[pa.RecordBatch], text: str, limit: int = 2 << 20) -> Iterator[pa.RecordBatch]:
-    """The batches cut into stretches of rows with at most ``limit`` bytes of text; a longer text stands alone."""
+def slices(batches: Iterator[pa.RecordBatch], text: str, limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """The batches cut into stretches of rows with at most ``limit`` bytes of text; a longer text stands alone.
+
+    A worker that has gone through them gives unused memory back, since it waits for its next task beside the JVM.
+    """
     for batch in batches:
         sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
         sums = np.cumsum(sizes)
@@ -123,3 +126,5 @@ def slices(batches: Iterator[pa.RecordBatch], text: str, limit: int = 2 << 20) -
             j = max(i + 1, int(np.searchsorted(sums, base + limit, "right")))
             yield batch.slice(i, j - i)
             i = j
+        del batch
+        pa.default_memory_pool().release_unused()

@@ -12,7 +12,6 @@ from rowsmith.features import category as C
 from rowsmith.features import numeric as N
 from rowsmith.functions import scalar as S
 from rowsmith.operators import resample as R
-from rowsmith.operators.clean import columns_by_dtype
 from rowsmith.plans.flows import ColumnSteps, Flow
 from rowsmith.plans.q_clean import HOLED, holed_lineitem
 from rowsmith.plans.q_relate import U

@@ -14,7 +14,7 @@ from rowsmith.models import simple as B
 from rowsmith.models import trees as T
 from rowsmith.operators import neighbours as NN
 from rowsmith.operators import resample as R
-from rowsmith.operators.metrics import confusion_counts, regression_exprs
+from rowsmith.operators.metrics import regression_exprs
 from rowsmith.plans import flows
 from rowsmith.plans.q_features import DOC_COLS, DOCS, doc_features, doc_numbers, embedded
 from rowsmith.plans.registry import query

@@ -7,7 +7,6 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from rowsmith.functions.hashing import randint, uniform
-from rowsmith.operators import relate
 from rowsmith.plans.registry import query
 from rowsmith.session import scratch_path
 from rowsmith.sources import tables as io

@@ -46,7 +46,7 @@ def leftmost_smallest(values: np.ndarray, width: int) -> np.ndarray:
 
 def elected_runs(texts: pa.Array, gram: int, window: int) -> dict[str, np.ndarray]:
     """Runs of neighbouring windows with one anchor. ``row``, ``start`` of the first window, ``shift`` of the anchor in
-    it, ``n`` windows, ``h`` the anchor, ``key`` the content of the whole run, ``content`` 32 bits of each window."""
+    it, ``n`` windows, ``h`` the anchor, ``key`` the content of the whole run, ``content`` the hash of each window."""
     words = words_of(texts)
     grams, _ = window_hashes(words, gram)
     whole, inside = window_hashes(words, window)
@@ -63,7 +63,7 @@ def elected_runs(texts: pa.Array, gram: int, window: int) -> dict[str, np.ndarra
     return {
         "row": row, "start": at[lead] - words.first[row], "shift": anchor[lead] - at[lead], "n": n, "h": grams[anchor[lead]],
         "key": mix(content[lead] + np.uint64(3) * mix(content[lead + n - 1]) + n.astype(np.uint64)),
-        "content": (content >> np.uint64(32)).astype(np.uint32),
+        "content": content,
     }
 
 
@@ -94,7 +94,7 @@ def _combined(held: list[dict]) -> Iterator[pa.RecordBatch]:
         part = seed[i : i + 20_000]
         low, high = offsets[i], offsets[min(i + 20_000, len(seed))]
         yield _seed_batch(x["h"][part], x["d"][part], x["t"][part], x["start"][part], x["shift"][part], x["n"][part],
-                          content[low:high], (offsets[i : i + len(part) + 1] - low) * 4)
+                          content[low:high], (offsets[i : i + len(part) + 1] - low) * 8)
     if len(known):
         spread = mix(x["d"][known].view(np.uint64) + x["start"][known].astype(np.uint64))
         yield _seed_batch(spread, x["d"][known], x["t"][known], x["start"][known], x["shift"][known], x["n"][known], None, None)
@@ -124,7 +124,7 @@ def _seeds(gram: int, window: int):
 def repeated_windows(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(d, t, start) of the windows that a smaller (d, t, start) holds too, among the seeds of some anchors."""
     col = lambda name: table.column(name).to_numpy()
-    h, d, t, start, shift, n = (col(c) for c in ("h", "d", "t", "start", "shift", "n"))
+    h, d, t, start, n = (col(c) for c in ("h", "d", "t", "start", "n"))
     body = table.column("content").combine_chunks()
     if isinstance(body, pa.ChunkedArray):
         body = body.chunk(0)
@@ -136,10 +136,8 @@ def repeated_windows(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarra
     total = np.concatenate([[0], np.cumsum(n)])
     of = np.repeat(np.arange(len(pick)), n)
     step = np.arange(total[-1]) - total[of]
-    at = first[of] + 4 * step
-    word = sum(content[at + i].astype(np.uint64) << np.uint64(8 * i) for i in range(4)) if len(at) else np.zeros(0, np.uint64)
-    own = (shift[pick][of] - step).astype(np.uint64)
-    key = mix(h[pick][of].view(np.uint64) + mix(word + (own << np.uint64(32))))
+    at = first[of] + 8 * step
+    key = sum(content[at + i].astype(np.uint64) << np.uint64(8 * i) for i in range(8)) if len(at) else np.zeros(0, np.uint64)
     d, t, start = d[pick][of], t[pick][of], start[pick][of] + step
     order = np.lexsort((start, t, d, key))
     key, d, t, start = key[order], d[order], t[order], start[order]
@@ -233,7 +231,7 @@ def drop_repeats(
     rows with one key are ordered by a hash of their text, and rows equal in both count as one document. Null and
     empty texts have no words and stay as they are. An empty table gives no rows.
 
-    Windows are compared by 64 bits of their anchor, its place and 32 bits of the window. Of equal runs only the first
+    Windows that meet at an anchor are compared by a 64-bit hash of all their words. Of equal runs only the first
     of a task is shuffled, so a passage that all documents share arrives at its anchor once per task.
     """
     spark = docs.sparkSession

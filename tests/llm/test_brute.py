@@ -183,6 +183,21 @@ def test_repeats_across_tasks_and_flushes(spark, monkeypatch):
     assert got == want
 
 
+def test_windows_that_agree_in_half_a_hash(spark):
+    line = [f"line{i}" for i in range(19)]
+    texts = pa.array([" ".join([*line, f"own{i}"]) for i in range(400_000)])
+    w = words.words_of(texts)
+    hashes, inside = words.window_hashes(w, 20)
+    half = hashes[np.flatnonzero(inside)] >> np.uint64(32)
+    order = np.argsort(half, kind="stable")
+    at = np.flatnonzero(half[order][1:] == half[order][:-1])
+    picked = sorted({int(i) for a in at for i in order[a : a + 2]})
+    assert len(picked) >= 4
+    rows = [(i, texts[i].as_py()) for i in picked]
+    got = substrings.drop_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert [r["n_removed"] for r in got] == [0] * len(rows)
+
+
 def test_posteriors_as_by_one_sequence():
     rng = np.random.default_rng(1)
     first = np.concatenate([[0], np.cumsum([0, 1, 63, 64, 65, 200, 0, 129])])

@@ -21,12 +21,12 @@ from rowsmith.llm.words import mix, slices, window_hashes, words_of
 GRAM = 6
 WINDOW = 20
 FLUSH_WINDOWS = 1_000_000  # windows that a task holds before it passes them on
+HOT_RUNS = 50_000  # an anchor with more runs is spread over the tasks
+SAMPLED = 8  # one in so many documents is read to find such anchors
 
-_SEEDS = "h long, d long, t long, start int, shift short, n short, content binary"
-_SEED_FIELDS = pa.schema([
-    ("h", pa.int64()), ("d", pa.int64()), ("t", pa.int64()), ("start", pa.int32()), ("shift", pa.int16()), ("n", pa.int16()),
-    ("content", pa.binary()),
-])
+_SEEDS = "task int, places binary, content binary"
+_SEED_FIELDS = pa.schema([("task", pa.int32()), ("places", pa.binary()), ("content", pa.binary())])
+_PLACE = np.dtype([("d", np.int64), ("t", np.int64), ("start", np.int32), ("n", np.int16), ("known", np.int16)])
 _SPANS = "d long, t long, first int, last int"
 
 
@@ -45,8 +45,8 @@ def leftmost_smallest(values: np.ndarray, width: int) -> np.ndarray:
 
 
 def elected_runs(texts: pa.Array, gram: int, window: int) -> dict[str, np.ndarray]:
-    """Runs of neighbouring windows with one anchor. ``row``, ``start`` of the first window, ``shift`` of the anchor in
-    it, ``n`` windows, ``h`` the anchor, ``key`` the content of the whole run, ``content`` the hash of each window."""
+    """Runs of neighbouring windows with one anchor. ``row``, ``start`` of the first window, ``n`` windows, ``h`` the
+    anchor, ``key`` the content of the whole run, ``content`` the hash of each window."""
     words = words_of(texts)
     grams, _ = window_hashes(words, gram)
     whole, inside = window_hashes(words, window)
@@ -61,22 +61,71 @@ def elected_runs(texts: pa.Array, gram: int, window: int) -> dict[str, np.ndarra
     row = words.row[at[lead]]
     content = whole[at]
     return {
-        "row": row, "start": at[lead] - words.first[row], "shift": anchor[lead] - at[lead], "n": n, "h": grams[anchor[lead]],
+        "row": row, "start": at[lead] - words.first[row], "n": n, "h": grams[anchor[lead]],
         "key": mix(content[lead] + np.uint64(3) * mix(content[lead + n - 1]) + n.astype(np.uint64)),
         "content": content,
     }
 
 
-def _seed_batch(h, d, t, start, shift, n, content, offsets) -> pa.RecordBatch:
-    body = None if content is None else pa.Array.from_buffers(
-        pa.binary(), len(h), [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(content))])
-    return pa.RecordBatch.from_arrays(
-        [pa.array(h.view(np.int64)), pa.array(d), pa.array(t), pa.array(start, pa.int32()), pa.array(shift, pa.int16()),
-         pa.array(n, pa.int16()), pa.nulls(len(h), pa.binary()) if body is None else body],
-        schema=_SEED_FIELDS)
-
-
-def _combined(held: list[dict]) -> Iterator[pa.RecordBatch]:
+def split_hot(found: dict[str, np.ndarray], hot: np.ndarray) -> dict[str, np.ndarray]:
+    """Runs of a hot anchor as single windows, each going its own way by the hash of its words (``h``)."""
+    at = np.minimum(np.searchsorted(hot, found["h"]), max(len(hot) - 1, 0))
+    single = hot[at] == found["h"] if len(hot) else np.zeros(len(at), bool)
+    if not single.any():
+        return found
+    pieces = np.where(single, found["n"], 1)
+    of = np.repeat(np.arange(len(pieces)), pieces)
+    step = np.arange(len(of)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+    out = {k: v[of] for k, v in found.items() if k != "content"}
+    out["start"] = out["start"] + step
+    lone = single[of]
+    out["n"] = np.where(lone, 1, out["n"])
+    first = np.cumsum(out["n"]) - out["n"]  # windows keep their order
+    word = found["content"][first]
+    out["h"] = np.where(lone, mix(word), out["h"])
+    out["key"] = np.where(lone, mix(word + np.uint64(1)), out["key"])
+    return out | {"content": found["content"]}
+
+
+def _packed(task: np.ndarray, places: np.ndarray, content: np.ndarray | None, first: np.ndarray | None) -> Iterator[pa.RecordBatch]:
+    """One row per task with all its runs: places column by column and compressed, then the hashes of their windows."""
+    order = np.argsort(task, kind="stable")
+    task, places = task[order], places[order]
+    edge = np.flatnonzero(np.diff(task, prepend=-1))
+    ends = np.append(edge[1:], len(task))
+    rows: list[tuple] = []
+    size = 0
+    for a, b in zip(edge.tolist(), ends.tolist()):
+        part = places[a:b]
+        columns = b"".join(np.ascontiguousarray(part[c]).tobytes() for c in _PLACE.names)
+        body = b""
+        if content is not None:
+            n = part["n"].astype(np.int64)
+            at = np.repeat(first[order[a:b]] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            body = content[at].tobytes()
+        rows.append((task[a], np.int32(len(part)).tobytes() + pa.compress(columns, "zstd", asbytes=True), body))
+        size += len(rows[-1][1]) + len(body)
+        if size > 1 << 20 or b == len(task):
+            yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*rows), _SEED_FIELDS)], schema=_SEED_FIELDS)
+            rows, size = [], 0
+
+
+def unpacked(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Places of all runs, and the hashes of the windows of those that are not known as repeats."""
+    places, content = [np.zeros(0, _PLACE)], [np.zeros(0, np.uint64)]
+    for packed, body in zip(rows.column("places").to_pylist(), rows.column("content").to_pylist()):
+        n = int(np.frombuffer(packed, np.int32, 1)[0])
+        raw, at = pa.decompress(packed[4:], n * _PLACE.itemsize, "zstd", asbytes=True), 0
+        part = np.empty(n, _PLACE)
+        for c in _PLACE.names:
+            part[c] = np.frombuffer(raw, _PLACE[c], n, at)
+            at += n * _PLACE[c].itemsize
+        places.append(part)
+        content.append(np.frombuffer(body, np.uint64))
+    return np.concatenate(places), np.concatenate(content)
+
+
+def _combined(held: list[dict], tasks: int) -> Iterator[pa.RecordBatch]:
     """Of equal runs in one task only the earliest goes on as a seed; the others are known repeats already."""
     x = {k: np.concatenate([r[k] for r in held]) for k in held[0]}
     order = np.lexsort((x["start"], x["t"], x["d"], x["key"]))
@@ -85,60 +134,86 @@ def _combined(held: list[dict]) -> Iterator[pa.RecordBatch]:
     lead[1:] = key[1:] != key[:-1]
     head = np.maximum.accumulate(np.where(lead, np.arange(len(key)), 0))
     later = (d != d[head]) | (t != t[head]) | (s != s[head])
-    seed, known = order[~later & lead], order[later]
-    first = np.concatenate([[0], np.cumsum(x["n"])])
-    n = x["n"][seed]
-    offsets = np.concatenate([[0], np.cumsum(n)])
-    content = x["content"][np.repeat(first[seed] - offsets[:-1], n) + np.arange(offsets[-1])]
-    for i in range(0, len(seed), 20_000):
-        part = seed[i : i + 20_000]
-        low, high = offsets[i], offsets[min(i + 20_000, len(seed))]
-        yield _seed_batch(x["h"][part], x["d"][part], x["t"][part], x["start"][part], x["shift"][part], x["n"][part],
-                          content[low:high], (offsets[i : i + len(part) + 1] - low) * 8)
+    seed, known = np.sort(order[~later & lead]), np.sort(order[later])
+    places = np.empty(len(x["d"]), _PLACE)
+    for c in ("d", "t", "start", "n"):
+        places[c] = x[c]
+    places["known"] = 0
+    places["known"][known] = 1
+    first = np.cumsum(x["n"]) - x["n"]
+    yield from _packed(task_of(x["h"][seed], tasks), places[seed], x["content"], first[seed])
     if len(known):
-        spread = mix(x["d"][known].view(np.uint64) + x["start"][known].astype(np.uint64))
-        yield _seed_batch(spread, x["d"][known], x["t"][known], x["start"][known], x["shift"][known], x["n"][known], None, None)
+        # Known repeats go by their place; neighbours stay together.
+        spread = mix(x["d"][known].view(np.uint64) + (x["start"][known] >> 6).astype(np.uint64))
+        yield from _packed(task_of(spread, tasks), places[known], None, None)
+
+
+def task_of(h: np.ndarray, tasks: int) -> np.ndarray:
+    return (mix(h) % np.uint64(tasks)).astype(np.int32)
 
 
-def _seeds(gram: int, window: int):
+def _runs(batches, gram: int, window: int, hot: np.ndarray) -> Iterator[list[dict]]:
+    """Runs of the windows of the texts, by stretches of ``FLUSH_WINDOWS``."""
+    held, windows = [], 0
+    for batch in slices(batches, "text"):
+        found = elected_runs(batch.column("text"), gram, window)
+        if not found:
+            continue
+        row = found.pop("row")
+        found["d"] = batch.column("d").to_numpy()[row]
+        found["t"] = batch.column("t").to_numpy()[row]
+        found = split_hot(found, hot)
+        held.append(found)
+        windows += len(found["content"])
+        if windows > FLUSH_WINDOWS:
+            yield held
+            held, windows = [], 0
+    if held:
+        yield held
+
+
+def _seeds(gram: int, window: int, tasks: int, hot: np.ndarray):
     def run(batches):
-        held, windows = [], 0
-        for batch in slices(batches, "text"):
-            found = elected_runs(batch.column("text"), gram, window)
-            if not found:
-                continue
-            row = found.pop("row")
-            found["d"] = batch.column("d").to_numpy()[row]
-            found["t"] = batch.column("t").to_numpy()[row]
-            held.append(found)
-            windows += int(found["n"].sum())
-            if windows > FLUSH_WINDOWS:
-                yield from _combined(held)
-                held, windows = [], 0
-        if held:
-            yield from _combined(held)
+        for held in _runs(batches, gram, window, hot):
+            yield from _combined(held, tasks)
 
     return run
 
 
-def repeated_windows(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(d, t, start) of the windows that a smaller (d, t, start) holds too, among the seeds of some anchors."""
-    col = lambda name: table.column(name).to_numpy()
-    h, d, t, start, n = (col(c) for c in ("h", "d", "t", "start", "n"))
-    body = table.column("content").combine_chunks()
-    if isinstance(body, pa.ChunkedArray):
-        body = body.chunk(0)
-    place = np.frombuffer(body.buffers()[1], np.int32)[body.offset : body.offset + len(body)]
-    content = np.frombuffer(body.buffers()[2], np.uint8)
-    _, code, count = np.unique(h, return_inverse=True, return_counts=True)
-    pick = np.flatnonzero(count[code] > 1)
-    n, first = n[pick].astype(np.int64), place[pick].astype(np.int64)
-    total = np.concatenate([[0], np.cumsum(n)])
-    of = np.repeat(np.arange(len(pick)), n)
-    step = np.arange(total[-1]) - total[of]
-    at = first[of] + 8 * step
-    key = sum(content[at + i].astype(np.uint64) << np.uint64(8 * i) for i in range(8)) if len(at) else np.zeros(0, np.uint64)
-    d, t, start = d[pick][of], t[pick][of], start[pick][of] + step
+def _anchor_counts(gram: int, window: int):
+    def run(batches):
+        for held in _runs(batches, gram, window, np.zeros(0, np.uint64)):
+            _, pick = np.unique(np.concatenate([x["key"] for x in held]), return_index=True)
+            h, n = np.unique(np.concatenate([x["h"] for x in held])[pick], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n)], names=["h", "n"])
+
+    return run
+
+
+def hot_anchors(base: DataFrame, gram: int, window: int, runs: int) -> np.ndarray:
+    """Anchors that more than about ``runs`` runs of different content elect, ascending.
+
+    Estimated from one in ``SAMPLED`` documents; it decides only where windows meet. At most one anchor per ``runs``
+    runs of the corpus.
+    """
+    some = base.where(F.pmod(F.xxhash64("d", "t"), F.lit(SAMPLED)) == 0)
+    counts = some.select("d", "t", "text").mapInArrow(_anchor_counts(gram, window), "h long, n long")
+    found = counts.groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") * SAMPLED > runs).select("h").toArrow()
+    return np.sort(found.column("h").to_numpy().view(np.uint64))
+
+
+def repeated_windows(places: np.ndarray, content: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(d, t, start) of the windows that a smaller (d, t, start) holds too, among those of some runs."""
+    order = np.argsort(content, kind="stable")
+    key = content[order]
+    same = np.zeros(len(key) + 1, bool)
+    same[1:-1] = key[1:] == key[:-1]
+    pick = np.sort(order[same[1:] | same[:-1]])
+    n = places["n"].astype(np.int64)
+    ends = np.cumsum(n)
+    of = np.searchsorted(ends, pick, "right")
+    d, t, start = places["d"][of], places["t"][of], places["start"][of] + pick - (ends[of] - n[of])
+    key = content[pick]
     order = np.lexsort((start, t, d, key))
     key, d, t, start = key[order], d[order], t[order], start[order]
     lead = np.ones(len(key), bool)
@@ -153,14 +228,11 @@ def _matched(window: int):
         held = [b for b in batches if b.num_rows]
         if not held:
             return
-        table = pa.Table.from_batches(held)
-        known = table.filter(pc.is_null(table.column("content")))
-        table = table.filter(pc.is_valid(table.column("content")))
-        spans = [np.stack([known.column("d").to_numpy(), known.column("t").to_numpy(), known.column("start").to_numpy(),
-                           known.column("start").to_numpy() + known.column("n").to_numpy() - 1])]
-        if table.num_rows:
-            d, t, start = repeated_windows(table)
-            spans.append(np.stack([d, t, start, start]))
+        places, content = unpacked(pa.Table.from_batches(held))
+        known = places["known"] == 1
+        spans = [(places["d"][known], places["t"][known], places["start"][known], places["start"][known] + places["n"][known] - 1)]
+        d, t, start = repeated_windows(places[~known], content)
+        spans.append((d, t, start, start))
         d, t, first, last = (np.concatenate(x).astype(np.int64) for x in zip(*spans))
         order = np.lexsort((first, t, d))
         d, t, first, last = d[order], t[order], first[order], last[order]
@@ -221,7 +293,8 @@ def _cut_batches(batches):
 
 
 def drop_repeats(
-    docs: DataFrame, window: int = WINDOW, gram: int = GRAM, task_bytes: int = 8 << 20, key: str = "doc_id", text: str = "text"
+    docs: DataFrame, window: int = WINDOW, gram: int = GRAM, task_bytes: int = 8 << 20, key: str = "doc_id", text: str = "text",
+    hot_runs: int = HOT_RUNS,
 ) -> DataFrame:
     """Finds in every text the words covered by a window that also starts earlier in the corpus.
 
@@ -232,7 +305,8 @@ def drop_repeats(
     empty texts have no words and stay as they are. An empty table gives no rows.
 
     Windows that meet at an anchor are compared by a 64-bit hash of all their words. Of equal runs only the first
-    of a task is shuffled, so a passage that all documents share arrives at its anchor once per task.
+    of a task is shuffled, so a passage that all documents share arrives at its anchor once per task. Windows of an
+    anchor with more than about ``hot_runs`` different runs meet by the hash of their words instead, in all tasks.
     """
     spark = docs.sparkSession
     size, rows, ids = docs.agg(F.sum(text_bytes(F.col(text))), F.count(F.lit(1)), F.count(key)).first()
@@ -244,8 +318,9 @@ def drop_repeats(
         F.coalesce(F.col(key).cast("bigint"), F.lit((1 << 63) - 1)).alias("d"), mark.alias("t"),
     )
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-(size or 0) // task_bytes))
-    seeds = base.select("d", "t", "text").mapInArrow(_seeds(gram, window), _SEEDS)
-    spans = seeds.repartition(tasks, "h").mapInArrow(_matched(window), _SPANS)
+    hot = hot_anchors(base, gram, window, hot_runs)
+    seeds = base.select("d", "t", "text").mapInArrow(_seeds(gram, window, tasks, hot), _SEEDS)
+    spans = seeds.repartitionById(tasks, F.col("task")).mapInArrow(_matched(window), _SPANS)
     of_doc = spans.groupBy("d", "t").agg(F.collect_list(F.struct("first", "last")).alias("spans"))
     joined = base.join(of_doc, ["d", "t"], "left").select("record", F.col("text"), F.coalesce("spans", F.array().cast(
         "array<struct<first:int,last:int>>")).alias("spans"))

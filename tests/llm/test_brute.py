@@ -198,6 +198,36 @@ def test_windows_that_agree_in_half_a_hash(spark):
     assert [r["n_removed"] for r in got] == [0] * len(rows)
 
 
+def test_windows_of_a_hot_anchor_spread(spark):
+    line = [f"line{i}" for i in range(12)]
+    own = lambda i, n: [f"own{i}x{j}" for j in range(n)]
+    rows = [(i, " ".join(own(i % 150, 15) + line + own(i % 200, 15) + own(i, 25))) for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    base = df.selectExpr("doc_id AS d", "0L AS t", "text")
+    hot = substrings.hot_anchors(base, 6, 20, 60)
+    assert len(hot)
+    most = []
+    for some in (hot[:0], hot):
+        seeds = base.mapInArrow(substrings._seeds(6, 20, 40, some), substrings._SEEDS).toArrow()
+        sizes = collections.Counter()
+        for task, content in zip(seeds["task"].to_pylist(), seeds["content"].to_pylist()):
+            sizes[task] += len(content) // 8
+        most.append(max(sizes.values()) / np.mean([*sizes.values()]))
+    assert most[0] > 3 and most[1] < 2
+    seen, want = set(), {}
+    for i, text in rows:
+        w, gone = text.split(), set()
+        for s in range(len(w) - 19):
+            window = tuple(w[s : s + 20])
+            if window in seen:
+                gone.update(range(s, s + 20))
+            seen.add(window)
+        want[i] = len(gone)
+    assert any(want.values())
+    for runs in (0, 60, substrings.HOT_RUNS):
+        assert {r["record"]["doc_id"]: r["n_removed"] for r in substrings.drop_repeats(df, hot_runs=runs).collect()} == want
+
+
 def test_posteriors_as_by_one_sequence():
     rng = np.random.default_rng(1)
     first = np.concatenate([[0], np.cumsum([0, 1, 63, 64, 65, 200, 0, 129])])

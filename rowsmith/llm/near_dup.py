@@ -2,13 +2,16 @@
 
 A text is the sequence of its five-word shingles, each labelled with its occurrence number. Each of ``sketches`` hash
 functions picks the ``picks`` smallest labelled shingles and keeps them in text order; two texts that agree on one such
-ordered pick are candidates. A candidate pair is verified by aligning both sequences inside the band that the threshold
+ordered pick are candidates. In a short text picks would seldom agree; it gives ordered triples of its first shingles
+by one hash instead, so many that no similar pair is missed. A candidate pair is verified by aligning both sequences inside the band that the threshold
 allows; the similarity is aligned shingles over all shingles.
 """
 
 from __future__ import annotations
 
 from bisect import bisect_left
+from functools import lru_cache
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +25,8 @@ SHINGLE = 5
 THRESHOLD = 0.8
 SKETCHES = 20
 PICKS = 5
+SHORT = 20  # pairs whose smaller text has at most so many shingles are found without exception
+TRIPLE = 3
 
 
 def labelled_shingles(words: Words, k: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -67,6 +72,38 @@ def order_minhash(labels: np.ndarray, seeds: np.ndarray, picks: int) -> np.ndarr
     return out
 
 
+@lru_cache(maxsize=64)
+def _triples(n: int) -> np.ndarray:
+    return np.array([*combinations(range(n), TRIPLE)], np.int64).reshape(-1, TRIPLE)
+
+
+def short_picks(labels: np.ndarray, threshold: float = THRESHOLD) -> np.ndarray:
+    """One value per ordered triple of the shingles of smallest hash; similar texts share one for certain.
+
+    A similar text has at least ``need`` of the n shingles in the same order. The three of them of smallest hash are
+    among the n - need + 3 smallest of both texts. A text of up to three shingles is similar to its copies only.
+    """
+    n = len(labels)
+    need = int(np.ceil(threshold * n - 1e-6))
+    if need < TRIPLE:
+        return np.empty(0, np.uint64)
+    least = np.sort(np.argsort(mix(labels ^ np.uint64(0xA0761D6478BD642F)), kind="stable")[: n - need + TRIPLE])
+    ordered = labels[least][_triples(len(least))]
+    value = np.full(len(ordered), 0xE7037ED1A0B428DB, np.uint64)
+    for j in range(TRIPLE):
+        value = mix(value * np.uint64(31) + ordered[:, j])
+    return value
+
+
+def picks(labels: np.ndarray, seeds: np.ndarray) -> np.ndarray:
+    """All values by which a text meets others."""
+    n = len(labels)
+    if n <= SHORT:
+        return short_picks(labels)
+    values = order_minhash(labels, seeds, PICKS)
+    return np.concatenate([values, short_picks(labels)]) if n <= SHORT / THRESHOLD + 1e-6 else values
+
+
 def _sketches(batches):
     seeds = mix(np.arange(1, SKETCHES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
     for batch in slices(batches, "text"):
@@ -74,11 +111,12 @@ def _sketches(batches):
         labels, first = labelled_shingles(words)
         low, high = words.first[:-1], words.first[1:]
         keys = [span_hashes(words.hash, low, high), span_hashes(mix(words.hash + np.uint64(77)), low, high)]
-        values = [order_minhash(labels[a:b], seeds, PICKS) for a, b in zip(first[:-1], first[1:])]
+        values = [picks(labels[a:b], seeds) for a, b in zip(first[:-1], first[1:])]
+        ends = np.concatenate([[0], np.cumsum([len(x) for x in values])]).astype(np.int32)
         flat = np.concatenate(values).view(np.int64) if values else np.zeros(0, np.int64)
         yield pa.RecordBatch.from_arrays(
             [batch.column("id"), pa.array(keys[0].view(np.int64)), pa.array(keys[1].view(np.int64)), pa.array(words.counts),
-             pa.ListArray.from_arrays(np.arange(0, len(flat) + 1, SKETCHES, dtype=np.int32), pa.array(flat))],
+             pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))],
             names=["id", "k1", "k2", "n_words", "picks"])
 
 
@@ -202,7 +240,9 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     blank) stay alone. Rows of one key are one document; a row without a key gets a negative id from its text. An empty
     table gives no rows. Other columns of ``docs`` are not read.
 
-    At similarity 0.8 a pick agrees with probability 0.8**5 = 0.33; 20 picks miss a pair in 0.04 % of cases.
+    No similar pair is missed whose smaller text has at most ``SHORT`` shingles. Of others with s aligned shingles of N
+    in both, a pick agrees with probability C(s, 5) / C(N, 5); at similarity 0.8, 20 picks miss 0.10 % of the pairs with
+    20 of 25, 0.06 % with 40 of 50 and 0.04 % of long ones.
     """
     base = docs.select(identity(key, text).alias("id"), F.col(f"`{text}`").alias("text"))
     sketched = materialise(

@@ -72,6 +72,37 @@ def test_near_duplicates_as_by_all_pairs(spark):
     assert got == {i: top(i) for i, _ in docs}
 
 
+def test_short_near_duplicates_as_by_all_pairs(spark):
+    docs = []
+    for n in range(5, 30):
+        for g in range(4):
+            w = [f"n{n}g{g}w{i}" for i in range(n)]
+            kinds = [w, w[1:], w[:-1], w[1:-1], w[2:], w[:-2], [*w, "end"], ["begin", *w], [*w[:-1], "other"], ["other", *w[1:]], w[3:], [*w, w[0]],
+                     [*w[: n // 2], "middle", *w[n // 2 :]], w[n // 2 :] + w[: n // 2]]
+            docs += [" ".join(x) for x in kinds if g < 3] or [" ".join(w), " ".join(w[1:])]
+    docs = [(i, x) for i, x in enumerate(docs)]
+    labels = [(near_dup.labelled_shingles(words.words_of(pa.array([x])))[0] >> np.uint64(32)).astype(np.uint32) for _, x in docs]
+    root = list(range(len(docs)))
+
+    def top(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    met = [{*near_dup.picks(near_dup.labelled_shingles(words.words_of(pa.array([x])))[0], words.mix(np.arange(1, 21, dtype=np.uint64))).tolist()} for _, x in docs]
+    pairs = 0
+    for i in range(len(docs)):
+        for j in range(max(0, i - 40), i):
+            if near_dup.aligned(labels[i], labels[j]) > 0:
+                pairs += 1
+                a, b = sorted((top(i), top(j)))
+                root[b] = a
+                assert met[i] & met[j] or docs[i][1] == docs[j][1] or min(len(labels[i]), len(labels[j])) > near_dup.SHORT
+    assert pairs > 500
+    got = {r["id"]: r["class_id"] for r in near_dup.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got == {i: top(i) for i, _ in docs}
+
+
 def test_alignment_is_the_longest_common_order():
     rng = np.random.default_rng(4)
     for _ in range(200):

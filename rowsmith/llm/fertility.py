@@ -23,7 +23,7 @@ PIECES = "/opt/tokenizers/piece_bpe_32k.model"
 RANKS = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 SYMBOLS = b"#*$%&|<>"
 FENCE = 3.0  # quartile distances beyond the quartiles that a band allows
-LEAST = 100  # a language with fewer sound texts takes the band of all texts
+PRIOR = 100  # the band of its script counts for a language as much as so many sound texts of its own
 #: Measure: bins of the corpus histogram per unit.
 MEASURES = {"piece_chars": 100, "piece_bytes": 1000, "piece_entropy": 500, "byte_chars": 100, "byte_parts": 1000, "byte_entropy": 500}
 
@@ -146,63 +146,68 @@ def _measure(pieces: str, ranks: str):
             base, raw = base_measures(words), words.data.tobytes()
             p = token_measures(words, raw, base["word_chars"], model.encode, model_known, model_odd)
             b = token_measures(words, raw, base["word_chars"], lambda ws: [encoder.encode_ordinary(" " + w) for w in ws], encoder_known, encoder_odd)
-            groups = [g if g is not None else f"script {s}" for g, s in zip(batch.column("band").to_pylist(), scripts(words))]
+            script = scripts(words)
+            groups = [g if g is not None else f"script {s}" for g, s in zip(batch.column("band").to_pylist(), script)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("record"), pa.array(groups), *(pa.array(x) for x in base.values()), *(pa.array(x, from_pandas=True) for x in (*p, *b))],
-                names=["record", "band", *base, *MEASURES])
+                [batch.column("record"), pa.array(groups, pa.string()), pa.array(script, pa.string()), *(pa.array(x) for x in base.values()), *(pa.array(x, from_pandas=True) for x in (*p, *b))],
+                names=["record", "band", "script", *base, *MEASURES])
 
     return run
 
 
 def bands(measured: DataFrame) -> DataFrame:
-    """One row per band name, and one of all texts (null): ``low`` and ``high`` of each measure.
+    """One row per band name: ``low`` and ``high`` of each measure.
 
-    Quartiles come from a histogram of fixed bins over every text that passed the base rules.
+    Quartiles come from a histogram of fixed bins over every text that passed the base rules. The limits of a band are
+    drawn towards those of its most frequent script, the less the more texts it has, but only outwards: what its own
+    texts allow is not rejected by others. The same rule holds for any number of texts.
     """
     sound = measured.where(~F.col("base_failed"))
     bins = F.explode(F.array(*[
         F.struct(F.lit(m).alias("measure"), F.floor(F.col(m) * per).alias("bin"), F.lit(per).alias("per")) for m, per in MEASURES.items()
     ])).alias("x")
-    counted = sound.select("band", bins).select("band", "x.*").groupBy("band", "measure", "per", "bin").agg(F.count(F.lit(1)).alias("n"))
-    everything = counted.groupBy("measure", "per", "bin").agg(F.sum("n").alias("n")).select(F.lit(None).cast("string").alias("band"), "measure", "per", "bin", "n")
-    both = counted.unionByName(everything)
-    so_far = Window.partitionBy("band", "measure").orderBy("bin")
-    total = Window.partitionBy("band", "measure")
-    ranked = both.withColumn("upto", F.sum("n").over(so_far)).withColumn("total", F.sum("n").over(total))
-    quartile = [F.min(F.when(F.col("upto") >= q * F.col("total"), F.col("bin"))).alias(name) for q, name in ((0.25, "q1"), (0.75, "q3"))]
-    edges = ranked.groupBy("band", "measure", "per").agg(*quartile, F.max("total").alias("total"))
-    wide = F.greatest(F.col("q3") - F.col("q1"), F.lit(2)) * FENCE
-    return (
-        edges.groupBy("band").agg(
-            F.max("total").alias("texts"),
-            F.map_from_entries(F.collect_list(F.struct("measure", ((F.col("q1") - wide) / F.col("per"))))).alias("low"),
-            F.map_from_entries(F.collect_list(F.struct("measure", ((F.col("q3") + 1 + wide) / F.col("per"))))).alias("high"),
-        )
+    keys = ["measure", "per", "bin"]
+    counted = sound.select("band", "script", bins).select("band", "script", "x.*").groupBy("band", "script", *keys).agg(F.count(F.lit(1)).alias("n"))
+    counted = materialise(counted, "histogram")
+
+    def edges(group: str) -> DataFrame:
+        of = counted.groupBy(group, *keys).agg(F.sum("n").alias("n"))
+        so_far, total = Window.partitionBy(group, "measure").orderBy("bin"), Window.partitionBy(group, "measure")
+        ranked = of.withColumn("upto", F.sum("n").over(so_far)).withColumn("total", F.sum("n").over(total))
+        quartile = [F.min(F.when(F.col("upto") >= q * F.col("total"), F.col("bin"))).alias(name) for q, name in ((0.25, "q1"), (0.75, "q3"))]
+        found = ranked.groupBy(group, "measure", "per").agg(*quartile, F.max("total").alias("texts"))
+        # Quartiles of few texts are uncertain: their band is wider.
+        wide = F.greatest(F.col("q3") - F.col("q1"), F.lit(2)) * FENCE * (1 + 1 / F.sqrt("texts"))
+        return found.select(group, "measure", "texts", ((F.col("q1") - wide) / F.col("per")).alias("low"), ((F.col("q3") + 1 + wide) / F.col("per")).alias("high"))
+
+    script = counted.groupBy("band", "script").agg(F.sum("n").alias("n")).groupBy("band").agg(F.max(F.struct("n", "script"))["script"].alias("script"))
+    prior = edges("script").select("script", "measure", F.col("low").alias("script_low"), F.col("high").alias("script_high"))
+    both = edges("band").join(script, "band").join(prior, ["script", "measure"])
+    rest = PRIOR / (F.col("texts") + PRIOR)
+    low = F.col("low") + rest * F.least(F.col("script_low") - F.col("low"), F.lit(0.0))
+    high = F.col("high") + rest * F.greatest(F.col("script_high") - F.col("high"), F.lit(0.0))
+    return both.groupBy("band").agg(
+        F.map_from_entries(F.collect_list(F.struct("measure", low))).alias("least"),
+        F.map_from_entries(F.collect_list(F.struct("measure", high))).alias("most"),
     )
 
 
 def fertility_rules(docs: DataFrame, band: str = "lang", pieces: str = PIECES, ranks: str = RANKS, text: str = "text") -> DataFrame:
     """``record`` (all columns but the text), the base counts and measures, ``base_failed`` and ``kept``.
 
-    The band of a text is its language, else its script; a band of fewer than ``LEAST`` sound texts is that of all.
+    The band of a text is its language, else its script; few texts widen it, towards the band of their script too.
     Shares of byte pieces have no lower limit. Bands widen by the scatter of a measure over few tokens. Null and empty texts have no words and fail the base rules; their
     measures are null. Repeated rows get equal results and count as often as they occur. An empty table gives no rows.
     """
     rest = [F.col(f"`{c}`") for c in docs.columns if c != text]
     base = docs.select(F.struct(*rest).alias("record"), F.col(f"`{band}`").cast("string").alias("band"), F.col(f"`{text}`").alias("text"))
     counts = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
-    schema = f"record {base.schema['record'].dataType.simpleString()}, band string, {counts}, " + ", ".join(f"{m} double" for m in MEASURES)
+    schema = f"record {base.schema['record'].dataType.simpleString()}, band string, script string, {counts}, " + ", ".join(f"{m} double" for m in MEASURES)
     measured = base.mapInArrow(_measure(pieces, ranks), schema)
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     measured = materialise(measured.withColumn("base_failed", failed), "measured")
     found = materialise(bands(measured), "bands")
-    own = found.where((F.col("texts") >= LEAST) & F.col("band").isNotNull()).select("band", "low", "high")
-    common = found.where(F.col("band").isNull()).select(F.col("low").alias("low_all"), F.col("high").alias("high_all")).first()
-    if common is None:  # no sound text at all
-        return measured.drop("band").withColumn("kept", F.lit(False))
-    default = [F.create_map(*[x for m, v in sorted(side.items()) for x in (F.lit(m), F.lit(v))]) for side in common]
-    judged = measured.join(own, "band", "left").select(
-        "*", F.coalesce("low", default[0]).alias("least"), F.coalesce("high", default[1]).alias("most"))
+    judged = measured.join(found, "band", "left")
     inside = ~F.col("base_failed")
     for m in MEASURES:
         # A measure over n tokens scatters by about 1 / sqrt(n): few tokens need a clearer miss.
@@ -214,4 +219,4 @@ def fertility_rules(docs: DataFrame, band: str = "lang", pieces: str = PIECES, r
             inside &= F.col(m) <= F.col("most")[m] + scatter
         if m.endswith("entropy"):
             inside &= F.col(m) >= F.col("least")[m] - scatter
-    return judged.withColumn("kept", F.coalesce(inside, F.lit(False))).drop("band", "low", "high", "least", "most")
+    return judged.withColumn("kept", F.coalesce(inside, F.lit(False))).drop("band", "script", "least", "most")

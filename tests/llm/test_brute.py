@@ -163,6 +163,23 @@ def test_base_counts_as_by_loops(spark, small, texts):
         assert not (failed and got[i]["kept"])
 
 
+def test_fertility_of_rare_languages(spark):
+    from rowsmith.llm.fertility import fertility_rules
+
+    rng = np.random.default_rng(5)
+    letters = {"en": "abcdefghijklmnoprstuw", "ru": "абвгдежзиклмнопрстуя", "el": "αβγδεζηθικλμνοπρστυ"}
+    text = lambda c: " ".join("".join(rng.choice([*letters[c]], rng.integers(3, 9))) for _ in range(60))
+    rare = [(i, text(c), c) for i, c in enumerate(["ru"] * 150 + ["el"] * 15)]
+    most = [(1000 + i, text("en"), "en") for i in range(300)]
+    for some in (rare, rare[100:], rare[135:], rare[149:]):
+        docs = spark.createDataFrame(some + most, "doc_id long, text string, lang string")
+        got = fertility_rules(docs).select("record.doc_id", "record.lang", "kept").collect()
+        assert all(r["kept"] for r in got if r["lang"] != "en") and sum(r["kept"] for r in got) > 0.98 * len(got)
+    broken = (5000, "ab cd " + " ".join("".join(rng.choice([*"𐍈𐍉𝄞𝄢𝄫"], 6)) for _ in range(40)), "en")
+    docs = spark.createDataFrame([*rare, *most, broken], "doc_id long, text string, lang string")
+    assert not fertility_rules(docs).where("record.doc_id = 5000").first()["kept"]
+
+
 def test_fertility_against_quality_labels(spark, sf):
     got = queries.QUERIES["op4_tokenizer_fertility"](spark, sf).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id")
     sound = got.where("not base_failed").groupBy("quality").agg({"kept": "count"}).count()

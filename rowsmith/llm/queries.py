@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from rowsmith.llm import cotraining, language, pieces, toxicity
 from rowsmith.llm.common import text_bytes
 from rowsmith.llm.fertility import MEASURES, fertility_rules
+from rowsmith.llm.lines import drop_lines
 from rowsmith.llm.mixing import mix_plan
 from rowsmith.llm.near_dup import near_duplicates
 from rowsmith.llm.sharding import external_shuffle
@@ -206,3 +207,26 @@ def op9(spark: SparkSession, sf: str) -> DataFrame:
         F.col("record.doc_id").alias("doc_id"), (_remainder("record.doc_id", 4) == 3).alias("held_out"),
         F.round("text_score", 9).alias("text_score"), F.round("page_score", 9).alias("page_score"),
         F.round("score", 9).alias("score"), (F.col("score") >= 0.5).alias("kept"))
+
+
+@query(
+    "op12_line_bitmaps",
+    """
+    WITH texts AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+    numbered AS (SELECT doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) AS i FROM texts),
+    lines AS (
+        SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k FROM numbered),
+    spread AS (
+        SELECT k, max(doc_id) AS top FROM lines WHERE length(k) >= 40 GROUP BY k HAVING count(DISTINCT doc_id) >= 5),
+    judged AS (SELECT l.*, top IS NOT NULL AND doc_id <> top AS gone FROM lines l LEFT JOIN spread s ON l.k = s.k)
+    SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+           sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+    FROM judged GROUP BY doc_id
+    """,
+)
+def op12(spark: SparkSession, sf: str) -> DataFrame:
+    """What is left of every document without the lines that five documents or more hold."""
+    kept = drop_lines(table(spark, sf, "documents").select("doc_id", "text"))
+    return kept.select(F.col("record.doc_id").alias("doc_id"), "n_lines", "n_dropped",
+                       F.sha2(F.coalesce("kept_text", F.lit("")), 256).alias("kept_sha256"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rowsmith.llm import cotraining, language, pieces, toxicity
+from rowsmith.llm import cotraining, language, pieces, toxicity, whitening
 from rowsmith.llm.common import text_bytes
 from rowsmith.llm.fertility import MEASURES, fertility_rules
 from rowsmith.llm.lines import drop_lines
@@ -230,3 +230,19 @@ def op12(spark: SparkSession, sf: str) -> DataFrame:
     kept = drop_lines(table(spark, sf, "documents").select("doc_id", "text"))
     return kept.select(F.col("record.doc_id").alias("doc_id"), "n_lines", "n_dropped",
                        F.sha2(F.coalesce("kept_text", F.lit("")), 256).alias("kept_sha256"))
+
+
+@query("op13_jacobi_davidson")
+def op13(spark: SparkSession, sf: str) -> DataFrame:
+    """Every sound vector on up to 32 whitened principal components, one row per vector and component."""
+    rows = table(spark, sf, "embeddings").select("vec_id", whitening.grid_vector(F.col("embedding")).alias("x"))
+    models = whitening.fit(rows)
+    facts = F.create_map(*[x for m in models for x in (F.lit(m.dim), F.struct(
+        F.lit(m.n).cast("bigint").alias("n"), F.lit(m.identity_error).alias("error"),
+        F.array(*[F.lit(float(e / m.trace)) for e in m.values]).cast("array<double>").alias("shares")))]) if models else F.lit(None).cast(
+        "map<int,struct<n:bigint,error:double,shares:array<double>>>")
+    found = whitening.whiten(rows, models).withColumn("fact", F.element_at(facts, F.col("dim")))
+    return found.select("record", "deviation", "fact", F.posexplode("whitened").alias("pos", "whitened")).select(
+        F.col("record.vec_id").alias("vec_id"), (F.col("pos") + 1).cast("int").alias("component"), F.col("fact.n").alias("n"),
+        F.col("deviation").cast("bigint").alias("deviation"), "whitened",
+        F.col("fact.shares")[F.col("pos")].alias("explained"), F.col("fact.error").alias("identity_error"))

@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rowsmith.llm import cotraining, language, pieces, toxicity, whitening
-from rowsmith.llm.common import text_bytes
+from rowsmith.llm.common import WORD, text_bytes
 from rowsmith.llm.fertility import MEASURES, fertility_rules
 from rowsmith.llm.lines import drop_lines
 from rowsmith.llm.mixing import mix_plan
 from rowsmith.llm.near_dup import near_duplicates
+from rowsmith.llm.periodic import periodic_runs
 from rowsmith.llm.sharding import external_shuffle
 from rowsmith.llm.substrings import drop_repeats
 from rowsmith.llm.vectors import near_vectors
@@ -246,3 +247,32 @@ def op13(spark: SparkSession, sf: str) -> DataFrame:
         F.col("record.vec_id").alias("vec_id"), (F.col("pos") + 1).cast("int").alias("component"), F.col("fact.n").alias("n"),
         F.col("deviation").cast("bigint").alias("deviation"), "whitened",
         F.col("fact.shares")[F.col("pos")].alias("explained"), F.col("fact.error").alias("identity_error"))
+
+
+def with_periods(docs: DataFrame) -> DataFrame:
+    """``docs`` with the tail of some texts made periodic: where h = crc32(key) ends in 0, words from a on repeat those
+    from a to a + p, with g = h div 10, a = g mod n, p = 1 + (n - a) div (3 + g mod 8) and n words."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    words = docs.withColumn("ws", F.when(h % 10 == 0, F.regexp_extract_all("text", F.lit(WORD), F.lit(0))))
+    n, g = F.coalesce(F.size("ws"), F.lit(0)), F.floor(h / 10)
+    words = words.withColumn("n", n).withColumn("a", (g % F.greatest(F.col("n"), F.lit(1))).cast("int"))
+    words = words.withColumn("p", (1 + F.floor((F.col("n") - F.col("a")) / (3 + g % 8))).cast("int"))
+    rest = F.col("n") - F.col("a")
+    cycle = F.flatten(F.array_repeat(F.slice("ws", F.col("a") + 1, F.col("p")), F.ceil(rest / F.col("p")).cast("int")))
+    made = F.array_join(F.concat(F.slice("ws", F.lit(1), F.col("a")), F.slice(cycle, F.lit(1), rest)), " ")
+    return words.withColumn("text", F.when(F.col("n") > 0, made).otherwise(F.col("text"))).select(*docs.columns)
+
+
+@query("op11_recompression_runs")
+def op11(spark: SparkSession, sf: str) -> DataFrame:
+    """Runs of four periods and more in every document, the longest of them, and what is left without repetitions."""
+    found = periodic_runs(with_periods(table(spark, sf, "documents").select("doc_id", "text")))
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(
+        r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", *[r[c].cast("string") for c in ("start", "length", "period")]))
+    listed = F.when(F.size("runs") > 0, F.concat(F.array_join(lines, "\n"), F.lit("\n"))).otherwise(F.lit(""))
+    return found.withColumn("top", longest).select(
+        F.col("record.doc_id").alias("doc_id"), F.size("runs").cast("bigint").alias("n_runs"), (-F.col("top.start")).alias("start"),
+        F.col("top.length").alias("length"), (-F.col("top.period")).alias("period"),
+        F.floor(F.expr("1000 * top.length div -top.period")).cast("bigint").alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))

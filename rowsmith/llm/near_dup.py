@@ -248,14 +248,15 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     sketched = materialise(
         base.mapInArrow(_sketches, "id long, k1 long, k2 long, n_words long, picks array<long>"), "sketches")
     with_words = sketched.where("n_words > 0")
-    classes = with_words.groupBy("k1", "k2").agg(F.min(F.struct("id", "picks")).alias("x"), F.min("id").alias("rep"))
+    classes = with_words.groupBy("k1", "k2").agg(
+        F.min(F.struct("id", "picks")).alias("x"), F.min("id").alias("rep"), F.max("id").alias("last"))
     buckets = materialise(classes.select("rep", F.explode("x.picks").alias("bucket")).distinct(), "buckets")
     sizes = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     shared = materialise(buckets.join(sizes, "bucket"), "shared")
     met = shared.groupBy("rep").agg(F.sum("n").alias("met"))
     leaders = shared.join(met, "rep").groupBy("bucket").agg(F.max(F.struct("met", -F.col("rep"), "rep"))["rep"].alias("leader"))
     stars = shared.join(leaders, "bucket").where("rep <> leader").select(F.col("leader").alias("a"), F.col("rep").alias("b")).distinct()
-    nodes = shared.select(F.col("rep").alias("id")).distinct()
+    nodes = materialise(shared.select(F.col("rep").alias("id")).distinct(), "nodes")  # few; the texts of the others stay where they are
     texts = base.join(nodes, "id", "left_semi").dropDuplicates(["id"])
     labels = materialise(texts.mapInArrow(_label_batches, "id long, labels binary"), "labels")
     stars = materialise(compared(stars, labels), "stars")
@@ -263,19 +264,23 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     rest = materialise(_unseen_pairs(stars, materialise(components(links), "roots")), "rest")
     late = compared(rest, labels).where("linked").select("a", "b")
     roots = materialise(components(links.union(late)), "roots")
-    of_class = classes.select("k1", "k2", "rep").join(roots.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "k1", "k2", F.coalesce("root", "rep").alias("class_id"))
+    # Only classes of several documents are looked up by content; a document that is alone goes by its id.
+    several = classes.where("rep < last").select("k1", "k2", F.col("rep").alias("node")).join(roots, "node", "left").select(
+        "k1", "k2", F.coalesce("root", "node").alias("of_class"))
+    several = materialise(several, "classes")
+    roots = roots.select(F.col("node").alias("id"), "root")
     return (
-        with_words.drop("picks").join(of_class, ["k1", "k2"]).select("id", "class_id", "n_words")
+        with_words.drop("picks").join(several, ["k1", "k2"], "left").join(roots, "id", "left")
+        .select("id", F.coalesce("of_class", "root", "id").alias("class_id"), "n_words")
         .union(sketched.where("n_words = 0").select("id", F.col("id").alias("class_id"), "n_words"))
     )
 
 
 def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The document with the smallest id of each near-duplicate class, with all its columns; of repeated rows one."""
-    kept = near_duplicates(docs, key, text).where("id = class_id").groupBy("id").agg(F.count(F.lit(1)).alias("n"))
-    kept = materialise(kept, "kept")
-    rows = docs.select(F.struct("*").alias("record"), identity(key, text).alias("id")).join(kept.select("id"), "id", "left_semi")
-    if kept.where("n > 1").take(1):
+    found = materialise(near_duplicates(docs, key, text).select("id", "class_id"), "found")
+    gone = materialise(found.where("id <> class_id").select("id").distinct(), "gone")
+    rows = docs.select(F.struct("*").alias("record"), identity(key, text).alias("id")).join(gone, "id", "left_anti")
+    if found.groupBy("id").count().where("count > 1").take(1):
         rows = rows.dropDuplicates(["id"])
     return rows.select("record.*")

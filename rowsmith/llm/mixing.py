@@ -58,13 +58,13 @@ def mix_plan(
     ``MOST_COPIES``. Null sources are one source. Texts without words count as size 0 and take part like others; a
     source without words gets 0 copies. Repeated rows are separate documents. An empty table gives no rows.
     """
-    name = F.col("record")[source]
     sized = docs.select(F.struct("*").alias("record")).select(
-        "record",
-        name.alias("source"),
-        F.col("record")[key].alias("id"),
-        n_words(F.col("record")[text]).alias("size"),
-    )
+        "record", F.col("record")[source].alias("source"), F.col("record")[key].alias("id"), n_words(F.col("record")[text]).alias("size"))
+    return _planned(sized.withColumn("tie", F.lit(0)), seed, block_rows)
+
+
+def _planned(sized: DataFrame, seed: int, block_rows: int) -> DataFrame:
+    """``sized`` holds record, source, id, size and tie, which orders rows of one id; columns as ``mix_plan``."""
     sized = sized.withColumn("step", F.floor(F.sqrt("size"))).withColumn("mark", _keyed(seed, F.col("id")))
     # A row per source and size step, read by all that follows.
     counts = materialise(sized.groupBy("source", "step").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("words")), "sizes")
@@ -74,7 +74,7 @@ def mix_plan(
     )
     number = F.conv(F.substring("mark", 1, 8), 16, 10).cast("bigint")
     placed = sized.join(split, F.col("source").eqNullSafe(F.col("of")) & (F.col("step") == F.col("at"))).select(
-        "record", "source", "id", "size", "step", "mark", F.pmod(number, F.col("blocks")).alias("block")
+        "record", "source", "id", "tie", "size", "step", "mark", F.pmod(number, F.col("blocks")).alias("block")
     )
     order = Window.partitionBy("source").orderBy("step", "block").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
@@ -87,7 +87,7 @@ def mix_plan(
             unit_hash(F.lit(seed), F.col("source")).alias("offset"),
         )
     )
-    inside = Window.partitionBy("source", "step", "block").orderBy("size", "mark", "id")
+    inside = Window.partitionBy("source", "step", "block").orderBy("size", "mark", "id", "tie")
     position = F.col("first") + F.col("row")
     upto = F.floor(position * F.col("rate") + F.col("offset"))
     before = F.floor((position - 1) * F.col("rate") + F.col("offset"))
@@ -101,7 +101,20 @@ def mix_plan(
     )
 
 
-def mix(docs: DataFrame, **options) -> DataFrame:
-    """The mixture itself: every document as many times as it was drawn, with its own columns."""
-    plan = mix_plan(docs, **options).where("copies > 0")
-    return plan.select(F.explode(F.array_repeat("record", F.col("copies").cast("int"))).alias("record")).select("record.*")
+def mix(docs: DataFrame, seed: int = 17, block_rows: int = 500, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
+    """The mixture itself: every document as many times as it was drawn, with its own columns.
+
+    The plan is made on ids, sizes and a hash of the whole row; the documents meet it once, in one join. Rows that are
+    equal in all columns are one row of the plan's result and come out as often as all of them were drawn.
+    """
+    row = F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
+    sized = docs.select(
+        F.struct(row.alias("row"), F.col(f"`{key}`").alias("id")).alias("record"), F.col(f"`{source}`").alias("source"),
+        F.col(f"`{key}`").alias("id"), n_words(F.col(f"`{text}`")).alias("size"), row.alias("tie"))
+    drawn = _planned(sized, seed, block_rows).groupBy("record").agg(F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("rows"))
+    drawn = materialise(drawn.where("copies > 0").select(F.col("record.id").alias("of"), F.col("record.row").alias("row"), "copies", "rows"), "copies")
+    found = docs.select(F.struct("*").alias("record"), row.alias("row"), F.col(f"`{key}`").alias("id"))
+    found = found.join(drawn, (found["row"] == drawn["row"]) & found["id"].eqNullSafe(drawn["of"])).select("record", drawn["row"], "id", "copies", "rows")
+    if drawn.where("rows > 1").take(1):
+        found = found.where("rows = 1").union(found.where("rows > 1").dropDuplicates(["row", "id"]))
+    return found.select(F.explode(F.array_repeat("record", F.col("copies").cast("int"))).alias("record")).select("record.*")

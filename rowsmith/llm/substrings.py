@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from rowsmith.llm.common import text_bytes
 from rowsmith.llm.words import mix, slices, window_hashes, words_of
+from rowsmith.session import materialise
 
 GRAM = 6
 WINDOW = 20
@@ -321,7 +322,8 @@ def drop_repeats(
     hot = hot_anchors(base, gram, window, hot_runs)
     seeds = base.select("d", "t", "text").mapInArrow(_seeds(gram, window, tasks, hot), _SEEDS)
     spans = seeds.repartitionById(tasks, F.col("task")).mapInArrow(_matched(window), _SPANS)
-    of_doc = spans.groupBy("d", "t").agg(F.collect_list(F.struct("first", "last")).alias("spans"))
+    # Stored, so that the texts are moved only if the spans are too many to be sent to them.
+    of_doc = materialise(spans.groupBy("d", "t").agg(F.collect_list(F.struct("first", "last")).alias("spans")), "spans")
     joined = base.join(of_doc, ["d", "t"], "left").select("record", F.col("text"), F.coalesce("spans", F.array().cast(
         "array<struct<first:int,last:int>>")).alias("spans"))
     record = joined.schema["record"].dataType.simpleString()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -112,6 +113,16 @@ def window_hashes(words: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
     return span_hashes(words.hash, start, start + k), words.row[:n] == words.row[k - 1 :]
 
 
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def release() -> None:
+    """Gives memory that Arrow and NumPy have freed back to the system (where the C library can)."""
+    pa.default_memory_pool().release_unused()
+    if _trim is not None:
+        _trim(0)
+
+
 def slices(batches: Iterator[pa.RecordBatch], text: str, limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """The batches cut into stretches of rows with at most ``limit`` bytes of text; a longer text stands alone.
 
@@ -127,4 +138,4 @@ def slices(batches: Iterator[pa.RecordBatch], text: str, limit: int = 1 << 20) -
             yield batch.slice(i, j - i)
             i = j
         del batch
-        pa.default_memory_pool().release_unused()
+        release()

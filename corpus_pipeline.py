@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rowsmith.llm import mixing, near_dup, pieces, substrings, toxicity
-from rowsmith.session import materialise
+from rowsmith.session import discard, materialise, written_since
 from rowsmith.sources.tables import table
 
 REJECT = 0.3  # toxicity from which a document goes
@@ -66,8 +66,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents, each written to the shared folder and read again."""
+    """All stages over the documents, each written to the shared folder and read again.
+
+    What a stage stores on its way, and the table it read, is deleted once its own table is written. Null and empty
+    texts pass all stages (mixing takes them like others), repeated rows come out once after the second stage, and an
+    empty table gives no rows.
+    """
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
+        before = len(written_since())
+        earlier = written_since()[-1:] if name != STAGES[0][0] else []
         docs = materialise(stage(spark, docs, sf_dir), name)
+        discard(earlier + written_since(before)[:-1])
     return docs

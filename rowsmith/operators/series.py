@@ -8,8 +8,6 @@ from __future__ import annotations
 
 import math
 
-import pandas as pd
-
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -153,7 +151,7 @@ class AdditiveForecast:
     One design row per day. The slope changes are penalised and the other
     columns are not (they enter on a larger scale, where the penalty is
     negligible), so changepoints that do not help shrink away. Fits the days of
-    one series at a time on the cluster; ``forecast_many`` covers many series.
+    one series at a time on the cluster; ``many_series`` covers many series.
     """
 
     FREE = 1000.0
@@ -164,7 +162,7 @@ class AdditiveForecast:
         self.year_period, self.penalty, self.width = year_period, penalty, width
 
     def _design(self, days: DataFrame) -> tuple[DataFrame, dict[str, list[str]]]:
-        scaled = F.datediff(F.col(DS), F.lit(self.start)) / F.lit(float(self.days))
+        scaled = F.datediff(F.col(DS), F.lit(self.start)) / F.lit(self.days).cast("double")
         cols = {"x_t": scaled}
         groups: dict[str, list[str]] = {"trend": ["x_t"], "weekly": [], "yearly": [], "holidays": []}
         for i in range(self.changepoints):
@@ -179,12 +177,14 @@ class AdditiveForecast:
                 groups[name] += [f"x_{name}_s{k}", f"x_{name}_c{k}"]
         out = days.withColumns(cols)
         if self.calendar is not None:
-            flags = holiday_flags(self.calendar, self.names)
             hol = [f"hol_{i}" for i in range(len(self.names))]
-            out = out.join(flags, DS, "left").na.fill(0, subset=hol)
+            out = self._with_holidays(out).na.fill(0, subset=hol)
             groups["holidays"] = hol
         return out, groups
 
+    def _with_holidays(self, days: DataFrame) -> DataFrame:
+        return days.join(holiday_flags(self.calendar, self.names), DS, "left")
+
     def fit(self, df: DataFrame, calendar: DataFrame | None = None) -> "AdditiveForecast":
         df = materialise(df.where(F.col(Y).isNotNull()), "history")  # one row per day, read by several passes
         self.calendar = calendar
@@ -192,7 +192,7 @@ class AdditiveForecast:
         low, high, mean, dev, one, other = df.agg(
             F.min(DS), F.max(DS), F.avg(Y), F.stddev_pop(Y), F.min(SERIES), F.max(SERIES)).first()
         if one != other:
-            raise ValueError("one series at a time; use forecast_many for several")
+            raise ValueError("one series at a time; use ManySeriesForecast for several")
         self.start, self.days, dev = low, max((high - low).days, 1), dev or 1.0
         design, groups = self._design(df)
         self.features = [c for g in groups.values() for c in g]
@@ -225,34 +225,6 @@ class AdditiveForecast:
                           (F.col("yhat") + reach).alias("yhat_upper"))
 
 
-def forecast_many(df: DataFrame, horizon: int = 365, yearly_order: int = 2, weekly_order: int = 3) -> DataFrame:
-    """One independent trend-plus-waves fit per series; each series is one bounded calendar."""
-    import numpy as np
-
-    def design(day, start, span):
-        cols = [np.ones(len(day)), (day - start) / span]
-        for order, period in ((weekly_order, 7.0), (yearly_order, 365.0)):
-            for k in range(1, order + 1):
-                cols += [np.sin(2 * np.pi * k * day / period), np.cos(2 * np.pi * k * day / period)]
-        return np.column_stack(cols)
-
-    def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(DS)
-        day = pd.to_datetime(pdf[DS]).to_numpy().astype("datetime64[D]").astype(float)
-        start, span = day[0], max(day[-1] - day[0], 1.0)
-        known = pdf[Y].notna().to_numpy()
-        beta, *_ = np.linalg.lstsq(design(day[known], start, span), pdf[Y].to_numpy(float)[known], rcond=None)
-        ahead = day[-1] + np.arange(1, horizon + 1)
-        return pd.DataFrame({
-            SERIES: pdf[SERIES].iloc[0],
-            DS: [d.astype(object) for d in ahead.astype("datetime64[D]")],
-            "yhat": design(ahead, start, span) @ beta,
-        })
-
-    kind = df.schema[SERIES].dataType.simpleString()
-    return df.groupBy(SERIES).applyInPandas(one, f"{SERIES} {kind}, {DS} date, yhat double")
-
-
 def backtest(df: DataFrame, horizon: int = 365, calendar: DataFrame | None = None, **options) -> DataFrame:
     """Hold out the last ``horizon`` days and report the median absolute error of the forecast."""
     cutoff = df.agg(F.date_sub(F.max(DS), horizon)).first()[0]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from rowsmith.operators import series as TS
+from rowsmith.operators import many_series as MS, series as TS
 from rowsmith.operators.ordered import last_rows_split
 from rowsmith.plans.q_sources import HOLIDAY_SQL, holidays
 from rowsmith.plans.registry import query
@@ -202,11 +202,63 @@ def forecast_components(spark, sf):
     return model.components(TS.future_frame(history, 365)).drop("series")
 
 
+def _priorities(spark, sf):
+    return TS.daily(table(spark, sf, "orders"), "o_orderdate", F.sum("o_totalprice"), F.col("o_orderpriority"))
+
+
 @query("forecast_many_series")
 def forecast_many_series(spark, sf):
-    """One forecast per order priority."""
-    df = TS.daily(table(spark, sf, "orders"), "o_orderdate", F.sum("o_totalprice"), F.col("o_orderpriority"))
-    return TS.forecast_many(TS.as_daily(df), 365)
+    """A year ahead for every order priority: knots, waves, holidays and interval."""
+    return MS.forecast_many(TS.as_daily(_priorities(spark, sf)), 365, TS.holiday_calendar(holidays(spark)))
+
+
+# Per series the days, their numbers and the day a series begins.
+PRIORITIES = """
+    d AS (SELECT o_orderpriority AS series, o_orderdate::DATE AS ds, sum(o_totalprice) AS y FROM orders GROUP BY ALL),
+    s AS (SELECT *, min(ds) OVER (PARTITION BY series) AS lo, max(ds) OVER (PARTITION BY series) AS hi FROM d)"""
+
+
+@query("forecast_many_line", f"""
+    WITH {PRIORITIES}, m AS (SELECT series, any_value(lo) AS lo, any_value(hi) AS hi, regr_slope(y, ds - lo) AS b, regr_intercept(y, ds - lo) AS a FROM s GROUP BY 1),
+    e AS (SELECT series, sqrt(avg(pow(y - a - b * (ds - s.lo), 2))) AS sigma FROM s JOIN m USING (series) GROUP BY 1),
+    ahead AS (SELECT series, (hi + CAST(i AS INTEGER))::DATE AS ds, a + b * (hi + CAST(i AS INTEGER) - lo) AS yhat FROM m, range(1, 31) r(i))
+    SELECT series, ds, round(yhat, 2) AS yhat, round(yhat - 1.2816 * sigma, 2) AS yhat_lower, round(yhat + 1.2816 * sigma, 2) AS yhat_upper
+    FROM ahead JOIN e USING (series)""")
+def forecast_many_line(spark, sf):
+    """Without knots, waves and holidays every series is continued by its least-squares line with its residual band."""
+    out = MS.forecast_many(_priorities(spark, sf), 30, changepoints=0, yearly_order=0, weekly_order=0, penalty=0.0)
+    return out.select("series", "ds", *[F.round(c, 2).alias(c) for c in ("yhat", "yhat_lower", "yhat_upper")])
+
+
+@query("forecast_many_holidays", f"""
+    WITH {PRIORITIES}, x AS (SELECT series, y, (ds - lo)::DOUBLE AS t, (ds IN (SELECT ds FROM {CAL}))::INT::DOUBLE AS h, lo FROM s),
+    c AS (SELECT series, covar_pop(t, t) AS tt, covar_pop(t, h) AS th, covar_pop(h, h) AS hh, covar_pop(t, y) AS ty, covar_pop(h, y) AS hy,
+          avg(t) AS mt, avg(h) AS mh, avg(y) AS my FROM x GROUP BY 1),
+    w AS (SELECT *, (ty * hh - hy * th) / (tt * hh - th * th) AS b, (hy * tt - ty * th) / (tt * hh - th * th) AS g FROM c)
+    SELECT series, ds, round(my + b * ((ds - lo) - mt) - g * mh, 2) AS trend, round(g * (ds IN (SELECT ds FROM {CAL}))::INT, 2) AS holidays,
+           round(my + b * ((ds - lo) - mt) + g * ((ds IN (SELECT ds FROM {CAL}))::INT - mh), 2) AS yhat
+    FROM s JOIN w USING (series)""")
+def forecast_many_holidays(spark, sf):
+    """A line and one holiday effect per series: the components of every day of the history."""
+    days = _priorities(spark, sf)
+    calendar = TS.holiday_calendar(holidays(spark)).withColumn("holiday", F.lit("any")).distinct()
+    model = MS.ManySeriesForecast(changepoints=0, yearly_order=0, weekly_order=0, penalty=0.0).fit(days, calendar)
+    out = model.components(days.select("series", "ds"))
+    return out.select("series", "ds", *[F.round(c, 2).alias(c) for c in ("trend", "holidays", "yhat")])
+
+
+@query("forecast_many_backtest", f"""
+    WITH {PRIORITIES}, f AS (SELECT * FROM s WHERE ds <= hi - 100),
+    m AS (SELECT series, regr_slope(y, ds - lo) AS b, regr_intercept(y, ds - lo) AS a FROM f GROUP BY 1),
+    e AS (SELECT series, sqrt(avg(pow(y - a - b * (ds - lo), 2))) AS sigma FROM f JOIN m USING (series) GROUP BY 1)
+    SELECT series, count(*) AS days, round(avg(abs(y - a - b * (ds - lo))), 2) AS mean_abs_error,
+           round(sqrt(avg(pow(y - a - b * (ds - lo), 2))), 2) AS rmse,
+           round(avg((abs(y - a - b * (ds - lo)) <= 1.2816 * sigma)::INT), 6) AS coverage
+    FROM s JOIN m USING (series) JOIN e USING (series) WHERE ds > hi - 100 GROUP BY 1""")
+def forecast_many_backtest(spark, sf):
+    """Every series' last 100 days against the line through the days before."""
+    out = MS.backtest_many(_priorities(spark, sf), 100, changepoints=0, yearly_order=0, weekly_order=0, penalty=0.0)
+    return out.select("series", "days", *[F.round(c, 2).alias(c) for c in ("mean_abs_error", "rmse")], F.round("coverage", 6).alias("coverage"))
 
 
 @query("forecast_backtest")

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from rowsmith.operators import series as TS
+from rowsmith.operators import many_series as MS, series as TS
 
 DAY = dt.date(2020, 1, 1)
 
@@ -93,7 +93,62 @@ def test_forecast_holiday_effect_and_backtest(spark):
 def test_many_series(spark):
     y = planted(800)
     df = frame(spark, [float(v) for v in y]).unionByName(frame(spark, [float(2 * v) for v in y], "b"))
-    out = TS.forecast_many(df, 30).toPandas()
+    out = MS.forecast_many(df, 30).toPandas()
     assert len(out) == 60
     a, b = (out[out["series"] == s].sort_values("ds")["yhat"].to_numpy() for s in "ab")
     assert np.allclose(b, 2 * a) and np.abs(a - planted(830)[800:]).max() < 0.5
+
+
+def test_many_series_as_one_by_one(spark):
+    """Series of different start, length, level and noise, with gaps: as the model of one series, on all parts."""
+    rng = np.random.default_rng(4)
+    df, calendars = None, []
+    for k, (start, n, level) in enumerate([(0, 900, 1.0), (200, 500, 1e6), (50, 40, -3.0)]):
+        y = level * (1 + 0.1 * rng.standard_normal(n) + 0.3 * np.sin(2 * np.pi * np.arange(n) / 7) + 0.002 * np.maximum(np.arange(n) - n / 2, 0))
+        values = [None] * start + [None if rng.random() < 0.1 and 0 < i < n - 1 else float(v) for i, v in enumerate(y)]
+        part = frame(spark, values, f"s{k}").where(F.col("ds") >= F.lit(DAY + dt.timedelta(start)))
+        df = part if df is None else df.unionByName(part)
+    cal = spark.createDataFrame([("h", DAY + dt.timedelta(i)) for i in (100, 300, 301, 465)] + [("never", dt.date(2040, 1, 1))], "holiday string, ds date")
+    many = MS.ManySeriesForecast(changepoints=10).fit(df, cal)
+    days = TS.future_frame(df, 60)
+    got = many.predict(days).toPandas().set_index(["series", "ds"]).sort_index()
+    parts = many.components(days).toPandas().set_index(["series", "ds"]).sort_index()
+    for k in range(3):
+        own = df.where(F.col("series") == f"s{k}")
+        one = TS.AdditiveForecast(changepoints=10).fit(own, cal)
+        want = one.predict(TS.future_frame(own, 60)).toPandas().set_index(["series", "ds"]).sort_index()
+        mine = got.loc[[f"s{k}"]]
+        size = np.abs(want["yhat"]).max()
+        assert len(mine) == len(want)
+        assert np.abs(mine[["yhat", "yhat_lower", "yhat_upper"]].to_numpy() - want[["yhat", "yhat_lower", "yhat_upper"]].to_numpy()).max() < 1e-5 * size  # one series is solved by iteration if a holiday never occurs in it
+        split = one.components(TS.future_frame(own, 60)).toPandas().set_index(["series", "ds"]).sort_index()
+        for c in ("trend", "weekly", "yearly", "holidays"):
+            assert np.abs(parts.loc[[f"s{k}"], c].to_numpy() - split[c].to_numpy()).max() < 1e-5 * size
+
+
+def test_many_series_odd_input(spark):
+    day = lambda i: DAY + dt.timedelta(i)
+    rows = [("one", day(0), 5.0), ("none", day(0), None), (None, day(0), 1.0), (None, day(1), 2.0)]
+    rows += [("flat", day(i), 2.5) for i in range(20)] + [("two", day(0), 1.0), ("two", day(9), 3.0)]
+    df = spark.createDataFrame(rows, "series string, ds date, y double")
+    out = MS.forecast_many(df, 3).collect()
+    by = {}
+    for r in out:
+        by.setdefault(r["series"], []).append(r["yhat"])
+    assert set(by) == {"one", "flat", "two"} and all(len(v) == 3 for v in by.values())
+    assert np.allclose(by["one"], 5.0) and np.allclose(by["flat"], 2.5) and all(np.isfinite(v) for v in by["two"])
+    assert MS.forecast_many(df.limit(0), 3).collect() == []
+
+
+def test_holidays_of_one_series(spark):
+    y = [10.0 + (30.0 if i in (20, 50) else 0.0) for i in range(80)]
+    df = frame(spark, y, "a").unionByName(frame(spark, [10.0] * 80, "b"))
+    cal = spark.createDataFrame([("a", "h", DAY + dt.timedelta(i)) for i in (20, 50, 85)], "series string, holiday string, ds date")
+    out = {(r["series"], r["ds"]): r["yhat"] for r in MS.forecast_many(df, 10, cal, changepoints=0, weekly_order=0, yearly_order=0).collect()}
+    assert abs(out["a", DAY + dt.timedelta(85)] - 40) < 0.1 and abs(out["b", DAY + dt.timedelta(85)] - 10) < 1e-6
+
+
+def test_coefficients_table(spark):
+    model = MS.ManySeriesForecast(changepoints=0, weekly_order=1, yearly_order=0).fit(frame(spark, [float(i) for i in range(50)]))
+    rows = {r["term"]: r["value"] for r in model.coefficients_table().collect()}
+    assert set(rows) == {"x_t", "x_weekly_s1", "x_weekly_c1"} and abs(rows["x_t"] - 49) < 1e-3

@@ -4,7 +4,8 @@ A window without partitions, or an exact ``percentile`` on a hot group, pulls
 its whole input into one task. Here equal values are counted first, then cut
 into value buckets of near-equal row count; a running sum inside each bucket
 plus the total of the buckets before it gives the position of every value.
-Bucket bounds need not be exact, so a bounded sample gives them.
+Quantiles need the values around a few ranks only and narrow them down by
+counting.
 """
 
 from __future__ import annotations
@@ -12,13 +13,12 @@ from __future__ import annotations
 from functools import reduce
 from operator import and_
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from rowsmith.session import materialise
 
 ROWS_PER_BUCKET = 1_000_000
-SAMPLE_PER_BUCKET = 32
+PARTS = 1024  # of a value range, per level of the quantile search
 
 
 def _bucket_count(df: DataFrame, rows: int = 0) -> int:
@@ -31,21 +31,12 @@ def _number(col: str) -> Column:
     return F.nanvl(F.col(col).cast("double"), F.lit(None).cast("double"))
 
 
-def value_edges(df: DataFrame, cols, buckets: int | None = None) -> dict[str, list[float]]:
-    """Inner edges that cut the values into near-equal buckets.
-
-    They come from a sample of ``SAMPLE_PER_BUCKET`` rows per bucket, the only rows that reach the driver.
-    """
-    cols = list(cols)
-    rows = df.count()
-    n = buckets or _bucket_count(df, rows)
-    if n < 2 or not rows:
-        return {c: [] for c in cols}
-    share = min(1.0, SAMPLE_PER_BUCKET * n / rows)
-    drawn = df.select(*[_number(c).alias(f"v{i}") for i, c in enumerate(cols)]).sample(share, 7).toPandas()
-    probs = [i / n for i in range(1, n)]
-    return {c: sorted(set(drawn[f"v{i}"].dropna().quantile(probs, interpolation="lower"))) if drawn[f"v{i}"].notna().any() else []
-            for i, c in enumerate(cols)}
+def _octave(value: Column) -> Column:
+    """A whole number that grows with the value: sign and logarithm in steps of about 6 %, 0 for 0; below 60 000 values
+    cover all doubles, and the two infinities have their own."""
+    size = F.abs(value)
+    step = F.when(size == float("inf"), F.lit(30_000)).otherwise(F.floor(F.log(size) * F.lit(16.0)).cast("int") + 12_000)
+    return F.when(value > 0, step).when(value < 0, -step).otherwise(0)
 
 
 def value_positions(df: DataFrame, col: str, by=(), buckets: int | None = None) -> DataFrame:
@@ -96,11 +87,11 @@ def running_sum(df: DataFrame, value: str, order, out: str) -> DataFrame:
 def hash_positions(df: DataFrame, hash_col: str, tie_cols, by=(), out: str = "pos", buckets: int | None = None) -> DataFrame:
     """Zero-based position of every row by a uniform 32-bit hash, within ``by``.
 
-    The hash is spread evenly, so its value range gives the buckets without a
-    scan, and no task holds more than one bucket of one group.
+    The hash is spread evenly, so its value range gives the buckets, whose
+    number follows from the rows; no task holds more than one bucket of one group.
     """
     by = list(by)
-    n = buckets or _bucket_count(df)
+    n = buckets or _bucket_count(df, df.count())
     cut = df.withColumn("__bucket", F.floor(F.col(hash_col) * F.lit(float(n)) / F.lit(4294967296.0)))
     keys = [*by, "__bucket"]
     sums = cut.groupBy(*keys).agg(F.count("*").alias("__bn"))
@@ -142,47 +133,70 @@ def _pick(probs, col: str) -> list[Column]:
         first = F.max(F.when((F.col("below") <= lo) & (lo < F.col("below") + F.col("n")), F.col(col)))
         second = F.max(F.when((F.col("below") <= hi) & (hi < F.col("below") + F.col("n")), F.col(col)))
         frac = F.max((F.col("total") - 1) * F.lit(float(p)) - lo)
-        out.append(first + (second - first) * frac)
+        out.append(F.when(first == second, first).otherwise(first + (second - first) * frac))
     return out
 
 
-def exact_quantiles(df: DataFrame, cols, probs, by=(), buckets: int | None = None) -> DataFrame:
+def _holding(counted: DataFrame, group, within, bucket: str, probs) -> DataFrame:
+    """Of counted buckets (n, lo, hi) those that hold a wanted rank, with the rows before them and the group's total.
+
+    ``within`` names the columns that tell apart the buckets of the level above; their ``before`` is carried on.
+    """
+    order = Window.partitionBy(*group, *within).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
+    ahead = F.coalesce(F.sum("n").over(order), F.lit(0))
+    if within:
+        counted = counted.withColumn("before", F.col("before") + ahead)
+    else:
+        counted = counted.withColumn("before", ahead).withColumn("total", F.sum("n").over(Window.partitionBy(*group)))
+    wanted = F.lit(False)
+    for lo, hi in _targets(probs):
+        for rank in (lo, hi):
+            wanted = wanted | ((F.col("before") <= rank) & (rank < F.col("before") + F.col("n")))
+    return counted.where(wanted)
+
+
+def exact_quantiles(df: DataFrame, cols, probs, by=(), buckets: int | None = None, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """Exact linear quantiles in long form: (*by, column, q array<double>), null for a column without values.
 
-    All columns go together. Counting rows per bucket tells which buckets hold
-    the wanted ranks. Only the rows of those few buckets are then counted by
-    value and ordered; all others are dropped before any shuffle.
+    All columns go together. Values are counted by octave (``_octave``); counts tell which octaves hold the wanted
+    ranks, and these are cut between their smallest and largest value into ``buckets`` (1024) parts, level by level,
+    until a part that holds a wanted rank has at most ``rows_per_bucket`` rows or a single value. Only the rows of those
+    parts are then counted by value and ordered. A level is one map-side combined count; the driver learns one thing of
+    it, whether another level is needed, and no value, edge or sample, so nothing there grows with the rows.
     """
-    cols, by, probs = list(cols), list(by), [float(p) for p in probs]
+    cols, by, probs, parts = list(cols), list(by), [float(p) for p in probs], float(buckets or PARTS)
     kept = df
     for k in by:
         kept = kept.where(F.col(k).isNotNull())
     values = [f"__v{i}" for i in range(len(cols))]
     kept = kept.select(*by, *[_number(c).alias(v) for c, v in zip(cols, values)])
-    edges = value_edges(kept, values, buckets)
-    splits = [[float("-inf"), *(edges[v] or [0.0]), float("inf")] for v in values]
-    spots = [f"__b{i}" for i in range(len(cols))]
-    placed = Bucketizer(splitsArray=splits, inputCols=values, outputCols=spots, handleInvalid="keep").transform(kept)
-    rows = F.array(*[F.struct(F.lit(i).alias("__c"), F.col(v).alias("__q"), F.col(b).alias("__bucket"))
-                     for i, (v, b) in enumerate(zip(values, spots))])
-    long = placed.select(*by, F.inline(rows)).where(F.col("__q").isNotNull())
-    group, keys = [*by, "__c"], [*by, "__c", "__bucket"]
-    ordered = Window.partitionBy(*group).orderBy("__bucket")
-    offsets = long.groupBy(*keys).agg(F.count("*").alias("__bn")).select(
-        *keys, "__bn",
-        F.coalesce(F.sum("__bn").over(ordered.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__before"),
-        F.sum("__bn").over(Window.partitionBy(*group)).alias("total"),
-    )
-    wanted = F.lit(False)
-    for lo, hi in _targets(probs):
-        for rank in (lo, hi):
-            wanted = wanted | ((F.col("__before") <= rank) & (rank < F.col("__before") + F.col("__bn")))
-    # A few rows per group, stored so that the planner knows how small the table is.
-    targets = materialise(offsets.where(wanted).drop("__bn"), "targets")
-    counts = long.join(targets, keys).groupBy(*keys, "__before", "total", "__q").agg(F.count("*").alias("n"))
-    inside = Window.partitionBy(*keys).orderBy("__q").rowsBetween(Window.unboundedPreceding, -1)
-    below = counts.withColumn("below", F.col("__before") + F.coalesce(F.sum("n").over(inside), F.lit(0)))
-    found = below.groupBy(*group).agg(F.array(*_pick(probs, "__q")).alias("q"))
+    rows = F.array(*[F.struct(F.lit(i).alias("__c"), F.col(v).alias("__q")) for i, v in enumerate(values)])
+    long = kept.select(*by, F.inline(rows)).where(F.col("__q").isNotNull()).withColumn("__octave", _octave(F.col("__q")))
+    group = [*by, "__c"]
+    part = [*group, "__octave", "lo", "hi", "before", "total"]
+    counts = [F.count(F.lit(1)).alias("n"), F.min("__q").alias("lo"), F.max("__q").alias("hi")]
+
+    def rows_in(targets: DataFrame) -> DataFrame:
+        # A few parts per group and octave, of disjoint value ranges.
+        return long.join(targets.drop("n"), [*group, "__octave"]).where(F.col("__q").between(F.col("lo"), F.col("hi")))
+
+    first = _holding(long.groupBy(*group, "__octave").agg(*counts), group, [], "__octave", probs)
+    targets = materialise(first.select(*part, "n"), "targets")
+    wide = (F.col("n") > rows_per_bucket) & (F.col("lo") < F.col("hi"))
+    while targets.where(wide).take(1):
+        inner = rows_in(targets.where(wide))
+        inner = inner.withColumn("__part", F.floor((F.col("__q") - F.col("lo")) / (F.col("hi") - F.col("lo")) * F.lit(parts)))
+        inner = inner.withColumnsRenamed({"lo": "__lo", "hi": "__hi"})
+        cut = inner.groupBy(*group, "__octave", "__lo", "__hi", "before", "total", "__part").agg(*counts)
+        cut = _holding(cut, group, ["__octave", "__lo", "__hi", "before", "total"], "__part", probs)
+        targets = materialise(targets.where(~wide).union(cut.select(*part, "n")), "targets")
+    single = F.col("lo") == F.col("hi")
+    seen = [*group, "before", "total", "__q", "n"]
+    counted = rows_in(targets.where(~single)).groupBy(*group, "before", "total", "__q").agg(F.count(F.lit(1)).alias("n"))
+    inside = Window.partitionBy(*group, "before", "total").orderBy("__q").rowsBetween(Window.unboundedPreceding, -1)
+    counted = counted.select(*seen, (F.col("before") + F.coalesce(F.sum("n").over(inside), F.lit(0))).alias("below"))
+    known = targets.where(single).withColumnRenamed("lo", "__q").select(*seen, F.col("before").alias("below"))
+    found = counted.union(known).groupBy(*group).agg(F.array(*_pick(probs, "__q")).alias("q"))
     groups = kept.select(*by).distinct() if by else df.sparkSession.range(1).select()
     names = F.array(*[F.struct(F.lit(i).alias("__c"), F.lit(c).alias("column")) for i, c in enumerate(cols)])
     return groups.select(*by, F.inline(names)).join(found, group, "left").select(*by, "column", "q")

@@ -20,11 +20,12 @@ def frame(spark):
 def test_quantiles_for_any_buckets(frame):
     probs = [0, 0.1, 0.25, 0.5, 0.77, 1]
     pdf = frame.toPandas()
-    for limit in (2, 64, 5000):
-        got = {r["k"]: r["q"] for r in ranks.exact_quantiles(frame, ["v"], probs, ["k"], buckets=limit).collect()}
+    for parts, limit in ((2, 1), (2, 300), (64, 10), (None, 1), (None, None)):
+        how = {"buckets": parts, "rows_per_bucket": limit or ranks.ROWS_PER_BUCKET}
+        got = {r["k"]: r["q"] for r in ranks.exact_quantiles(frame, ["v"], probs, ["k"], **how).collect()}
         for k, part in pdf.groupby("k"):
             assert np.allclose(got[k], part["v"].dropna().quantile(probs)), (limit, k)
-        one = ranks.exact_quantiles(frame, ["v"], probs, buckets=limit).first()["q"]
+        one = ranks.exact_quantiles(frame, ["v"], probs, **how).first()["q"]
         assert np.allclose(one, pdf["v"].dropna().quantile(probs))
 
 
@@ -87,3 +88,44 @@ def test_sort_rank_of_dates_and_text(rows):
 def test_group_function_refuses_large_groups(spark):
     with pytest.raises(ValueError):
         stats.group_apply_pandas(spark.range(20).withColumn("k", F.lit(1)), ["k"], lambda p: p, "id bigint, k int", max_group_rows=10)
+
+
+def test_octaves_rise_with_the_value(spark):
+    rng = np.random.default_rng(2)
+    v = np.concatenate([10.0 ** rng.uniform(-320, 308, 3000), np.nextafter(1.0, [0, 2]), [5e-324, 1.7976931348623157e308, np.inf, 0.0, -0.0]])
+    v = np.unique(np.concatenate([v, -v]))
+    rows = spark.createDataFrame([(float(x),) for x in v], "v double").select("v", ranks._octave(F.col("v")).alias("o")).orderBy("v").collect()
+    o = [r["o"] for r in rows]
+    assert all(a <= b for a, b in zip(o, o[1:])) and o[0] == -30_000 and o[-1] == 30_000
+    assert {r["o"] for r in rows if r["v"] == 0} == {0}
+
+
+def test_quantiles_of_odd_values(spark):
+    """Neighbouring doubles, huge spans, infinities, missing values, whole columns without values; several columns at once."""
+    rng = np.random.default_rng(8)
+    near = 1.0 + np.arange(400) * 2.0**-52
+    span = np.concatenate([-(10.0 ** rng.uniform(-300, 300, 200)), 10.0 ** rng.uniform(-300, 300, 200)])
+    data = [(float(a), float(b), None, float("inf") if i % 3 else -1.0, float("nan") if i % 2 else 2.0) for i, (a, b) in enumerate(zip(near, span))]
+    df = spark.createDataFrame(data, "near double, span double, none double, inf double, nan double")
+    probs = [0, 0.3, 0.5, 0.999, 1]
+    for limit in (1, 50):
+        got = {r["column"]: r["q"] for r in ranks.exact_quantiles(df, df.columns, probs, rows_per_bucket=limit).collect()}
+        assert np.array_equal(got["near"], np.quantile(near, probs)) and np.allclose(got["span"], np.quantile(span, probs))
+        assert got["none"] is None and got["nan"] == [2.0] * 5
+        assert got["inf"][:2] == [-1.0, -1.0] and got["inf"][-1] == float("inf")
+
+
+def test_quantiles_leave_the_driver_alone(spark, monkeypatch):
+    """Whatever the rows, a level brings one row at most to the driver."""
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    seen = []
+    for name in ("collect", "toPandas", "toArrow", "take"):
+        def spied(self, *args, _old=getattr(DataFrame, name)):
+            out = _old(self, *args)
+            seen.append(len(out))
+            return out
+        monkeypatch.setattr(DataFrame, name, spied)
+    for rows in (1000, 100_000):
+        ranks.exact_quantiles(spark.range(rows).select((F.col("id") * 1.5).alias("v")), ["v"], [0.5], rows_per_bucket=100)
+    assert seen and max(seen) <= 1

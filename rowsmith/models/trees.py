@@ -4,14 +4,17 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.classification import DecisionTreeClassifier, GBTClassifier, RandomForestClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import DataFrame, functions as F
 
 from rowsmith.features.base import FitStep, FittedStep, Settings, integer, text
+from rowsmith.operators.ranks import column_quantiles
 from rowsmith.operators.resample import class_counts
-from rowsmith.session import checkpointed
+from rowsmith.session import materialise
 
 
 def decision_tree(label: str = "label", depth: int = 30, seed: int = 42, **more) -> DecisionTreeClassifier:
@@ -71,8 +74,9 @@ class _BoostParams(Settings):
     labelCol = text("labelCol")
     rounds = integer("rounds")
     seed = integer("seed")
-    checkpointEvery = integer("checkpointEvery")
-    defaults = {"featuresCol": "features", "labelCol": "label", "rounds": 50, "seed": 42, "checkpointEvery": 10}
+    bins = integer("bins")
+    checkpointEvery = integer("checkpointEvery")  # of no effect: a round stores nothing
+    defaults = {"featuresCol": "features", "labelCol": "label", "rounds": 50, "seed": 42, "bins": 32, "checkpointEvery": 10}
 
 
 def _stump_column(stump: dict, features: str):
@@ -103,48 +107,125 @@ class FittedBoost(_BoostParams, FittedStep):
 
 
 class AdaBoost(_BoostParams, FitStep):
-    """Multi-class boosting of one-split trees (SAMME).
+    """Multi-class boosting of one-split trees (SAMME) on binned columns.
 
-    Each round fits a weighted stump, then raises the weight of the rows it
-    misses. Weights are a column; the lineage is cut every few rounds.
+    Columns are cut once at up to ``bins`` - 1 quantiles and stored as one byte a
+    value. A round is one pass over the bytes: the weight of a row follows from
+    the stumps so far, and the sums of weight by (column, bin, class) give the
+    best split, its leaves and its error together. Only these sums reach the
+    driver; a lost executor costs its part of one round.
     """
 
     model = FittedBoost
 
     def _fit(self, df: DataFrame) -> FittedBoost:
-        feats, label = self.value("featuresCol"), self.value("labelCol")
-        rows = df.select(F.col(feats).alias("features"), F.col(label).cast("double").alias("label")).withColumn("w", F.lit(1.0))
-        classes = sorted(class_counts(rows, "label"))
-        rows = checkpointed(rows).persist()
-        total = float(rows.count())
-        base = rows
+        feats, label, bins = self.value("featuresCol"), self.value("labelCol"), self.value("bins")
+        if not 2 <= bins <= 256:
+            raise ValueError("bins must lie between 2 and 256")
+        rows = df.select(vector_to_array(F.col(feats)).alias("x"), F.col(label).cast("double").alias("label"))
+        rows = materialise(rows.where(F.col("label").isNotNull()), "rows")  # cuts and bins read it several times
+        counts = class_counts(rows, "label")
+        if not counts:
+            raise ValueError("no row has a label")
+        classes = sorted(counts)
+        edges = _column_edges(rows, bins)
+        blocks = materialise(_binned(rows, edges, classes), "bins")
         stumps: list[dict] = []
-        for i in range(self.value("rounds")):
-            tree = DecisionTreeClassifier(maxDepth=1, weightCol="w", seed=self.value("seed"), minWeightFractionPerNode=0.0).fit(rows)
-            root = tree._call_java("rootNode")
-            if root.subtreeDepth() == 0:
-                stump = {"feature": None, "threshold": 0.0, "left": float(root.prediction()), "right": float(root.prediction())}
-            else:
-                stump = {"feature": int(root.split().featureIndex()), "threshold": float(root.split().threshold()),
-                         "left": float(root.leftChild().prediction()), "right": float(root.rightChild().prediction())}
-            miss = (_stump_column(stump, "features") != F.col("label")).cast("double")
-            error = rows.agg(F.sum(F.col("w") * miss) / F.sum("w")).first()[0]
+        for _ in range(self.value("rounds")):
+            stump, error = best_stump(_weight_sums(blocks, edges, stumps, classes, bins), edges, classes)
             if error <= 0:
                 stumps = stumps or [stump | {"alpha": 1.0}]
                 break
-            alpha = math.log((1 - error) / error) + math.log(len(classes) - 1)
+            alpha = math.log((1 - error) / error) + math.log(len(classes) - 1) if len(classes) > 1 else 0.0
             if alpha <= 0:
                 break
             stumps.append(stump | {"alpha": alpha})
-            # Keep the weights summing to the row count, so they neither vanish nor overflow.
-            grow = 1 + error * (math.exp(alpha) - 1)
-            rows = rows.withColumn("w", F.col("w") * F.exp(F.lit(alpha) * miss) / F.lit(grow))
-            if (i + 1) % self.value("checkpointEvery") == 0:
-                old, rows = base, checkpointed(rows).persist()
-                base = rows
-                old.unpersist()
-        base.unpersist()
         if not stumps:
-            top = rows.groupBy("label").count().orderBy(F.desc("count"), "label").first()[0]
+            top = min(classes, key=lambda c: (-counts[c], c))
             stumps = [{"feature": None, "threshold": 0.0, "left": top, "right": top, "alpha": 1.0}]
-        return self.fitted({"classes": classes, "stumps": stumps, "rows": total})
+        return self.fitted({"classes": classes, "stumps": stumps, "rows": float(sum(counts.values()))})
+
+
+def _column_edges(rows: DataFrame, bins: int) -> list[np.ndarray]:
+    """Distinct inner quantiles of every column of the array ``x``."""
+    width = rows.agg(F.max(F.size("x"))).first()[0] or 0
+    cols = [f"x{i}" for i in range(width)]
+    wide = rows.select(*[F.get("x", i).alias(c) for i, c in enumerate(cols)])
+    cuts = column_quantiles(wide, cols, [i / bins for i in range(1, bins)]) if cols else {}
+    return [np.unique(cuts[c]) for c in cols]
+
+
+def _binned(rows: DataFrame, edges: list[np.ndarray], classes: list[float]) -> DataFrame:
+    """Blocks of rows: class numbers and, column by column, the number of edges below each value, a byte each."""
+    levels = np.array(classes)
+
+    def run(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x = batch.column("x").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, len(edges))
+            cut = np.stack([np.searchsorted(e, x[:, j], "left") for j, e in enumerate(edges)]) if edges else np.zeros((0, len(x)))
+            label = np.searchsorted(levels, batch.column("label").to_numpy())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([label.astype(np.int16).tobytes()], pa.binary()), pa.array([cut.astype(np.uint8).tobytes()], pa.binary())],
+                names=["labels", "bins"])
+
+    return rows.mapInArrow(run, "labels binary, bins binary")
+
+
+def _weight_sums(blocks: DataFrame, edges, stumps: list[dict], classes: list[float], bins: int) -> np.ndarray:
+    """Sum of weight by (column, bin, class). A row weighs exp of the alphas of the stumps that miss it."""
+    k, d = len(classes), len(edges)
+    number = {c: i for i, c in enumerate(classes)}
+    # In bins a threshold is the number of its edge; alphas are shifted so that no weight overflows.
+    plan = [(s["feature"], None if s["feature"] is None else int(np.searchsorted(edges[s["feature"]], s["threshold"])),
+             number[s["left"]], number[s["right"]], s["alpha"]) for s in stumps]
+
+    def run(batches):
+        total = np.zeros((max(d, 1), bins, k))
+        for batch in batches:
+            for raw, cut in zip(batch.column("labels"), batch.column("bins")):
+                label = np.frombuffer(raw.as_buffer(), np.int16).astype(np.int64)
+                x = np.frombuffer(cut.as_buffer(), np.uint8).reshape(d, len(label))
+                missed = np.zeros(len(label))
+                for feature, edge, left, right, alpha in plan:
+                    said = left if feature is None else np.where(x[feature] <= edge, left, right)
+                    # Centred, so that weights of many rounds stay near one.
+                    missed += alpha * ((said != label) - 0.5)
+                w = np.exp(missed)
+                for j in range(d):
+                    total[j] += np.bincount(x[j] * np.int64(k) + label, w, minlength=bins * k).reshape(bins, k)
+                if not d:
+                    total[0, 0] += np.bincount(label, w, minlength=k)
+        place = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(place), pa.array(total.ravel()[place])], names=["place", "w"])
+
+    out = np.zeros(max(d, 1) * bins * k)
+    sums = blocks.mapInArrow(run, "place long, w double").groupBy("place").agg(F.sum("w").alias("w")).toArrow()
+    out[sums["place"].to_numpy()] = sums["w"].to_numpy()
+    return out.reshape(max(d, 1), bins, k)
+
+
+def best_stump(sums: np.ndarray, edges: list[np.ndarray], classes: list[float]) -> tuple[dict, float]:
+    """The split of least weighted Gini impurity and the share of weight it misses; ties: first column, then edge.
+
+    A leaf says the class of most weight, the smallest of equal ones. Without a split that parts rows the stump says one
+    class everywhere.
+    """
+    whole = sums[0].sum(axis=0)
+    top = int(whole.argmax())
+    best = ({"feature": None, "threshold": 0.0, "left": classes[top], "right": classes[top]}, 1 - whole[top] / whole.sum())
+    pure = (whole**2).sum() / whole.sum()
+    for j, cuts in enumerate(edges):
+        left = sums[j].cumsum(axis=0)[: len(cuts)]
+        right = sums[j].sum(axis=0) - left
+        a, b = left.sum(axis=1), right.sum(axis=1)
+        parts = (a > 1e-12 * whole.sum()) & (b > 1e-12 * whole.sum())
+        score = np.where(parts, (left**2).sum(axis=1) / np.where(parts, a, 1) + (right**2).sum(axis=1) / np.where(parts, b, 1), -np.inf)
+        at = int(score.argmax()) if len(score) else 0
+        if len(score) and score[at] > pure * (1 + 1e-12):
+            pure = score[at]
+            said = int(left[at].argmax()), int(right[at].argmax())
+            hit = left[at, said[0]] + right[at, said[1]]
+            best = ({"feature": j, "threshold": float(cuts[at]), "left": classes[said[0]], "right": classes[said[1]]}, 1 - hit / whole.sum())
+    return best

@@ -189,6 +189,42 @@ def adaboost(spark, sf):
     return _scored(T.AdaBoost(rounds=50).fit(df).transform(df))
 
 
+FLAGS = """
+    base AS (SELECT CASE l_returnflag WHEN 'A' THEN 0.0 WHEN 'N' THEN 1.0 ELSE 2.0 END::DOUBLE AS label,
+        [(l_shipdate::DATE - DATE '1992-01-01')::DOUBLE, l_quantity::DOUBLE, l_extendedprice::DOUBLE] AS x FROM lineitem),
+    edges AS (SELECT f, unnest(list_distinct(quantile_cont(x[f + 1], [0.125, 0.25, 0.375, 0.5, 0.625, 0.75, 0.875]))) AS e
+              FROM base, range(3) r(f) GROUP BY f)"""
+
+
+def _boost_round(i, weight):
+    """The best split of one round: weights by (column, edge, class), impurity, leaves, error."""
+    return f"""
+    w{i} AS (SELECT label, x, {weight} AS w FROM base),
+    h{i} AS (SELECT f, e, label, sum(w) AS t, coalesce(sum(w) FILTER (x[f + 1] <= e), 0) AS l FROM w{i}, edges GROUP BY f, e, label),
+    g{i} AS (SELECT f, e, sum(l * l) / sum(l) + sum((t - l) * (t - l)) / sum(t - l) AS score, arg_max(label, l) AS lft, arg_max(label, t - l) AS rgt,
+             1 - (max(l) + max(t - l)) / sum(t) AS err FROM h{i} GROUP BY f, e HAVING sum(l) > 0 AND sum(t - l) > 0),
+    s{i} AS (SELECT *, ln((1 - err) / err) + ln(2) AS alpha FROM g{i} ORDER BY score DESC, f, e LIMIT 1)"""
+
+
+MISS_1 = "exp((SELECT alpha FROM s1) * (CASE WHEN x[(SELECT f FROM s1) + 1] <= (SELECT e FROM s1) THEN (SELECT lft FROM s1) ELSE (SELECT rgt FROM s1) END <> label)::INT)"
+
+
+@query("adaboost_two_rounds", f"""
+    WITH {FLAGS}, {_boost_round(1, "1.0")}, {_boost_round(2, MISS_1)},
+    s AS (SELECT 1 AS round, * FROM s1 UNION ALL SELECT 2, * FROM s2)
+    SELECT round, f::INT AS feature, round(e, 6) AS threshold, lft AS left_class, rgt AS right_class, round(alpha, 8) AS alpha FROM s""")
+def adaboost_two_rounds(spark, sf):
+    """Two rounds over three classes of lineitem rows: the splits, their leaves and votes."""
+    rows = table(spark, sf, "lineitem").select(
+        F.datediff(F.col("l_shipdate").cast("date"), F.lit("1992-01-01").cast("date")).cast("double").alias("day"),
+        F.col("l_quantity").cast("double").alias("quantity"), F.col("l_extendedprice").cast("double").alias("price"),
+        F.when(F.col("l_returnflag") == "A", 0.0).when(F.col("l_returnflag") == "N", 1.0).otherwise(2.0).alias("label"))
+    rows = VectorAssembler(inputCols=["day", "quantity", "price"], outputCol="features").transform(rows)
+    stumps = T.AdaBoost(rounds=2, bins=8).fit(rows).state["stumps"]
+    out = [(i + 1, s["feature"], round(s["threshold"], 6), s["left"], s["right"], round(s["alpha"], 8)) for i, s in enumerate(stumps)]
+    return spark.createDataFrame(out, "round int, feature int, threshold double, left_class double, right_class double, alpha double")
+
+
 NEAR = """
     e AS (SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings),
     d AS (SELECT a.vec_id AS query_key, b.vec_id AS ref_key, b.label, list_distance(a.v, b.v) AS distance FROM e a JOIN e b ON a.vec_id <> b.vec_id),

@@ -165,3 +165,40 @@ def test_bins_of_a_column_without_values(spark):
     for strategy in ("quantile", "uniform"):
         out = N.BinColumns(inputCols=["a", "b"], bins=2, strategy=strategy).fit(df).transform(df).collect()
         assert [r["b"] for r in out] == [None, None] and [r["a"] for r in out] == [0, 1]
+
+
+def test_adaboost_rounds_as_by_weights(spark):
+    """Stumps, errors and votes of eight rounds on four classes against plain loops over rows and cuts."""
+    rng = np.random.default_rng(6)
+    x = np.round(rng.standard_normal((600, 3)), 1)
+    y = (x[:, 0] > 0) * 1.0 + 2.0 * (x[:, 1] + 0.3 * rng.standard_normal(600) > 0.2)
+    df = spark.createDataFrame([(*map(float, r), float(c)) for r, c in zip(x, y)], "a double, b double, c double, label double")
+    df = N.assemble(df, ["a", "b", "c"])
+    stumps = T.AdaBoost(rounds=8, bins=16).fit(df).state["stumps"]
+    w, classes = np.ones(600), [0.0, 1.0, 2.0, 3.0]
+    cuts = [np.unique(np.quantile(x[:, j], np.arange(1, 16) / 16)) for j in range(3)]
+    for s in stumps:
+        best = None
+        for j in range(3):
+            for e in cuts[j]:
+                left = x[:, j] <= e
+                sums = [np.array([w[m & (y == c)].sum() for c in classes]) for m in (left, ~left)]
+                score = sum((v**2).sum() / v.sum() for v in sums if v.sum())
+                if best is None or score > best[0] + 1e-9:
+                    best = (score, j, e, classes[sums[0].argmax()], classes[sums[1].argmax()])
+        _, j, e, lo, hi = best
+        assert (s["feature"], s["left"], s["right"]) == (j, lo, hi) and abs(s["threshold"] - e) < 1e-12
+        miss = np.where(x[:, j] <= e, lo, hi) != y
+        error = w[miss].sum() / w.sum()
+        assert abs(s["alpha"] - (np.log((1 - error) / error) + np.log(3))) < 1e-9
+        w = w * np.exp(s["alpha"] * miss)
+
+
+def test_adaboost_without_a_split(spark):
+    same = N.assemble(spark.createDataFrame([(1.0, 0.0), (1.0, 1.0), (1.0, 1.0), (1.0, None)], "a double, label double"), ["a"])
+    model = T.AdaBoost(rounds=5).fit(same)
+    assert {r["prediction"] for r in model.transform(same).collect()} == {1.0}
+    one = N.assemble(spark.createDataFrame([(1.0, 3.0), (2.0, 3.0)], "a double, label double"), ["a"])
+    assert {r["prediction"] for r in T.AdaBoost(rounds=5).fit(one).transform(one).collect()} == {3.0}
+    with pytest.raises(ValueError):
+        T.AdaBoost().fit(one.limit(0))

@@ -1,3 +1,3 @@
-"""Tabular analytics and machine-learning operators for Spark DataFrames."""
+"""Operators on Spark DataFrames: from profiling and cleaning to fitted chains, searches and training text."""
 
 __version__ = "0.1.0"

@@ -17,6 +17,7 @@ from pyspark.ml.util import MLReadable, MLWritable
 from pyspark.sql import DataFrame, functions as F
 
 from rowsmith.features.base import MadeOfSteps, PlainStep, names, text
+from rowsmith.features.numeric import BinColumns, YeoJohnson
 from rowsmith.operators.clean import columns_by_dtype
 from rowsmith.operators.resample import kfold, smote, stratified_kfold
 from rowsmith.session import materialise, side_by_side
@@ -95,6 +96,35 @@ class ColumnSteps(MadeOfSteps, Estimator, MLReadable, MLWritable):
         return cls(branches, plain["exclude"])
 
 
+class PowerAndBalance(MadeOfSteps, Estimator, MLReadable, MLWritable):
+    """Power transform of the numeric columns, SMOTE while fitting, then indicator bins.
+
+    Of ``cols`` those that the table has take part. The bins are learned from the oversampled rows, which are handed on
+    as training rows; a fitted chain holds the transform and the bins and leaves the rows alone.
+    """
+
+    def __init__(self, cols, label: str, key: str = "doc_id", k: int = 5, seed: int = 42):
+        super().__init__()
+        self.cols, self.label, self.key, self.k, self.seed = list(cols), label, key, k, seed
+
+    def _fit(self, df: DataFrame) -> PipelineModel:
+        return self.fit_transform(df)[0]
+
+    def fit_transform(self, df: DataFrame) -> tuple[PipelineModel, DataFrame]:
+        cols = [c for c in self.cols if c in df.columns]
+        power = YeoJohnson(inputCols=cols).fit(df)
+        rows = SmoteSampler(cols, self.label, self.key, self.k, self.seed).resample(power.transform(df))
+        bins = BinColumns(inputCols=cols, strategy="uniform", encode="onehot").fit(rows)
+        return PipelineModel([power, bins]), bins.transform(rows)
+
+    def to_parts(self):
+        return {"cols": self.cols, "label": self.label, "key": self.key, "k": self.k, "seed": self.seed}, {}
+
+    @classmethod
+    def from_parts(cls, plain, parts):
+        return cls(**plain)
+
+
 def _fit_step(step, df: DataFrame):
     """(fitted step, transformed training rows or None when not produced yet)."""
     if hasattr(step, "fit_transform"):

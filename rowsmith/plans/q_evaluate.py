@@ -194,32 +194,12 @@ def churn_flow(label: str = "label", k: int = 5, columns: int = 4, depth: int =
     return flows.Flow([
         C.CrossFitTargetEncoder(inputCols=["lang", "source"], labelCol=label, keyCols=["doc_id"]),
         N.SelectBest(inputCols=cols, labelCol=label, k=columns),
-        PowerAndBalance(cols, label, k),
+        flows.PowerAndBalance(cols, label, k=k),
         flows.AssembleByType(exclude=["doc_id", label]),
         T.boosted_classifier(label, rounds=rounds, depth=depth, **more),
     ])
 
 
-class PowerAndBalance(flows.ColumnSteps):
-    """Power transform of the chosen columns, SMOTE while fitting, then indicator bins."""
-
-    def __init__(self, cols, label, k):
-        super().__init__([])
-        self.cols, self.label, self.k = cols, label, k
-
-    def fit_transform(self, df):
-        from pyspark.ml import PipelineModel
-
-        cols = [c for c in self.cols if c in df.columns]
-        power = N.YeoJohnson(inputCols=cols).fit(df)
-        rows = flows.SmoteSampler(cols, self.label, "doc_id", self.k).resample(power.transform(df))
-        bins = N.BinColumns(inputCols=cols, strategy="uniform", encode="onehot").fit(rows)
-        return PipelineModel([power, bins]), bins.transform(rows)
-
-    def _fit(self, df):
-        return self.fit_transform(df)[0]
-
-
 def churn(spark, sf):
     return doc_features(spark, sf).select("doc_id", "lang", "source", *DOC_COLS, "label")
 

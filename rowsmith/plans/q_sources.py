@@ -64,6 +64,28 @@ def read_csv_blanks(spark, sf):
     return io.read_csv(spark, path, "c_custkey bigint, c_acctbal double, c_mktsegment string")
 
 
+@query("read_csv_inferred", """
+    SELECT CASE WHEN c_custkey % 7 <> 0 THEN c_custkey END AS key, CASE WHEN c_custkey % 5 > 1 THEN c_acctbal END AS balance,
+           CASE WHEN c_custkey % 11 <> 0 THEN c_mktsegment END AS segment, CASE WHEN c_custkey % 3 <> 0 THEN DATE '2020-01-01' + c_custkey::INT % 1000 END AS day,
+           c_custkey % 2 = 0 AS even, c_custkey || CASE WHEN c_custkey % 13 = 0 THEN 'x' ELSE '' END AS code,
+           'key:int balance:double segment:string day:date even:boolean code:string' AS types
+    FROM customer""")
+def read_csv_inferred(spark, sf):
+    """Types found without a schema in columns that hold every token for a missing value."""
+    c, token = F.col("c_custkey"), F.array(*[F.lit(t) for t in io.NULL_TOKENS])
+    gap = F.get(token, (c % len(io.NULL_TOKENS)).cast("int"))
+    odd = io.table(spark, sf, "customer").select(
+        F.when(c % 7 != 0, c.cast("string")).otherwise("N/A").alias("key"),
+        F.when(c % 5 > 1, F.col("c_acctbal").cast("string")).otherwise(gap).alias("balance"),
+        F.when(c % 11 != 0, F.col("c_mktsegment")).otherwise(gap).alias("segment"),
+        F.when(c % 3 != 0, F.date_add(F.lit("2020-01-01").cast("date"), (c % 1000).cast("int")).cast("string")).otherwise("nan").alias("day"),
+        F.when(c % 2 == 0, "true").otherwise("False").alias("even"),
+        F.concat(c.cast("string"), F.when(c % 13 == 0, "x").otherwise("")).alias("code"))
+    out = io.read_csv(spark, io.write_csv(odd, scratch_path(spark, "odd")))
+    types = " ".join(f"{f.name}:{f.dataType.simpleString()}" for f in out.schema.fields)
+    return out.withColumn("key", F.col("key").cast("bigint")).withColumn("types", F.lit(types))
+
+
 @query("csv_quotes_and_breaks", """
     SELECT doc_id, text, CASE WHEN doc_id % 3 <> 0 THEN n_chars END AS n_chars, (doc_id % 5 = 0)::INT AS malformed
     FROM (SELECT doc_id, n_chars, 'say "' || text || '", ok' || chr(10) || 'next' AS text FROM documents)""")

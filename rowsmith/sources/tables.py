@@ -48,15 +48,15 @@ def read_csv(spark: SparkSession, path: str, schema=None, sep: str = ",", nulls=
     """CSV with a header, doubled quotes and missing-value tokens. A ``.gz`` suffix selects the codec.
 
     Dots in column names are replaced (``plain_names``). Quoted cells keep their text, tokens included in ``nulls``
-    become NULL. ``schema`` names the types; without one they are inferred, which costs a pass. ``multiline`` allows
+    become NULL. ``schema`` names the types; without one they are inferred from the cells that are left, which costs a
+    pass: whole numbers, decimals, dates, times, true and false, else text. ``multiline`` allows
     line breaks inside quoted cells; such a file, like a gzip file, is read by one task: ``partitions`` deals the rows
     out afterwards. ``malformed`` names a column that counts the cells of a row whose text does not fit their type.
     """
     reader = spark.read.option("header", True).option("sep", sep).option("quote", '"').option("escape", '"')
     reader = reader.option("multiLine", multiline).options(**options)
     if schema is None:
-        df = reader.option("inferSchema", True).option("nullValue", next((t for t in nulls if t), "")).csv(path)
-        df = df.select(*[_without_tokens(F.col(f"`{f.name}`"), nulls, f.dataType).alias(f.name) for f in df.schema.fields])
+        df = _inferred(reader.csv(path), nulls)
     else:
         wanted = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
         raw = reader.schema(T.StructType([T.StructField(f.name, T.StringType()) for f in wanted.fields])).csv(path)
@@ -71,6 +71,29 @@ def read_csv(spark: SparkSession, path: str, schema=None, sep: str = ",", nulls=
     return df.repartition(partitions) if partitions else df
 
 
+# What a cell must look like to count as of a type, besides being read as such.
+_LOOKS = {
+    "int": r"[+-]?\d+", "bigint": r"[+-]?\d+", "double": r"[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?", "date": r"\d{4}-\d{1,2}-\d{1,2}",
+    "timestamp": r"\d{4}-\d{1,2}-\d{1,2}[ T]\d{1,2}:\d{2}(:\d{2}(\.\d+)?)?(Z|[+-]\d{2}:?\d{2})?", "boolean": r"(?i)true|false",
+}
+
+
+def _inferred(raw: DataFrame, nulls) -> DataFrame:
+    """Text columns without missing-value tokens, each in the first type that all its cells have; one pass for all."""
+    cells = [_without_tokens(F.col(f"`{c}`"), nulls, T.StringType()) for c in raw.columns]
+    fits = []
+    for i, cell in enumerate(cells):
+        fits.append(F.count(cell).alias(f"n{i}"))
+        for kind, looks in _LOOKS.items():
+            fits.append(F.count(F.when(F.trim(cell).rlike(f"^(?:{looks})$"), F.trim(cell).try_cast(kind))).alias(f"{kind}{i}"))
+    seen = raw.agg(*fits).first()
+    out = []
+    for i, (name, cell) in enumerate(zip(raw.columns, cells)):
+        kind = next((k for k in _LOOKS if seen[f"n{i}"] and seen[f"{k}{i}"] == seen[f"n{i}"]), None)
+        out.append((F.trim(cell).try_cast(kind) if kind else cell).alias(name))
+    return raw.select(*out)
+
+
 def _without_tokens(cell: Column, nulls, kind) -> Column:
     return F.when(cell.isin(list(nulls)), None).otherwise(cell) if isinstance(kind, T.StringType) else cell
 

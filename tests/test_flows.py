@@ -150,3 +150,20 @@ def test_encoded_rows_leave_a_branch(spark, small):
     _, rows = flows.Flow([flows.ColumnSteps([(["lang"], [step])])]).fit_transform(df)
     alone = step.copy()._set(inputCols=["lang"]).fit_transform(df)[1]
     assert rows.orderBy("doc_id").select("lang").collect() == alone.orderBy("doc_id").select("lang").collect()
+
+
+def test_churn_chain_saved_and_loaded(spark, small, tmp_path):
+    """The whole chain, unfitted and fitted: encoder, selection, power transform with oversampling, bins, boosting."""
+    from rowsmith.plans import q_evaluate as Q
+
+    df = Q.churn(spark, small)
+    Q.churn_flow(rounds=3).write().save(str(tmp_path / "chain"))
+    loaded = flows.Flow.load(str(tmp_path / "chain"))
+    step = next(s for s in loaded.steps if isinstance(s, flows.PowerAndBalance))
+    assert (step.label, step.key, step.k) == ("label", "doc_id", 5)
+    model = loaded.fit(df)
+    want = [tuple(r) for r in Q.churn_flow(rounds=3).fit(df).transform(df).select("doc_id", "prediction").orderBy("doc_id").collect()]
+    assert [tuple(r) for r in model.transform(df).select("doc_id", "prediction").orderBy("doc_id").collect()] == want
+    model.write().overwrite().save(str(tmp_path / "model"))
+    again = PipelineModel.load(str(tmp_path / "model"))
+    assert [tuple(r) for r in again.transform(df).select("doc_id", "prediction").orderBy("doc_id").collect()] == want

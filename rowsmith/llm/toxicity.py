@@ -57,7 +57,7 @@ def feature_hits(texts: pa.Array, chosen: np.ndarray | None = None) -> tuple[np.
 
 def _count(batches):
     counts = np.zeros((2, 1 << BITS), np.int64)
-    for batch in slices(batches, "text"):
+    for batch in slices(batches, "text", PIECE):  # all n-grams of a stretch are held at once
         label = batch.column("label").to_numpy()
         row, feature = feature_hits(batch.column("text"))
         for y in (0, 1):
@@ -70,7 +70,7 @@ def _count(batches):
 
 def _chosen_features(chosen: np.ndarray):
     def run(batches):
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", PIECE):
             row, feature = feature_hits(batch.column("text"), chosen)
             ends = np.searchsorted(row, np.arange(batch.num_rows + 1)).astype(np.int32)
             yield pa.RecordBatch.from_arrays(

@@ -17,6 +17,7 @@ from rowsmith.plans.q_models import scaled
 from rowsmith.plans.q_relate import U
 from rowsmith.plans.registry import query
 from rowsmith.plans.runs import RunLog
+from rowsmith.plans.step_cache import StepCache, search_cached
 from rowsmith.session import scratch_path
 from rowsmith.sources.tables import table
 
@@ -233,6 +234,38 @@ def search_with_stored_prefix(spark, sf):
         flows.BalancedAccuracy(), ["doc_id"], stratify="label")
 
 
+@query("search_with_step_cache", f"""
+    WITH k AS (SELECT p_partkey AS id, p_brand AS brand, p_type AS kind, CASE WHEN p_partkey % 6 <> 0 THEN p_size::DOUBLE END AS x,
+        p_retailprice AS y, floor({U('p_partkey', 42)} * 5)::INT AS fold FROM part),
+    f AS (SELECT f.fold, id, k.fold = f.fold AS held, brand, kind, x, y FROM (SELECT DISTINCT fold FROM k) f CROSS JOIN k),
+    c AS (
+        SELECT 'brand' AS grp, *, coalesce(x, avg(x) FILTER (WHERE NOT held) OVER (PARTITION BY fold, brand)) AS full_x FROM f
+        UNION ALL SELECT 'kind', *, coalesce(x, avg(x) FILTER (WHERE NOT held) OVER (PARTITION BY fold, kind)) FROM f),
+    m AS (SELECT grp, fold, regr_slope(y, full_x) AS b, regr_intercept(y, full_x) AS a, sum(full_x * y) / sum(full_x * full_x) AS o
+        FROM c WHERE NOT held GROUP BY ALL),
+    e AS (SELECT grp, fold, true AS bias, sqrt(avg(pow(y - a - b * full_x, 2))) AS err FROM c JOIN m USING (grp, fold) WHERE held GROUP BY ALL
+        UNION ALL SELECT grp, fold, false, sqrt(avg(pow(y - o * full_x, 2))) FROM c JOIN m USING (grp, fold) WHERE held GROUP BY ALL),
+    n AS (SELECT count(*) AS prefix_fits FROM (SELECT DISTINCT grp, fold FROM e))
+    SELECT grp AS group_column, bias, round(avg(err), 4) AS rmse, any_value(prefix_fits) AS prefix_fits FROM e, n GROUP BY ALL""")
+def search_with_step_cache(spark, sf):
+    """Grid over two steps, group imputation and line: each imputation is fitted once per fold, for all lines after it."""
+    df = table(spark, sf, "part").select(
+        "p_partkey", F.col("p_brand").alias("brand"), F.col("p_type").alias("kind"), F.col("p_retailprice").alias("y"),
+        F.when(F.col("p_partkey") % 6 != 0, F.col("p_size").cast("double")).alias("x"))
+
+    def chain(by: str, bias: bool) -> flows.Flow:
+        line = L.least_squares(["x"], "y")
+        line.getStages()[-1].setFitIntercept(bias)
+        return flows.Flow([N.GroupMeanImputer(keyCols=[by], inputCol="x", outputCol="x"), line])
+
+    cache = StepCache(spark, scratch_path(spark, "steps"))
+    points = flows.parameter_grid({"by": ["brand", "kind"], "bias": [True, False]})
+    found = search_cached(cache, chain, points, df, RegressionEvaluator(labelCol="y", metricName="rmse"), ["p_partkey"])
+    fits = cache.entries().where("step = 'GroupMeanImputer'").agg(F.count("*").alias("prefix_fits"))
+    point = F.from_json("params", "by string, bias boolean")
+    return found.select(point["by"].alias("group_column"), point["bias"].alias("bias"), F.round("mean_score", 4).alias("rmse")).crossJoin(fits)
+
+
 @query("random_search")
 def random_search(spark, sf):
     """Ten draws, five folds, over settings of the whole churn chain."""

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from rowsmith.llm.words import slices, words_of
 
@@ -21,7 +21,7 @@ UNKNOWN = "und"
 GRAMS = (2, 3, 4)
 BITS = 16
 SAMPLE = 1500  # texts that the field is fitted on, at most
-LEXICON = 100_000  # words that the lexicon keeps, at most
+MOST_LANGUAGES = 1000  # more are refused
 BLOCK = 64
 
 _LETTERS = np.ones(256, bool)
@@ -150,14 +150,13 @@ def fit_field(texts: pa.Array, language: np.ndarray, languages: list[str], round
     label = language[words.row]
     counts = np.stack([np.bincount(of[label == c], minlength=len(marks)) for c in range(k)], axis=1)
     often = np.flatnonzero(counts.sum(axis=1) >= 3)
-    often = np.sort(often[np.argsort(-counts[often].sum(axis=1), kind="stable")[:LEXICON]])
     shares = np.log((counts[often] + 0.5) / (counts[often].sum(axis=1, keepdims=True) + 0.5 * k)) + np.log(k)
     # Passages of 1 to 60 words of one text, in random order, as sequences of BLOCK words.
     cuts = np.unique(np.concatenate([words.first[:-1], np.flatnonzero(rng.random(n) < 1 / 30)]))
     passages = np.split(np.arange(n), cuts[1:])
     stream = np.concatenate([passages[i] for i in rng.permutation(len(passages))])
     width = min(BLOCK, n)
-    stream = stream[: len(stream) // width * width].reshape(-1, width)
+    stream = np.resize(stream, (-(-n // width), width))  # the last sequence is filled up from the first
     word, y = of[stream], label[stream]
     feature, first = word_features(words.data, words.start[pick], words.end[pick])
     owner = np.repeat(np.arange(len(pick)), np.diff(np.append(first, len(feature))))
@@ -205,13 +204,36 @@ def fit_field(texts: pa.Array, language: np.ndarray, languages: list[str], round
     return Field(languages, weight.astype(np.float32), change, marks[often], shares, trust)
 
 
+def quotas(counts: dict[str, int], sample: int) -> dict[str, int]:
+    """Texts to take of each language: half the sample is dealt evenly, the rest by size. At least one of each."""
+    even = {c: min(n, max(sample // (2 * len(counts)), 1)) for c, n in counts.items()}
+    left, others = max(sample - sum(even.values()), 0), max(sum(counts.values()) - sum(even.values()), 1)
+    return {c: min(n, even[c] + left * (n - even[c]) // others) for c, n in counts.items()}
+
+
 def fit(docs: DataFrame, allowed: Column, sample: int = SAMPLE, key: str = "doc_id", text: str = "text", lang: str = "lang") -> Field:
-    """Fits on at most ``sample`` texts with a language for which ``allowed`` holds, picked by a hash of the key."""
-    known = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull() & F.col(key).isNotNull() & allowed)
-    languages = sorted(r[0] for r in known.select(lang).distinct().limit(1000).collect())
-    picked = known.select(key).distinct().orderBy(F.xxhash64(key), key).limit(sample)
-    rows = known.join(F.broadcast(picked), key).orderBy(F.xxhash64(key), key).limit(sample).select(
-        F.col(text).alias("text"), F.col(lang).alias("lang")).toArrow()
+    """Fits on at most ``sample`` texts with a language for which ``allowed`` holds, picked by a hash of the key.
+
+    Each language gives a share of the sample, so that rare ones are learned too. Of several texts of a key and language
+    the last in order counts. More than ``MOST_LANGUAGES`` languages are refused.
+    """
+    known = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull() & F.col(key).isNotNull() & allowed).select(
+        F.col(key).alias("id"), F.col(lang).alias("lang"), F.col(text).alias("text"))
+    keys = known.select("id", "lang").distinct()
+    counts = {r["lang"]: r["n"] for r in keys.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).limit(MOST_LANGUAGES + 1).collect()}
+    if len(counts) > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} languages")
+    languages = sorted(counts)
+    wanted = quotas(counts, sample) if counts else {}
+    # A hash below the bound holds for a few more keys than wanted, so the rank below is over few rows of each language.
+    bounds = docs.sparkSession.createDataFrame(
+        [(c, q, (q + 6 * q**0.5 + 20) / counts[c]) for c, q in wanted.items()], "lang string, wanted int, bound double")
+    place = F.xxhash64("id").cast("double") / 2.0**64 + 0.5
+    near = keys.join(F.broadcast(bounds), "lang").where(place <= F.col("bound"))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id"))
+    picked = near.withColumn("rank", rank).where("rank <= wanted").select("id", "lang")
+    rows = known.join(F.broadcast(picked), ["id", "lang"]).groupBy("id", "lang").agg(F.max("text").alias("text")).orderBy(
+        F.xxhash64("id"), "id", "lang").select("text", "lang").toArrow()
     code = {c: i for i, c in enumerate(languages)}
     label = np.array([code[c] for c in rows.column("lang").to_pylist()], np.int64)
     return fit_field(rows.column("text").combine_chunks(), label, languages)

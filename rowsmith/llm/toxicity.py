@@ -101,7 +101,8 @@ def fit_logistic(row: np.ndarray, col: np.ndarray, value: np.ndarray, label: np.
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, allowed: Column, sample: int, key: str, text: str) -> DataFrame:
-    """(text, label) of at most ``sample`` labelled rows, picked by a hash of the key. Several labels of a key: the largest.
+    """(text, label) of at most ``sample`` labelled rows, picked by a hash of the key. Several labels of a key: the largest;
+    several texts: the last in order.
 
     The picked keys are bounded by ``sample``, so they are broadcast and the texts stay where they are.
     """
@@ -110,7 +111,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, allowed: Col
         .groupBy(key).agg(F.max(label).cast("int").alias("label"))
         .orderBy(F.xxhash64(key), key).limit(sample)
     )
-    return docs.select(key, F.col(text).alias("text")).join(F.broadcast(picked), key).select("text", "label")
+    rows = docs.select(key, F.col(text).alias("text")).join(F.broadcast(picked), key)
+    return rows.groupBy(key, "label").agg(F.max("text").alias("text")).select("text", "label")
 
 
 def fit(docs: DataFrame, labels: DataFrame, allowed: Column, label: str = "toxic", sample: int = SAMPLE,

@@ -20,7 +20,8 @@ from rowsmith.session import materialise
 
 SAMPLE = 10_000  # labelled rows, at most
 ROUNDS = 3
-GIVEN = 500  # documents that a view labels for the other in a round, of each class, at most
+STEPS = 4  # Newton steps of a round, one pass over the documents each
+REACH = 4.0  # largest change of a labelled row's logit in one step
 SURE = 0.95
 SHAPES = 32
 SOURCES, HOSTS, LANGUAGES = 32, 16, 16
@@ -136,13 +137,16 @@ class Linear:
     def fit(cls, x: np.ndarray, y: np.ndarray) -> Linear:
         mean, scale = x.mean(axis=0), x.std(axis=0)
         scale = np.where(scale > 1e-9, scale, 1.0)
-        z = np.clip((x - mean) / scale, -8, 8)
+        z = cls(mean, scale, np.zeros(x.shape[1]), 0.0).scaled(x)
         row, col = np.divmod(np.arange(z.size), z.shape[1])
         weight, bias = fit_logistic(row, col, z.ravel(), y.astype(float), z.shape[1], penalty=1.0, rounds=200)
         return cls(mean, scale, weight, bias)
 
+    def scaled(self, x: np.ndarray) -> np.ndarray:
+        return np.clip((x - self.mean) / self.scale, -8, 8)
+
     def logit(self, x: np.ndarray) -> np.ndarray:
-        return np.clip((x - self.mean) / self.scale, -8, 8) @ self.weight + self.bias
+        return self.scaled(x) @ self.weight + self.bias
 
 
 def sigmoid(z: np.ndarray) -> np.ndarray:
@@ -197,31 +201,76 @@ def score(seen: DataFrame, model: Model) -> DataFrame:
     return seen.mapInArrow(_scored(model, seen.columns), f"{schema}, text_score double, page_score double, score double")
 
 
-def _given(seen: DataFrame, model: Model, view: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Documents that a view is sure of, picked by a hash of their number: text view, page view, label."""
-    found = score(seen.select("id", "text_view", "page_view"), model)
-    parts = []
-    for label, sure in ((1, F.col(view) >= SURE), (0, F.col(view) <= 1 - SURE)):
-        table = found.where(sure & F.col("id").isNotNull()).orderBy(F.xxhash64("id"), "id").limit(GIVEN).select("text_view", "page_view").toArrow()
-        if table.num_rows:
-            parts.append((_matrix(table.column("text_view")), _matrix(table.column("page_view")), np.full(table.num_rows, label)))
-    if not parts:
-        return np.zeros((0, 0)), np.zeros((0, 0)), np.zeros(0)
-    return tuple(np.concatenate(x) for x in zip(*parts))
+def newton_sums(x: np.ndarray, label: np.ndarray | float, linear: Linear) -> tuple[np.ndarray, np.ndarray]:
+    """Gradient and curvature of the logistic loss over the rows of ``x``; the intercept comes last."""
+    z = np.column_stack([linear.scaled(x), np.ones(len(x))])
+    share = sigmoid(z[:, :-1] @ linear.weight + linear.bias)
+    return z.T @ (share - label), (z * (share * (1 - share))[:, None]).T @ z
+
+
+def sure_sums(pool: DataFrame, model: Model, linears: list[Linear]) -> dict[tuple[int, int], tuple[float, np.ndarray, np.ndarray]]:
+    """(documents, gradient, curvature) by (view, label) over all documents that the other view of ``model`` is sure of.
+
+    ``linears`` are the classifiers of text and page that learn. A task sends one sum of each cell, added up by key.
+    """
+    sizes = [len(x.weight) + 1 for x in linears]
+
+    def run(batches):
+        total = {(side, label): np.zeros(1 + sizes[side] * (1 + sizes[side])) for side in (0, 1) for label in (0, 1)}
+        for batch in batches:
+            seen = [_matrix(batch.column("text_view")), _matrix(batch.column("page_view"))] if batch.num_rows else []
+            sure = model.scores(*seen)[:2] if seen else ()
+            for side, x in enumerate(seen):
+                for label, some in ((1, sure[1 - side] >= SURE), (0, sure[1 - side] <= 1 - SURE)):
+                    if some.any():
+                        slope, bend = newton_sums(x[some], label, linears[side])
+                        total[side, label] += np.concatenate([[some.sum()], slope, bend.ravel()])
+        for (side, label), sums in total.items():
+            if sums[0]:
+                n = len(sums)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(n, side)), pa.array(np.full(n, label)), pa.array(np.arange(n)), pa.array(sums)], names=["side", "label", "at", "v"])
+
+    cells = pool.select("text_view", "page_view").mapInArrow(run, "side long, label long, at long, v double")
+    # Bounded: four cells of (columns + 1) squared numbers.
+    rows = cells.groupBy("side", "label", "at").agg(F.sum("v").alias("v")).toArrow()
+    side, label, at, v = (rows.column(c).to_numpy() for c in ("side", "label", "at", "v"))
+    out = {}
+    for cell in set(zip(side.tolist(), label.tolist())):
+        mine = (side == cell[0]) & (label == cell[1])
+        flat, size = np.zeros(int(mine.sum())), sizes[cell[0]]
+        flat[at[mine]] = v[mine]
+        out[cell] = flat[0], flat[1 : 1 + size], flat[1 + size :].reshape(size, size)
+    return out
+
+
+def learned(linear: Linear, x: np.ndarray, y: np.ndarray, given: dict[int, tuple[float, np.ndarray, np.ndarray]], penalty: float = 1.0) -> Linear:
+    """One Newton step over labelled rows and the sums of the documents that the other view labels.
+
+    The documents of a class weigh one each, and together no more than the labelled rows of that class.
+    """
+    slope, bend = newton_sums(x, y, linear)
+    for label, (n, g, h) in given.items():
+        weight = min(1.0, float((y == label).sum()) / n)
+        slope, bend = slope + weight * g, bend + weight * h
+    ridge = np.append(np.full(len(linear.weight), penalty), 1e-6)
+    step = np.linalg.solve(bend + np.diag(ridge), slope + ridge * np.append(linear.weight, linear.bias))
+    moved = np.abs(linear.scaled(x) @ step[:-1] + step[-1]).max()
+    step *= min(1.0, REACH / max(moved, 1e-300))
+    return Linear(linear.mean, linear.scale, linear.weight - step[:-1], linear.bias - float(step[-1]))
 
 
 def cotrain(seen: DataFrame, labels: DataFrame, allowed: Column, label: str = "quality", sample: int = SAMPLE,
             rounds: int = ROUNDS, key: str = "doc_id") -> Model:
-    """Fits on at most ``sample`` labelled rows for which ``allowed`` (over ``labels``) holds, and on what the views then
-    label for each other among all other documents. A quarter of the labelled rows is kept for calibration.
+    """Fits on at most ``sample`` labelled rows for which ``allowed`` (over ``labels``) holds, and on all other documents
+    that the views then label for each other. A quarter of the labelled rows is kept for calibration.
 
     With one class only, or no labelled row, every document gets the smoothed share of label 1.
     """
-    picked = (
+    picked = materialise(
         labels.where(F.col(label).isNotNull() & F.col(key).isNotNull() & allowed)
         .groupBy(F.col(key).cast("bigint").alias("id")).agg(F.max(label).cast("int").alias("label"))
-        .orderBy(F.xxhash64("id"), "id").limit(sample)
-    )
+        .orderBy(F.xxhash64("id"), "id").limit(sample), "picked")
     rows = seen.join(F.broadcast(picked), "id").select("id", "text_view", "page_view", "label").orderBy(F.xxhash64("id"), "id").limit(sample).toArrow()
     y = rows.column("label").to_numpy().astype(float)
     share = (y.sum() + 0.5) / (len(y) + 1.0)
@@ -231,22 +280,21 @@ def cotrain(seen: DataFrame, labels: DataFrame, allowed: Column, label: str = "q
     if len(np.unique(y[~kept])) < 2 or len(np.unique(y[kept])) < 2:
         return empty
     t, p = _matrix(rows.column("text_view")), _matrix(rows.column("page_view"))
-    train = [[t[~kept], y[~kept]], [p[~kept], y[~kept]]]
+    y_fit, views_fit = y[~kept], [t[~kept], p[~kept]]
     pool = seen.join(F.broadcast(picked.select("id")), "id", "left_anti")
 
-    def fitted() -> Model:
-        text, page = Linear.fit(*train[0]), Linear.fit(*train[1])
+    def calibrated(text: Linear, page: Linear) -> Model:
         return Model(text, page, platt(text.logit(t[kept]), y[kept]), platt(page.logit(p[kept]), y[kept]), prior)
 
-    model = fitted()
-    own = [list(x) for x in train]
+    model = calibrated(*(Linear.fit(x, y_fit) for x in views_fit))
     for _ in range(rounds):
-        from_text, from_page = _given(pool, model, "text_score"), _given(pool, model, "page_score")
-        train = [list(x) for x in own]
-        for side, (a, b, c) in ((1, from_text), (0, from_page)):
-            if len(c):
-                train[side] = [np.concatenate([own[side][0], b if side else a]), np.concatenate([own[side][1], c])]
-        model = fitted()
+        linears = [model.text, model.page]
+        for _ in range(STEPS):
+            sums = sure_sums(pool, model, linears)
+            linears = [
+                learned(linear, x, y_fit, {label: sums[side, label] for label in (0, 1) if (side, label) in sums})
+                for side, (linear, x) in enumerate(zip(linears, views_fit))]
+        model = calibrated(*linears)
     return model
 
 

@@ -9,7 +9,9 @@ import pytest
 import sentencepiece
 
 from compare import compare, connect
-from rowsmith.llm import language, near_dup, pieces, queries, substrings, vectors, words
+from pyspark.sql import functions as F
+
+from rowsmith.llm import cotraining, language, near_dup, pieces, queries, substrings, toxicity, vectors, words
 from rowsmith.llm.components import components
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -418,3 +420,61 @@ def test_pipeline_keeps_clean_documents(spark, sf, tmp_path):
             seen.add(window)
         rest = [x for k, x in enumerate(w) if k not in gone]
         assert cut.get(i, "").split() == rest and (i in cut) == bool(rest or not w)
+
+
+def test_rare_language_is_learned(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text", "lang")
+    russian = "Сегодня вечером мы читали старую книгу о реке и о людях которые жили на её берегу много лет назад "
+    words = russian.split()
+    rare = [(10_000_000 + i, " ".join(words[i:] + words[:i]) * 3, "ru") for i in range(4)]
+    docs = docs.unionByName(spark.createDataFrame(rare, docs.schema))
+    field = language.fit(docs, (F.col("doc_id") < 10_000_000) | (F.col("doc_id") % 2 == 0))
+    got = language.label_languages(docs.where("doc_id >= 10000000"), field).collect()
+    assert [r["lang_pred"] for r in got] == ["ru"] * 4
+
+
+def test_language_quotas():
+    assert language.quotas({"a": 10_000, "b": 2}, 1500) == {"a": 1498, "b": 2}
+    assert language.quotas({"a": 500, "b": 500, "c": 500}, 300) == {"a": 100, "b": 100, "c": 100}
+    assert language.quotas({"a": 3, "b": 1}, 1500) == {"a": 3, "b": 1}
+
+
+def test_repeated_labelled_key_is_one_row(spark):
+    docs = spark.range(3000).select(F.lit(7).alias("doc_id"), F.concat(F.lit("t"), "id").alias("text"))
+    labels = spark.createDataFrame([(7, 0), (7, 1)], "doc_id int, toxic int")
+    rows = toxicity.labelled_sample(docs, labels, "toxic", F.lit(True), 10, "doc_id", "text").collect()
+    assert [(r["text"], r["label"]) for r in rows] == [("t999", 1)]
+
+
+def test_every_sure_document_counts(spark):
+    rng = np.random.default_rng(4)
+    n = 3000
+    t, p = rng.normal(size=(n, 3)).astype(np.float32), rng.normal(size=(n, 2)).astype(np.float32)
+    text, page = (cotraining.Linear(np.zeros(k), np.ones(k), 3 * rng.normal(size=k), 0.1) for k in (3, 2))
+    model = cotraining.Model(text, page, (1.0, 0.0), (1.0, 0.0), 0.0)
+    rows = [(a.tolist(), b.tolist()) for a, b in zip(t, p)]
+    seen = spark.createDataFrame(rows, "text_view array<float>, page_view array<float>").repartition(7)
+    got = cotraining.sure_sums(seen, model, [text, page])
+    by_text, by_page, _ = model.scores(t.astype(float), p.astype(float))
+    for side, x, sure, linear in ((0, t, by_page, text), (1, p, by_text, page)):
+        for label, some in ((1, sure >= cotraining.SURE), (0, sure <= 1 - cotraining.SURE)):
+            count, slope, bend = got[side, label]
+            want_slope, want_bend = np.zeros(x.shape[1] + 1), np.zeros((x.shape[1] + 1,) * 2)
+            for row in x[some].astype(float):
+                z = np.append(row, 1.0)
+                q = 1 / (1 + np.exp(-(row @ linear.weight + linear.bias)))
+                want_slope += (q - label) * z
+                want_bend += q * (1 - q) * np.outer(z, z)
+            assert count == some.sum() > 0
+            assert np.allclose(slope, want_slope) and np.allclose(bend, want_bend)
+
+
+def test_newton_steps_reach_the_optimum():
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(400, 3))
+    y = (x @ [1.0, -2.0, 0.5] + rng.normal(size=400) > 0).astype(float)
+    linear = cotraining.Linear(np.zeros(3), np.ones(3), np.zeros(3), 0.0)
+    for _ in range(12):
+        linear = cotraining.learned(linear, x, y, {})
+    slope, _ = cotraining.newton_sums(x, y, linear)
+    assert np.abs(slope + np.append(linear.weight, 1e-6 * linear.bias)).max() < 1e-8

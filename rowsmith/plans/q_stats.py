@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 from rowsmith.functions import scalar as S
 from rowsmith.operators import stats as A
 from rowsmith.operators.ranks import exact_quantiles
+from rowsmith.operators.snapshots import column_sketches, merge_sketches, sketch_report
 from rowsmith.plans.q_clean import HOLED, holed_lineitem
 from rowsmith.plans.registry import query
+from rowsmith.session import materialise
 from rowsmith.sources.tables import table
 
 NUM = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -291,6 +293,39 @@ def profile_full(spark, sf):
     return A.profile_report(table(spark, sf, "orders"))
 
 
+def yearly_sketches(spark, sf):
+    """Orders described year by year, as a table that grows by one snapshot a year."""
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus", "o_orderpriority", F.year("o_orderdate").alias("year"))
+    return materialise(column_sketches(orders, by=["year"]), "sketches")
+
+
+@query("merged_profile", " UNION ALL ".join(f"""
+    SELECT '{c}' AS "column", item, round(value::DOUBLE, 6) AS value FROM (SELECT count(*) AS n, count(*) - count({c}) AS gone,
+      {f"count(*) FILTER (WHERE {c} = 0), avg({c}), stddev_samp({c}), min({c}), max({c})" if number else "0, NULL, NULL, NULL, NULL"} FROM orders) t(n, gone, z, m, s, lo, hi),
+      LATERAL (VALUES ('rows', n::DOUBLE), ('missing', gone), ('zeros', z), ('mean', m), ('std', s), ('min', lo), ('max', hi)) v(item, value)
+    WHERE value IS NOT NULL""" for c, number in (
+        ("o_orderkey", 1), ("o_custkey", 1), ("o_totalprice", 1), ("o_orderstatus", 0), ("o_orderpriority", 0))))
+def merged_profile(spark, sf):
+    """What merged yearly snapshots know exactly: counts and moments of all rows, which are not read again."""
+    report = sketch_report(merge_sketches(yearly_sketches(spark, sf)))
+    return report.where(F.col("item").isin("rows", "missing", "zeros", "mean", "std", "min", "max") & F.col("section").isin("counts", "describe")).select(
+        "column", "item", F.round(F.col("value").try_cast("double"), 6).alias("value"))
+
+
+@query("merged_profile_common", " UNION ALL ".join(f"""
+    SELECT '{c}' AS "column", {c} AS item, count(*)::VARCHAR AS value FROM orders GROUP BY {c}""" for c in ("o_orderstatus", "o_orderpriority")))
+def merged_profile_common(spark, sf):
+    """Values of the two columns of few values, from the merged sketches of frequent values."""
+    report = sketch_report(merge_sketches(yearly_sketches(spark, sf)), top=10)
+    return report.where("section = 'top' AND column IN ('o_orderstatus', 'o_orderpriority')").select("column", "item", "value")
+
+
+@query("merged_profile_sketched")
+def merged_profile_sketched(spark, sf):
+    """The whole report of the merged snapshots; quartiles, distinct values and bins are within the bounds of the sketches."""
+    return sketch_report(merge_sketches(yearly_sketches(spark, sf)))
+
+
 @query("histogram", """
     WITH r AS (SELECT min(value) AS lo, (max(value) - min(value)) / 20 AS w FROM events),
     c AS (SELECT least(floor((value - lo) / w), 19)::BIGINT AS bin, count(*) AS n FROM events, r GROUP BY 1)

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import math
 
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import HashingTF, OneHotEncoder, RegexTokenizer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from rowsmith.features import category as C
 from rowsmith.features import numeric as N
+from rowsmith.features.wide import WideAxes
 from rowsmith.functions import scalar as S
 from rowsmith.operators import resample as R
 from rowsmith.plans.flows import ColumnSteps, Flow
@@ -295,6 +296,26 @@ def explained_variance_pair(spark, sf):
     return out.select("component", F.round("share", 8).alias("share"), F.round("cumulative", 8).alias("cumulative"))
 
 
+@query("wide_axes_pair", """
+    WITH r AS (SELECT abs(corr(l_quantity, l_extendedprice)) AS r FROM lineitem)
+    SELECT 1 AS component, round((1 + r) / 2, 7) AS share FROM r UNION ALL SELECT 2, round((1 - r) / 2, 7) FROM r""")
+def wide_axes_pair(spark, sf):
+    """The closed form of two columns, found by products with the covariance."""
+    df = N.assemble(table(spark, sf, "lineitem"), ["l_quantity", "l_extendedprice"])
+    out = WideAxes(inputCol="features", k=2).fit(df).variance_table(spark)
+    return out.select("component", F.round("share", 7).alias("share"))
+
+
+@query("wide_axes_words")
+def wide_axes_words(spark, sf):
+    """Documents on the five main axes of their word counts in 2048 hashed columns."""
+    docs = table(spark, sf, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    words = RegexTokenizer(inputCol="text", outputCol="words", pattern=r"\s+").transform(docs)
+    counts = HashingTF(inputCol="words", outputCol="features", numFeatures=2048).transform(words).select("doc_id", "features")
+    out = WideAxes(inputCol="features", k=5, scale=False).fit(counts).transform(counts)
+    return out.select("doc_id", vector_to_array("pca").alias("pca"))
+
+
 @query("anova_f", " UNION ALL ".join(f"""
     SELECT '{c}' AS "column", round((sum(n * pow(m - g, 2)) / (count(*) - 1)) / (sum(n * v) / (sum(n) - count(*))), 4) AS f
     FROM (SELECT quality, count(*) AS n, avg({c}) AS m, var_pop({c}) AS v FROM {DOCS} GROUP BY 1), (SELECT avg({c}) AS g FROM {DOCS})""" for c in DOC_COLS))

@@ -19,7 +19,8 @@ from rowsmith.session import materialise
 
 THRESHOLD = 0.93
 SHARD_ROWS = 20_000  # nodes of a shard: what one task holds
-BLOCK_ROWS = 2_000  # nodes that query a shard in one task
+BLOCK_ROWS = 2_000  # nodes that query a shard in one step
+CHUNK = 5  # blocks that visit a shard in one group
 DEGREE = 16
 BEAM = 48
 AUDIT = 128  # nodes of a shard whose links are held against brute force
@@ -197,10 +198,15 @@ class Graph:
         """The beam, doubled until the links of the audit nodes are found."""
         n = len(self.x)
         some = np.unique(np.linspace(0, n - 1, min(n, AUDIT)).astype(int))
-        true = (self.x[some] @ self.x.T >= threshold).sum()
+        hits = self.x[some] @ self.x.T >= threshold
+        true = hits.sum() - hits[np.arange(len(some)), some].sum()  # a node always finds itself
         beam = self.beam
         while beam < n:
-            found = sum(len(self.within(self.x[some[i : i + BATCH]], threshold, beam)[0]) for i in range(0, len(some), BATCH))
+            found = 0
+            for i in range(0, len(some), BATCH):
+                part = some[i : i + BATCH]
+                row, node = self.within(self.x[part], threshold, beam)
+                found += (node != part[row]).sum()
             if found >= RECALL * true:
                 break
             beam *= 2
@@ -223,19 +229,17 @@ def _graph_of(pdf: pd.DataFrame) -> pd.DataFrame:
     beam = graph.audited_beam(THRESHOLD - 1e-4)
     body = _packed(ids=pdf["rep"].to_numpy()[order], times=pdf["times"].to_numpy()[order], raw=raw[order], beam=np.array(beam),
                    layers=np.array(len(graph.links)), **{f"links{i}": x for i, x in enumerate(graph.links)})
-    return pd.DataFrame({"label": pdf["label"][:1], "dim": pdf["dim"][:1], "shard": pdf["shard"][:1], "graph": [body]})
+    return pd.DataFrame({c: pdf[c][:1] for c in ("label", "dim", "shard", "chunks")} | {"graph": [body]})
 
 
 def _block_of(pdf: pd.DataFrame) -> pd.DataFrame:
     body = _packed(ids=pdf["rep"].to_numpy(), raw=np.array(pdf["embedding"].tolist(), np.float64))
-    return pd.DataFrame({"label": pdf["label"][:1], "dim": pdf["dim"][:1], "block": pdf["block"][:1], "queries": [body]})
+    return pd.DataFrame({c: pdf[c][:1] for c in ("label", "dim", "block", "shards")} | {"queries": [body]})
 
 
 def _search(threshold: float):
-    def one(graph: bytes, queries: bytes) -> pd.DataFrame:
-        g, q = np.load(io.BytesIO(graph)), np.load(io.BytesIO(queries))
-        raw, ids, times, beam = g["raw"], g["ids"], g["times"], int(g["beam"])
-        net = Graph(_unit(raw).astype(np.float32), [g[f"links{i}"] for i in range(int(g["layers"]))], beam)
+    def one(net: Graph, raw: np.ndarray, ids: np.ndarray, times: np.ndarray, beam: int, queries: bytes) -> pd.DataFrame:
+        q = np.load(io.BytesIO(queries))
         unit = _unit(q["raw"]).astype(np.float32)
         size, own = np.linalg.norm(q["raw"], axis=1), np.linalg.norm(raw, axis=1)
         rows, nodes = [], []
@@ -271,10 +275,14 @@ def _search(threshold: float):
             "root": np.concatenate([root_q, root_n[moved]]),
         })
 
-    def run(batches):
-        for pdf in batches:
-            for graph, queries in zip(pdf["graph"], pdf["queries"]):
-                yield one(graph, queries)
+    def run(blocks: pd.DataFrame, graphs: pd.DataFrame) -> pd.DataFrame:
+        out = [pd.DataFrame({c: np.zeros(0, np.int64) for c in ("id", "n", "root")})]
+        for graph in graphs["graph"]:
+            g = np.load(io.BytesIO(graph))
+            raw, beam = g["raw"], int(g["beam"])
+            net = Graph(_unit(raw).astype(np.float32), [g[f"links{i}"] for i in range(int(g["layers"]))], beam)
+            out += [one(net, raw, g["ids"], g["times"], beam, queries) for queries in blocks["queries"]]
+        return pd.concat(out)
 
     return run
 
@@ -298,20 +306,25 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, shard_rows: i
         base.where("valid").groupBy("label", "k1", "k2").agg(
             F.min("id").alias("rep"), F.count(F.lit(1)).alias("times"), F.first("embedding").alias("embedding"))
         .withColumn("dim", F.size("embedding")), "nodes")
-    sizes = nodes.groupBy("label", "dim").agg(F.count(F.lit(1)).alias("n"))
+    # Stored, so that its size decides how it meets the nodes: a label may hold a third of them.
+    sizes = materialise(nodes.groupBy("label", "dim").agg(F.count(F.lit(1)).alias("n")), "sizes")
     mark = F.xxhash64(F.col("rep"))
+    shards, cuts = F.ceil(F.col("n") / shard_rows), F.ceil(F.col("n") / block_rows)
     dealt = nodes.join(sizes, ["label", "dim"]).select(
         "label", "dim", "rep", "times", "embedding",
-        F.pmod(mark, F.ceil(F.col("n") / shard_rows)).alias("shard"), F.pmod(mark, F.ceil(F.col("n") / block_rows)).alias("block"))
+        F.pmod(mark, shards).alias("shard"), F.pmod(mark, cuts).alias("block"),
+        shards.alias("shards"), F.ceil(cuts / CHUNK).alias("chunks"))
     kind = nodes.schema["label"].dataType.simpleString()
     graphs = materialise(
-        dealt.groupBy("label", "dim", "shard").applyInPandas(_graph_of, f"label {kind}, dim int, shard long, graph binary"), "graphs")
-    blocks = dealt.groupBy("label", "dim", "block").applyInPandas(_block_of, f"label {kind}, dim int, block long, queries binary")
-    # One row per shard and block, dealt evenly: a task holds one graph and one block at a time.
-    tasks = max(1, int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+        dealt.groupBy("label", "dim", "shard").applyInPandas(_graph_of, f"label {kind}, dim int, shard long, chunks long, graph binary"), "graphs")
+    blocks = dealt.groupBy("label", "dim", "block").applyInPandas(_block_of, f"label {kind}, dim int, block long, shards long, queries binary")
+    # A shard's graph meets the blocks of one chunk at a time: of any label, a group is one graph and CHUNK blocks at most.
+    pair = ["label", "dim", "shard", "chunk"]
+    sent = blocks.withColumn("chunk", F.floor(F.col("block") / CHUNK)).withColumn("shard", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)))
+    visited = graphs.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     searched = materialise(
-        blocks.join(graphs, ["label", "dim"]).select("graph", "queries").repartition(tasks)
-        .mapInPandas(_search(threshold), "id long, n long, root long"), "found")
+        sent.select(*pair, "queries").groupBy(*pair).cogroup(visited.select(*pair, "graph").groupBy(*pair))
+        .applyInPandas(_search(threshold), "id long, n long, root long"), "found")
     counts = searched.groupBy("id").agg(F.sum("n").alias("found")).withColumnRenamed("id", "rep")
     roots = components(searched.where("id <> root").select(F.col("root").alias("a"), F.col("id").alias("b")))
     classes = (

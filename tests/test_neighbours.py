@@ -111,3 +111,38 @@ def test_scored_rows_with_one_key(spark):
     asked = spark.createDataFrame([(7, [0.0]), (7, [9.0])], "id bigint, features array<double>")
     out = KnnClassifier(keyCol="id", k=3).fit(train).transform(asked).collect()
     assert {(r["features"][0], r["prediction"]) for r in out} == {(0.0, 0.0), (9.0, 1.0)}
+
+
+def test_large_tables_get_few_large_blocks(spark, monkeypatch):
+    """A query travels to few regions, not once to each of many small cells."""
+    from rowsmith.operators import neighbours as M
+
+    seen = {}
+    real = M._visits
+
+    def watched(*args):
+        seen["visits"] = real(*args)
+        return seen["visits"]
+
+    monkeypatch.setattr(M, "_visits", watched)
+    rng = np.random.default_rng(4)
+    points = {i: v for i, v in enumerate(rng.normal(size=(700, 32)).round(3))}
+    df = table(spark, points)
+    got = nearest(df, df, "id", "vec", 3, exclude_self=True, ref_rows=20, query_rows=20)
+    assert found(got) == brute(points, points, 3, True)
+    assert seen["visits"].count() == 700
+    assert seen["visits"].agg(F.max(F.size("regions"))).first()[0] <= 2 * M.BLOCKS
+
+
+@pytest.mark.parametrize("ref_rows", [40, 4096])
+def test_many_equal_vectors_and_repeated_keys(spark, ref_rows):
+    """Of equal vectors the smallest keys are the neighbours; all rows of the own key are left out."""
+    spot = [[1.0, 2.0], [1.0, 2.5], [3.0, 0.0]]
+    data = [(i // 2, spot[i % 7 % 3]) for i in range(600)]
+    df = spark.createDataFrame(data, "id bigint, vec array<double>")
+    asked = spark.createDataFrame([(i, data[2 * i][1]) for i in range(0, 300, 11)], "id bigint, vec array<double>")
+    got = {}
+    for r in nearest(asked, df, "id", "vec", 5, exclude_self=True, ref_rows=ref_rows, query_rows=32).orderBy("query_key", "rank").collect():
+        got.setdefault(r["query_key"], []).append((r["distance"], r["ref_key"]))
+    for i, v in [(r["id"], r["vec"]) for r in asked.collect()]:
+        assert got[i] == sorted((float(np.sqrt(((np.array(v) - np.array(w)) ** 2).sum())), j) for j, w in data if j != i)[:5]

@@ -14,6 +14,7 @@ from rowsmith.features.numeric import FittedAxes
 from rowsmith.session import discard, materialise, written_since
 
 SPARE = 8  # search directions beyond the wanted ones
+BLOCK_NUMBERS = 1 << 20  # numbers of a dense block of rows
 ROOMS = 8  # blocks the search space holds before it is restarted
 
 
@@ -65,6 +66,27 @@ def _orthogonal(block: np.ndarray, basis: np.ndarray | None, least: float) -> np
     return block
 
 
+def _dense(vectors: pa.StructArray, width: int):
+    """Blocks of rows of a column of vectors (their fields: kind, size, indices, values; without indices: dense)."""
+    flat = vectors.field("values").flatten().to_numpy(zero_copy_only=False)
+    sizes = vectors.field("values").value_lengths().to_numpy(zero_copy_only=False)
+    ends = np.concatenate([[0], np.cumsum(sizes)])
+    sparse = vectors.field("type").to_numpy(zero_copy_only=False) == 0
+    places = vectors.field("indices").flatten().to_numpy(zero_copy_only=False)
+    starts = np.concatenate([[0], np.cumsum(np.where(sparse, sizes, 0))])
+    step = max(1, BLOCK_NUMBERS // width)
+    for i in range(0, len(vectors), step):
+        part = slice(i, i + step)
+        n = len(sizes[part])
+        kind = np.repeat(sparse[part], sizes[part])
+        at = np.tile(np.arange(width), int((~sparse[part]).sum()))
+        column = np.empty(len(kind), np.int64)
+        column[kind], column[~kind] = places[starts[i] : starts[i + n]], at
+        x = np.zeros((n, width))
+        x[np.repeat(np.arange(n), sizes[part]), column] = flat[ends[i] : ends[i + n]]
+        yield x
+
+
 def _turned(axes: np.ndarray) -> np.ndarray:
     """Each axis with its largest loading positive."""
     top = np.abs(axes).argmax(axis=0)
@@ -115,14 +137,14 @@ class WideAxes(FitStep, _WideParams):
             def add(batches):
                 total = np.zeros((d, size))
                 for batch in batches:
-                    flat = batch.column(0).flatten().to_numpy(zero_copy_only=False)
-                    x = flat.reshape(-1, d) - mean
-                    total += x.T @ (x @ inner)
+                    for x in _dense(batch.column(0), d):
+                        x -= mean
+                        total += x.T @ (x @ inner)
                 flat = pa.array(total.ravel())
                 offsets = pa.array(np.arange(0, d * size + 1, size, dtype=np.int32))
                 yield pa.RecordBatch.from_arrays([pa.array(np.arange(d, dtype=np.int32)), pa.ListArray.from_arrays(offsets, flat)], ["i", "g"])
 
-            parts = rows.select(vector_to_array("v").alias("x")).mapInArrow(add, "i int, g array<double>")
+            parts = rows.select(F.unwrap_udt("v").alias("x")).mapInArrow(add, "i int, g array<double>")
             sums = parts.groupBy("i").agg(F.array(*[F.sum(F.get("g", F.lit(j))) for j in range(size)]).alias("g")).toArrow()
             out = np.zeros((d, size))
             out[sums["i"].to_numpy()] = sums["g"].combine_chunks().flatten().to_numpy().reshape(-1, size)

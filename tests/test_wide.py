@@ -76,3 +76,18 @@ def test_saved_and_null_rows(spark, tmp_path):
         WideAxes(inputCol="v").fit(frame(spark, np.ones((4, 3))))
     with pytest.raises(ValueError, match="not found"):
         WideAxes(inputCol="v", k=1, passes=1, tolerance=1e-12).fit(frame(spark, np.random.default_rng(5).normal(size=(100, 60))))
+
+
+def test_blocks_of_sparse_and_dense_vectors(monkeypatch):
+    """Sparse rows become dense in small blocks inside the task."""
+    import pyarrow as pa
+
+    from rowsmith.features import wide
+
+    monkeypatch.setattr(wide, "BLOCK_NUMBERS", 8)
+    rows = [(0, 4, [1, 3], [2.0, 5.0]), (1, None, None, [1.0, 2.0, 3.0, 4.0]), (0, 4, [], []), (0, 4, [0], [7.0]), (1, None, None, [0.0, 9.0, 0.0, 1.0])]
+    kind = pa.struct([("type", pa.int8()), ("size", pa.int32()), ("indices", pa.list_(pa.int32())), ("values", pa.list_(pa.float64()))])
+    column = pa.array([dict(zip(("type", "size", "indices", "values"), r)) for r in rows], kind)
+    blocks = list(wide._dense(column, 4))
+    assert [len(b) for b in blocks] == [2, 2, 1]
+    assert np.concatenate(blocks).tolist() == [[0, 2, 0, 5], [1, 2, 3, 4], [0, 0, 0, 0], [7, 0, 0, 0], [0, 9, 0, 1]]

@@ -23,13 +23,13 @@ def decision_tree(label: str = "label", depth: int = 30, seed: int = 42, **more)
 
 
 def forest_classifier(label: str = "label", trees: int = 100, seed: int = 42, **more) -> RandomForestClassifier:
-    """As deep as Spark grows (30), unless ``maxDepth`` is given."""
-    return RandomForestClassifier(labelCol=label, numTrees=trees, seed=seed, **{"maxDepth": 30, "maxMemoryInMB": 512, **more})
+    """As deep as Spark grows (30), unless ``maxDepth`` is given. Rows keep their nodes, so no pass walks or ships grown trees."""
+    return RandomForestClassifier(labelCol=label, numTrees=trees, seed=seed, **{"maxDepth": 30, "maxMemoryInMB": 512, "cacheNodeIds": True, **more})
 
 
 def forest_regressor(label: str = "label", trees: int = 100, seed: int = 42, **more) -> RandomForestRegressor:
     """As deep as Spark grows (30) over all columns, unless said otherwise."""
-    return RandomForestRegressor(labelCol=label, numTrees=trees, seed=seed, **{"maxDepth": 30, "maxMemoryInMB": 512, "featureSubsetStrategy": "all", **more})
+    return RandomForestRegressor(labelCol=label, numTrees=trees, seed=seed, **{"maxDepth": 30, "maxMemoryInMB": 512, "cacheNodeIds": True, "featureSubsetStrategy": "all", **more})
 
 
 def boosted_classifier(label: str = "label", rounds: int = 100, depth: int = 3, rate: float = 0.1, subsample: float = 1.0,

@@ -202,3 +202,13 @@ def test_adaboost_without_a_split(spark):
     assert {r["prediction"] for r in T.AdaBoost(rounds=5).fit(one).transform(one).collect()} == {3.0}
     with pytest.raises(ValueError):
         T.AdaBoost().fit(one.limit(0))
+
+
+def test_forests_keep_the_nodes_of_rows(spark):
+    """No pass walks or ships the trees grown so far; the trees are the same."""
+    x = F.col("id").cast("double")
+    df = N.assemble(spark.range(300).select((x % 31).alias("a"), (x % 3).alias("label"), (x * x % 101).alias("y")), ["a"])
+    for make, label in ((T.forest_classifier, "label"), (T.forest_regressor, "y")):
+        assert make(label).getCacheNodeIds()
+        kept, walked = (make(label, trees=3, cacheNodeIds=c).fit(df) for c in (True, False))
+        assert kept.toDebugString.split("\n")[1:] == walked.toDebugString.split("\n")[1:]

@@ -80,6 +80,41 @@ def test_search_ranks_points(line):
     assert again.count() == 2
 
 
+def test_search_fits_equal_beginnings_once_per_fold(line, monkeypatch):
+    """Points that differ in their last step share the steps before it, with the scores of separate fits."""
+    fits = []
+    plain = N.ZScaler._fit
+    monkeypatch.setattr(N.ZScaler, "_fit", lambda self, df: fits.append(1) or plain(self, df))
+    scorer = RegressionEvaluator(labelCol="y", metricName="rmse")
+    got = flows.search(make_or_tree, [{"depth": d} for d in (1, 2, 4, 0)], line, scorer, ["id"], k=2).orderBy("point").collect()
+    assert len(fits) == 2
+    for point, depth in enumerate((1, 2, 4, 0)):
+        alone = [r["score"] for r in flows.cross_val_score(make_or_tree(depth), line, scorer, ["id"], k=2).collect()]
+        assert got[point]["mean_score"] == pytest.approx(sum(alone) / 2, abs=1e-9)
+
+
+def make_or_tree(depth):
+    """A chain, or for depth 0 a chain that is the beginning of the others with another end."""
+    return make(depth) if depth else flows.Flow([flows.AssembleByType(exclude=["id", "y"]), T.forest_regressor("y", trees=1, maxDepth=1, bootstrap=False)])
+
+
+def test_power_transform_rounds_share_one_plan(spark, monkeypatch):
+    """No lambda is written into the plan, so that a fit compiles its rounds once; the numbers are those of single aggregates."""
+    from rowsmith.features import numeric
+
+    seen = []
+    plain = numeric.signed_power
+    monkeypatch.setattr(numeric, "signed_power", lambda c, lam: seen.append(lam) or plain(c, lam))
+    df = spark.range(60).select((F.col("id") * F.col("id") - 300).cast("double").alias("a"), F.when(F.col("id") % 3 > 0, F.exp(F.col("id") / 20)).alias("b"),
+                                F.lit(None).cast("double").alias("c"))
+    state = numeric.YeoJohnson(inputCols=["a", "b", "c"]).fit(df).state
+    assert seen and not any(isinstance(lam, float) for lam in seen)
+    for c in "abc":
+        lam, mean, dev = state[c]
+        want = df.agg(F.avg(plain(c, lam)), F.stddev_pop(plain(c, lam))).first()
+        assert (mean, dev) == (want[0] if want[0] is None else pytest.approx(want[0], rel=1e-9), pytest.approx(want[1], rel=1e-9) if want[1] else 1.0)
+
+
 def test_stored_prefix_gives_the_same_scores(line):
     scorer = RegressionEvaluator(labelCol="y", metricName="rmse")
     points = [{"depth": 1}, {"depth": 4}]

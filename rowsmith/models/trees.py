@@ -9,9 +9,11 @@ import pyarrow as pa
 from pyspark.ml.classification import DecisionTreeClassifier, GBTClassifier, RandomForestClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
+from pyspark.ml.util import DefaultParamsReader, DefaultParamsWriter
 from pyspark.sql import DataFrame, functions as F
 
 from rowsmith.features.base import FitStep, FittedStep, Settings, integer, text
+from rowsmith.models.forest import GrownForest, fit_forest
 from rowsmith.operators.ranks import column_quantiles
 from rowsmith.operators.resample import class_counts
 from rowsmith.session import materialise
@@ -22,14 +24,80 @@ def decision_tree(label: str = "label", depth: int = 30, seed: int = 42, **more)
     return DecisionTreeClassifier(labelCol=label, maxDepth=depth, seed=seed, **more)
 
 
-def forest_classifier(label: str = "label", trees: int = 100, seed: int = 42, **more) -> RandomForestClassifier:
+# Bytes of node statistics (rows x trees x those of a node) up to which Spark's own forest is taken.
+SPARK_FOREST = 1 << 32
+
+
+class _DeepForest:
+    """Spark's forest, but on large tables small nodes are finished in grouped tasks (``models.forest``).
+
+    Spark sends statistics of full width for every node, and deep trees have nearly as many nodes as rows.
+    """
+
+    def _grown(self, df: DataFrame, classify: bool) -> GrownForest | None:
+        """None where Spark's own forest serves: small tables, and settings that only it has."""
+        get = self.getOrDefault
+        attrs = df.schema[get("featuresCol")].metadata.get("ml_attr", {}).get("attrs", {})
+        if self.isDefined("weightCol") or get("impurity") not in ("gini", "variance") or get("leafCol") or get("maxBins") > 256 or "nominal" in attrs:
+            return None
+        if classify and self.isDefined("thresholds"):
+            return None
+        x, y = vector_to_array(F.col(get("featuresCol"))), F.col(get("labelCol")).cast("double")
+        wrong = F.isnan(y) | (y.isNull()) | (F.abs(y) == float("inf")) | (((y < 0) | (y != F.floor(y))) if classify else F.lit(False))
+        rough = x.isNull() | F.exists(x, lambda v: F.isnan(v) | (F.abs(v) == float("inf")))
+        rows, width, narrow, top, bad = df.agg(
+            F.count(F.lit(1)), F.max(F.size(x)), F.min(F.size(x)), F.max(y), F.count(F.when(wrong | rough, 1))).first()
+        if not rows or not width or width != narrow or bad or (classify and top >= 100):
+            return None  # Spark says what is wrong
+        classes = int(top) + 1 if classify else 0
+        m = columns_a_node(get("featureSubsetStrategy"), width, get("numTrees"), classify)
+        bins = min(get("maxBins"), rows)
+        if rows * get("numTrees") * m * bins * (classes or 3) * 8 <= SPARK_FOREST:
+            return None
+        names = {c: get(c) for c in ("featuresCol", "labelCol", "predictionCol", *(("probabilityCol", "rawPredictionCol") if classify else ()))}
+        return fit_forest(df, names, {
+            "trees": get("numTrees"), "depth": get("maxDepth"), "bins": bins, "m": m, "width": width, "classes": classes,
+            "least": max(get("minInstancesPerNode"), get("minWeightFractionPerNode") * rows), "gain": get("minInfoGain"),
+            "rate": get("subsamplingRate"), "bootstrap": get("bootstrap"), "seed": get("seed") & (2**63 - 1), "rows": rows})
+
+    def write(self):
+        return DefaultParamsWriter(self)
+
+    @classmethod
+    def read(cls):
+        return DefaultParamsReader(cls)
+
+
+class ForestClassifier(_DeepForest, RandomForestClassifier):
+    def _fit(self, df: DataFrame):
+        return self._grown(df, True) or super()._fit(df)
+
+
+class ForestRegressor(_DeepForest, RandomForestRegressor):
+    def _fit(self, df: DataFrame):
+        return self._grown(df, False) or super()._fit(df)
+
+
+def columns_a_node(strategy: str, width: int, trees: int, classify: bool) -> int:
+    """How many columns a node looks at, by the names and numbers of ``featureSubsetStrategy``."""
+    if strategy == "auto":
+        strategy = "all" if trees == 1 else "sqrt" if classify else "onethird"
+    named = {"all": width, "sqrt": math.sqrt(width), "log2": math.log2(width), "onethird": width / 3}
+    if strategy in named:
+        share = named[strategy]
+    else:
+        share = float(strategy) if strategy.isdigit() else float(strategy) * width
+    return max(1, min(width, math.ceil(share)))
+
+
+def forest_classifier(label: str = "label", trees: int = 100, seed: int = 42, **more) -> ForestClassifier:
     """As deep as Spark grows (30), unless ``maxDepth`` is given. Rows keep their nodes, so no pass walks or ships grown trees."""
-    return RandomForestClassifier(labelCol=label, numTrees=trees, seed=seed, **{"maxDepth": 30, "maxMemoryInMB": 512, "cacheNodeIds": True, **more})
+    return ForestClassifier(labelCol=label, numTrees=trees, seed=seed, **{"maxDepth": 30, "maxMemoryInMB": 512, "cacheNodeIds": True, **more})
 
 
-def forest_regressor(label: str = "label", trees: int = 100, seed: int = 42, **more) -> RandomForestRegressor:
+def forest_regressor(label: str = "label", trees: int = 100, seed: int = 42, **more) -> ForestRegressor:
     """As deep as Spark grows (30) over all columns, unless said otherwise."""
-    return RandomForestRegressor(labelCol=label, numTrees=trees, seed=seed, **{"maxDepth": 30, "maxMemoryInMB": 512, "cacheNodeIds": True, "featureSubsetStrategy": "all", **more})
+    return ForestRegressor(labelCol=label, numTrees=trees, seed=seed, **{"maxDepth": 30, "maxMemoryInMB": 512, "cacheNodeIds": True, "featureSubsetStrategy": "all", **more})
 
 
 def boosted_classifier(label: str = "label", rounds: int = 100, depth: int = 3, rate: float = 0.1, subsample: float = 1.0,

@@ -1,4 +1,7 @@
-"""Forests of deep trees on large tables: large nodes are split by passes over all rows, small ones in grouped tasks."""
+"""Forests of deep trees on large tables: large nodes are split by passes over all rows, small ones in grouped tasks.
+
+Few columns have few cells (combinations of bins), whatever the rows: there the trees grow from sums by cell.
+"""
 
 from __future__ import annotations
 
@@ -18,30 +21,56 @@ from rowsmith.session import materialise
 LOCAL_ROWS, LOCAL_VALUES = 1 << 17, 1 << 22
 # Cells of statistics that a pass or a task holds at once.
 CELLS = 1 << 21
+# Cells times sums of a cell up to which trees grow from sums by cell.
+GRID = 1 << 16
+# Different values, of all columns together, that are counted one by one.
+VALUES = 1 << 12
 _DRAWN = "tree int, node int, at long, label binary, weight binary, x binary"
 _NODES = "tree int, node int, feature binary, cut binary, next binary, value binary, importance binary"
 _ROUTED = "tree int, node int, slice int, at long, rid binary, x binary"
 _VOTES = "at long, rid binary, class binary, vote binary"
+_SUMS = "tree int, at long, cell binary, weight binary, total binary, low binary, high binary"
 
 
 def column_cuts(rows: DataFrame, width: int, bins: int) -> list[np.ndarray]:
     """Thresholds of every column of the array ``x``: midpoints if it has at most ``bins`` values, else inner quantiles."""
 
+    most = max(bins, VALUES // width)
+
     def run(batches):
-        seen = [np.zeros(0) for _ in range(width)]
+        seen = [(np.zeros(0), np.zeros(0, np.int64))] * width
         for batch in batches:
             x = _matrix(batch.column("x"), width)
-            seen = [s if len(s) > bins else np.unique(np.concatenate([s, x[:, j]])) for j, s in enumerate(seen)]
-        some = [s[: bins + 1] for s in seen]
-        yield pa.RecordBatch.from_arrays([pa.array(np.repeat(np.arange(width), [len(s) for s in some])), pa.array(np.concatenate(some or [np.zeros(0)]))], names=["j", "v"])
-
-    # More than ``bins`` values in one task or in all of them mark a column for quantiles.
-    found = rows.select("x").mapInArrow(run, "j long, v double").distinct().toArrow()
-    j, v = found["j"].to_numpy(), found["v"].to_numpy()
-    values = [np.unique(v[j == i]) for i in range(width)]
-    many = [f"x{i}" for i in range(width) if len(values[i]) > bins]
-    cuts = column_quantiles(rows.select(*[F.get("x", int(c[1:])).alias(c) for c in many]), many, [i / bins for i in range(1, bins)]) if many else {}
-    return [np.unique(cuts[f"x{i}"]) if f"x{i}" in cuts else (values[i][1:] + values[i][:-1]) / 2 for i in range(width)]
+            seen = [s if len(s[0]) > most else _added(*s, x[:, j]) for j, s in enumerate(seen)]
+        # A column of more values is only marked.
+        seen = [s if len(s[0]) <= most else (np.array([np.nan]), np.array([0])) for s in seen]
+        j = np.repeat(np.arange(width), [len(v) for v, _ in seen])
+        yield pa.RecordBatch.from_arrays([pa.array(j), *(pa.array(np.concatenate(v)) for v in zip(*seen))], names=["j", "v", "n"])
+
+    counted = rows.select("x").mapInArrow(run, "j long, v double, n long").groupBy("j", "v").agg(F.sum("n").alias("n"))
+    counted = materialise(counted, "values")
+    few = counted.groupBy("j").agg(F.count("v").alias("k"), F.min("n").alias("n")).where(f"k <= {most} and n > 0").select("j")
+    found = counted.join(few, "j").toArrow().sort_by([("j", "ascending"), ("v", "ascending")])
+    j, v, n = (found[c].to_numpy() for c in ("j", "v", "n"))
+    many = [f"x{i}" for i in range(width) if i not in set(j.tolist())]
+    probs = [i / bins for i in range(1, bins)]
+    cuts = column_quantiles(rows.select(*[F.get("x", int(c[1:])).alias(c) for c in many]), many, probs) if many else {}
+    return [np.unique(cuts[f"x{i}"]) if f"x{i}" in cuts else _counted_cuts(v[j == i], n[j == i], bins, probs) for i in range(width)]
+
+
+def _added(values: np.ndarray, n: np.ndarray, more: np.ndarray):
+    new, times = np.unique(more, return_counts=True)
+    values, place = np.unique(np.concatenate([values, new]), return_inverse=True)
+    return values, np.bincount(place, np.concatenate([n, times])).astype(np.int64)
+
+
+def _counted_cuts(values: np.ndarray, n: np.ndarray, bins: int, probs) -> np.ndarray:
+    if len(values) <= bins:
+        return (values[1:] + values[:-1]) / 2
+    ends = np.cumsum(n)
+    at = (ends[-1] - 1) * np.array(probs)
+    low, high = (values[np.searchsorted(ends, f(at), "right")] for f in (np.floor, np.ceil))
+    return np.unique(low + (high - low) * (at - np.floor(at)))
 
 
 def _matrix(column, width: int) -> np.ndarray:
@@ -70,7 +99,30 @@ def _stored_bins(rows: DataFrame, cuts) -> DataFrame:
 
 def _spread(rows: DataFrame) -> DataFrame:
     """The rows over all cores, whatever their files; the same rows in the same order in every run."""
-    return rows.repartition(2 * rows.sparkSession.sparkContext.defaultParallelism, "rid").sortWithinPartitions("rid")
+    return rows.repartition(_tasks(rows), "rid").sortWithinPartitions("rid")
+
+
+def _tasks(rows: DataFrame) -> int:
+    return 2 * rows.sparkSession.sparkContext.defaultParallelism
+
+
+def _cell(x: np.ndarray, cuts) -> np.ndarray:
+    """The number of the cell of every row: its bins, read as one number."""
+    return np.ravel_multi_index(tuple(_binned(x, cuts).T), [len(c) + 1 for c in cuts]).astype(np.int64)
+
+
+def _stored_cells(rows: DataFrame, cuts, n: int) -> DataFrame:
+    """Row number, label and cell; the rows of a cell lie together, those of a large one in several tasks."""
+
+    def run(batches):
+        for batch in batches:
+            if batch.num_rows:
+                yield pa.RecordBatch.from_arrays([batch.column("rid"), batch.column("label"), pa.array(_cell(_matrix(batch.column("x"), len(cuts)), cuts))], names=["rid", "label", "cell"])
+
+    found = materialise(rows.mapInArrow(run, "rid long, label double, cell long"), "cells")
+    pieces = F.ceil(F.count(F.lit(1)) / F.lit(max(1.0, n / (8 * _tasks(rows))))).alias("pieces")
+    sizes = materialise(found.groupBy("cell").agg(pieces), "sizes")
+    return found.join(sizes, "cell").repartition(_tasks(rows), "cell", F.expr("rid % pieces")).sortWithinPartitions("cell", "rid").select("rid", "label", "cell")
 
 
 def draws(rid: np.ndarray, trees: int, seed: int, rate: float, replace: bool) -> np.ndarray:
@@ -144,15 +196,15 @@ def _pure(sums: np.ndarray, classes: int) -> np.ndarray:
     return (sums > 0).sum(axis=1) < 2 if classes else np.zeros(len(sums), bool)
 
 
-def grow(x: np.ndarray, label: np.ndarray, w: np.ndarray, depth: int, rng, plan: dict):
+def grow(x: np.ndarray, label: np.ndarray, w: np.ndarray, depth: int, rng, plan: dict, ends=None):
     """The tree below a node from its drawn rows, level by level: feature (-1: leaf), cut, first child or leaf number,
-    leaf sums, importance by column."""
+    leaf sums, importance by column. ``ends``: smallest and largest label, where a row stands for all of its cell."""
     classes, bins, width, m = plan["classes"], plan["bins"], plan["width"], plan["m"]
     w = w.astype(np.float64)
     middle = 0.0 if classes or not len(label) else float(np.average(label, weights=w))
     label = label - middle
-    low = high = label
-    if not classes and bins**width < 2**62:  # rows of equal bins are one row
+    low, high = ends or (label, label)
+    if not classes and not ends and bins**width < 2**62:  # rows of equal bins are one row
         code, first, place = np.unique(x @ (np.int64(bins) ** np.arange(width)), return_index=True, return_inverse=True)
         order = np.argsort(place, kind="stable")
         begin = np.flatnonzero(np.diff(place[order], prepend=-1))
@@ -332,6 +384,94 @@ def _finish(rows: DataFrame, top: _Top) -> DataFrame:
     return materialise(rows.mapInArrow(deal, _DRAWN).groupBy("tree", "node").applyInArrow(finish, _NODES), "nodes")
 
 
+def _finish_cells(rows: DataFrame, cuts, plan: dict) -> DataFrame:
+    """All trees, each grown by one task from the sums of its drawn rows by cell."""
+    trees, classes, shape = plan["trees"], plan["classes"], [len(c) + 1 for c in cuts]
+
+    def add(batches):
+        for batch in batches:
+            step = max(1, CELLS // trees)
+            for some in (batch.slice(i, step) for i in range(0, batch.num_rows, step)):
+                rid, label, cell = (some.column(c).to_numpy() for c in ("rid", "label", "cell"))
+                key = cell * max(classes, 1) + (label.astype(np.int64) if classes else 0)
+                order = np.argsort(key, kind="stable")
+                rid, label, key = rid[order], label[order], key[order]
+                w = draws(rid, trees, plan["seed"], plan["rate"], plan["bootstrap"])
+                first = np.flatnonzero(np.diff(key, prepend=-1))
+                mass = np.add.reduceat(w, first, axis=1, dtype=np.float64)
+                if not classes:
+                    total = np.add.reduceat(w * label, first, axis=1)
+                    low = np.minimum.reduceat(np.where(w > 0, label, np.inf), first, axis=1)
+                    high = np.maximum.reduceat(np.where(w > 0, label, -np.inf), first, axis=1)
+                key, out = key[first], []
+                for t in np.flatnonzero(mass.any(axis=1)):
+                    at = mass[t] > 0
+                    more = (b"", b"", b"") if classes else (v[t, at].tobytes() for v in (total, low, high))
+                    out.append((int(t), int(rid.min()), key[at].tobytes(), mass[t, at].tobytes(), *more))
+                if out:
+                    yield pa.RecordBatch.from_pydict(dict(zip(("tree", "at", "cell", "weight", "total", "low", "high"), map(list, zip(*out)))), schema=pa.schema(
+                        [("tree", pa.int32()), ("at", pa.int64()), *((c, pa.binary()) for c in ("cell", "weight", "total", "low", "high"))]))
+
+    def finish(table):
+        table = table.sort_by("at")
+        key, w, total, low, high = (
+            np.frombuffer(b"".join(table[c].to_pylist()), t) for c, t in zip(("cell", "weight", "total", "low", "high"), (np.int64, *[np.float64] * 4)))
+        order = np.argsort(key, kind="stable")  # a large cell comes in several parts
+        first = np.flatnonzero(np.diff(key[order], prepend=-1))
+        cell, label = np.divmod(key[order][first], max(classes, 1))
+        w, ends = np.add.reduceat(w[order], first), None
+        if not classes:
+            label = np.add.reduceat(total[order], first) / w
+            ends = np.minimum.reduceat(low[order], first), np.maximum.reduceat(high[order], first)
+        x = np.stack(np.unravel_index(cell, shape), axis=1).astype(np.uint8)
+        t = table["tree"][0].as_py()
+        made = grow(x, label.astype(np.float64), w, 0, np.random.default_rng([plan["seed"], 2, t]), plan, ends)
+        return pa.table({"tree": table["tree"][:1], "node": table["tree"][:1], **{
+            c: pa.array([v.tobytes()], pa.binary()) for c, v in zip(("feature", "cut", "next", "value", "importance"), made)}})
+
+    return materialise(rows.mapInArrow(add, _SUMS).groupBy("tree").applyInArrow(finish, _NODES), "nodes")
+
+
+def _cell_votes(nodes: DataFrame, cuts, plan: dict) -> DataFrame:
+    """The votes of all trees for every cell there can be."""
+    classes, kinds, shape = plan["classes"], max(plan["classes"], 1), [len(c) + 1 for c in cuts]
+    cells = math.prod(shape)
+    step = max(1, CELLS // (8 * plan["trees"] * kinds))
+
+    def say(batches):
+        x = np.stack(np.unravel_index(np.arange(cells), shape), axis=1).astype(np.uint8)
+        for batch in batches:
+            for node in batch.to_pylist():
+                *route, value = _grown_node(node, classes)
+                vote = _share(value[_last(x, *route)], classes)
+                at = range(0, cells, step)
+                yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array([vote[i : i + step].tobytes() for i in at], pa.binary())], names=["at", "vote"])
+
+    def total(table):
+        votes = np.stack([np.frombuffer(v, np.float64) for v in table["vote"].to_pylist()])
+        sums = np.sort(votes, axis=0).sum(axis=0)  # sums do not depend on the order of arrival
+        at = table["at"][0].as_py() + np.arange(len(sums) // kinds)
+        return pa.table({"__cell": at, "__votes": pa.FixedSizeListArray.from_arrays(pa.array(sums), kinds).cast(pa.list_(pa.float64()))})
+
+    votes = nodes.drop("importance").mapInArrow(say, "at long, vote binary").groupBy("at")
+    return materialise(votes.applyInArrow(total, "__cell long, __votes array<double>"), "votes")
+
+
+def _grown_node(node: dict, classes: int):
+    """Feature, cut, first child or leaf number, and leaf values of a stored row of ``_NODES``."""
+    value = np.frombuffer(node["value"], np.float32).reshape(-1, classes).astype(np.float64) if classes else np.frombuffer(node["value"], np.float64)
+    return *(np.frombuffer(node[c], t) for c, t in (("feature", np.int32), ("cut", np.uint8), ("next", np.int32))), value
+
+
+def _last(x: np.ndarray, feature, cut, below) -> np.ndarray:
+    """The leaf number of every row in the tree below a node."""
+    return below[_walk(x, np.zeros(len(x), np.int64), feature, cut, below)]
+
+
+def _share(value: np.ndarray, classes: int) -> np.ndarray:
+    return value / value.sum(axis=1, keepdims=True) if classes else value
+
+
 def fit_forest(df: DataFrame, names: dict, plan: dict) -> "GrownForest":
     """``plan``: trees, depth, bins, m (columns a node looks at), width, classes (0: regression), least (rows a child has),
     gain, rate, bootstrap, seed, rows; ``names``: the columns read and made."""
@@ -341,10 +481,11 @@ def fit_forest(df: DataFrame, names: dict, plan: dict) -> "GrownForest":
     plan = plan | {"middle": 0.0 if plan["classes"] else mid[0], "scale": 1.0 if plan["classes"] else mid[1],
                    "local": max(2, min(LOCAL_ROWS, LOCAL_VALUES // plan["width"]))}
     cuts = column_cuts(rows, plan["width"], plan["bins"])
-    binned = _stored_bins(rows, cuts)
-    top = _Top(plan, plan["rows"])
+    few = math.prod(len(c) + 1 for c in cuts) * max(plan["classes"], 2) <= GRID
+    binned = _stored_cells(rows, cuts, plan["rows"]) if few else _stored_bins(rows, cuts)
+    top = _Top(plan, 0 if few else plan["rows"])  # sums by cell leave no node too large for a task
     importance = top.place(binned)
-    nodes = _finish(binned, top)
+    nodes = _finish_cells(binned, cuts, plan) if few else _finish(binned, top)
     for r in nodes.select("tree", "importance").toLocalIterator():
         importance[r["tree"]] += np.frombuffer(r["importance"], np.float64)
     share = importance.sum(axis=1, keepdims=True)
@@ -356,12 +497,15 @@ def fit_forest(df: DataFrame, names: dict, plan: dict) -> "GrownForest":
         "importance": (total / (total.sum() or 1)).tolist(), "top": {
             "feature": top.feature.tolist(), "cut": top.cut.tolist(), "below": top.below.tolist(), "small": top.small.tolist(),
             "tree": top.tree.tolist(), "value": value.tolist()}}
-    model.tables = {"nodes": nodes}
+    model.tables = {"nodes": nodes} | ({"votes": _cell_votes(nodes, cuts, plan)} if few else {})
     return model
 
 
 class GrownForest(FittedStep):
-    """Large nodes are state, the trees below them a table. Rows travel to the trees below, their votes travel back."""
+    """Large nodes are state, the trees below them a table. Rows travel to the trees below, their votes travel back.
+
+    With few cells the votes for each are a table, which rows join by the number of their cell.
+    """
 
     featuresCol = text("featuresCol")
     labelCol = text("labelCol")
@@ -378,11 +522,15 @@ class GrownForest(FittedStep):
     def _transform(self, df: DataFrame) -> DataFrame:
         s = self.state
         classes, trees = s["classes"], s["trees"]
-        base = materialise(df.withColumn("__rid", F.monotonically_increasing_id()), "rows")
-        rows = base.select(F.col("__rid").alias("rid"), vector_to_array(F.col(self.value("featuresCol"))).alias("x"))
-        votes = self._votes(_spread(rows.where("x is not null")))
+        x = vector_to_array(F.col(self.value("featuresCol")))
         # Rows without features have no votes and keep nulls.
-        out = base.join(votes, base["__rid"] == votes["rid"], "left").drop("__rid", "rid")
+        if "votes" in self.tables:
+            base, votes = df.withColumn("__at", self._cells(x)), self.tables["votes"]
+            out = base.join(votes, base["__at"] == votes["__cell"], "left").drop("__at", "__cell")
+        else:
+            base = materialise(df.withColumn("__rid", F.monotonically_increasing_id()), "rows")
+            votes = self._votes(_spread(base.select(F.col("__rid").alias("rid"), x.alias("x")).where("x is not null")))
+            out = base.join(votes, base["__rid"] == votes["rid"], "left").drop("__rid", "rid")
         if not classes:
             return out.withColumn(self.value("predictionCol"), F.get("__votes", 0) / F.lit(float(trees))).drop("__votes")
         share = F.transform("__votes", lambda v: v / F.lit(float(trees)))
@@ -390,6 +538,15 @@ class GrownForest(FittedStep):
         return out.withColumns({self.value("rawPredictionCol"): array_to_vector("__votes"), self.value("probabilityCol"): array_to_vector(share),
                                 self.value("predictionCol"): best}).drop("__votes")
 
+    def _cells(self, x):
+        cuts = [np.array(c) for c in self.state["cuts"]]
+
+        @F.arrow_udf("long")
+        def cell(x: pa.Array) -> pa.Array:
+            return pa.array(_cell(_matrix(x, len(cuts)), cuts))
+
+        return cell(x)
+
     def _votes(self, rows: DataFrame) -> DataFrame:
         s = self.state
         classes, trees, cuts, width = s["classes"], s["trees"], [np.array(c) for c in s["cuts"]], len(s["cuts"])
@@ -420,7 +577,7 @@ class GrownForest(FittedStep):
             """Row numbers, classes and votes of leaf values, without zeros."""
             if not classes:
                 return rid, np.zeros(len(rid), np.int16), value
-            value = value / value.sum(axis=1, keepdims=True)
+            value = _share(value, classes)
             i, c = np.nonzero(value)
             return rid[i], c.astype(np.int16), value[i, c]
 
@@ -437,13 +594,11 @@ class GrownForest(FittedStep):
         def vote(left, right):
             if not left.num_rows:
                 return packed([])
-            node = right.slice(0, 1).to_pylist()[0]
-            feature, cut, below = (np.frombuffer(node[c], t) for c, t in (("feature", np.int32), ("cut", np.uint8), ("next", np.int32)))
-            value = np.frombuffer(node["value"], np.float32).reshape(-1, classes).astype(np.float64) if classes else np.frombuffer(node["value"], np.float64)
+            *route, value = _grown_node(right.slice(0, 1).to_pylist()[0], classes)
             out = []
             for r in left.select(["at", "rid", "x"]).to_pylist():
                 x = np.frombuffer(r["x"], np.uint8).reshape(-1, width)
-                out.append((r["at"], said(np.frombuffer(r["rid"], np.int64), value[below[_walk(x, np.zeros(len(x), np.int64), feature, cut, below)]])))
+                out.append((r["at"], said(np.frombuffer(r["rid"], np.int64), value[_last(x, *route)])))
             return packed(out)
 
         def total(table):

@@ -85,3 +85,53 @@ def test_unfitted_forest_is_saved_as_itself(spark, tmp_path):
 def test_draws_are_poisson():
     w = G.draws(np.arange(20000), 3, 1, 1.0, True)
     assert abs(w.mean() - 1) < 0.02 and abs((w == 0).mean() - np.exp(-1)) < 0.01 and abs(np.corrcoef(w[0], w[1])[0, 1]) < 0.03
+
+
+def _few(spark, n: int):
+    """Three columns, one of more values than bins; half of the rows are alike but for their labels."""
+    return N.assemble(spark.range(n).selectExpr("id", "if(id % 2 = 0, 3, id * 7 % 90) a", "if(id % 2 = 0, 1, id % 5) b", "if(id % 2 = 0, 0, id * id % 11) c").selectExpr(
+        "*", "a + b * 10 - c + id % 3 + 0.25 y", "cast(pmod(a + b + id % 2, 4) as int) label"), list("abc"))
+
+
+def test_few_cells_need_neither_passes_nor_travelling_rows(spark, own, tmp_path, monkeypatch):
+    df = _few(spark, 3000)
+    monkeypatch.setattr(G._Top, "_pass", lambda *a: pytest.fail("a pass over all rows"))
+    monkeypatch.setattr(G.GrownForest, "_votes", lambda *a: pytest.fail("a row for every tree"))
+    for make, label in ((T.forest_regressor, "y"), (T.forest_classifier, "label")):
+        model = make(label, trees=8).fit(df)
+        out = model.transform(df)
+        right = out.agg(F.corr("prediction", label), F.count("prediction")).first()
+        assert right[0] > 0.95 and right[1] == 3000 and out.columns[: len(df.columns)] == df.columns
+        model.write().save(str(tmp_path / label))
+        again = G.GrownForest.load(str(tmp_path / label))
+        assert again.transform(df).select("id", "prediction").exceptAll(out.select("id", "prediction")).count() == 0
+
+
+def test_trees_of_cells_are_the_trees_of_rows(spark, own, monkeypatch):
+    """The same trees as from single rows: equal predictions for all rows, and equal importances."""
+    df = _few(spark, 3000)
+    monkeypatch.setattr(G, "LOCAL_ROWS", 1 << 17)
+    for make, label, more in ((T.forest_regressor, "y", {}), (T.forest_regressor, "y", {"minInstancesPerNode": 30, "subsamplingRate": 0.5, "bootstrap": False}),
+                              (T.forest_classifier, "label", {}), (T.forest_classifier, "label", {"maxDepth": 3})):
+        seen = []
+        for grid in (1 << 16, 0):
+            monkeypatch.setattr(G, "GRID", grid)
+            model = make(label, trees=6, **more).fit(df)
+            assert ("votes" in model.tables) == bool(grid)
+            out = model.transform(df)
+            found = out.select("id", "prediction", *([vector_to_array("probability").alias("p")] if label == "label" else [])).orderBy("id").collect()
+            seen.append((np.array([r["prediction"] for r in found]), np.array([r["p"] for r in found]) if label == "label" else 0, model.featureImportances.toArray()))
+        assert all(np.allclose(a, b, rtol=1e-9, atol=1e-9) for a, b in zip(*seen))
+
+
+def test_thresholds_from_counts(spark, monkeypatch):
+    """Counted values give the thresholds of the exact quantiles; a column of too many values in all tasks is left to those."""
+    rows = spark.range(6000, numPartitions=7).selectExpr("array(cast(id * id % 101 as double), cast(id % 9 as double), sqrt(id), -3.5) x").cache()
+    cuts = G.column_cuts(rows, 4, 32)
+    monkeypatch.setattr(G, "VALUES", 0)
+    plain = G.column_cuts(rows, 4, 32)
+    assert [c.tolist() for c in cuts] == [c.tolist() for c in plain]
+    assert [len(c) for c in cuts] == [31, 8, 31, 0]
+    monkeypatch.setattr(G, "column_quantiles", lambda df, cols, probs: pytest.fail("quantiles of columns that were counted"))
+    monkeypatch.setattr(G, "VALUES", 1 << 12)
+    assert len(G.column_cuts(rows.selectExpr("slice(x, 1, 2) x"), 2, 32)[0]) == 31

@@ -113,11 +113,12 @@ def common_extension(levels: list[Level], a: np.ndarray, b: np.ndarray, ahead: b
     return np.abs(x - a)
 
 
-def grid_chains(codes: np.ndarray, reach: np.ndarray) -> np.ndarray:
+def grid_chains(codes: np.ndarray, reach: np.ndarray, text: np.ndarray) -> np.ndarray:
     """Candidates (period, first point, number of points), points of one chain a period apart.
 
-    ``reach[q - 1]`` is how far texts that may hold period ``q`` extend. A point stays if its word and the word half a
-    period behind it come again one and two periods on, and its word a third time.
+    ``reach[q - 1]`` is how far texts that may hold period ``q`` extend, ``text`` the number of the text of each place. A
+    point stays if its word and the word half a period behind it come again one and two periods on, and its word a third
+    time, all in one text.
     """
     periods = np.arange(1, len(reach) + 1)
     counts = np.maximum(-(-(reach - 3 * periods) // periods), 0)
@@ -133,6 +134,7 @@ def grid_chains(codes: np.ndarray, reach: np.ndarray) -> np.ndarray:
             i, q = i[same], q[same]
         half = i + q // 2
         same = (codes[half] == codes[half + q]) & (codes[half + q] == codes[half + 2 * q])
+        same &= text[i] == text[i + 3 * q]  # words of the texts behind it may agree by chance
         i, q = i[same], q[same]
         if len(i):
             new = np.ones(len(i), bool)
@@ -204,10 +206,10 @@ def runs_of(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarra
         return (np.zeros(0, np.int64),) * 4
     codes, begin = _bounded(words.hash, words.first[order], counts[order])
     fits = np.searchsorted(-counts[order], -EXPONENT * np.arange(1, int(counts[order[0]]) // EXPONENT + 1), "right")
-    chains = grid_chains(codes, (begin + counts[order])[fits - 1])
+    text = np.repeat(np.arange(-1, len(order), dtype=np.int32), np.append(1, counts[order] + 1))
+    chains = grid_chains(codes, (begin + counts[order])[fits - 1], text)
     # The grammar is that of the texts with candidates alone.
-    text = np.searchsorted(begin, chains[1], "right") - 1
-    held, of = np.unique(text, return_inverse=True)
+    held, of = np.unique(text[chains[1]], return_inverse=True)
     codes, place = _bounded(words.hash, words.first[order[held]], counts[order[held]])
     chains[1] += (place - begin[held])[of]
     start, end, period = extended_runs(codes, chains)

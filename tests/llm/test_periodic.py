@@ -138,3 +138,27 @@ def test_odd_rows(spark, tmp_path):
     out = queries.QUERIES["op11_recompression_runs"](spark, str(tmp_path)).collect()
     assert len(out) == 8 and all(r.runs_sha256 and r.collapsed_sha256 for r in out)
     assert periodic.periodic_runs(docs.limit(0)).collect() == []
+
+
+def chance(n=40, q=10):
+    """Two texts without runs: the last word of one comes again one, two and three periods on in the other, and so do the halves."""
+    first, second = [f"a{i}" for i in range(n)], [f"b{i}" for i in range(n)]
+    first[-1] = "x"
+    for i in (1, 2, 3):
+        second[i * q - 2], second[i * q - q // 2 - 2] = "x", "y"
+    return first, second
+
+
+def test_words_that_agree_over_two_texts_are_no_candidates():
+    first, second = chance()
+    row, *_ = periodic.runs_of(words_of(pa.array([" ".join(first), " ".join(second)])))
+    assert len(row) == 0
+
+
+def test_chain_that_begins_in_the_text_before_loses_no_run():
+    last = [f"w{i % 10}" for i in range(40)]
+    for at in range(40):
+        first = [f"a{i}" for i in range(40)]
+        first[at] = last[8]
+        runs = periodic.runs_of(words_of(pa.array([" ".join(first), " ".join(last), " ".join(last)])))
+        assert [v.tolist() for v in runs] == [[1, 2], [0, 0], [40, 40], [10, 10]]

@@ -1,6 +1,7 @@
 """Forests of deep trees on large tables: large nodes are split by passes over all rows, small ones in grouped tasks.
 
-Few columns have few cells (combinations of bins), whatever the rows: there the trees grow from sums by cell.
+Rows of equal bins are one cell. While rows fall in few cells, whatever their number, trees grow from sums by cell; in all
+cases but those of very many columns a cell is scored once for all of its rows.
 """
 
 from __future__ import annotations
@@ -21,8 +22,12 @@ from rowsmith.session import materialise
 LOCAL_ROWS, LOCAL_VALUES = 1 << 17, 1 << 22
 # Cells of statistics that a pass or a task holds at once.
 CELLS = 1 << 21
-# Cells times sums of a cell up to which trees grow from sums by cell.
+# Possible cells times sums of a cell up to which the votes of all cells are a table of the model.
 GRID = 1 << 16
+# Up to so many times the rows of a task it grows a whole tree from cells with rows, times classes.
+TREE_CELLS = 8
+# Numbers of cells, and of cells and classes, are below this.
+CODES = 1 << 62
 # Different values, of all columns together, that are counted one by one.
 VALUES = 1 << 12
 _DRAWN = "tree int, node int, at long, label binary, weight binary, x binary"
@@ -106,13 +111,22 @@ def _tasks(rows: DataFrame) -> int:
     return 2 * rows.sparkSession.sparkContext.defaultParallelism
 
 
+def _possible(cuts) -> int:
+    """How many cells there can be."""
+    return math.prod(len(c) + 1 for c in cuts)
+
+
 def _cell(x: np.ndarray, cuts) -> np.ndarray:
     """The number of the cell of every row: its bins, read as one number."""
     return np.ravel_multi_index(tuple(_binned(x, cuts).T), [len(c) + 1 for c in cuts]).astype(np.int64)
 
 
-def _stored_cells(rows: DataFrame, cuts, n: int) -> DataFrame:
-    """Row number, label and cell; the rows of a cell lie together, those of a large one in several tasks."""
+def _bins_of(cell: np.ndarray, cuts) -> np.ndarray:
+    return np.stack(np.unravel_index(cell, [len(c) + 1 for c in cuts]), axis=1).astype(np.uint8)
+
+
+def _stored_cells(rows: DataFrame, cuts, n: int) -> tuple[DataFrame, DataFrame]:
+    """Row number, label and cell, and the cells there are; the rows of a cell lie together, those of a large one in several tasks."""
 
     def run(batches):
         for batch in batches:
@@ -122,7 +136,9 @@ def _stored_cells(rows: DataFrame, cuts, n: int) -> DataFrame:
     found = materialise(rows.mapInArrow(run, "rid long, label double, cell long"), "cells")
     pieces = F.ceil(F.count(F.lit(1)) / F.lit(max(1.0, n / (8 * _tasks(rows))))).alias("pieces")
     sizes = materialise(found.groupBy("cell").agg(pieces), "sizes")
-    return found.join(sizes, "cell").repartition(_tasks(rows), "cell", F.expr("rid % pieces")).sortWithinPartitions("cell", "rid").select("rid", "label", "cell")
+    large = materialise(sizes.where("pieces > 1"), "large")  # no more than pieces there are
+    dealt = found.join(large, "cell", "left").repartition(_tasks(rows), "cell", F.expr("rid % coalesce(pieces, 1)"))
+    return dealt.sortWithinPartitions("cell", "rid").select("rid", "label", "cell"), sizes
 
 
 def draws(rid: np.ndarray, trees: int, seed: int, rate: float, replace: bool) -> np.ndarray:
@@ -159,8 +175,12 @@ def _walk(x: np.ndarray, at: np.ndarray, feature: np.ndarray, cut: np.ndarray, b
 
 def _hist(x, label, w, node, slots, bins: int, classes: int) -> np.ndarray:
     """Sums by (node, slot, bin): weight per class, or weight and weighted label (``classes`` 0)."""
-    n, m = slots.shape
-    cell = (node[:, None] * m + np.arange(m)) * bins + x[np.arange(len(x))[:, None], slots[node]]
+    return _sums(x[np.arange(len(x))[:, None], slots[node]], label, w, node, len(slots), bins, classes)
+
+
+def _sums(x, label, w, node, n: int, bins: int, classes: int) -> np.ndarray:
+    m = x.shape[1]
+    cell = (node[:, None] * m + np.arange(m)) * bins + x
     if classes:
         cell = cell * classes + label.astype(np.int64)[:, None]
         return np.bincount(cell.ravel(), np.repeat(w, m), n * m * bins * classes).reshape(n, m, bins, classes)
@@ -186,6 +206,33 @@ def best_splits(hist: np.ndarray, classes: int, least: float):
     return slot, edge, gain[i, at], left[i, slot, edge], right[i, slot, edge]
 
 
+def node_splits(x, label, w, node, slots, bins: int, classes: int, least: float):
+    """Slot, bin and gain of the best split of every node, as by all bins. Rows lie in the order of their nodes.
+
+    The bins of a node of few rows are numbered anew without the empty ones, whose sums change nothing.
+    """
+    x = x[np.arange(len(x))[:, None], slots[node]]
+    size = np.bincount(node, minlength=len(slots))
+    slot, edge, gain = np.zeros(len(slots), np.int64), np.zeros(len(slots), np.int64), np.full(len(slots), -np.inf)
+    tops = [t for t in (2, 4, 8, 16) if t < bins <= 64]  # the bins of a node are the bits of a number
+    for above, top in zip([0, *tops], [*tops, np.inf]):
+        some = np.flatnonzero((size > above) & (size <= top))
+        if not len(some):
+            continue
+        rows = np.repeat((size > above) & (size <= top), size)
+        of, mine = np.repeat(np.arange(len(some)), size[some]), x[rows]
+        if top > bins:
+            slot[some], edge[some], gain[some], _, _ = best_splits(_sums(mine, label[rows], w[rows], of, len(some), bins, classes), classes, least)
+            continue
+        first = np.cumsum(size[some]) - size[some]
+        bit = np.uint64(1) << mine.astype(np.uint64)
+        rank = np.bitwise_count(np.bitwise_or.reduceat(bit, first, axis=0)[of] & (bit - np.uint64(1)))
+        s, e, gain[some], _, _ = best_splits(_sums(rank, label[rows], w[rows], of, len(some), top, classes), classes, least)
+        at = np.arange(len(mine)), s[of]
+        slot[some], edge[some] = s, np.maximum.reduceat(np.where(rank[at] <= e[of], mine[at], 0), first)
+    return slot, edge, gain
+
+
 def _slots(rng, nodes: int, width: int, m: int) -> np.ndarray:
     if m >= width:
         return np.tile(np.arange(width), (nodes, 1))
@@ -235,7 +282,7 @@ def grow(x: np.ndarray, label: np.ndarray, w: np.ndarray, depth: int, rng, plan:
             # Rows lie in the order of their nodes.
             rows = np.arange(start[part[0]], start[part[-1] + 1])
             rows = rows[place[node[rows]] >= 0]
-            slot, edge, gain, _, _ = best_splits(_hist(x[rows], label[rows], w[rows], place[node[rows]], slots, bins, classes), classes, plan["least"])
+            slot, edge, gain = node_splits(x[rows], label[rows], w[rows], place[node[rows]], slots, bins, classes, plan["least"])
             total = sums[part].sum(axis=1) if classes else sums[part, 0]
             good = (gain > 1e-12 * plan["scale"]) & (gain >= plan["gain"])
             feature[part[good]] = slots[np.arange(len(part)), slot][good]
@@ -386,7 +433,7 @@ def _finish(rows: DataFrame, top: _Top) -> DataFrame:
 
 def _finish_cells(rows: DataFrame, cuts, plan: dict) -> DataFrame:
     """All trees, each grown by one task from the sums of its drawn rows by cell."""
-    trees, classes, shape = plan["trees"], plan["classes"], [len(c) + 1 for c in cuts]
+    trees, classes = plan["trees"], plan["classes"]
 
     def add(batches):
         for batch in batches:
@@ -423,23 +470,23 @@ def _finish_cells(rows: DataFrame, cuts, plan: dict) -> DataFrame:
         if not classes:
             label = np.add.reduceat(total[order], first) / w
             ends = np.minimum.reduceat(low[order], first), np.maximum.reduceat(high[order], first)
-        x = np.stack(np.unravel_index(cell, shape), axis=1).astype(np.uint8)
+        x = _bins_of(cell, cuts)
         t = table["tree"][0].as_py()
         made = grow(x, label.astype(np.float64), w, 0, np.random.default_rng([plan["seed"], 2, t]), plan, ends)
         return pa.table({"tree": table["tree"][:1], "node": table["tree"][:1], **{
             c: pa.array([v.tobytes()], pa.binary()) for c, v in zip(("feature", "cut", "next", "value", "importance"), made)}})
 
-    return materialise(rows.mapInArrow(add, _SUMS).groupBy("tree").applyInArrow(finish, _NODES), "nodes")
+    # Trees take long and their sums are small: a task has about one.
+    return materialise(rows.mapInArrow(add, _SUMS).repartition(trees, "tree").groupBy("tree").applyInArrow(finish, _NODES), "nodes")
 
 
 def _cell_votes(nodes: DataFrame, cuts, plan: dict) -> DataFrame:
     """The votes of all trees for every cell there can be."""
-    classes, kinds, shape = plan["classes"], max(plan["classes"], 1), [len(c) + 1 for c in cuts]
-    cells = math.prod(shape)
+    classes, kinds, cells = plan["classes"], max(plan["classes"], 1), _possible(cuts)
     step = max(1, CELLS // (8 * plan["trees"] * kinds))
 
     def say(batches):
-        x = np.stack(np.unravel_index(np.arange(cells), shape), axis=1).astype(np.uint8)
+        x = _bins_of(np.arange(cells), cuts)
         for batch in batches:
             for node in batch.to_pylist():
                 *route, value = _grown_node(node, classes)
@@ -481,11 +528,16 @@ def fit_forest(df: DataFrame, names: dict, plan: dict) -> "GrownForest":
     plan = plan | {"middle": 0.0 if plan["classes"] else mid[0], "scale": 1.0 if plan["classes"] else mid[1],
                    "local": max(2, min(LOCAL_ROWS, LOCAL_VALUES // plan["width"]))}
     cuts = column_cuts(rows, plan["width"], plan["bins"])
-    few = math.prod(len(c) + 1 for c in cuts) * max(plan["classes"], 2) <= GRID
-    binned = _stored_cells(rows, cuts, plan["rows"]) if few else _stored_bins(rows, cuts)
-    top = _Top(plan, 0 if few else plan["rows"])  # sums by cell leave no node too large for a task
+    few = _possible(cuts) * max(plan["classes"], 2) <= GRID
+    by_cell = _possible(cuts) * max(plan["classes"], 1) < CODES
+    if by_cell:
+        binned, cells = _stored_cells(rows, cuts, plan["rows"])
+        by_cell = few or cells.count() * max(plan["classes"], 1) <= TREE_CELLS * plan["local"]
+    if not by_cell:
+        binned = _stored_bins(rows, cuts)
+    top = _Top(plan, 0 if by_cell else plan["rows"])  # sums by cell leave no node too large for a task
     importance = top.place(binned)
-    nodes = _finish_cells(binned, cuts, plan) if few else _finish(binned, top)
+    nodes = _finish_cells(binned, cuts, plan) if by_cell else _finish(binned, top)
     for r in nodes.select("tree", "importance").toLocalIterator():
         importance[r["tree"]] += np.frombuffer(r["importance"], np.float64)
     share = importance.sum(axis=1, keepdims=True)
@@ -502,9 +554,10 @@ def fit_forest(df: DataFrame, names: dict, plan: dict) -> "GrownForest":
 
 
 class GrownForest(FittedStep):
-    """Large nodes are state, the trees below them a table. Rows travel to the trees below, their votes travel back.
+    """Large nodes are state, the trees below them a table. Cells travel to the trees below, their votes travel back, and
+    rows join the votes of their cell; with very many columns rows travel.
 
-    With few cells the votes for each are a table, which rows join by the number of their cell.
+    With few possible cells the votes for each are a table of the model.
     """
 
     featuresCol = text("featuresCol")
@@ -527,6 +580,11 @@ class GrownForest(FittedStep):
         if "votes" in self.tables:
             base, votes = df.withColumn("__at", self._cells(x)), self.tables["votes"]
             out = base.join(votes, base["__at"] == votes["__cell"], "left").drop("__at", "__cell")
+        elif math.prod(len(c) + 1 for c in s["cuts"]) < CODES:
+            base = materialise(df.withColumn("__rid", self._cells(x)), "rows")
+            cells = materialise(base.select(F.col("__rid").alias("rid")).distinct(), "cells")
+            votes = self._votes(_spread(cells))
+            out = base.join(votes, base["__rid"] == votes["rid"], "left").drop("__rid", "rid")
         else:
             base = materialise(df.withColumn("__rid", F.monotonically_increasing_id()), "rows")
             votes = self._votes(_spread(base.select(F.col("__rid").alias("rid"), x.alias("x")).where("x is not null")))
@@ -548,6 +606,7 @@ class GrownForest(FittedStep):
         return cell(x)
 
     def _votes(self, rows: DataFrame) -> DataFrame:
+        """Votes by ``rid``: row number, beside the array ``x``, or cell."""
         s = self.state
         classes, trees, cuts, width = s["classes"], s["trees"], [np.array(c) for c in s["cuts"]], len(s["cuts"])
         top = {k: np.array(v) for k, v in s["top"].items()}
@@ -559,8 +618,9 @@ class GrownForest(FittedStep):
         def walked(batches):
             for batch in batches:
                 if batch.num_rows:
-                    x = _binned(_matrix(batch.column("x"), width), cuts)
-                    yield batch.column("rid").to_numpy(), x, _walk(x, np.repeat(np.arange(trees)[:, None], len(x), axis=1), *routes)
+                    rid = batch.column("rid").to_numpy()
+                    x = _binned(_matrix(batch.column("x"), width), cuts) if batch.num_columns > 1 else _bins_of(rid, cuts)
+                    yield rid, x, _walk(x, np.repeat(np.arange(trees)[:, None], len(x), axis=1), *routes)
 
         def deal(batches):
             for rid, x, at in walked(batches):

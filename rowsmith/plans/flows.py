@@ -148,7 +148,10 @@ class Flow(MadeOfSteps, Estimator, MLReadable, MLWritable):
         self.steps = list(steps)
 
     def _fit(self, df: DataFrame) -> PipelineModel:
-        return self.fit_transform(df)[0]
+        if not self.steps or isinstance(self.steps[-1], Sampler):
+            return self.fit_transform(df)[0]
+        before, df = Flow(self.steps[:-1]).fit_transform(df)
+        return PipelineModel([*before.stages, _fit_step(self.steps[-1], df)[0]])  # nobody reads its training rows
 
     def fit_transform(self, df: DataFrame) -> tuple[PipelineModel, DataFrame]:
         """The fitted chain and the training rows as the last step leaves them."""

@@ -202,3 +202,15 @@ def test_churn_chain_saved_and_loaded(spark, small, tmp_path):
     model.write().overwrite().save(str(tmp_path / "model"))
     again = PipelineModel.load(str(tmp_path / "model"))
     assert [tuple(r) for r in again.transform(df).select("doc_id", "prediction").orderBy("doc_id").collect()] == want
+
+
+def test_fit_makes_no_training_rows_after_the_last_step(line, monkeypatch):
+    chain = flows.Flow([N.ZScaler(inputCols=["x"]), N.MeanImputer(inputCols=["x"])])
+    seen, scaled, filled = [], N.FittedScaler._transform, N.FittedMean._transform
+    monkeypatch.setattr(N.FittedScaler, "_transform", lambda s, df: seen.append("scaled") or scaled(s, df))
+    monkeypatch.setattr(N.FittedMean, "_transform", lambda s, df: seen.append("filled") or filled(s, df))
+    model = chain.fit(line)
+    assert seen == ["scaled"] and len(model.stages) == 2
+    fitted, rows = chain.fit_transform(line)
+    assert seen == ["scaled"] * 2 + ["filled"] and rows.count() == line.count()
+    assert model.transform(line).exceptAll(fitted.transform(line)).count() == 0

@@ -135,3 +135,39 @@ def test_thresholds_from_counts(spark, monkeypatch):
     monkeypatch.setattr(G, "column_quantiles", lambda df, cols, probs: pytest.fail("quantiles of columns that were counted"))
     monkeypatch.setattr(G, "VALUES", 1 << 12)
     assert len(G.column_cuts(rows.selectExpr("slice(x, 1, 2) x"), 2, 32)[0]) == 31
+
+
+def test_trees_of_occupied_cells_are_the_trees_of_rows(spark, own, monkeypatch):
+    """More possible cells than a table of votes may have, few with rows: no pass splits nodes, and a cell is scored once."""
+    df = _few(spark, 3000)
+    monkeypatch.setattr(G, "GRID", 0)
+    votes, passed, walked = G.GrownForest._votes, G._Top._pass, []
+    monkeypatch.setattr(G.GrownForest, "_votes", lambda self, rows: walked.append(rows.count()) or votes(self, rows))
+    for make, label in ((T.forest_regressor, "y"), (T.forest_classifier, "label")):
+        seen = []
+        for codes in (1 << 62, 0):  # 0: as with very many columns
+            monkeypatch.setattr(G, "CODES", codes)
+            monkeypatch.setattr(G, "LOCAL_ROWS", 1 << 17 if not codes else 256)
+            monkeypatch.setattr(G._Top, "_pass", (lambda *a: pytest.fail("a pass over all rows")) if codes else passed)
+            model = make(label, trees=6).fit(df)
+            out = model.transform(df).select("id", "prediction").orderBy("id").collect()
+            assert len(out) == 3000 and "votes" not in model.tables
+            seen.append((np.array([r["prediction"] for r in out]), model.featureImportances.toArray()))
+        assert all(np.allclose(a, b, rtol=1e-9, atol=1e-9) for a, b in zip(*seen))
+        assert walked[-2] < 1000 and walked[-1] == 3000
+
+
+@pytest.mark.parametrize("classes,bins", [(0, 32), (3, 32), (0, 200)])
+def test_splits_of_small_nodes_are_those_over_all_bins(classes, bins):
+    rng = np.random.default_rng(7)
+    size = rng.integers(1, 40, 300)
+    node = np.repeat(np.arange(300), size)
+    x = rng.integers(0, bins, (len(node), 6)).astype(np.uint8) // rng.integers(1, 9, 6).astype(np.uint8)
+    label = rng.integers(0, 3, len(node)).astype(float) if classes else rng.normal(size=len(node))
+    w = rng.integers(1, 4, len(node)).astype(float)
+    slots = np.sort(rng.random((300, 6)).argsort(axis=1)[:, :4], axis=1)
+    slot, edge, gain, _, _ = G.best_splits(G._hist(x, label, w, node, slots, bins, classes), classes, 2)
+    got = G.node_splits(x, label, w, node, slots, bins, classes, 2)
+    some = np.isfinite(gain)
+    assert some.sum() > 200 and (got[2] == gain).all()
+    assert (got[0][some] == slot[some]).all() and (got[1][some] == edge[some]).all()

@@ -214,3 +214,16 @@ def test_fit_makes_no_training_rows_after_the_last_step(line, monkeypatch):
     fitted, rows = chain.fit_transform(line)
     assert seen == ["scaled"] * 2 + ["filled"] and rows.count() == line.count()
     assert model.transform(line).exceptAll(fitted.transform(line)).count() == 0
+
+
+def test_random_search_fits_all_rounds(spark, small, monkeypatch):
+    """Every point of the query is the whole chain with the rounds of a final fit."""
+    from rowsmith.plans import q_evaluate
+
+    seen = []
+    monkeypatch.setattr(flows, "search", lambda make, points, *rows, **more: seen.append([make(**p) for p in points]))
+    q_evaluate.random_search(spark, small)
+    final = churn_flow().steps
+    assert [len(c) for c in seen] == [10]
+    for chain in seen[0]:
+        assert [type(s) for s in chain.steps] == [type(s) for s in final] and chain.steps[-1].getMaxIter() == final[-1].getMaxIter() == 100
